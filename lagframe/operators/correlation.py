@@ -50,15 +50,30 @@ def guarded_r(cov: Column, sx: Column, sy: Column, n: Column, minx, maxx, miny,
     return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
+TIE_DIGITS = 12
+
+
+def tie_key(c: Column, digits: int = TIE_DIGITS) -> Column:
+    """Value rounded to `digits` significant digits, used only to decide ties.
+
+    Sums and means of the same numbers in a different order differ in the last
+    bit; without this, mathematically equal values would rank apart.
+    """
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - (digits - 1))
+    return F.when(c == 0.0, F.lit(0.0)).otherwise(F.round(c / scale) * scale)
+
+
 def avg_rank(value: str, group: Sequence[str], valid: Column | None = None) -> Column:
     """Average rank (ties share the mean of their positions) within `group`.
 
     Rows where `valid` is false are sorted after the valid ones and get NULL.
+    Ties are decided on ``tie_key`` (12 significant digits).
     """
     flag = valid if valid is not None else F.col(value).isNotNull()
     part = Window.partitionBy(*group)
-    asc = part.orderBy(flag.desc(), F.col(value).asc())
-    desc = part.orderBy(flag.desc(), F.col(value).desc())
+    key = tie_key(F.col(value))
+    asc = part.orderBy(flag.desc(), key.asc())
+    desc = part.orderBy(flag.desc(), key.desc())
     n_valid = F.sum(flag.cast("long")).over(part)
     r = (F.rank().over(asc) + n_valid + 1 - F.rank().over(desc)).cast("double") / 2.0
     return F.when(flag, r)

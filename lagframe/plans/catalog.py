@@ -110,20 +110,15 @@ def q_lag_join(spark, d):
 
 
 # ================================================================== E2-E7 correlations
-def _sweep_oracle(sources, lags, methods, keys=REGION, target="incidence", cases_idx="cases_idx", extra=()):
-    long = O.sweep_long_sql(sources, lags, target, keys, cases_idx)
-    with_source = any(s is not None for s, _, _ in sources)
-    group = [*keys, *(["source"] if with_source else []), "variable", "lag"]
-    needed = [cases_idx, *{c for _, c, _ in sources}, *extra]
-    body = O.build(
-        "SELECT * FROM (\n" + O.methods_sql("st", group, methods) + "\n) m",
-        *needed,
-    )
-    # splice the long/stat CTEs in front of the final select
-    head, tail = body.rsplit("\nSELECT * FROM (", 1)
-    return (
-        f"{head},\nlong AS (\n{long}\n),\nst AS (\n{O.pair_stats_sql('long', group)}\n)\nSELECT * FROM ({tail}"
-    )
+def sweep_cols(with_source: bool, keys=REGION) -> list[str]:
+    return [*keys, *(["source"] if with_source else []), "variable", "method", "lag"]
+
+
+def _sweep_oracle(sources, lags, methods, keys=REGION, target="incidence", cases_idx="cases_idx"):
+    needed, extra = O.sweep_ctes(sources, lags, methods, keys, target, cases_idx)
+    cols = sweep_cols(any(s is not None for s, _, _ in sources), keys)
+    sel = f"SELECT {', '.join(cols)}, {rsql('r')}, {rsql('p_value')}, n FROM mat"
+    return O.build(sel, *needed, extra=extra)
 
 
 def _matrix(spark, d, variables, lags, methods, sat=False):

@@ -48,8 +48,9 @@ def rnd(expr: str, digits: int = 6) -> str:
     return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
-def build(select: str, *needed: str) -> str:
-    """Prefix `select` with the WITH clause holding `needed` and their dependencies."""
+def build(select: str, *needed: str, extra: Sequence[tuple[str, str]] = ()) -> str:
+    """Prefix `select` with the WITH clause holding `needed` (plus dependencies),
+    followed by query-specific `extra` (name, sql) CTEs."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -61,9 +62,10 @@ def build(select: str, *needed: str) -> str:
 
     for n in needed:
         visit(n)
-    if not order:
+    items = [(n, CTES[n][0]) for n in order] + list(extra)
+    if not items:
         return select
-    body = ",\n".join(f"{n} AS (\n{CTES[n][0]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS (\n{q}\n)" for n, q in items)
     return f"WITH {body}\n{select}"
 
 
@@ -184,6 +186,20 @@ def lagged_sql(src_idx: str, lag: int, cols: Sequence[str], keys: Sequence[str])
     return f"SELECT {k}idx + {lag} AS tidx, {vals} FROM {src_idx}"
 
 
+def tie_sql(x: str) -> str:
+    """12-significant-digit key used to decide rank ties (same rule as the Spark side)."""
+    sc = f"pow(10.0, floor(log10(abs({x}))) - 11)"
+    return f"(CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {sc}) * {sc} END)"
+
+
+def avg_rank_sql(x: str, part: str) -> str:
+    k = tie_sql(x)
+    return (
+        f"(CAST(rank() OVER (PARTITION BY {part} ORDER BY {k}) AS DOUBLE) + "
+        f"(count(*) OVER (PARTITION BY {part}, {k}) - 1) / 2.0)"
+    )
+
+
 def pair_stats_sql(long_cte: str, group: Sequence[str], min_n: int = 3) -> str:
     """Grouped Pearson + Spearman (r, n) from a long CTE with columns group..., x, y.
 
@@ -202,23 +218,38 @@ LEFT JOIN (
          covar_pop(x, y) AS cxy, stddev_pop(x) AS sx, stddev_pop(y) AS sy,
          covar_pop(rx, ry) AS crr, stddev_pop(rx) AS srx, stddev_pop(ry) AS sry
   FROM (SELECT {g}, x, y,
-          CAST(rank() OVER (PARTITION BY {g} ORDER BY x) AS DOUBLE) + (count(*) OVER (PARTITION BY {g}, x) - 1) / 2.0 AS rx,
-          CAST(rank() OVER (PARTITION BY {g} ORDER BY y) AS DOUBLE) + (count(*) OVER (PARTITION BY {g}, y) - 1) / 2.0 AS ry
+          {avg_rank_sql('x', g)} AS rx,
+          {avg_rank_sql('y', g)} AS ry
         FROM {long_cte} WHERE x IS NOT NULL AND y IS NOT NULL) p
   GROUP BY {g}) st ON {on}"""
 
 
-def methods_sql(stats_cte: str, cols: Sequence[str], methods: Sequence[str] = ("pearson", "spearman")) -> str:
-    """Long (method) rows with rounded r and p from a pair_stats_sql CTE."""
+def methods_sql(stats_cte: str, cols: Sequence[str], methods: Sequence[str] = ("pearson", "spearman"), rounded: bool = True) -> str:
+    """Long (method) rows with r and p from a pair_stats_sql CTE (rounded unless asked not to)."""
     c = ", ".join(cols)
     parts = []
     for m in methods:
-        parts.append(
-            f"SELECT {c}, '{m}' AS method, {rnd(f'r_{m}')} AS r, {rnd(pvalue_sql(f'r_{m}', 'n'), 9)} AS p_value, n FROM {stats_cte}"
-        )
+        r, p = f"r_{m}", pvalue_sql(f"r_{m}", "n")
+        if rounded:
+            r, p = rnd(r), rnd(p, 9)
+        parts.append(f"SELECT {c}, '{m}' AS method, {r} AS r, {p} AS p_value, n FROM {stats_cte}")
     return "\nUNION ALL\n".join(parts)
 
 
+def sweep_ctes(sources, lags, methods, keys, target="incidence", cases_idx="cases_idx"):
+    """(needed base CTEs, extra CTEs) whose last CTE `mat` holds the unrounded sweep:
+    keys, [source], variable, method, lag, r, p_value, n."""
+    with_source = any(s is not None for s, _, _ in sources)
+    group = [*keys, *(["source"] if with_source else []), "variable", "lag"]
+    needed = [cases_idx, *dict.fromkeys(c for _, c, _ in sources)]
+    extra = [
+        ("long", sweep_long_sql(sources, lags, target, keys, cases_idx)),
+        ("st", pair_stats_sql("long", group)),
+        ("mat", methods_sql("st", group, methods, rounded=False)),
+    ]
+    return needed, extra
+
+
 def sweep_long_sql(sources, lags: Sequence[int], target: str, keys: Sequence[str], cases_idx: str = "cases_idx") -> str:
     """Long (keys, [source], variable, lag, x, y) rows of the lag sweep.
 
