@@ -33,7 +33,8 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: dict | None = None, default: int = 6) -> DataFrame:
-    """Round every double column (output only); -0.0 becomes 0.0."""
+    """Output normalisation: round every double column (-0.0 becomes 0.0) and
+    render dates as ISO 'yyyy-MM-dd' strings so both engines hash them alike."""
     spec = dict(DIGITS)
     spec.update(digits or {})
     out = []
@@ -43,6 +44,8 @@ def rounded(df: DataFrame, digits: dict | None = None, default: int = 6) -> Data
             if d is None:
                 d = next((v for k, v in spec.items() if f.name.startswith(k + "_lag")), default)
             out.append((F.round(F.col(f.name).cast("double"), d) + 0.0).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            out.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -58,6 +61,12 @@ def rsql(expr: str, digits: int | None = None, alias: str | None = None) -> str:
     return f"{O.rnd(expr, digits)} AS {alias}"
 
 
+def dsql(expr: str, alias: str | None = None) -> str:
+    """Date select item rendered as an ISO string (matches ``rounded``)."""
+    alias = alias or expr.split(".")[-1]
+    return f"CAST(CAST({expr} AS DATE) AS VARCHAR) AS {alias}"
+
+
 # ------------------------------------------------------------------ imports of operators
 from ..operators import correlation as C  # noqa: E402
 from ..operators import lagjoin as LJ  # noqa: E402
