@@ -128,11 +128,15 @@ def is_valid_week(year, week, system: str = "iso") -> Column:
     )
 
 
-def parse_yearweek(se) -> tuple[Column, Column, Column]:
+YEAR_BOUNDS = (2000, 2100)
+
+
+def parse_yearweek(se, year_bounds: tuple[int, int] = YEAR_BOUNDS) -> tuple[Column, Column, Column]:
     """YYYYWW (int, double or string) -> (year, week, valid) (B1).
 
     valid is False when the value is not six digits, the year is outside
-    [2000, 2100] or the week outside [1, 53]; year/week are NULL then.
+    `year_bounds` (default [2000, 2100]) or the week outside [1, 53]; year/week
+    are NULL then.
     """
     num = _col(se).try_cast("double").try_cast("bigint")
     digits = num.cast("string")
@@ -141,7 +145,7 @@ def parse_yearweek(se) -> tuple[Column, Column, Column]:
     valid = (
         num.isNotNull()
         & (F.length(digits) == 6)
-        & year.between(2000, 2100)
+        & year.between(*year_bounds)
         & week.between(1, 53)
     )
     valid = F.coalesce(valid, F.lit(False))

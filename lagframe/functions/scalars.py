@@ -50,8 +50,9 @@ def scale_lst(dn) -> Column:
 
 
 def clamp_nonneg(c) -> Column:
-    """max(0, c)."""
-    return F.greatest(F.lit(0.0), _col(c))
+    """max(0, c); NULL stays NULL."""
+    c = _col(c)
+    return F.when(c.isNotNull(), F.greatest(F.lit(0.0), c))
 
 
 # Code point ranges scanned to build the accent table: Latin-1 Supplement through

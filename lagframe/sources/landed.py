@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import parse_yearweek
+from ..functions.calendar import YEAR_BOUNDS, parse_yearweek
 
 CORRUPT = "_corrupt_record"
 
@@ -59,6 +59,7 @@ def ingest_case_csv(
     year_from: int,
     year_to: int,
     schema: T.StructType = CASE_FILE_SCHEMA,
+    year_bounds: tuple[int, int] = YEAR_BOUNDS,
 ) -> tuple[DataFrame, DataFrame]:
     """Read landed weekly case files for the given places and inclusive year range (A1, A2).
 
@@ -83,7 +84,7 @@ def ingest_case_csv(
     )
     pl = _places_frame(spark, places)
     raw = raw.join(pl, "geocode")  # dimension of places: planner broadcasts it from its size
-    y, w, ok = parse_yearweek(F.col("se"))
+    y, w, ok = parse_yearweek(F.col("se"), year_bounds)
     parsed = raw.withColumns({"_y": y, "_w": w, "_ok": ok & F.col(CORRUPT).isNull()})
     rows = parsed.filter("_ok").select(
         "geocode",

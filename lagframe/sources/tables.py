@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import parse_yearweek
+from ..functions.calendar import YEAR_BOUNDS, parse_yearweek
 from ..functions.scalars import normalize_nans
 
 LOADED_AT = "loaded_at"
@@ -85,7 +85,8 @@ def _ddl(schema: T.StructType) -> str:
 class Store:
     """A set of parquet tables under `root`, registered in the session catalog."""
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "", year_bounds: tuple[int, int] = YEAR_BOUNDS):
+        self.year_bounds = year_bounds
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
@@ -121,7 +122,7 @@ class Store:
     def append_cases(self, df: DataFrame) -> int:
         """Append weekly case rows; parses se into (year, week); returns rows inserted."""
         _require(df, CASE_REQUIRED)
-        y, w, ok = parse_yearweek(F.col("se"))
+        y, w, ok = parse_yearweek(F.col("se"), self.year_bounds)
         d = normalize_nans(df).withColumns({"year": y, "week": w, "_ok": ok})
         bad = d.filter(~F.col("_ok")).limit(1).count()
         if bad:
