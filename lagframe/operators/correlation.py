@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import calendar as cal
-from ..functions.pvalue import corr_pvalue
+from ..functions.pvalue import with_pvalue
 from ..functions.scalars import nan_to_null
 from .rollup import WEEK, YEAR, _keys
 
@@ -124,7 +124,7 @@ def pair_stats(
             r = guarded_r(F.col("_crr"), F.col("_srx"), F.col("_sry"), n_c, *guards, min_n=min_n)
         rows.append(F.struct(F.lit(m).alias("method"), r.alias("r")))
     out = a.select(*group, n_c.alias("n"), F.inline(F.array(*rows)))
-    return out.select(*group, "method", "r", corr_pvalue(F.col("r"), F.col("n")).alias("p_value"), "n")
+    return with_pvalue(out).select(*group, "method", "r", "p_value", "n")
 
 
 def _explode_lags(cases: DataFrame, target: str, lags: Sequence[int], keys: list[str], system: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.pvalue import corr_pvalue
+from ..functions.pvalue import with_pvalue
 from ..functions.scalars import nan_to_null
 from .correlation import METHODS, guarded_r, pair_stats
 from .rollup import YEAR, _keys
@@ -111,9 +111,8 @@ def partial_corr(df: DataFrame, x: str, y: str, z: str, keys=None, min_n: int =
         _corr_cols(F.col(y), F.col(z), n).alias("ryz"),
     )
     r = F.when(F.col("n") >= min_n, _partial(F.col("rxy"), F.col("rxz"), F.col("ryz")))
-    return a.select(*keys, r.alias("r_partial"), "n").withColumn(
-        "p_value", corr_pvalue(F.col("r_partial"), F.col("n"), df_adjust)
-    ).select(*keys, "r_partial", "p_value", "n")
+    out = a.select(*keys, r.alias("r_partial"), "n")
+    return with_pvalue(out, "r_partial", "n", "p_value", df_adjust).select(*keys, "r_partial", "p_value", "n")
 
 
 def partial_table(
@@ -152,7 +151,7 @@ def partial_table(
         r = F.when(F.col("n") >= min_n, _partial(F.col(f"_r_{var}_y"), rr(var, ctrl), F.col(f"_r_{ctrl}_y")))
         rows.append(F.struct(F.lit(var).alias("variable"), F.lit(ctrl).alias("control"), r.alias("r_partial")))
     out = a.select(*keys, "n", F.inline(F.array(*rows)))
-    out = out.withColumn("p_value", corr_pvalue(F.col("r_partial"), F.col("n")))
+    out = with_pvalue(out, "r_partial", "n", "p_value")
     sig = F.coalesce((F.abs("r_partial") > sig_abs_r) & (F.col("p_value") < sig_p), F.lit(False))
     return out.select(*keys, "variable", "control", "r_partial", "p_value", "n", sig.alias("significant"))
 
