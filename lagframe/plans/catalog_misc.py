@@ -12,7 +12,7 @@ from ..operators import lagjoin as LJ
 from ..operators import rollup as R
 from ..operators.correlation import avg_rank
 from ..operators.frames import date_range, describe, outbreak_flag, table_coverage
-from ..sources.zones import validate_points
+from ..sources.zones import validate_points, zone_lookup
 from . import oracle as O
 from . import views as V
 from .catalog import REGION, dsql, register, rounded, rsql
@@ -214,6 +214,38 @@ def q_relabel(spark, d):
     return ev.groupBy(SC.relabel("event_type", _LABELS).alias("label")).agg(F.count(F.lit(1)).alias("events"))
 
 
+# ------------------------------------------------------------------ C4 lookup by folded name
+# Requests: every distinct accented word of the documents; zone dimension: every
+# (doc_id, word) occurrence. Each request gets the first occurrence (by doc_id, then
+# word) whose folded form equals its folded form, and the number of such occurrences.
+_WORD_SPLIT = "[^\\p{L}]+"
+
+
+def _tokens(spark, d):
+    docs = V.table(spark, d, "documents")
+    return docs.select("doc_id", F.explode(F.split("text", _WORD_SPLIT)).alias("word")).filter(F.col("word") != "")
+
+
+@register(
+    "zone_lookup",
+    O.build(
+        "SELECT r.name, z.zone_id, z.zone_name, z.n_matches FROM "
+        "(SELECT DISTINCT word AS name FROM toks WHERE regexp_matches(word, '[^\\x00-\\x7F]')) r JOIN "
+        "(SELECT k, zone_id, zone_name, n_matches FROM (SELECT strip_accents(word) AS k, doc_id AS zone_id, word AS zone_name, "
+        "count(*) OVER (PARTITION BY strip_accents(word)) AS n_matches, "
+        "row_number() OVER (PARTITION BY strip_accents(word) ORDER BY doc_id, word) AS rn FROM toks) WHERE rn = 1) z "
+        "ON strip_accents(r.name) = z.k",
+        extra=[("toks", "SELECT doc_id, word FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS word FROM documents) WHERE word <> ''")],
+    ),
+)
+def q_zone_lookup(spark, d):
+    t = _tokens(spark, d)
+    requests = t.select(F.col("word").alias("name")).filter(F.col("name").rlike("[^\\x00-\\x7F]")).distinct()
+    zones = t.select(F.col("doc_id").alias("zone_id"), F.col("word").alias("zone_name"))
+    matches, _missing = zone_lookup(requests, zones)
+    return matches.select("name", "zone_id", "zone_name", "n_matches")
+
+
 # ------------------------------------------------------------------ B17 / B18 / C1 / C5
 @register(
     "validate_points",

@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import fold_accents
 
 
-def zone_lookup(requests: DataFrame, zones: DataFrame, name_col: str = "name", zone_name_col: str = "zone_name", order_col: str = "zone_id") -> tuple[DataFrame, DataFrame]:
+def zone_lookup(
+    requests: DataFrame,
+    zones: DataFrame,
+    name_col: str = "name",
+    zone_name_col: str = "zone_name",
+    order_col: str = "zone_id",
+) -> tuple[DataFrame, DataFrame]:
     """Match requested names to zones ignoring accents (C4).
 
-    Several zones with the same folded name: the first by `order_col` wins (stated
-    order, deterministic); the match count is reported so callers can warn.
-    Returns (matches: request columns + zone columns + n_matches, not_found requests).
+    Several zones with the same folded name: the first by (`order_col`, name) wins
+    -- a stated, deterministic order -- and `n_matches` reports how many there were
+    so callers can warn. The zone dimension is first reduced to one row per folded
+    name with a ``min_by`` aggregate (partial aggregation: a name shared by a third
+    of all zones never lands whole in one task), then equi-joined on the folded key.
+    Returns (matches: request columns + first zone's columns + n_matches,
+    not_found: requests without any zone).
     """
     r = requests.withColumn("_key", fold_accents(F.col(name_col)))
+    zcols = [c for c in zones.columns]
     z = zones.withColumn("_key", fold_accents(F.col(zone_name_col)))
-    j = r.join(z, "_key", "inner")
-    w = Window.partitionBy(*requests.columns).orderBy(F.col(order_col))
-    ranked = j.withColumn("_rn", F.row_number().over(w)).withColumn("n_matches", F.count(F.lit(1)).over(Window.partitionBy(*requests.columns)))
-    matches = ranked.filter("_rn = 1").drop("_rn", "_key")
-    missing = r.join(z.select("_key").distinct(), "_key", "left_anti").drop("_key")
+    first = z.groupBy("_key").agg(
+        F.min_by(F.struct(*[F.col(c) for c in zcols]), F.struct(F.col(order_col), F.col(zone_name_col))).alias("_z"),
+        F.count(F.lit(1)).alias("n_matches"),
+    )
+    matches = r.join(first, "_key").select(*requests.columns, *[F.col(f"_z.{c}").alias(c) for c in zcols], "n_matches")
+    missing = r.join(first.select("_key"), "_key", "left_anti").drop("_key")
     return matches, missing
 
 
