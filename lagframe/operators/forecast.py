@@ -193,11 +193,20 @@ def feature_importance(frame: DataFrame, target: str, features: Sequence[str], f
     return frame.sparkSession.createDataFrame(rows, schema)
 
 
-def forecast_metrics(preds: DataFrame, models: Mapping[str, str], real: str = "real", keys=None, by: Sequence[str] = ()) -> DataFrame:
+def forecast_metrics(
+    preds: DataFrame,
+    models: Mapping[str, str],
+    real: str = "real",
+    keys=None,
+    by: Sequence[str] = (),
+    constant_r2: str = "finite",
+) -> DataFrame:
     """MAE, RMSE, R^2 and MAPE% (rows with real > 0 only) per model.
 
-    R^2 is NULL when the actual values are constant; MAPE is NULL with no real > 0.
-    Models are unpivoted to rows so one aggregate serves all of them.
+    Constant actual values: ``constant_r2="finite"`` gives 1.0 for a perfect fit and
+    0.0 otherwise (the convention of the original's overall metrics), ``"null"`` gives
+    NULL (its per-year table). MAPE is NULL with no real > 0. Models are unpivoted to
+    rows so one aggregate serves all of them.
     """
     group = [*_keys(keys), *by]
     long = preds.select(
@@ -212,7 +221,9 @@ def forecast_metrics(preds: DataFrame, models: Mapping[str, str], real: str = "r
         n.alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.when(F.min("_y") < F.max("_y"), 1.0 - F.try_divide(F.sum(e * e), sst)).alias("r2"),
+        F.when(F.min("_y") < F.max("_y"), 1.0 - F.try_divide(F.sum(e * e), sst))
+        .when(F.lit(constant_r2 == "finite"), F.when(F.sum(e * e) == 0.0, F.lit(1.0)).otherwise(F.lit(0.0)))
+        .alias("r2"),
         (F.avg(F.when(F.col("_y") > 0, F.abs(e / F.col("_y")))) * 100.0).alias("mape"),
     )
     return agg
@@ -220,7 +231,7 @@ def forecast_metrics(preds: DataFrame, models: Mapping[str, str], real: str = "r
 
 def metrics_by_year(preds: DataFrame, models: Mapping[str, str], real: str = "real", keys=None, min_n: int = 10) -> DataFrame:
     """forecast_metrics per year, years with fewer than `min_n` rows dropped."""
-    m = forecast_metrics(preds, models, real, keys, by=[YEAR])
+    m = forecast_metrics(preds, models, real, keys, by=[YEAR], constant_r2="null")
     return m.filter(F.col("n") >= min_n)
 
 

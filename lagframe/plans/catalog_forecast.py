@@ -109,10 +109,11 @@ def q_walk_forward_folds(spark, d):
 def _metrics_sql(by_year: bool) -> str:
     y = "year, " if by_year else ""
     e = "(pred_baseline - incidence)"
+    const = "" if by_year else f"WHEN sum({e} * {e}) = 0 THEN 1.0 ELSE 0.0"
     sel = (
         f"SELECT region, {y}'baseline' AS model, count(*) AS n, {O.rnd(f'avg(abs({e}))')} AS mae, "
         f"{O.rnd(f'sqrt(avg({e} * {e}))')} AS rmse, "
-        f"{O.rnd(f'CASE WHEN min(incidence) < max(incidence) THEN 1.0 - sum({e} * {e}) / (var_pop(incidence) * count(*)) END')} AS r2, "
+        f"{O.rnd(f'CASE WHEN min(incidence) < max(incidence) THEN 1.0 - sum({e} * {e}) / (var_pop(incidence) * count(*)) {const} END')} AS r2, "
         f"{O.rnd(f'avg(CASE WHEN incidence > 0 THEN abs({e} / incidence) END) * 100.0')} AS mape "
         f"FROM bf WHERE row_no > 52 GROUP BY region, {y}model"
     )
@@ -139,7 +140,9 @@ def q_metrics_by_year(spark, d):
 
 
 # ------------------------------------------------------------------ forest (rows-only checks)
+@V.memo
 def _walk_forward(spark, d):
+    """Fits happen once per session and folder; the metrics keys reuse the fitted folds."""
     return FC.walk_forward_rf(
         model_frame(spark, d), "incidence", CLIMATE_FEATURES, FULL_FEATURES, REGION, refit_every=REFIT_EVERY
     )

@@ -56,8 +56,10 @@ def test_metrics_match_numpy(spark):
 
 
 def test_metrics_constant_actuals(spark):
-    df = spark.createDataFrame([(3.0, 2.0), (3.0, 4.0)], "real double, pred double")
-    assert FC.forecast_metrics(df, {"m": "pred"}).first().r2 is None
+    df = spark.createDataFrame([(3.0, 2.0, 3.0), (3.0, 4.0, 3.0)], "real double, pred double, perfect double")
+    got = {r.model: r.r2 for r in FC.forecast_metrics(df, {"m": "pred", "p": "perfect"}).collect()}
+    assert got == {"m": 0.0, "p": 1.0}
+    assert FC.forecast_metrics(df, {"m": "pred"}, constant_r2="null").first().r2 is None
 
 
 def test_walk_forward_forest_invariants(spark):
