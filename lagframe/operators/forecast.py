@@ -124,11 +124,14 @@ def walk_forward_rf(
     baseline_window: int = BASELINE_WINDOW,
     forest: Mapping | None = None,
     system: str = "iso",
+    parallelism: int = 4,
 ) -> DataFrame:
     """One-step-ahead walk-forward: baseline, forest on climate, forest on climate + AR.
 
     refit_every=1 refits every week like the original; larger values refit every N
-    weeks (each fold predicts N weeks with the model trained before it).
+    weeks (each fold predicts N weeks with the model trained before it). Folds are
+    independent, so up to `parallelism` fits run as concurrent Spark jobs (as
+    CrossValidator's ``parallelism`` does); each fit is itself distributed.
     Output: keys, year, week, real, pred_baseline, pred_rf_climate, pred_rf_full.
     """
     keys = _keys(keys)
@@ -156,14 +159,18 @@ def walk_forward_rf(
     test = f.filter("is_test").withColumn("_fold", F.floor((F.col("_idx") - t0) / refit_every).cast("int"))
     folds = [r[0] for r in test.select("_fold").distinct().orderBy("_fold").collect()]  # bounded by weeks / refit_every
     label = "_label"
+
+    def fit(task):
+        k, features, pred = task
+        train = f.filter(F.col("_idx") < t0 + k * refit_every).withColumn(label, F.col(target).cast("double"))
+        return (k, pred), _forest(features, label, pred, params).fit(train)
+
+    tasks = [(k, feats, pred) for k in folds for feats, pred in ((climate_features, "pred_rf_climate"), (full_features, "pred_rf_full"))]
+    models = dict(_run_parallel(fit, tasks, parallelism))
     parts = []
     for k in folds:
-        start = t0 + k * refit_every
-        train = f.filter(F.col("_idx") < start).withColumn(label, F.col(target).cast("double"))
         tst = test.filter(F.col("_fold") == k)
-        m1 = _forest(climate_features, label, "pred_rf_climate", params).fit(train)
-        m2 = _forest(full_features, label, "pred_rf_full", params).fit(train)
-        p = m2.transform(m1.transform(tst))
+        p = models[(k, "pred_rf_full")].transform(models[(k, "pred_rf_climate")].transform(tst))
         parts.append(
             p.select(
                 *keys,
@@ -181,11 +188,28 @@ def walk_forward_rf(
     return out
 
 
+def _run_parallel(fn, tasks, parallelism: int):
+    """Run independent driver-side job submissions (forest fits) on a thread pool."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
+
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [fn(t) for t in tasks]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        return pool.map(inheritable_thread_target(fn), tasks)
+
+
 def feature_importance(frame: DataFrame, target: str, features: Sequence[str], forest: Mapping | None = None) -> DataFrame:
-    """Importances of a final forest fit on all rows, largest first."""
+    """Importances of a final forest fit on all rows, largest first.
+
+    The frame is checkpointed first: the forest reads its input several times
+    (split finding, binning, bagging) and must not recompute the lineage each time.
+    """
     params = dict(FOREST)
     params.update(forest or {})
-    d = frame.withColumn("_label", F.col(target).cast("double"))
+    ensure_checkpoint_dir(frame.sparkSession)
+    d = frame.withColumn("_label", F.col(target).cast("double")).checkpoint(eager=True)
     model = _forest(features, "_label", "_pred", params).fit(d)
     imp = model.stages[-1].featureImportances.toArray()
     rows = sorted(((c, float(v)) for c, v in zip(features, imp)), key=lambda t: -t[1])
