@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 from .rollup import YEAR, _keys
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least one task per core before CPU-heavy per-row work.
+
+    Only when the input has fewer partitions than the session's default parallelism
+    (a few large files/row groups); on a cluster scan a 100 TB input already has
+    thousands of splits, so this adds no shuffle there.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def date_range(df: DataFrame, col: str, start, end) -> DataFrame:
     """Rows with `col` in the inclusive day range [start, end].
 

@@ -11,7 +11,7 @@ from ..functions import scalars as SC
 from ..operators import lagjoin as LJ
 from ..operators import rollup as R
 from ..operators.correlation import avg_rank
-from ..operators.frames import date_range, describe, outbreak_flag, table_coverage
+from ..operators.frames import date_range, describe, ensure_parallelism, outbreak_flag, table_coverage
 from ..sources.zones import validate_points, zone_lookup
 from . import oracle as O
 from . import views as V
@@ -194,7 +194,7 @@ def q_weekly_satellite(spark, d):
 # ------------------------------------------------------------------ B8 accents, B10 labels
 @register("fold_accents", O.build("SELECT doc_id, strip_accents(text) AS folded FROM documents"))
 def q_fold_accents(spark, d):
-    docs = V.table(spark, d, "documents")
+    docs = ensure_parallelism(V.table(spark, d, "documents").select("doc_id", "text"))
     return docs.select("doc_id", SC.fold_accents("text").alias("folded"))
 
 
@@ -222,7 +222,7 @@ _WORD_SPLIT = "[^\\p{L}]+"
 
 
 def _tokens(spark, d):
-    docs = V.table(spark, d, "documents")
+    docs = ensure_parallelism(V.table(spark, d, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.explode(F.split("text", _WORD_SPLIT)).alias("word")).filter(F.col("word") != "")
 
 
@@ -239,10 +239,12 @@ def _tokens(spark, d):
     ),
 )
 def q_zone_lookup(spark, d):
-    t = _tokens(spark, d)
-    requests = t.select(F.col("word").alias("name")).filter(F.col("name").rlike("[^\\x00-\\x7F]")).distinct()
-    zones = t.select(F.col("doc_id").alias("zone_id"), F.col("word").alias("zone_name"))
-    matches, _missing = zone_lookup(requests, zones)
+    # one tokenisation, pre-aggregated per distinct word (map-side combine); the
+    # occurrence table is represented by (first doc, word, occurrences)
+    words = _tokens(spark, d).groupBy("word").agg(F.min("doc_id").alias("zone_id"), F.count(F.lit(1)).alias("occurrences"))
+    requests = words.filter(F.col("word").rlike("[^\\x00-\\x7F]")).select(F.col("word").alias("name"))
+    zones = words.select("zone_id", F.col("word").alias("zone_name"), "occurrences")
+    matches, _missing = zone_lookup(requests, zones, weight_col="occurrences")
     return matches.select("name", "zone_id", "zone_name", "n_matches")
 
 

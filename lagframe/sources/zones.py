@@ -14,6 +14,7 @@ def zone_lookup(
     name_col: str = "name",
     zone_name_col: str = "zone_name",
     order_col: str = "zone_id",
+    weight_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Match requested names to zones ignoring accents (C4).
 
@@ -22,15 +23,17 @@ def zone_lookup(
     so callers can warn. The zone dimension is first reduced to one row per folded
     name with a ``min_by`` aggregate (partial aggregation: a name shared by a third
     of all zones never lands whole in one task), then equi-joined on the folded key.
+    With `weight_col`, each zone row stands for that many rows (a pre-aggregated
+    dimension) and n_matches sums the weights.
     Returns (matches: request columns + first zone's columns + n_matches,
     not_found: requests without any zone).
     """
     r = requests.withColumn("_key", fold_accents(F.col(name_col)))
-    zcols = [c for c in zones.columns]
+    zcols = [c for c in zones.columns if c != weight_col]
     z = zones.withColumn("_key", fold_accents(F.col(zone_name_col)))
     first = z.groupBy("_key").agg(
         F.min_by(F.struct(*[F.col(c) for c in zcols]), F.struct(F.col(order_col), F.col(zone_name_col))).alias("_z"),
-        F.count(F.lit(1)).alias("n_matches"),
+        (F.sum(weight_col) if weight_col else F.count(F.lit(1))).cast("long").alias("n_matches"),
     )
     matches = r.join(first, "_key").select(*requests.columns, *[F.col(f"_z.{c}").alias(c) for c in zcols], "n_matches")
     missing = r.join(first.select("_key"), "_key", "left_anti").drop("_key")
