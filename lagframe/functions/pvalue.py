@@ -88,8 +88,10 @@ def jvm_beta_available(spark=None) -> bool:
     """Whether Commons Math's Beta is loadable (probed once per application)."""
     from pyspark.sql import SparkSession
 
+    from ..session import app_key
+
     spark = spark or SparkSession.getActiveSession()
-    key = spark.sparkContext.applicationId if spark is not None else "none"
+    key = app_key(spark) if spark is not None else "none"
     if key not in _AVAILABLE:
         ok = False
         if spark is not None:

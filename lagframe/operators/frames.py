@@ -19,8 +19,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     (a few large files/row groups); on a cluster scan a 100 TB input already has
     thousands of splits, so this adds no shuffle there.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Connect): leave the plan alone
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 

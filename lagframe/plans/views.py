@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.scalars import scale_lst, scale_ndvi
 from ..operators.rollup import daily_outer, daily_spine_ffill, weekly_rollup, zonal_mean
+from ..session import app_key
 
 # Fixed parameters of the test mapping.
 SPINE_START, SPINE_END = "1995-01-01", "2001-12-31"
@@ -39,7 +40,7 @@ def memo(fn):
     """Views are pure, lazy functions of (session, folder): build each plan once."""
 
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fn.__name__)
+        key = (app_key(spark), sf_dir.rstrip("/"), fn.__name__)
         if key not in _VIEWS:
             _VIEWS[key] = fn(spark, sf_dir)
         return _VIEWS[key]
@@ -53,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet reader, memoized per application and path (file listing and
     footer reads happen once; the DataFrame itself holds no data)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (app_key(spark), path)
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(path)
     return _READERS[key]
