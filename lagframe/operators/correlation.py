@@ -79,6 +79,63 @@ def avg_rank(value: str, group: Sequence[str], valid: Column | None = None) -> C
     return F.when(flag, r)
 
 
+RANK_STRATEGIES = ("collapsed", "window")
+
+
+def _moments_collapsed(d: DataFrame, group: list[str], spearman: bool) -> DataFrame:
+    """Per-group pair count, guards and co-moments from *collapsed* pairs.
+
+    1. identical (x, y) rows are counted per group -- copies collapse in the map-side
+       partial aggregate, before any shuffle (rows without a pair collapse too and
+       keep their group alive with n = 0);
+    2. one window partitioning by the group then holds the group's distinct pairs
+       (at most the distinct weeks of one entity, however many copies exist):
+       weighted means for a two-pass (centered, stable) covariance, and for
+       Spearman the average rank of a value = (count of values <= it) - (its
+       count - 1) / 2 from a RANGE running sum ordered by the tie key;
+    3. the final aggregate reuses that partitioning (no further shuffle).
+    """
+    p = d.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
+    pair = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    w = F.when(pair, F.col("_c").cast("double"))
+    part = Window.partitionBy(*group)
+    n_all = F.sum(w).over(part)
+    cols = {
+        "_w": w,
+        "_mx": F.sum(w * F.col("_x")).over(part) / n_all,
+        "_my": F.sum(w * F.col("_y")).over(part) / n_all,
+    }
+    if spearman:
+        cols["_half"] = (n_all + 1.0) / 2.0  # mean of the average ranks
+        for v, name in (("_x", "_rx"), ("_y", "_ry")):
+            k = F.when(pair, tie_key(F.col(v)))
+            upto = part.orderBy(k).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            ties = Window.partitionBy(*group, k)
+            cols[name] = F.when(pair, F.sum(w).over(upto) - (F.sum(w).over(ties) - 1.0) / 2.0)
+    q = p.withColumns(cols)
+    dx, dy = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
+    wt = F.col("_w")
+    n = F.coalesce(F.sum(wt), F.lit(0.0))
+    aggs = [
+        n.cast("long").alias("n"),
+        F.min(F.when(pair, F.col("_x"))).alias("_minx"),
+        F.max(F.when(pair, F.col("_x"))).alias("_maxx"),
+        F.min(F.when(pair, F.col("_y"))).alias("_miny"),
+        F.max(F.when(pair, F.col("_y"))).alias("_maxy"),
+        (F.sum(wt * dx * dy) / n).alias("_cxy"),
+        F.sqrt(F.sum(wt * dx * dx) / n).alias("_sx"),
+        F.sqrt(F.sum(wt * dy * dy) / n).alias("_sy"),
+    ]
+    if spearman:
+        rx, ry = F.col("_rx") - F.col("_half"), F.col("_ry") - F.col("_half")
+        aggs += [
+            (F.sum(wt * rx * ry) / n).alias("_crr"),
+            F.sqrt(F.sum(wt * rx * rx) / n).alias("_srx"),
+            F.sqrt(F.sum(wt * ry * ry) / n).alias("_sry"),
+        ]
+    return q.groupBy(*group).agg(*aggs)
+
+
 def pair_stats(
     df: DataFrame,
     x: str,
@@ -86,34 +143,44 @@ def pair_stats(
     group: Sequence[str],
     methods: Iterable[str] = METHODS,
     min_n: int = MIN_PAIRS,
+    rank_strategy: str = "collapsed",
 ) -> DataFrame:
     """Correlation of x and y per group after dropping pairs with a NULL.
 
     Output: group columns, method, r, p_value, n. r/p are NULL when fewer than
     `min_n` pairs survive or either side is constant; n is always reported.
+    ``collapsed`` (default): identical pairs are counted map-side first and every
+    moment is computed over the distinct pairs, so duplicated rows never pile up
+    in one task. ``window``: ranks every row with rank windows partitioned by the
+    group and uses Spark's covar_pop/stddev_pop (for groups known to be small; also
+    used when there is no group, i.e. one weekly series).
     """
     methods = check_methods(methods)
+    if rank_strategy not in RANK_STRATEGIES:
+        raise ValueError(f"rank_strategy must be one of {RANK_STRATEGIES}")
     group = list(group)
     pair = nan_to_null(F.col(x)).isNotNull() & nan_to_null(F.col(y)).isNotNull()
     d = df.select(*group, F.when(pair, F.col(x).cast("double")).alias("_x"), F.when(pair, F.col(y).cast("double")).alias("_y"))
-    d = d.withColumn("_pair", F.col("_x").isNotNull())
-    if "spearman" in methods:
-        d = d.withColumns(
-            {"_rx": avg_rank("_x", group, F.col("_pair")), "_ry": avg_rank("_y", group, F.col("_pair"))}
-        )
-    n = F.sum(F.col("_pair").cast("long"))
-    aggs = [
-        n.alias("n"),
-        F.min("_x").alias("_minx"),
-        F.max("_x").alias("_maxx"),
-        F.min("_y").alias("_miny"),
-        F.max("_y").alias("_maxy"),
-    ]
-    if "pearson" in methods:
-        aggs += [F.covar_pop("_x", "_y").alias("_cxy"), F.stddev_pop("_x").alias("_sx"), F.stddev_pop("_y").alias("_sy")]
-    if "spearman" in methods:
-        aggs += [F.covar_pop("_rx", "_ry").alias("_crr"), F.stddev_pop("_rx").alias("_srx"), F.stddev_pop("_ry").alias("_sry")]
-    a = d.groupBy(*group).agg(*aggs)
+    spearman = "spearman" in methods
+    if rank_strategy == "collapsed" and group:
+        a = _moments_collapsed(d, group, spearman)
+    else:
+        d = d.withColumn("_pair", F.col("_x").isNotNull())
+        if spearman:
+            d = d.withColumns({"_rx": avg_rank("_x", group, F.col("_pair")), "_ry": avg_rank("_y", group, F.col("_pair"))})
+        aggs = [
+            F.sum(F.col("_pair").cast("long")).alias("n"),
+            F.min("_x").alias("_minx"),
+            F.max("_x").alias("_maxx"),
+            F.min("_y").alias("_miny"),
+            F.max("_y").alias("_maxy"),
+            F.covar_pop("_x", "_y").alias("_cxy"),
+            F.stddev_pop("_x").alias("_sx"),
+            F.stddev_pop("_y").alias("_sy"),
+        ]
+        if spearman:
+            aggs += [F.covar_pop("_rx", "_ry").alias("_crr"), F.stddev_pop("_rx").alias("_srx"), F.stddev_pop("_ry").alias("_sry")]
+        a = d.groupBy(*group).agg(*aggs)
     n_c = F.coalesce(F.col("n"), F.lit(0)).cast("long")
     guards = (F.col("_minx"), F.col("_maxx"), F.col("_miny"), F.col("_maxy"))
     rows = []
