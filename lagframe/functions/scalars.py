@@ -82,7 +82,7 @@ FOLD_FROM, FOLD_TO = _build_fold_table()
 
 
 def fold_accents(c) -> Column:
-    """Remove diacritics (B8): 'Maringá' -> 'Maringa'. Case and ß are kept."""
+    """Remove diacritics (B8): 'Córdoba' -> 'Cordoba'. Case and ß are kept."""
     return F.translate(_col(c), FOLD_FROM, FOLD_TO)
 
 

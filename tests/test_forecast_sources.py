@@ -83,16 +83,16 @@ def test_store_appends_and_nullfill(spark):
     s = Store(spark, scratch_path(spark, "t-store"), prefix="t_", year_bounds=(2000, 2100))
     s.create_schema()
     s.create_schema()  # idempotent
-    cases = spark.createDataFrame([(4115200, "Maringá", 202401, 10, 12.5, 1, 2.3), (4115200, "Maringá", 202402, 11, 13.5, 2, 2.5)], "geocode int, place string, se int, cases long, cases_est double, level int, incidence double")
+    cases = spark.createDataFrame([(101, "Córdoba", 202401, 10, 12.5, 1, 2.3), (101, "Córdoba", 202402, 11, 13.5, 2, 2.5)], "geocode int, place string, se int, cases long, cases_est double, level int, incidence double")
     assert s.append_cases(cases) == 2
     got = sorted((r.year, r.week) for r in s.table("cases_raw").collect())
     assert got == [(2024, 1), (2024, 2)]
     with pytest.raises(ValueError):
         s.append_cases(cases.drop("level"))
     sat = spark.createDataFrame([(2024, 1)], "year int, week int")
-    assert s.append_satellite(sat, "Maringá") == 1
+    assert s.append_satellite(sat, "Córdoba") == 1
     r = s.table("weekly_satellite").first()
-    assert (r.ndvi, r.lst_night_c, r.valid_days, r.place) == (None, None, None, "Maringá")
+    assert (r.ndvi, r.lst_night_c, r.valid_days, r.place) == (None, None, None, "Córdoba")
     s.refresh("cases_raw", cases.filter("se = 202402").withColumns({"year": F.lit(2024), "week": F.lit(2)}))
     assert s.table("cases_raw").count() == 1
 
@@ -128,8 +128,8 @@ def test_json_parallel_arrays(spark):
 
 
 def test_zone_lookup_and_points(spark):
-    zones = spark.createDataFrame([(1, "Maringa"), (2, "Sarandi"), (3, "Maringa")], "zone_id int, zone_name string")
-    req = spark.createDataFrame([("Maringá",), ("Nowhere",)], "name string")
+    zones = spark.createDataFrame([(1, "Cordoba"), (2, "Lisboa"), (3, "Cordoba")], "zone_id int, zone_name string")
+    req = spark.createDataFrame([("Córdoba",), ("Nowhere",)], "name string")
     m, missing = zone_lookup(req, zones)
     r = m.first()
     assert (r.zone_id, r.n_matches) == (1, 2)

@@ -91,5 +91,5 @@ def test_daily_outer(spark):
 
 
 def test_fold_accents(spark):
-    df = spark.createDataFrame([("Maringá Paiçandu Mandaguaçu Ñandú Ökonomie straße Ωά й",)], "t string")
-    assert df.select(fold_accents("t")).first()[0] == "Maringa Paicandu Mandaguacu Nandu Okonomie straße Ωα и"
+    df = spark.createDataFrame([("Córdoba Açores Besançon Ñandú Ökonomie straße Ωά й",)], "t string")
+    assert df.select(fold_accents("t")).first()[0] == "Cordoba Acores Besancon Nandu Okonomie straße Ωα и"
