@@ -131,12 +131,13 @@ def is_valid_week(year, week, system: str = "iso") -> Column:
 YEAR_BOUNDS = (2000, 2100)
 
 
-def parse_yearweek(se, year_bounds: tuple[int, int] = YEAR_BOUNDS) -> tuple[Column, Column, Column]:
+def parse_yearweek(se, year_bounds: tuple[int, int] = YEAR_BOUNDS, strict: bool = False) -> tuple[Column, Column, Column]:
     """YYYYWW (int, double or string) -> (year, week, valid) (B1).
 
     valid is False when the value is not six digits, the year is outside
     `year_bounds` (default [2000, 2100]) or the week outside [1, 53]; year/week
-    are NULL then.
+    are NULL then (reject-split by default). ``strict=True`` fails the query on the
+    first invalid value instead (``raise_error``), like the original's parser.
     """
     num = _col(se).try_cast("double").try_cast("bigint")
     digits = num.cast("string")
@@ -149,4 +150,7 @@ def parse_yearweek(se, year_bounds: tuple[int, int] = YEAR_BOUNDS) -> tuple[Colu
         & week.between(1, 53)
     )
     valid = F.coalesce(valid, F.lit(False))
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("invalid YYYYWW value: "), F.coalesce(_col(se).cast("string"), F.lit("NULL"))))
+        return F.when(valid, year).otherwise(bad.cast("int")), F.when(valid, week), valid
     return F.when(valid, year), F.when(valid, week), valid

@@ -25,6 +25,14 @@ def test_parse_yearweek_rejects(spark, se):
     assert tuple(_one(spark, y, w, ok)) == (None, None, False)
 
 
+def test_parse_yearweek_strict_raises(spark):
+    y, w, ok = cal.parse_yearweek(F.lit(202454), strict=True)
+    with pytest.raises(Exception, match="invalid YYYYWW"):
+        _one(spark, y, w, ok)
+    y, w, ok = cal.parse_yearweek(F.lit(202401), strict=True)
+    assert tuple(_one(spark, y, w, ok)) == (2024, 1, True)
+
+
 def test_parse_yearweek_custom_bounds(spark):
     y, w, ok = cal.parse_yearweek(F.lit(199001), year_bounds=(1990, 2100))
     assert tuple(_one(spark, y, w, ok)) == (1990, 1, True)
