@@ -160,8 +160,8 @@ def q_walk_forward_rf(spark, d):
 @register("gain_vs_baseline")
 def q_gain_vs_baseline(spark, d):
     preds = _walk_forward(spark, d)
-    m = FC.forecast_metrics(preds, _MODELS)
-    return rounded(FC.gain_vs_baseline(m))
+    m = FC.forecast_metrics(preds, _MODELS, keys=REGION)
+    return rounded(FC.gain_vs_baseline(m, keys=REGION))
 
 
 @register("feature_importance")
@@ -172,8 +172,8 @@ def q_feature_importance(spark, d):
 @register("winner_by_year")
 def q_winner_by_year(spark, d):
     preds = _walk_forward(spark, d)
-    by_year = FC.metrics_by_year(preds, _MODELS)
-    return rounded(FC.winner_by_year(by_year, "rf_full"))
+    by_year = FC.metrics_by_year(preds, _MODELS, keys=REGION)
+    return rounded(FC.winner_by_year(by_year, "rf_full", keys=REGION))
 
 
 del F
