@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import calendar as cal
 from ..functions.scalars import clamp_nonneg
 from ..session import ensure_checkpoint_dir
-from .lagjoin import feature_frame, lag_join
+from .lagjoin import lag_join
 from .rollup import WEEK, YEAR, _keys
 
 MIN_TRAIN = 52
@@ -81,15 +81,17 @@ def model_frame(
     keys=None,
     ar_prefix: str = "cases_lag",
 ) -> DataFrame:
-    """cases x lagged drivers (inner), + autoregressive target lags, complete rows only."""
+    """cases x lagged drivers, + autoregressive target lags, complete rows only.
+
+    The drivers are chained lag joins on the same (entity, week index) key, so the
+    outcome side is shuffled once and every further join reuses its partitioning
+    (the original's inner merge of separately joined frames gives the same rows
+    when the outcome has one row per entity-week).
+    """
     keys = _keys(keys)
-    base = cases.select(*keys, YEAR, WEEK, target)
-    frames = []
-    for i, (frame, col) in enumerate(drivers):
-        left = base if i == 0 else base.select(*keys, YEAR, WEEK)
-        j = lag_join(left, frame.select(*keys, YEAR, WEEK, col), lag=lag, keys=keys, value_cols=[col])
-        frames.append(j)
-    f = feature_frame(frames, keys)
+    f = cases.select(*keys, YEAR, WEEK, target)
+    for frame, col in drivers:
+        f = lag_join(f, frame.select(*keys, YEAR, WEEK, col), lag=lag, keys=keys, value_cols=[col])
     f = autoreg_features(f, target, ar_lags, keys, prefix=ar_prefix)
     return f.dropna()
 
