@@ -88,6 +88,7 @@ _WEEKLY_COLS = ["region", "year", "week", *V.DAILY_VARS, "valid_days"]
     ),
 )
 def q_weekly_rollup(spark, d):
+    """The roll-up itself: always computed from the raw line items."""
     return rounded(V.weekly(spark, d).select(*_WEEKLY_COLS))
 
 
@@ -114,7 +115,7 @@ _LAG4_COLS = [f"{c}_lag4" for c in (*V.DAILY_VARS, "valid_days")]
     ),
 )
 def q_lag_join(spark, d):
-    j = LJ.lag_join(V.cases(spark, d), V.weekly(spark, d), lag=4, keys=REGION)
+    j = LJ.lag_join(V.cases_t(spark, d), V.weekly_t(spark, d), lag=4, keys=REGION)
     return rounded(j.select(*_CASE_COLS, *_LAG4_COLS))
 
 
@@ -131,12 +132,12 @@ def _sweep_oracle(sources, lags, methods, keys=REGION, target="incidence", cases
 
 
 def _matrix(spark, d, variables, lags, methods, sat=False):
-    sources = {"climate": (V.weekly(spark, d), list(variables))}
+    sources = {"climate": (V.weekly_t(spark, d), list(variables))}
     if sat:
-        sources["satellite"] = (V.sat_weekly(spark, d), list(V.SAT_VARS))
+        sources["satellite"] = (V.sat_weekly_t(spark, d), list(V.SAT_VARS))
     else:
         sources = {None: sources["climate"]}
-    out = C.corr_sweep(V.cases(spark, d), sources, lags=lags, target="incidence", methods=methods, keys=REGION)
+    out = C.corr_sweep(V.cases_t(spark, d), sources, lags=lags, target="incidence", methods=methods, keys=REGION)
     return rounded(out)
 
 
@@ -153,7 +154,7 @@ def q_corr_spearman(spark, d):
 
 @register("lag_sweep", _sweep_oracle([(None, "weekly_idx", ["qty_min"])], LAGS, ["pearson", "spearman"]))
 def q_lag_sweep(spark, d):
-    return rounded(C.lag_sweep(V.cases(spark, d), V.weekly(spark, d), "qty_min", LAGS, "incidence", keys=REGION))
+    return rounded(C.lag_sweep(V.cases_t(spark, d), V.weekly_t(spark, d), "qty_min", LAGS, "incidence", keys=REGION))
 
 
 @register("corr_matrix", _sweep_oracle([(None, "weekly_idx", V.DAILY_VARS)], LAGS, ["pearson", "spearman"]))
@@ -168,7 +169,7 @@ def q_corr_matrix(spark, d):
 )
 def q_corr_pvalue(spark, d):
     """Single-series mode (no entity, as the original runs): r, p and n for the whole matrix."""
-    out = C.corr_matrix(V.cases_all(spark, d), V.weekly_all(spark, d), V.DAILY_VARS, LAGS, "incidence")
+    out = C.corr_matrix(V.cases_all_t(spark, d), V.weekly_all_t(spark, d), V.DAILY_VARS, LAGS, "incidence")
     return rounded(out)
 
 

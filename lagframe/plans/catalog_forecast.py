@@ -55,8 +55,8 @@ _MODEL_COLS = ["region", "year", "week", "incidence", *FULL_FEATURES]
 
 def model_frame(spark, d):
     return FC.model_frame(
-        V.cases(spark, d),
-        [(V.weekly(spark, d), "qty_min"), (V.sat_weekly(spark, d), "ndvi")],
+        V.cases_t(spark, d),
+        [(V.weekly_t(spark, d), "qty_min"), (V.sat_weekly_t(spark, d), "ndvi")],
         "incidence",
         LAG,
         AR,
@@ -69,9 +69,9 @@ def model_frame(spark, d):
     O.build(f"SELECT region, year, week, {rsql('incidence')}, {rsql('qty_min_lag8')}, {rsql('ndvi_lag8')} FROM mf0", "mf0"),
 )
 def q_feature_frame(spark, d):
-    base = V.cases(spark, d).select("region", "year", "week", "incidence")
-    a = LJ.lag_join(base, V.weekly(spark, d), LAG, REGION, value_cols=["qty_min"])
-    b = LJ.lag_join(base.select("region", "year", "week"), V.sat_weekly(spark, d), LAG, REGION, value_cols=["ndvi"])
+    base = V.cases_t(spark, d).select("region", "year", "week", "incidence")
+    a = LJ.lag_join(base, V.weekly_t(spark, d), LAG, REGION, value_cols=["qty_min"])
+    b = LJ.lag_join(base.select("region", "year", "week"), V.sat_weekly_t(spark, d), LAG, REGION, value_cols=["ndvi"])
     return rounded(LJ.feature_frame([a, b], REGION).select("region", "year", "week", "incidence", "qty_min_lag8", "ndvi_lag8"))
 
 
@@ -90,7 +90,7 @@ def q_model_frame(spark, d):
     ),
 )
 def q_autoreg_features(spark, d):
-    c = V.cases(spark, d).select("region", "year", "week", "incidence")
+    c = V.cases_t(spark, d).select("region", "year", "week", "incidence")
     return rounded(FC.autoreg_features(c, "incidence", AR, REGION))
 
 

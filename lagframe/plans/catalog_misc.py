@@ -30,7 +30,7 @@ from .catalog import REGION, dsql, register, rounded, rsql
     ),
 )
 def q_parse_yearweek(spark, d):
-    c = V.cases(spark, d)
+    c = V.cases_t(spark, d)
     y, w, ok = cal.parse_yearweek(F.col("se"))
     return c.select("region", "se", y.alias("year_parsed"), w.alias("week_parsed"), ok.alias("valid"))
 
@@ -92,7 +92,7 @@ _WEEKS = "SELECT DISTINCT year, week FROM cases"
     O.build(f"SELECT year, week, {dsql(O.week_start_sql('year', 'week'), 'week_start')} FROM wk", "cases", extra=[("wk", _WEEKS)]),
 )
 def q_week_start(spark, d):
-    w = V.cases(spark, d).select("year", "week").distinct()
+    w = V.cases_t(spark, d).select("year", "week").distinct()
     return rounded(w.select("year", "week", cal.week_start("year", "week").alias("week_start")))
 
 
@@ -110,7 +110,7 @@ _ADD_LAGS = [-53, -8, -1, 1, 4, 8, 53]
     ),
 )
 def q_week_add(spark, d):
-    w = V.cases(spark, d).select("year", "week").distinct()
+    w = V.cases_t(spark, d).select("year", "week").distinct()
     w = w.withColumn("lag", F.explode(F.array(*[F.lit(x) for x in _ADD_LAGS])))
     return w.select(
         "year",
@@ -131,7 +131,7 @@ def q_week_add(spark, d):
     ),
 )
 def q_lag_targets(spark, d):
-    return LJ.lag_targets(V.weekly(spark, d), lag=4).select("region", "year", "week", "year_target", "week_target")
+    return LJ.lag_targets(V.weekly_t(spark, d), lag=4).select("region", "year", "week", "year_target", "week_target")
 
 
 # ------------------------------------------------------------------ B6 / B7 / A4 / D4 / D5
@@ -279,7 +279,7 @@ OUTBREAK_PER_100K = 3500.0
     ),
 )
 def q_outbreak_weeks(spark, d):
-    c = outbreak_flag(V.cases(spark, d), "incidence", OUTBREAK_PER_100K)
+    c = outbreak_flag(V.cases_t(spark, d), "incidence", OUTBREAK_PER_100K)
     return rounded(c.filter("outbreak").select("region", "year", "week", "incidence", "level"))
 
 
@@ -310,7 +310,7 @@ def q_date_range(spark, d):
     ),
 )
 def q_join_coverage(spark, d):
-    j = LJ.lag_join(V.cases(spark, d), V.weekly(spark, d), lag=4, keys=REGION)
+    j = LJ.lag_join(V.cases_t(spark, d), V.weekly_t(spark, d), lag=4, keys=REGION)
     return LJ.join_coverage(j, 4, REGION)
 
 
@@ -341,7 +341,7 @@ _STATS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     ),
 )
 def q_describe_weekly(spark, d):
-    return rounded(describe(V.weekly(spark, d), _DESC_VARS, REGION), default=4)
+    return rounded(describe(V.weekly_t(spark, d), _DESC_VARS, REGION), default=4)
 
 
 @register(
@@ -358,9 +358,9 @@ def q_describe_weekly(spark, d):
 )
 def q_table_coverage(spark, d):
     parts = [
-        table_coverage(V.cases(spark, d), "cases"),
-        table_coverage(V.weekly(spark, d), "weekly_climate"),
-        table_coverage(V.sat_weekly(spark, d), "weekly_satellite", means={"avg_ndvi": "ndvi", "avg_lst": "lst_night_c"}),
+        table_coverage(V.cases_t(spark, d), "cases"),
+        table_coverage(V.weekly_t(spark, d), "weekly_climate"),
+        table_coverage(V.sat_weekly_t(spark, d), "weekly_satellite", means={"avg_ndvi": "ndvi", "avg_lst": "lst_night_c"}),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -380,7 +380,7 @@ _CASE_OUT = ["geocode", "region", "se", "year", "week", "cases", "cases_est", "i
     ),
 )
 def q_ordered_scan(spark, d):
-    return rounded(V.cases(spark, d).select(*_CASE_OUT).orderBy("region", "year", "week"))
+    return rounded(V.cases_t(spark, d).select(*_CASE_OUT).orderBy("region", "year", "week"))
 
 
 _ADHOC = (
@@ -391,7 +391,7 @@ _ADHOC = (
 
 @register("adhoc_sql", O.build(_ADHOC.replace("FROM v_cases", "FROM cases"), "cases"))
 def q_adhoc_sql(spark, d):
-    V.cases(spark, d).createOrReplaceTempView("v_cases")
+    V.cases_t(spark, d).createOrReplaceTempView("v_cases")
     return spark.sql(_ADHOC)
 
 
@@ -404,7 +404,7 @@ def q_adhoc_sql(spark, d):
     ),
 )
 def q_avg_rank(spark, d):
-    c = V.cases(spark, d)
+    c = V.cases_t(spark, d)
     return c.select("region", "year", "week", avg_rank("incidence", ["region"]).alias("rank_incidence"))
 
 
@@ -417,7 +417,7 @@ def q_avg_rank(spark, d):
     ),
 )
 def q_top_weeks(spark, d):
-    s = V.sat_weekly(spark, d).select("region", "year", "week", "ndvi", "lst_night_c", "valid_days")
+    s = V.sat_weekly_t(spark, d).select("region", "year", "week", "ndvi", "lst_night_c", "valid_days")
     return rounded(s.orderBy("year", "week", "region").limit(5))
 
 
@@ -435,8 +435,8 @@ def q_top_weeks(spark, d):
     ),
 )
 def q_union_sources(spark, d):
-    a = V.weekly(spark, d).withColumn("source", F.lit("climate"))
-    b = V.sat_weekly(spark, d).withColumn("source", F.lit("satellite"))
+    a = V.weekly_t(spark, d).withColumn("source", F.lit("climate"))
+    b = V.sat_weekly_t(spark, d).withColumn("source", F.lit("satellite"))
     u = a.unionByName(b, allowMissingColumns=True)
     return rounded(u.select("region", "year", "week", "source", *V.DAILY_VARS, *V.SAT_VARS, "valid_days"))
 

@@ -40,7 +40,7 @@ def _places(spark, d):
 
 def _landed_cases(spark, d):
     root = scratch_path(spark, "landed-cases")
-    c = V.cases(spark, d).withColumn("se", F.col("se").cast("string"))
+    c = V.cases_t(spark, d).withColumn("se", F.col("se").cast("string"))
     L.land_case_csv(c, root)
     return L.ingest_case_csv(spark, root, _places(spark, d), 1995, 2001, year_bounds=YEAR_BOUNDS)
 
@@ -79,7 +79,7 @@ def q_json_arrays_to_rows(spark, d):
 @register("append_cases", O.build(_CASE_SQL, "cases"))
 def q_append_cases(spark, d):
     s = _store(spark, "store-cases")
-    s.append_cases(V.cases(spark, d).withColumnRenamed("region", "place"))
+    s.append_cases(V.cases_t(spark, d).withColumnRenamed("region", "place"))
     return rounded(s.table("cases_raw").select(*_CASE_OUT))
 
 
@@ -126,7 +126,7 @@ def q_append_weekly(spark, d):
 )
 def q_append_sat_nullfill(spark, d):
     s = _store(spark, "store-sat")
-    s.append_satellite(V.sat_weekly(spark, d).select(F.col("region").alias("place"), "year", "week", "ndvi"))
+    s.append_satellite(V.sat_weekly_t(spark, d).select(F.col("region").alias("place"), "year", "week", "ndvi"))
     return rounded(s.table("weekly_satellite").drop(LOADED_AT))
 
 
@@ -135,7 +135,7 @@ _T1, _T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
 
 def _loads(spark, d):
-    c = V.cases(spark, d).select("region", "year", "week", "cases")
+    c = V.cases_t(spark, d).select("region", "year", "week", "cases")
     l1 = c.withColumns({LOADED_AT: F.lit(_T1).cast("timestamp"), "load_no": F.lit(1)})
     l2 = c.filter(F.col("week") % 2 == 0).withColumns(
         {"cases": F.col("cases") + 1, LOADED_AT: F.lit(_T2).cast("timestamp"), "load_no": F.lit(2)}
@@ -161,7 +161,7 @@ def q_dedup_latest(spark, d):
 @register("refresh_table", O.build(_CASE_SQL + " WHERE year >= 1998", "cases"))
 def q_refresh_table(spark, d):
     s = _store(spark, "store-refresh")
-    cases = V.cases(spark, d).withColumnRenamed("region", "place")
+    cases = V.cases_t(spark, d).withColumnRenamed("region", "place")
     s.append_cases(cases)
     s.refresh("cases_raw", cases.filter(F.col("year") >= 1998))
     return rounded(s.table("cases_raw").select(*_CASE_OUT))
@@ -188,7 +188,7 @@ def _csv_oracle():
 
 @register("csv_roundtrip", _csv_oracle())
 def q_csv_roundtrip(spark, d):
-    m = C.corr_matrix(V.cases(spark, d), V.weekly(spark, d), V.DAILY_VARS, LAGS, "incidence", keys=REGION)
+    m = C.corr_matrix(V.cases_t(spark, d), V.weekly_t(spark, d), V.DAILY_VARS, LAGS, "incidence", keys=REGION)
     path = scratch_path(spark, "matrix-csv")
     L.write_csv(m.select(*[f.name for f in _MATRIX_SCHEMA.fields]), path)
     return rounded(L.read_csv(spark, path, _MATRIX_SCHEMA))
