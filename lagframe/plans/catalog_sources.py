@@ -89,7 +89,7 @@ LAT, LON = -23.42, -51.93
 @register(
     "append_daily",
     O.build(
-        f"SELECT {LAT} AS latitude, {LON} AS longitude, {dsql('day')}, "
+        f"SELECT CAST({LAT} AS DOUBLE) AS latitude, CAST({LON} AS DOUBLE) AS longitude, {dsql('day')}, "
         + ", ".join(rsql(v) for v in V.DAILY_VARS)
         + " FROM daily_all",
         "daily_all",
@@ -104,7 +104,7 @@ def q_append_daily(spark, d):
 @register(
     "append_weekly",
     O.build(
-        f"SELECT {LAT} AS latitude, {LON} AS longitude, year, week, "
+        f"SELECT CAST({LAT} AS DOUBLE) AS latitude, CAST({LON} AS DOUBLE) AS longitude, year, week, "
         + ", ".join(rsql(v) for v in V.DAILY_VARS)
         + ", valid_days FROM weekly_all",
         "weekly_all",
