@@ -106,32 +106,41 @@ def daily_spine_ffill(
     date_col: str = "day",
     value_cols: Sequence[str] | None = None,
     zones: DataFrame | None = None,
+    carry_cols: Sequence[str] = (),
+    keep_outside: bool = False,
 ) -> DataFrame:
     """Sparse observations -> one row per (keys, day) in [start, end], forward-filled.
 
-    Observations outside the range are ignored (never looked back on); days before
-    the first observation stay NULL. The spine is generated per entity with
+    Observations outside the range are never looked back on; days before the first
+    observation stay NULL. The spine is generated per entity with
     ``explode(sequence(start, end))`` (no cross join); entities come from ``zones``
-    or from the distinct keys of ``sparse``. The fill window is partitioned by the
-    entity, whose size is bounded by the calendar length, not by data volume.
+    (the zone dimension -- then `sparse` is read by this one join only) or from the
+    distinct keys of ``sparse``. ``carry_cols`` ride along unfilled (e.g. a daily band
+    outer-joined onto the spine, D4); ``keep_outside=True`` makes it a full outer join
+    that also keeps observation rows outside the range (their filled columns NULL).
+    The fill window is partitioned by the entity: bounded by the calendar length.
     """
     keys = _keys(keys)
+    carry_cols = list(carry_cols)
     start_c, end_c = F.to_date(F.lit(str(start))), F.to_date(F.lit(str(end)))
     if value_cols is None:
-        value_cols = [c for c in sparse.columns if c not in set(keys) | {date_col}]
-    obs = sparse.select(*keys, F.col(date_col).cast("date").alias(date_col), *value_cols).filter(
-        F.col(date_col).between(start_c, end_c)
-    )
-    ents = (zones.select(*keys) if zones is not None else obs.select(*keys)).distinct() if keys else None
+        value_cols = [c for c in sparse.columns if c not in set(keys) | {date_col} | set(carry_cols)]
+    obs = sparse.select(*keys, F.col(date_col).cast("date").alias(date_col), *value_cols, *carry_cols)
+    if not keep_outside:
+        obs = obs.filter(F.col(date_col).between(start_c, end_c))
     if keys:
+        ents = (zones.select(*keys) if zones is not None else obs.select(*keys)).distinct()
         spine = ents.select(*keys, F.explode(F.sequence(start_c, end_c)).alias(date_col))
     else:
         spine = sparse.sparkSession.range(1).select(F.explode(F.sequence(start_c, end_c)).alias(date_col))
-    joined = spine.join(obs, [*keys, date_col], "left")
+    spine = spine.withColumn("_in_range", F.lit(True))
+    joined = spine.join(obs, [*keys, date_col], "full" if keep_outside else "left")
+    inside = F.coalesce(F.col("_in_range"), F.lit(False))
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(date_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return joined.select(*keys, date_col, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in value_cols])
+    filled = [F.when(inside, F.last(F.when(inside, F.col(c)), ignorenulls=True).over(w)).alias(c) for c in value_cols]
+    return joined.select(*keys, date_col, *filled, *carry_cols)
 
 
 def daily_outer(left: DataFrame, right: DataFrame, keys: Sequence[str] | str | None = None, date_col: str = "day") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.scalars import scale_lst, scale_ndvi
-from ..operators.rollup import daily_outer, daily_spine_ffill, weekly_rollup, zonal_mean
+from ..operators.rollup import daily_spine_ffill, weekly_rollup, zonal_mean
 from ..session import app_key, scratch_path
 
 # Fixed parameters of the test mapping.
@@ -198,20 +198,27 @@ def sat_pixels(spark, sf_dir) -> DataFrame:
 
 @memo
 def sat_daily(spark, sf_dir) -> DataFrame:
-    """Zone means -> scaled -> vegetation spine-filled daily, outer-joined with temperature."""
+    """Zone means -> one row per (zone, day) with a column per band -> vegetation
+    spine-filled over the calendar, surface temperature carried on its own days.
+
+    One pixel aggregation feeds one spine join (zones come from the region
+    dimension), so the pixel table is scanned once.
+    """
     zm = zonal_mean(sat_pixels(spark, sf_dir), keys=["zone", "band"])
-    # one row per (zone, day) with a column per band: the consumers below filter on
-    # aggregate outputs, so they share this one pixel aggregation (a filter on `band`
-    # would be pushed under the zonal mean and split it into one scan per band)
     wide = zm.groupBy("zone", "image_date").pivot("band", ["NDVI", "LST"]).agg(F.first("mean_dn"))
-    ndvi = wide.filter(F.col("NDVI").isNotNull()).select(
-        F.col("zone").alias("region"), F.col("image_date").alias("day"), scale_ndvi("NDVI").alias("ndvi")
-    )
-    lst = wide.filter(F.col("LST").isNotNull()).select(
-        F.col("zone").alias("region"), F.col("image_date").alias("day"), scale_lst("LST").alias("lst_night_c")
+    obs = wide.select(
+        F.col("zone").alias("region"),
+        F.col("image_date").alias("day"),
+        scale_ndvi("NDVI").alias("ndvi"),
+        scale_lst("LST").alias("lst_night_c"),
     )
-    ndvi_daily = daily_spine_ffill(ndvi, SPINE_START, SPINE_END, keys=["region"], date_col="day", value_cols=["ndvi"])
-    return daily_outer(ndvi_daily, lst, keys=["region"], date_col="day")
+    zones = nation_region(spark, sf_dir).select("region").distinct()
+    # the spine's full outer join is the daily outer join of the two bands (D4); rows
+    # outside the calendar survive only when they carry a temperature
+    return daily_spine_ffill(
+        obs, SPINE_START, SPINE_END, keys=["region"], date_col="day", value_cols=["ndvi"],
+        zones=zones, carry_cols=["lst_night_c"], keep_outside=True,
+    ).filter(F.col("ndvi").isNotNull() | F.col("lst_night_c").isNotNull() | F.col("day").between(SPINE_START, SPINE_END))
 
 
 @memo
