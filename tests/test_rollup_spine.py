@@ -93,3 +93,16 @@ def test_daily_outer(spark):
 def test_fold_accents(spark):
     df = spark.createDataFrame([("Córdoba Açores Besançon Ñandú Ökonomie straße Ωά й",)], "t string")
     assert df.select(fold_accents("t")).first()[0] == "Cordoba Acores Besancon Nandu Okonomie straße Ωα и"
+
+
+def test_spine_carry_zones_and_outside_rows(spark):
+    obs = spark.createDataFrame(
+        [("z1", dt.date(2024, 1, 2), 0.3, None), ("z1", dt.date(2024, 1, 3), None, 20.0), ("z1", dt.date(2024, 1, 9), 0.9, 25.0)],
+        "zone string, day date, ndvi double, lst double",
+    )
+    zones = spark.createDataFrame([("z1",), ("z2",)], "zone string")
+    out = daily_spine_ffill(obs, "2024-01-01", "2024-01-04", keys=["zone"], value_cols=["ndvi"], zones=zones, carry_cols=["lst"], keep_outside=True)
+    got = rows(out, "zone", "day", "ndvi", "lst")
+    z1 = [(r[1].day, r[2], r[3]) for r in got if r[0] == "z1"]
+    assert z1 == [(1, None, None), (2, 0.3, None), (3, 0.3, 20.0), (4, 0.3, None), (9, None, 25.0)]
+    assert [r[2] for r in got if r[0] == "z2"] == [None] * 4  # zone from the dimension, no observations
