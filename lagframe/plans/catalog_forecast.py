@@ -7,8 +7,6 @@ four outcome values, complete rows only. The forest keys get a rows-only check.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import forecast as FC
 from ..operators import lagjoin as LJ
 from . import oracle as O
@@ -174,6 +172,3 @@ def q_winner_by_year(spark, d):
     preds = _walk_forward(spark, d)
     by_year = FC.metrics_by_year(preds, _MODELS, keys=REGION)
     return rounded(FC.winner_by_year(by_year, "rf_full", keys=REGION))
-
-
-del F

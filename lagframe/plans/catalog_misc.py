@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -439,6 +438,3 @@ def q_union_sources(spark, d):
     b = V.sat_weekly_t(spark, d).withColumn("source", F.lit("satellite"))
     u = a.unionByName(b, allowMissingColumns=True)
     return rounded(u.select("region", "year", "week", "source", *V.DAILY_VARS, *V.SAT_VARS, "valid_days"))
-
-
-del Window
