@@ -253,10 +253,34 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     key = (app_key(spark), sf_dir.rstrip("/"), name)
     if key not in _STORED:
+        group = next((g for g in COLLECTED_TOGETHER if name in g), (name,))
+        missing = [n for n in group if (app_key(spark), sf_dir.rstrip("/"), n) not in _STORED]
+        _materialize(spark, sf_dir, missing)
+    return _STORED[key]
+
+
+# tables the original collects in one run; the first request materializes the whole
+# group with concurrent jobs (independent scans share the executors)
+COLLECTED_TOGETHER = (("cases", "weekly", "sat_weekly"), ("cases_all", "weekly_all"))
+
+
+def _materialize(spark: SparkSession, sf_dir: str, names) -> None:
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
+
+    def one(name: str) -> tuple[str, str]:
         path = scratch_path(spark, f"table-{name}")
         globals()[name](spark, sf_dir).write.mode("overwrite").parquet(path)
-        _STORED[key] = spark.read.parquet(path)
-    return _STORED[key]
+        return name, path
+
+    if len(names) > 1:
+        with ThreadPool(len(names)) as pool:
+            done = pool.map(inheritable_thread_target(one), names)
+    else:
+        done = [one(n) for n in names]
+    for name, path in done:
+        _STORED[(app_key(spark), sf_dir.rstrip("/"), name)] = spark.read.parquet(path)
 
 
 def cases_t(spark, sf_dir) -> DataFrame:
