@@ -136,7 +136,7 @@ def q_lag_targets(spark, d):
 # ------------------------------------------------------------------ B6 / B7 / A4 / D4 / D5
 @register(
     "scale_ndvi",
-    O.build(f"SELECT zone AS region, {dsql('image_date', 'day')}, {O.rnd('mean_dn / 10000.0')} AS ndvi FROM sat_zonal WHERE band = 'NDVI'", "sat_zonal"),
+    O.build(f"SELECT zone AS region, {dsql('image_date', 'day')}, {rsql('mean_dn / 10000.0', alias='ndvi')} FROM sat_zonal WHERE band = 'NDVI'", "sat_zonal"),
 )
 def q_scale_ndvi(spark, d):
     zm = R.zonal_mean(V.sat_pixels(spark, d), keys=["zone", "band"]).filter("band = 'NDVI'")
