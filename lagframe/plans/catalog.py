@@ -21,7 +21,9 @@ ORACLES: dict[str, str] = {}
 
 # ndvi = mean of integer DNs over a few pixels / 10000: its decimal expansion often ends
 # at the 7th digit on a 5, a rounding half at 6 digits; at 10 digits it never is.
-DIGITS = {"p_value": 9, "price_sum": 2, "ndvi": 10}
+# r2 of exact-fraction incidences can end on such a half too; being O(1) it keeps
+# ~15 exact digits, so 10 is safe (unlike sums, whose last digits carry order noise).
+DIGITS = {"p_value": 9, "price_sum": 2, "ndvi": 10, "r2": 10}
 
 
 def register(name: str, sql: str | None = None):

@@ -111,7 +111,7 @@ def _metrics_sql(by_year: bool) -> str:
     sel = (
         f"SELECT region, {y}'baseline' AS model, count(*) AS n, {O.rnd(f'avg(abs({e}))')} AS mae, "
         f"{O.rnd(f'sqrt(avg({e} * {e}))')} AS rmse, "
-        f"{O.rnd(f'CASE WHEN min(incidence) < max(incidence) THEN 1.0 - sum({e} * {e}) / (var_pop(incidence) * count(*)) {const} END')} AS r2, "
+        f"{O.rnd(f'CASE WHEN min(incidence) < max(incidence) THEN 1.0 - sum({e} * {e}) / (var_pop(incidence) * count(*)) {const} END', 10)} AS r2, "
         f"{O.rnd(f'avg(CASE WHEN incidence > 0 THEN abs({e} / incidence) END) * 100.0')} AS mape "
         f"FROM bf WHERE row_no > 52 GROUP BY region, {y}model"
     )
