@@ -174,7 +174,7 @@ def walk_forward_rf(
         return (k, pred), _forest(features, label, pred, params).fit(train)
 
     tasks = [(k, feats, pred) for k in folds for feats, pred in ((climate_features, "pred_rf_climate"), (full_features, "pred_rf_full"))]
-    models = dict(_run_parallel(fit, tasks, parallelism))
+    models = dict(_run_parallel(fit, tasks, parallelism, f.sparkSession))
     parts = []
     for k in folds:
         tst = test.filter(F.col("_fold") == k)
@@ -196,16 +196,18 @@ def walk_forward_rf(
     return out
 
 
-def _run_parallel(fn, tasks, parallelism: int):
-    """Run independent driver-side job submissions (forest fits) on a thread pool."""
+def _run_parallel(fn, tasks, parallelism: int, spark=None):
+    """Run independent driver-side job submissions (forest fits) on a thread pool;
+    each thread inherits the session's job tags/properties."""
     from multiprocessing.pool import ThreadPool
 
     from pyspark.util import inheritable_thread_target
 
     if parallelism <= 1 or len(tasks) <= 1:
         return [fn(t) for t in tasks]
+    wrap = inheritable_thread_target(spark) if spark is not None else inheritable_thread_target
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(inheritable_thread_target(fn), tasks)
+        return pool.map(wrap(fn), tasks)
 
 
 def feature_importance(frame: DataFrame, target: str, features: Sequence[str], forest: Mapping | None = None) -> DataFrame:

@@ -276,7 +276,7 @@ def _materialize(spark: SparkSession, sf_dir: str, names) -> None:
 
     if len(names) > 1:
         with ThreadPool(len(names)) as pool:
-            done = pool.map(inheritable_thread_target(one), names)
+            done = pool.map(inheritable_thread_target(spark)(one), names)
     else:
         done = [one(n) for n in names]
     for name, path in done:
