@@ -63,9 +63,28 @@ def autoreg_features(
     raise ValueError("mode must be 'positional' or 'calendar'")
 
 
-def baseline_forecast(df: DataFrame, target: str, window: int = BASELINE_WINDOW, keys=None, name: str = "pred_baseline") -> DataFrame:
-    """Mean of the previous `window` rows, clamped at 0."""
-    w = _ordered(keys).rowsBetween(-window, -1)
+def baseline_forecast(
+    df: DataFrame,
+    target: str,
+    window: int = BASELINE_WINDOW,
+    keys=None,
+    name: str = "pred_baseline",
+    mode: str = "positional",
+    system: str = "iso",
+) -> DataFrame:
+    """Mean of the previous `window` values, clamped at 0.
+
+    positional: the previous `window` rows of the entity (the original);
+    calendar: the rows of the previous `window` calendar weeks (missing weeks shrink
+    the mean instead of reaching further back).
+    """
+    if mode == "positional":
+        w = _ordered(keys).rowsBetween(-window, -1)
+    elif mode == "calendar":
+        idx = cal.week_index(F.col(YEAR), F.col(WEEK), system)
+        w = Window.partitionBy(*_keys(keys)).orderBy(idx).rangeBetween(-window, -1)
+    else:
+        raise ValueError("mode must be 'positional' or 'calendar'")
     return df.withColumn(name, clamp_nonneg(F.avg(F.col(target).cast("double")).over(w)))
 
 

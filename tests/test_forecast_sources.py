@@ -33,6 +33,14 @@ def test_autoreg_calendar_mode_skips_gaps(spark):
     assert out == {1: None, 2: 1.0, 4: None}
 
 
+def test_baseline_calendar_mode(spark):
+    df = spark.createDataFrame([(2024, 1, 2.0), (2024, 2, 4.0), (2024, 5, 10.0), (2024, 6, 0.0)], "year int, week int, y double")
+    pos = {r.week: r.pred_baseline for r in FC.baseline_forecast(df, "y", 2).collect()}
+    cal_ = {r.week: r.pred_baseline for r in FC.baseline_forecast(df, "y", 2, mode="calendar").collect()}
+    assert pos[5] == 3.0 and cal_[5] is None  # weeks 3-4 are missing
+    assert pos[6] == 7.0 and cal_[6] == 10.0
+
+
 def test_folds(spark, series):
     df, _ = series
     out = FC.walk_forward_folds(df, ["place"], min_train=10).orderBy("week").collect()
