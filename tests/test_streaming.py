@@ -16,3 +16,15 @@ def test_stream_ingest_is_incremental(spark):
     assert stream_case_files(spark, root + "/part1", store, {"A": 1, "B": 2}, ckpt) == 2
     assert stream_case_files(spark, root + "/part1", store, {"A": 1, "B": 2}, ckpt) == 0  # nothing new
     assert store.table("cases_raw").count() == 2
+
+
+def test_stream_picks_up_newly_landed_files(spark):
+    root = scratch_path(spark, "t-stream-landed2")
+    ckpt = scratch_path(spark, "t-stream-ckpt2")
+    store = Store(spark, scratch_path(spark, "t-stream-store2"), prefix="ts2_")
+    store.create_schema()
+    land_case_csv(spark.createDataFrame([(1, 2024, "202401", 3, 3.0, 1, 0.5)], SCHEMA), root + "/g=a")
+    assert stream_case_files(spark, root, store, {"A": 1}, ckpt) == 1
+    land_case_csv(spark.createDataFrame([(1, 2024, "202405", 2, 2.0, 1, 0.4)], SCHEMA), root + "/g=b")
+    assert stream_case_files(spark, root, store, {"A": 1}, ckpt) == 1
+    assert sorted(r.week for r in store.table("cases_raw").collect()) == [1, 5]
