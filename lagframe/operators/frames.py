@@ -41,10 +41,13 @@ def date_range(df: DataFrame, col: str, start, end) -> DataFrame:
         raise ValueError(f"start ({start}) must be <= end ({end})")
     c = F.col(col)
     dt = df.schema[col].dataType.typeName()
-    lo = F.lit(s) if dt == "date" else F.lit(_dt.datetime(s.year, s.month, s.day))
-    hi = F.lit(e) if dt == "date" else F.lit(_dt.datetime(e.year, e.month, e.day))
-    if dt == "timestamp_ntz":
-        lo, hi = lo.cast("timestamp_ntz"), hi.cast("timestamp_ntz")
+    # literals from strings cast to the column's own type: no dependence on the Python
+    # process's time zone (timestamp = day boundaries in the session zone); constant
+    # folding keeps them pushable into the scan
+    target = dt if dt in ("date", "timestamp_ntz", "timestamp") else "timestamp"
+    suffix = "" if target == "date" else " 00:00:00"
+    lo = F.lit(f"{s.isoformat()}{suffix}").cast(target)
+    hi = F.lit(f"{e.isoformat()}{suffix}").cast(target)
     return df.filter((c >= lo) & (c < hi))
 
 
