@@ -15,6 +15,7 @@ def zone_lookup(
     zone_name_col: str = "zone_name",
     order_col: str = "zone_id",
     weight_col: str | None = None,
+    on_missing: str = "frame",
 ) -> tuple[DataFrame, DataFrame]:
     """Match requested names to zones ignoring accents (C4).
 
@@ -26,7 +27,9 @@ def zone_lookup(
     With `weight_col`, each zone row stands for that many rows (a pre-aggregated
     dimension) and n_matches sums the weights.
     Returns (matches: request columns + first zone's columns + n_matches,
-    not_found: requests without any zone).
+    not_found: requests without any zone). ``on_missing="error"`` raises instead when
+    any request has no zone (like the original's single-name lookup; costs one
+    ``limit(1)`` job).
     """
     r = requests.withColumn("_key", fold_accents(F.col(name_col)))
     zcols = [c for c in zones.columns if c != weight_col]
@@ -37,6 +40,12 @@ def zone_lookup(
     )
     matches = r.join(first, "_key").select(*requests.columns, *[F.col(f"_z.{c}").alias(c) for c in zcols], "n_matches")
     missing = r.join(first.select("_key"), "_key", "left_anti").drop("_key")
+    if on_missing == "error":
+        absent = missing.limit(1).collect()
+        if absent:
+            raise ValueError(f"zone not found for {absent[0][name_col]!r}")
+    elif on_missing != "frame":
+        raise ValueError("on_missing must be 'frame' or 'error'")
     return matches, missing
 
 

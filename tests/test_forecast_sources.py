@@ -142,6 +142,8 @@ def test_zone_lookup_and_points(spark):
     r = m.first()
     assert (r.zone_id, r.n_matches) == (1, 2)
     assert [x.name for x in missing.collect()] == ["Nowhere"]
+    with pytest.raises(ValueError, match="Nowhere"):
+        zone_lookup(req, zones, on_missing="error")
     pts = spark.createDataFrame([(1, 10.0, 20.0), (2, 95.0, 0.0), (3, 0.0, -190.0)], "id int, latitude double, longitude double")
     assert [r.valid for r in validate_points(pts).orderBy("id").collect()] == [True, False, False]
 
