@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .lsh import multiprobe_neighbours
+from .mixing import pareto_mix
 from .neardup import near_duplicates
 from .pieces import encode_documents
+from .ring import bounded_ring
+from .topk import histogram_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +27,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto_mix(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_histogram_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+@query
+def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = bounded_ring(_table(spark, sf_dir, "documents"), shards=8)
+    return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def piece_model() -> str:
     """Place of the public merge-type vocabulary, installed on every machine."""
     import public_tokenizers
