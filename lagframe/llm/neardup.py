@@ -10,8 +10,9 @@ Links are confirmed on the full shingle sets.
 
 Groups of near copies never expand into all pairs: in each star round every posting list
 meets one centre, links are confirmed and contracted into components, and only lists that
-still hold several components go on. After ``star_rounds`` the remaining lists are compared
-exactly, in square blocks, emitting only colliding pairs of different components.
+still hold several components go on. After ``star_rounds`` the documents of the remaining
+lists are compared exactly, in pairs of blocks, each task returning only the links that
+connect components.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -30,8 +31,8 @@ from .words import WordHashes, mix, shingle_set
 
 COORDINATES = 64
 MATCHES = 32  # at similarity 0.75 a pair misses this with probability about 1e-5
-STAR_ROUNDS = 3
-BLOCK = 512
+STAR_ROUNDS = 2
+BLOCK = 1 << 19  # shingles
 
 
 def _factors(k: int) -> np.ndarray:
@@ -95,25 +96,83 @@ def _collisions(a: str, b: str):
     return F.expr(f"size(filter(arrays_zip({a}, {b}), p -> p.{a} = p.{b}))")
 
 
-def _block_pairs(threshold: int):
-    def compare(pdf):
-        import pandas as pd
-
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        left, right = pdf[pdf.block == lo], pdf[pdf.block == hi]
-        sig_r = np.stack(right["sig"].to_numpy())
-        rep_r, comp_r = right["rep"].to_numpy(), right["comp"].to_numpy()
-        out = []
-        for rep, comp, sig in zip(left["rep"], left["comp"], left["sig"], strict=True):
-            hit = ((sig_r == sig).sum(axis=1) >= threshold) & (comp_r != comp)
-            if lo == hi:
-                hit &= rep_r > rep
-            out += [(min(rep, r), max(rep, r)) for r in rep_r[hit]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+def _block_links(similar: int, threshold: int):
+    """Links between two blocks, confirmed on their full sets; ends that are connected
+    already, by their components or by links found before, are not compared again."""
+
+    def rows(part: pa.Table):
+        sig = part["sig"].combine_chunks()
+        sets = part["members"].combine_chunks()
+        return (
+            part["rep"].to_pylist(),
+            part["comp"].to_pylist(),
+            sig.flatten().to_numpy().reshape(len(sig), -1),
+            np.diff(sets.offsets.to_numpy()),
+            [sets[i].values.to_numpy().view(np.uint64) for i in range(len(sets))],  # sorted as unsigned numbers
+        )
+
+    def compare(table: pa.Table) -> pa.Table:
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        block = table["block"].to_numpy()
+        left, right = table.filter(pa.array(block == lo)), table.filter(pa.array(block == hi))
+        out_a, out_b = [], []
+        if left.num_rows and right.num_rows:
+            rep_l, comp_l, sig_l, n_l, set_l = rows(left)
+            rep_r, comp_r, sig_r, n_r, set_r = rows(right)
+            root = {c: c for c in [*comp_l, *comp_r]}
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            for i in range(len(rep_l)):
+                near = np.flatnonzero(((sig_r == sig_l[i]).sum(axis=1) >= threshold) & (100 * np.minimum(n_r, n_l[i]) >= similar * np.maximum(n_r, n_l[i])))
+                mine = find(comp_l[i])
+                near = [j for j in near if find(comp_r[j]) != mine]
+                if not near:
+                    continue
+                flat = np.concatenate([set_r[j] for j in near])
+                at = np.minimum(np.searchsorted(set_l[i], flat), n_l[i] - 1)
+                met = np.add.reduceat((set_l[i][at] == flat).astype(np.int64), np.cumsum([0] + [n_r[j] for j in near[:-1]]))
+                for j, m in zip(near, met.tolist(), strict=True):
+                    if 100 * m >= similar * int(n_l[i] + n_r[j] - m):
+                        x, y = find(comp_l[i]), find(comp_r[j])
+                        if x != y:
+                            root[max(x, y)] = min(x, y)
+                            out_a.append(rep_l[i])
+                            out_b.append(rep_r[j])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return compare
 
 
+def _blocks(live: DataFrame, nodes: DataFrame, sets: DataFrame, comps: DataFrame, block: int, similar: int, threshold: int) -> DataFrame:
+    """Links between documents of different components that share a posting list.
+
+    Documents joined by lists form clusters; a cluster is cut, in the order of its documents'
+    first lists, into blocks of ``block`` shingles, and the pairs of blocks that share a list
+    are compared, each by one task.
+    """
+    live = cut(live.select("token", "rep"), "near-live")
+    hub = live.groupBy("token").agg(F.min("rep").alias("hub"))
+    clusters = components(live.join(hub, "token").select(F.col("rep").alias("u"), F.col("hub").alias("v")), "near-clusters")
+    first = live.groupBy("rep").agg(F.min("token").alias("first"))
+    line = Window.partitionBy("cluster").orderBy("first", "rep")
+    dealt = (
+        first.join(clusters.select(F.col("node").alias("rep"), F.col("root").alias("cluster")), "rep")
+        .join(nodes.select("rep", "n", "sig"), "rep")
+        .select("rep", "cluster", F.floor(F.sum(F.col("n") + 256).over(line) / F.lit(block)).alias("block"))
+    )
+    dealt = cut(dealt, "near-dealt")
+    met = live.join(dealt, "rep").select("token", "cluster", "block").distinct()
+    wanted = met.select("token", "cluster", F.col("block").alias("lo")).join(met.select("token", F.col("block").alias("hi")), "token").filter("lo <= hi").select("cluster", "lo", "hi").distinct()
+    wanted = cut(wanted, "near-wanted")
+    full = dealt.join(comps, "rep").join(nodes.select("rep", "sig"), "rep").join(sets, "rep")
+    visits = wanted.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
+    return full.join(visits, ["cluster", "block"]).groupBy("cluster", "lo", "hi").applyInArrow(_block_links(similar, threshold), "a long, b long")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similar: int, threshold: int) -> DataFrame:
     """Pairs (a, b) whose signatures collide often enough and whose full sets are similar."""
     x, y = nodes.selectExpr("rep as a", "sig as sa", "n as na"), nodes.selectExpr("rep as b", "sig as sb", "n as nb")
@@ -186,34 +245,26 @@ def near_duplicates(
     while True:
         live = posts.join(comps, "rep")
         mixed = live.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("held"), F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep", "comp")).alias("centre")).filter("c0 <> c1")
-        if turn < star_rounds:
-            pairs = (
-                live.join(mixed.select("token", "centre.rep", "centre.comp").toDF("token", "c", "c_comp"), "token")
-                .filter("comp <> c_comp")
-                .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b"))
-            )
-        else:
-            parts = F.ceil(F.col("held") / F.lit(block)).cast("long")
-            dealt = (
-                live.join(mixed.select("token", parts.alias("parts")), "token")
-                .join(nodes.select("rep", "sig"), "rep")
-                .withColumn("block", F.expr("pmod(xxhash64(rep), parts)"))
-                .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
-                .select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "comp", "sig")
-            )
-            pairs = dealt.groupBy("token", "lo", "hi").applyInPandas(_block_pairs(threshold), "a long, b long")
-        pairs = pairs.distinct()
+        if turn == star_rounds:
+            links = cut(_blocks(live.join(mixed, "token", "left_semi"), nodes, sets, comps, block, similar, threshold), "near-found")
+            comps = _contract(comps, links)
+            break
+        pairs = (
+            live.join(mixed.select("token", "centre.rep", "centre.comp").toDF("token", "c", "c_comp"), "token")
+            .filter("comp <> c_comp")
+            .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b"))
+            .distinct()
+        )
         if tested:
             pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         pairs = cut(pairs, "near-pairs")
-        empty = pairs.isEmpty()
-        if not empty:
+        if pairs.isEmpty():
+            turn = star_rounds
+        else:
             tested.append(pairs)
             links = cut(_confirmed(pairs, nodes, sets, similar, threshold), "near-found")
             comps = _contract(comps, links)
-        if turn == star_rounds:
-            break
-        turn = star_rounds if empty else turn + 1
+            turn += 1
     group = classes.join(comps, "rep", "left").select(F.col("fp").alias("class_fp"), F.coalesce("comp", "rep").alias("component_id"))
     linked = sketch.join(group, (F.col("fp") == F.col("class_fp")) & F.col("id").isNotNull(), "left")
     return linked.select(
