@@ -11,8 +11,10 @@ from .lsh import multiprobe_neighbours
 from .mixing import pareto_mix
 from .neardup import near_duplicates
 from .pieces import encode_documents
+from .quality import quality_scores
 from .ring import bounded_ring
 from .topk import histogram_top_k
+from .toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +50,16 @@ def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query
+def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def piece_model() -> str:
     """Place of the public merge-type vocabulary, installed on every machine."""
     import public_tokenizers
