@@ -5,10 +5,11 @@ ordered by score (higher first) and then by position (left first); the best live
 and its new neighbours join the agenda. Symbols outside the vocabulary become their UTF-8
 bytes' pieces (byte fallback), else the unknown id.
 
-No piece holds a space mark after another character, and none holds a line end outside the
-vocabulary's alphabet, so merges never cross such places: a text is cut there into units, and
-the units' codes are remembered within a bound. The words that an Arrow batch codes anew are
-compared with the sentencepiece library at its end; a difference stops the job.
+No piece holds a space mark after another character, a line end outside the vocabulary's
+alphabet, or a full stop or comma after a letter (as read off the vocabulary), so merges never
+cross such places: a text is cut there into units, and the units' codes are remembered within a bound. Of the words that an Arrow batch codes anew
+every ``CHECK_EVERY``-th is compared with the sentencepiece library at its end; a difference
+stops the job.
 """
 
 from __future__ import annotations
@@ -28,6 +29,23 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
 MEMO_LIMIT = 1 << 19
 SHORT = 32  # up to so many symbols the agenda is a plain list, beyond it a heap
 NEVER = float("inf")
+CHECK_EVERY = 8
+
+
+class Surfaces(dict):
+    """Comma-joined ids -> the bytes they stand for, remembered within a bound."""
+
+    def __init__(self, pieces: list[bytes]):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, code: str) -> bytes:
+        found = b"".join(map(self.pieces.__getitem__, map(int, code.split(","))))
+        if len(self) >= MEMO_LIMIT:
+            self.clear()
+        if len(code) <= 256:
+            self[code] = found
+        return found
 
 
 class PieceCoder(dict):
@@ -48,6 +66,7 @@ class PieceCoder(dict):
             raise ValueError("user-defined and unused pieces are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_path) if check else None
         self.fresh: list[tuple[str, list[int]]] = []
+        self.coded = 0
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.score = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
@@ -64,7 +83,10 @@ class PieceCoder(dict):
             raise ValueError("a piece holds a space mark after another character")
         alphabet = {c for p in self.ids for c in p}
         alone = "".join(re.escape(c) for c in "\n\t\r\f\v" if c not in alphabet)
-        self.units = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else "")).findall
+        joined = {p[i + 1] for p in self.ids for i in range(len(p) - 1) if p[i].isalpha()}
+        heads = "".join(re.escape(c) for c in ".,;:!?" if c not in joined)
+        word = [f"{MARK}*[^\\W\\d_]+(?=[{heads}])"] * bool(heads)
+        self.units = re.compile("|".join([*word, f"{MARK}*[^{MARK}{alone}]+", f"{MARK}+", *[f"[{alone}]"] * bool(alone)])).findall
 
     def _merge_short(self, symbols: list[str]) -> list[str]:
         """The agenda as a list: entry i is the score of symbols i and i + 1."""
@@ -112,8 +134,13 @@ class PieceCoder(dict):
 
     def encode_unit(self, unit: str) -> list[int]:
         """Ids of one unit, by the agenda."""
+        merged = self._merge_short(list(unit)) if len(unit) <= SHORT else self._merge_long(list(unit))
+        try:
+            return [self.ids[s] for s in merged]
+        except KeyError:
+            pass  # a symbol outside the vocabulary, or an empty place of the heap
         out: list[int] = []
-        for s in self._merge_short(list(unit)) if len(unit) <= SHORT else self._merge_long(list(unit)):
+        for s in merged:
             if s is not None:
                 i = self.ids.get(s)
                 if i is not None:
@@ -126,7 +153,8 @@ class PieceCoder(dict):
 
     def __missing__(self, unit: str) -> str:
         ids = self.encode_unit(unit)
-        if self.library is not None and unit[0] == MARK and len(unit) > 1:
+        self.coded += 1
+        if self.library is not None and self.coded % CHECK_EVERY == 0 and unit[0] == MARK and len(unit) > 1:
             self.fresh.append((unit[1:].replace(MARK, " "), ids))
         code = ",".join(map(str, ids))
         if len(self) >= MEMO_LIMIT:
@@ -159,18 +187,7 @@ class PieceCoder(dict):
 def _code(model_path: str, check: bool, keep_ids: bool):
     def code(batches):
         coder = PieceCoder(model_path, check)
-        surfaces: dict[str, bytes] = {}
-
-        def surface(code: str) -> bytes:
-            found = surfaces.get(code)
-            if found is None:
-                if len(surfaces) >= MEMO_LIMIT:
-                    surfaces.clear()
-                found = b"".join(coder.surface[int(i)] for i in code.split(","))
-                if len(code) <= 256:
-                    surfaces[code] = found
-            return found
-
+        surface = Surfaces(coder.surface).__getitem__
         for batch in batches:
             n, ids_sha, text_sha, lists = [], [], [], []
             for raw in utf8(batch.column(1)):
@@ -180,7 +197,11 @@ def _code(model_path: str, check: bool, keep_ids: bool):
                 data = data[1:] if data[:1] == b" " else data
                 n.append(ids.count(",") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(data.decode("utf-8", "replace").encode()).hexdigest())
+                try:
+                    data.decode()
+                except UnicodeDecodeError:
+                    data = data.decode("utf-8", "replace").encode()
+                text_sha.append(hashlib.sha256(data).hexdigest())
                 if keep_ids:
                     lists.append([int(i) for i in ids.split(",")] if ids else [])
             coder.verify()
