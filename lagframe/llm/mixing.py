@@ -21,7 +21,7 @@ from .shared import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = 3) -> DataFrame:
