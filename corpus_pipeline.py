@@ -2,31 +2,71 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next stage's ``docs``. All but
-the last stage return the columns of ``documents``.
+the last stage return the columns of ``documents``. Each stage works on all that its
+predecessor kept. Rows that share a ``doc_id`` count as one document.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lagframe.llm.mixing import pareto_mix
 from lagframe.llm.neardup import near_duplicates
+from lagframe.llm.pieces import encode_documents
+from lagframe.llm.quality import quality_filter
+from lagframe.llm.queries import piece_model
 from lagframe.llm.shared import cut
+from lagframe.llm.suffixes import remove_repeats
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model scores below one half go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_filter(docs.select(*COLUMNS), labels)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays: the one with the smallest id."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    """Of each component of near-duplicates the document with the smallest id stays."""
+    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(cut(gone, "pipeline-gone"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 200-byte strings that start in more than one place; a character that
+    a cut splits goes as a whole. Texts may become empty; their documents stay."""
+    left = remove_repeats(docs, keep_text=True, carry=("lang", "source"))
+    return left.withColumnRenamed("kept", "text").withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it, from never to three times."""
+    copies = pareto_mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    taken = docs.select(*COLUMNS).join(copies.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded texts."""
+    return encode_documents(docs, piece_model())
 
 
-STAGES = [("minhash near-dedup", near_dedup)]
+STAGES = [
+    ("quality classifier", quality),
+    ("minhash near-dedup", near_dedup),
+    ("suffix-array dedup", repeats),
+    ("mixing to target weights", mix),
+    ("sentencepiece coding", encode),
+]
 
-#: two stages train classifiers, which SQL can't express
+#: the first stage trains a classifier, which SQL can't express
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole pipeline: every stage on all its predecessor kept."""
+    """The whole pipeline: every stage on all that its predecessor kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))

@@ -180,17 +180,46 @@ def _measure(batches):
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
 
+def _scores_of(model: AdditiveModel, texts: list[bytes], hashes: WordHashes) -> np.ndarray:
+    if not model.edges:
+        return np.full(len(texts), 0.5)
+    return np.concatenate([np.empty(0), *(model.scores(text_features(texts[lo:hi], hashes)) for lo, hi in runs([len(t) for t in texts], 1 << 22))])
+
+
 def _score(model: AdditiveModel):
     def score(batches):
         hashes = WordHashes()
         for batch in batches:
-            texts = utf8(batch.column(1))
-            parts = [model.scores(text_features(texts[lo:hi], hashes)) if model.edges else np.full(hi - lo, 0.5) for lo, hi in runs([len(t) for t in texts], 1 << 22)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.empty(0), *parts]))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores_of(model, utf8(batch.column(1)), hashes))], ["id", "score"])
 
     return score
 
 
+def _keep(model: AdditiveModel, column: str, least: float):
+    def keep(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            yield batch.filter(pa.array(_scores_of(model, utf8(batch.column(column)), hashes) >= least))
+
+    return keep
+
+
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, parts: int, part: int, sample: int) -> AdditiveModel:
+    """The model of a bounded sample; the sample's features are sorted, so that every run
+    fits the same one."""
+    known = labelled_texts(docs, labels, id_col, text_col, label_col, parts, part, sample).mapInArrow(_measure, "label int, x array<double>").toArrow()
+    rows = sorted(zip(known["x"].to_pylist(), known["label"].to_pylist(), strict=True))
+    return AdditiveModel().fit(np.array([x for x, _ in rows]).reshape(len(rows), len(FEATURES)), np.array([y for _, y in rows], dtype=float))
+
+
+def quality_filter(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", parts: int = 3, part: int = 1, sample: int = SAMPLE, least: float = 0.5
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``least`` or more; see ``quality_scores``."""
+    model = fitted(docs, labels, id_col, text_col, label_col, parts, part, sample)
+    return docs.mapInArrow(_keep(model, text_col, least), docs.schema)
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -208,9 +237,7 @@ def quality_scores(
     scored by them. Without labels every score is 0.5. Null ids are not held out; repeated
     rows score alike. Extra columns are ignored; an empty table gives an empty result.
     """
-    known = labelled_texts(docs, labels, id_col, text_col, label_col, parts, part, sample).mapInArrow(_measure, "label int, x array<double>").toArrow()
-    rows = sorted(zip(known["x"].to_pylist(), known["label"].to_pylist(), strict=True))  # the same order in every run
-    model = AdditiveModel().fit(np.array([x for x, _ in rows]).reshape(len(rows), len(FEATURES)), np.array([y for _, y in rows], dtype=float))
+    model = fitted(docs, labels, id_col, text_col, label_col, parts, part, sample)
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scored = given.mapInArrow(_score(model), "id long, score double")
     return scored.select(F.col("id").alias(id_col), held_out("id", parts, part).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .lsh import multiprobe_neighbours
 from .mixing import pareto_mix
 from .neardup import near_duplicates
@@ -16,6 +17,7 @@ from .ring import bounded_ring
 from .topk import histogram_top_k
 from .suffixes import remove_repeats
 from .toxicity import toxicity_scores
+from .urls import template_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query
+def op1_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_filter(_table(spark, sf_dir, "pages"), RULES)
+
+
 @query
 def op2_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiprobe_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
@@ -81,3 +91,12 @@ def op9_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLES |= {
+    "op1_path_templates": oracles.url_filter(RULES),
+    "op3_pareto_mix": oracles.MIX,
+    "op4_histogram_top_k": oracles.TOP_K,
+    "op6_suffix_array_dedup": oracles.REPEATS,
+    "op10_minhash_near_dedup": oracles.NEAR,
+}

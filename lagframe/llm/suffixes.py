@@ -332,7 +332,7 @@ def _remove(width: int):
                 cuts.append(number)
                 kept.append(b"".join(out))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array(kept, pa.binary())],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode("utf-8", "ignore") for k in kept])],
                 ["key", "fp", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
@@ -340,18 +340,20 @@ def _remove(width: int):
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, shard: int = SHARD, wide: int = WIDE, task: int = TASK, keep_text: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, shard: int = SHARD, wide: int = WIDE, task: int = TASK, keep_text: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per document: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``,
-    ``kept_sha256`` and, with ``keep_text``, the ``kept`` bytes.
+    ``kept_sha256``, with ``keep_text`` the ``kept`` text, and the columns named in ``carry``.
 
     Each byte covered by a ``width``-byte string that also starts elsewhere, in any document,
     is removed; strings are judged on the input and never cross documents. A null text is
     empty; texts shorter than ``width`` have no such string. Rows with a null or repeated id
     are rows of their own. Extra columns are ignored; an empty table gives an empty result.
-    Cuts fall between bytes, so ``kept`` need not be valid UTF-8.
+    Cuts fall between bytes: the digest is of the remaining bytes, ``kept`` leaves out
+    characters of which only a part remains.
     """
-    lines = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("fp"), F.col(text_col).cast("string").alias("text"))
+    own = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
+    lines = docs.select(*own, F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("fp"), F.col(text_col).cast("string").alias("text"))
     texts = lines.select("id", "fp", "text")
     found = cut(texts.mapInArrow(_contexts(width, gram), "id long, fp long, h long, content long, spot long, weight long"), "suffix-contexts")
     contexts = found.filter("h is not null")
@@ -372,8 +374,9 @@ def remove_repeats(
     edges = dealt.groupBy("task").applyInArrow(_shards(width, shard), "id long, fp long, first long, last long")
     spans = repeats.unionByName(edges).join(reps, ["id", "fp"], "left_semi").groupBy("id", "fp").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     told = reps.join(spans, ["id", "fp"], "left")
-    result = texts.join(told, ["id", "fp"]).select("id", "fp", "text", "spans").mapInArrow(_remove(width), "key long, fp long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    result = texts.join(told, ["id", "fp"]).select("id", "fp", "text", "spans").mapInArrow(_remove(width), "key long, fp long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     if not keep_text:
         result = result.drop("kept")
     result = cut(result.dropDuplicates(["key", "fp"]), "suffix-result").drop("key")
-    return lines.select("doc", "fp").join(result, "fp").drop("fp").withColumnRenamed("doc", id_col)
+    told = lines.drop("id", "text").join(result, "fp").drop("fp").withColumnRenamed("doc", id_col)
+    return told.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})
