@@ -85,9 +85,11 @@ def week_index_of_date(d, system: str = "iso") -> Column:
 
 
 def week_index(year, week, system: str = "iso") -> Column:
-    """(year, week) -> integer week index; consecutive weeks differ by exactly 1."""
+    """(year, week) -> integer week index; consecutive weeks differ by exactly 1. NULL when
+    (year, week) names no real week, rather than an index within the next year."""
     _check(system)
-    return (F.datediff(week_start(year, week, system), F.lit(EPOCH_START[system])) / 7).cast("int")
+    idx = (F.datediff(week_start(year, week, system), F.lit(EPOCH_START[system])) / 7).cast("int")
+    return F.when(is_valid_week(year, week, system), idx)
 
 
 def index_start(idx, system: str = "iso") -> Column:
@@ -134,12 +136,13 @@ YEAR_BOUNDS = (2000, 2100)
 def parse_yearweek(se, year_bounds: tuple[int, int] = YEAR_BOUNDS, strict: bool = False) -> tuple[Column, Column, Column]:
     """YYYYWW (int, double or string) -> (year, week, valid) (B1).
 
-    valid is False when the value is not six digits, the year is outside
+    valid is False when the value is not six digits (a double may end in .0), the year is outside
     `year_bounds` (default [2000, 2100]) or the week outside [1, 53]; year/week
     are NULL then (reject-split by default). ``strict=True`` fails the query on the
     first invalid value instead (``raise_error``), like the original's parser.
     """
-    num = _col(se).try_cast("double").try_cast("bigint")
+    code = F.regexp_extract(_col(se).cast("string"), r"^\s*(\d{6})(?:\.0)?\s*$", 1)
+    num = F.when(code != "", code).try_cast("bigint")
     digits = num.cast("string")
     year = (num / 100).cast("int")
     week = (num % 100).cast("int")

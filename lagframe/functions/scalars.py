@@ -55,27 +55,19 @@ def clamp_nonneg(c) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(0.0), c))
 
 
-# Code point ranges scanned to build the accent table: Latin-1 Supplement through
-# Latin Extended-B, Greek, Cyrillic, Latin Extended Additional, Greek Extended.
-_FOLD_RANGES = ((0x00C0, 0x0250), (0x0370, 0x0400), (0x0400, 0x0530), (0x1E00, 0x1F00), (0x1F00, 0x2000))
-
-
 def _build_fold_table() -> tuple[str, str]:
-    """Derive (from, to) for translate(): NFD-decompose, drop combining marks.
-
-    Characters whose decomposition leaves exactly one base character map to it;
-    free-standing combining marks (U+0300..U+036F) are deleted.
-    """
+    """Derive (from, to) for translate(): every character of the Basic Multilingual Plane
+    whose canonical decomposition leaves one base character without its combining marks.
+    Free-standing marks of any block are removed by their category afterwards."""
     src, dst = [], []
-    for lo, hi in _FOLD_RANGES:
-        for cp in range(lo, hi):
-            ch = chr(cp)
+    for cp in range(0x80, 0x10000):
+        ch = chr(cp)
+        if unicodedata.decomposition(ch) and unicodedata.category(ch) != "Mn":
             base = "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
             if base != ch and len(base) == 1:
                 src.append(ch)
                 dst.append(base)
-    marks = [chr(cp) for cp in range(0x0300, 0x0370)]
-    return "".join(src) + "".join(marks), "".join(dst)
+    return "".join(src), "".join(dst)
 
 
 FOLD_FROM, FOLD_TO = _build_fold_table()
@@ -83,7 +75,7 @@ FOLD_FROM, FOLD_TO = _build_fold_table()
 
 def fold_accents(c) -> Column:
     """Remove diacritics (B8): 'Córdoba' -> 'Cordoba'. Case and ß are kept."""
-    return F.translate(_col(c), FOLD_FROM, FOLD_TO)
+    return F.translate(F.regexp_replace(_col(c), r"\p{Mn}+", ""), FOLD_FROM, FOLD_TO)
 
 
 def accent_insensitive(c) -> Column:

@@ -13,7 +13,7 @@ from .forecast import (
     walk_forward_rf,
     winner_by_year,
 )
-from .frames import date_range, describe, ensure_parallelism, outbreak_flag, table_coverage
+from .frames import date_range, describe, outbreak_flag, table_coverage
 from .lagjoin import feature_frame, join_coverage, lag_join, lag_targets
 from .rollup import daily_outer, daily_spine_ffill, weekly_rollup, zonal_mean
 from .screening import (
@@ -26,7 +26,6 @@ from .screening import (
     partial_table,
     recommend_features,
     vif,
-    vif3,
     yearly_stability,
     zscore,
 )

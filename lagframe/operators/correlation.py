@@ -44,34 +44,26 @@ def check_methods(methods: Iterable[str]) -> tuple[str, ...]:
 
 
 def guarded_r(cov: Column, sx: Column, sy: Column, n: Column, minx, maxx, miny, maxy, min_n: int = MIN_PAIRS) -> Column:
-    """r = cov / (sx * sy), NULL when n < min_n or either side is constant."""
+    """r = cov / (sx * sy), NULL when n < min_n, either side is constant or the moments
+    are not finite."""
     ok = (n >= min_n) & (minx < maxx) & (miny < maxy)
-    r = F.try_divide(cov, sx * sy)
-    return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    return F.when(ok, clamped_r(F.try_divide(cov, sx * sy)))
 
 
-TIE_DIGITS = 12
-
-
-def tie_key(c: Column, digits: int = TIE_DIGITS) -> Column:
-    """Value rounded to `digits` significant digits, used only to decide ties.
-
-    Sums and means of the same numbers in a different order differ in the last
-    bit; without this, mathematically equal values would rank apart.
-    """
-    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - (digits - 1))
-    return F.when(c == 0.0, F.lit(0.0)).otherwise(F.round(c / scale) * scale)
+def clamped_r(r: Column) -> Column:
+    """r within [-1, 1]; NaN and infinities, which least() would turn into 1, are undefined."""
+    return F.when(F.abs(r) < F.lit(float("inf")), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def avg_rank(value: str, group: Sequence[str], valid: Column | None = None) -> Column:
     """Average rank (ties share the mean of their positions) within `group`.
 
-    Rows where `valid` is false are sorted after the valid ones and get NULL.
-    Ties are decided on ``tie_key`` (12 significant digits).
+    Rows where `valid` is false are sorted after the valid ones and get NULL; NaN counts
+    as missing.
     """
-    flag = valid if valid is not None else F.col(value).isNotNull()
+    key = nan_to_null(F.col(value).cast("double"))
+    flag = valid if valid is not None else key.isNotNull()
     part = Window.partitionBy(*group)
-    key = tie_key(F.col(value))
     asc = part.orderBy(flag.desc(), key.asc())
     desc = part.orderBy(flag.desc(), key.desc())
     n_valid = F.sum(flag.cast("long")).over(part)
@@ -92,13 +84,14 @@ def _moments_collapsed(d: DataFrame, group: list[str], spearman: bool) -> DataFr
        (at most the distinct weeks of one entity, however many copies exist):
        weighted means for a two-pass (centered, stable) covariance, and for
        Spearman the average rank of a value = (count of values <= it) - (its
-       count - 1) / 2 from a RANGE running sum ordered by the tie key;
+       count - 1) / 2 from a RANGE running sum ordered by the value;
     3. the final aggregate reuses that partitioning (no further shuffle).
     """
-    p = d.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
+    whole = group or ["_all"]  # without a group: one series
+    p = (d if group else d.withColumn("_all", F.lit(0))).groupBy(*whole, "_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
     pair = F.col("_x").isNotNull() & F.col("_y").isNotNull()
     w = F.when(pair, F.col("_c").cast("double"))
-    part = Window.partitionBy(*group)
+    part = Window.partitionBy(*whole)
     n_all = F.sum(w).over(part)
     cols = {
         "_w": w,
@@ -108,9 +101,9 @@ def _moments_collapsed(d: DataFrame, group: list[str], spearman: bool) -> DataFr
     if spearman:
         cols["_half"] = (n_all + 1.0) / 2.0  # mean of the average ranks
         for v, name in (("_x", "_rx"), ("_y", "_ry")):
-            k = F.when(pair, tie_key(F.col(v)))
+            k = F.when(pair, F.col(v))
             upto = part.orderBy(k).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            ties = Window.partitionBy(*group, k)
+            ties = Window.partitionBy(*whole, k)
             cols[name] = F.when(pair, F.sum(w).over(upto) - (F.sum(w).over(ties) - 1.0) / 2.0)
     q = p.withColumns(cols)
     dx, dy = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
@@ -152,8 +145,7 @@ def pair_stats(
     ``collapsed`` (default): identical pairs are counted map-side first and every
     moment is computed over the distinct pairs, so duplicated rows never pile up
     in one task. ``window``: ranks every row with rank windows partitioned by the
-    group and uses Spark's covar_pop/stddev_pop (for groups known to be small; also
-    used when there is no group, i.e. one weekly series).
+    group and uses Spark's covar_pop/stddev_pop (for groups known to be small).
     """
     methods = check_methods(methods)
     if rank_strategy not in RANK_STRATEGIES:
@@ -162,7 +154,7 @@ def pair_stats(
     pair = nan_to_null(F.col(x)).isNotNull() & nan_to_null(F.col(y)).isNotNull()
     d = df.select(*group, F.when(pair, F.col(x).cast("double")).alias("_x"), F.when(pair, F.col(y).cast("double")).alias("_y"))
     spearman = "spearman" in methods
-    if rank_strategy == "collapsed" and group:
+    if rank_strategy == "collapsed":
         a = _moments_collapsed(d, group, spearman)
     else:
         d = d.withColumn("_pair", F.col("_x").isNotNull())

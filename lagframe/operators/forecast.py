@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import calendar as cal
-from ..functions.scalars import clamp_nonneg
+from ..functions.scalars import clamp_nonneg, nan_to_null
 from ..session import ensure_checkpoint_dir
 from .lagjoin import lag_join
 from .rollup import WEEK, YEAR, _keys
@@ -85,7 +85,7 @@ def baseline_forecast(
         w = Window.partitionBy(*_keys(keys)).orderBy(idx).rangeBetween(-window, -1)
     else:
         raise ValueError("mode must be 'positional' or 'calendar'")
-    return df.withColumn(name, clamp_nonneg(F.avg(F.col(target).cast("double")).over(w)))
+    return df.withColumn(name, clamp_nonneg(F.avg(nan_to_null(F.col(target).cast("double"))).over(w)))
 
 
 def walk_forward_folds(df: DataFrame, keys=None, min_train: int = MIN_TRAIN) -> DataFrame:
@@ -258,17 +258,19 @@ def forecast_metrics(
 
     Constant actual values: ``constant_r2="finite"`` gives 1.0 for a perfect fit and
     0.0 otherwise (the convention of the original's overall metrics), ``"null"`` gives
-    NULL (its per-year table). MAPE is NULL with no real > 0. Models are unpivoted to
+    NULL (its per-year table). Rows without an actual value or a forecast (NULL, NaN) do not
+    count. MAPE is NULL with no real > 0. Models are unpivoted to
     rows so one aggregate serves all of them.
     """
     group = [*_keys(keys), *by]
     long = preds.select(
         *group,
-        F.col(real).cast("double").alias("_y"),
-        F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("_p")) for m, c in models.items()])).alias("_m"),
+        nan_to_null(F.col(real).cast("double")).alias("_y"),
+        F.explode(F.array(*[F.struct(F.lit(m).alias("model"), nan_to_null(F.col(c).cast("double")).alias("_p")) for m, c in models.items()])).alias("_m"),
     ).select(*group, "_y", "_m.model", "_m._p")
+    long = long.withColumns({"_y": F.when(F.col("_p").isNotNull(), F.col("_y")), "_p": F.when(F.col("_y").isNotNull(), F.col("_p"))})
     e = F.col("_p") - F.col("_y")
-    n = F.count(F.lit(1))
+    n = F.count("_y")
     sst = F.var_pop("_y") * n
     agg = long.groupBy(*group, "model").agg(
         n.alias("n"),

@@ -9,26 +9,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import nan_to_null
 from .rollup import YEAR, _keys
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least one task per core before CPU-heavy per-row work.
-
-    Only when the input has fewer partitions than the session's default parallelism
-    (a few large files/row groups); on a cluster scan a 100 TB input already has
-    thousands of splits, so this adds no shuffle there.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Connect): leave the plan alone
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
-
-
 def date_range(df: DataFrame, col: str, start, end) -> DataFrame:
     """Rows with `col` in the inclusive day range [start, end].
 
@@ -52,8 +36,8 @@ def date_range(df: DataFrame, col: str, start, end) -> DataFrame:
 
 
 def outbreak_flag(df: DataFrame, col: str = "incidence", threshold: float = 100.0, name: str = "outbreak") -> DataFrame:
-    """Flag rows above an incidence threshold."""
-    return df.withColumn(name, F.coalesce(F.col(col) > threshold, F.lit(False)))
+    """Flag rows above an incidence threshold (B18/C1); missing values (NULL, NaN) are not."""
+    return df.withColumn(name, F.coalesce(nan_to_null(F.col(col).cast("double")) > threshold, F.lit(False)))
 
 
 def describe(df: DataFrame, cols: Sequence[str], keys=None, exact: bool = True) -> DataFrame:
@@ -66,7 +50,7 @@ def describe(df: DataFrame, cols: Sequence[str], keys=None, exact: bool = True)
     keys = _keys(keys)
     long = df.select(
         *keys,
-        F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("x")) for c in cols])).alias("_kv"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), nan_to_null(F.col(c).cast("double")).alias("x")) for c in cols])).alias("_kv"),
     ).select(*keys, "_kv.variable", "_kv.x")
     if exact:
         q = [F.percentile("x", p) for p in (0.25, 0.5, 0.75)]
@@ -87,5 +71,5 @@ def describe(df: DataFrame, cols: Sequence[str], keys=None, exact: bool = True)
 def table_coverage(df: DataFrame, name: str, means: Mapping[str, str] | None = None) -> DataFrame:
     """Min/max year and row count of a weekly table, plus optional column means."""
     aggs = [F.min(YEAR).alias("min_year"), F.max(YEAR).alias("max_year"), F.count(F.lit(1)).alias("rows")]
-    aggs += [F.avg(c).alias(a) for a, c in (means or {}).items()]
+    aggs += [F.avg(nan_to_null(F.col(c).cast("double"))).alias(a) for a, c in (means or {}).items()]
     return df.agg(*aggs).select(F.lit(name).alias("table_name"), "*")

@@ -2,7 +2,8 @@
 
 Climate of week t lands on outcome week t + lag. The match is an equi-join on
 (entity keys, integer week index), so 53-week years need no special casing and
-Catalyst/AQE pick broadcast or sort-merge from runtime sizes.
+Catalyst/AQE pick broadcast or sort-merge from runtime sizes. A row that names no real
+week (week 53 of a 52-week year) has a NULL index: it matches nothing and explains nothing.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..functions.scalars import nan_to_null
 from .rollup import VALID_DAYS, WEEK, YEAR, _keys
 
 IDX = "_week_idx"
@@ -28,8 +30,15 @@ def with_week_index(df: DataFrame, system: str = "iso", name: str = IDX) -> Data
     return df.withColumn(name, cal.week_index(F.col(YEAR), F.col(WEEK), system))
 
 
+def split_weeks(df: DataFrame, system: str = "iso") -> tuple[DataFrame, DataFrame]:
+    """(rows that name a real week, rejects): week 53 of a 52-week year, or a NULL, is none."""
+    ok = F.coalesce(cal.is_valid_week(F.col(YEAR), F.col(WEEK), system), F.lit(False))
+    return df.filter(ok), df.filter(~ok)
+
+
 def lag_targets(climate: DataFrame, lag: int = 4, system: str = "iso") -> DataFrame:
-    """Add the week each row explains: (year_target, week_target) = (year, week) + lag."""
+    """Add the week each row explains: (year_target, week_target) = (year, week) + lag (D2);
+    NULL for a row that names no real week."""
     _require(climate, [YEAR, WEEK], "lag_targets")
     idx = cal.week_index(F.col(YEAR), F.col(WEEK), system) + F.lit(lag)
     return climate.withColumns(
@@ -94,7 +103,11 @@ def join_coverage(joined: DataFrame, lag: int, keys=None) -> DataFrame:
     """
     suffix = f"_lag{lag}"
     lag_cols = [c for c in joined.columns if c.endswith(suffix) and c != f"{VALID_DAYS}{suffix}"]
-    ref = F.col(lag_cols[0]) if lag_cols else F.lit(None)
+    ref = F.lit(None)
+    if lag_cols:
+        ref = F.col(lag_cols[0])
+        if joined.schema[lag_cols[0]].dataType.typeName() in ("float", "double"):
+            ref = nan_to_null(ref)
     return joined.groupBy(*_keys(keys)).agg(
         F.count(F.lit(1)).alias("case_rows"),
         F.count(ref).alias("rows_with_data"),

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions.scalars import is_numeric, nan_to_null
@@ -35,8 +36,9 @@ def weekly_rollup(
 
     Column rule, taken from the schema: ``sum_cols`` (default: names ending in
     ``_sum``) are summed, with an all-NULL week giving 0.0; the date column is
-    counted as ``valid_days``; every other numeric column is averaged;
-    non-numeric columns are dropped. NaN is treated as missing.
+    counted as ``valid_days``; every other numeric or boolean column is averaged (true is
+    1); other columns are dropped. NaN is treated as missing. Decimal columns are summed
+    exactly, so that equal weeks get bit-equal means in any order of their days.
     One shuffle on (keys, year, week), with map-side partial aggregation.
     """
     keys = _keys(keys)
@@ -49,13 +51,14 @@ def weekly_rollup(
     day = F.col(date_col).cast("date")
     aggs = []
     for c, dt in fields.items():
-        if c in skip or not is_numeric(dt):
+        if c in skip or not (is_numeric(dt) or isinstance(dt, T.BooleanType)):
             continue
-        v = nan_to_null(F.col(c).cast("double"))
-        if c in sum_cols:
-            aggs.append(F.coalesce(F.sum(v), F.lit(0.0)).alias(c))
+        if isinstance(dt, T.DecimalType):  # exact sums: the result does not depend on their order
+            total, mean = F.sum(c).cast("double"), F.sum(c).cast("double") / F.count(c)
         else:
-            aggs.append(F.avg(v).alias(c))
+            v = nan_to_null(F.col(c).cast("double"))
+            total, mean = F.sum(v), F.avg(v)
+        aggs.append((F.coalesce(total, F.lit(0.0)) if c in sum_cols else mean).alias(c))
     aggs.append(F.count(day).cast("int").alias(VALID_DAYS))
     out = (
         daily.withColumn(YEAR, cal.date_to_year(day, system))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.pvalue import with_pvalue
 from ..functions.scalars import nan_to_null
-from .correlation import METHODS, guarded_r, pair_stats
+from .correlation import clamped_r, METHODS, guarded_r, pair_stats
 from .rollup import YEAR, _keys
 
 PARTIAL_MIN_N = 5
@@ -89,7 +89,7 @@ def _corr_cols(x: Column, y: Column, n: Column) -> Column:
 
 def _partial(rxy: Column, rxz: Column, ryz: Column) -> Column:
     r = F.try_divide(rxy - rxz * ryz, F.sqrt((1.0 - rxz * rxz) * (1.0 - ryz * ryz)))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    return clamped_r(r)
 
 
 def partial_corr(df: DataFrame, x: str, y: str, z: str, keys=None, min_n: int = PARTIAL_MIN_N, df_adjust: int = 0) -> DataFrame:
@@ -167,71 +167,53 @@ def vif_status(v: Column) -> Column:
     return F.when(v > 10, "high").when(v < 5, "ok").otherwise("moderate")
 
 
-def vif(df: DataFrame, cols: Sequence[str], digits: int = 2, tol: float = 1e-12) -> DataFrame:
-    """Variance inflation factors of `cols` after listwise deletion.
+def vif(df: DataFrame, cols: Sequence[str], keys=None, digits: int = 2, tol: float = 1e-12) -> DataFrame:
+    """Variance inflation factors of `cols` per entity after listwise deletion.
 
-    One aggregate gathers the k x k co-moments (bounded by k, not by rows); VIF is
-    the diagonal of the inverse correlation matrix, i.e. 1/(1-R^2) of each column
-    regressed on the others. A constant column gets 1 and is left out of the
-    others' regressions; exact collinearity gives +inf.
+    VIF = 1 / (1 - R^2) of each column regressed on all the others. A constant column
+    gets 1 and explains nothing; a column that the others determine gets +inf, the
+    columns it does not involve keep their own value. One aggregate gathers the k x k
+    co-moments of each entity; the regressions run on those rows (k columns, never the
+    data), in the order of `cols`.
     """
-    spark = df.sparkSession
-    cols = list(cols)
-    d = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]).dropna()
-    aggs = []
-    for i, a in enumerate(cols):
-        aggs += [F.min(a).alias(f"mn{i}"), F.max(a).alias(f"mx{i}"), F.var_pop(a).alias(f"v{i}")]
-        for j in range(i + 1, len(cols)):
-            aggs.append(F.covar_pop(a, cols[j]).alias(f"c{i}_{j}"))
-    row = d.agg(*aggs).collect()[0]  # k*(k+3)/2 numbers
+    keys, cols = _keys(keys), list(cols)
     k = len(cols)
-    const = [row[f"mn{i}"] is None or row[f"mn{i}"] == row[f"mx{i}"] for i in range(k)]
-    live = [i for i in range(k) if not const[i]]
-    out = {i: 1.0 for i in range(k)}
-    if len(live) > 1:
-        m = np.zeros((len(live), len(live)))
-        for p, i in enumerate(live):
-            for q, j in enumerate(live):
-                if i == j:
-                    m[p, q] = 1.0
+    d = df.select(*keys, *[nan_to_null(F.col(c).cast("double")).alias(f"_c{i}") for i, c in enumerate(cols)])
+    d = d.dropna(subset=[f"_c{i}" for i in range(k)])
+    varies = [(F.min(f"_c{i}") < F.max(f"_c{i}")).alias(f"_live{i}") for i in range(k)]
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    moments = F.array(*[F.covar_pop(f"_c{i}", f"_c{j}") for i, j in upper]).alias("_moments")
+    a = d.groupBy(*keys).agg(*varies, moments)
+    a = a.select(*keys, F.array(*[F.coalesce(f"_live{i}", F.lit(False)) for i in range(k)]).alias("_live"), "_moments")
+
+    def solve(frames):
+        for pdf in frames:
+            found = []
+            for flags, moments_ in zip(pdf["_live"], pdf["_moments"]):
+                cov = np.zeros((k, k))
+                for (i, j), v in zip(upper, moments_):
+                    cov[i, j] = cov[j, i] = np.nan if v is None else v
+                live = [i for i in range(k) if flags[i]]
+                row = [1.0] * k
+                if live and not np.isfinite(cov[np.ix_(live, live)]).all():
+                    row = [None if i in live else 1.0 for i in range(k)]
                 else:
-                    a, b = min(i, j), max(i, j)
-                    m[p, q] = row[f"c{a}_{b}"] / np.sqrt(row[f"v{a}"] * row[f"v{b}"])
-        if abs(np.linalg.det(m)) < tol:
-            inv_diag = [float("inf")] * len(live)
-        else:
-            inv_diag = list(np.diag(np.linalg.inv(m)))
-        for p, i in enumerate(live):
-            out[i] = float(inv_diag[p])
-    data = [(c, round(out[i], digits) if np.isfinite(out[i]) else float("inf")) for i, c in enumerate(cols)]
-    schema = T.StructType([T.StructField("variable", T.StringType()), T.StructField("vif", T.DoubleType())])
-    res = spark.createDataFrame(data, schema)
-    return res.withColumn("status", vif_status(F.col("vif")))
-
-
-def vif3_expr(r12: Column, r13: Column, r23: Column) -> tuple[Column, Column, Column]:
-    """Closed-form VIFs of three columns from their pairwise correlations."""
-    det = 1.0 + 2.0 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23
-    return (
-        F.try_divide(1.0 - r23 * r23, det),
-        F.try_divide(1.0 - r13 * r13, det),
-        F.try_divide(1.0 - r12 * r12, det),
-    )
-
-
-def vif3(df: DataFrame, cols: Sequence[str], keys=None, digits: int = 2) -> DataFrame:
-    """VIF for exactly three columns, fully distributed (per entity) from one aggregate."""
-    keys = _keys(keys)
-    c1, c2, c3 = cols
-    d = df.select(*keys, *[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]).dropna(subset=list(cols))
-
-    def r(a, b):
-        return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(a) * F.var_pop(b)))
-
-    a = d.groupBy(*keys).agg(r(c1, c2).alias("r12"), r(c1, c3).alias("r13"), r(c2, c3).alias("r23"))
-    v1, v2, v3 = vif3_expr(F.col("r12"), F.col("r13"), F.col("r23"))
-    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.round(v, digits).alias("vif")) for c, v in zip(cols, (v1, v2, v3))])
-    out = a.select(*keys, F.inline(rows))
+                    sd = np.sqrt(np.diag(cov))
+                    for i in live:
+                        rest = [j for j in live if j != i]
+                        if rest:
+                            r = cov[i, rest] / (sd[i] * sd[rest])
+                            among = cov[np.ix_(rest, rest)] / np.outer(sd[rest], sd[rest])
+                            left = 1.0 - float(r @ np.linalg.pinv(among, rcond=1e-10, hermitian=True) @ r)
+                            row[i] = round(1.0 / left, digits) if left > tol else float("inf")
+                found.append(row)
+            out = pdf.drop(columns=["_live", "_moments"])
+            out["_vifs"] = found
+            yield out
+
+    fields = ", ".join([*(f"`{q}` {a.schema[q].dataType.simpleString()}" for q in keys), "_vifs array<double>"])
+    rows = F.arrays_zip(F.array(*[F.lit(c) for c in cols]).alias("variable"), F.col("_vifs").alias("vif"))
+    out = a.mapInPandas(solve, fields).select(*keys, F.inline(rows))
     return out.withColumn("status", vif_status(F.col("vif")))
 
 

@@ -10,7 +10,7 @@ from ..functions import scalars as SC
 from ..operators import lagjoin as LJ
 from ..operators import rollup as R
 from ..operators.correlation import avg_rank
-from ..operators.frames import date_range, describe, ensure_parallelism, outbreak_flag, table_coverage
+from ..operators.frames import date_range, describe, outbreak_flag, table_coverage
 from ..sources.zones import validate_points, zone_lookup
 from . import oracle as O
 from . import views as V
@@ -193,7 +193,7 @@ def q_weekly_satellite(spark, d):
 # ------------------------------------------------------------------ B8 accents, B10 labels
 @register("fold_accents", O.build("SELECT doc_id, strip_accents(text) AS folded FROM documents"))
 def q_fold_accents(spark, d):
-    docs = ensure_parallelism(V.table(spark, d, "documents").select("doc_id", "text"))
+    docs = V.table(spark, d, "documents").select("doc_id", "text")
     return docs.select("doc_id", SC.fold_accents("text").alias("folded"))
 
 
@@ -214,37 +214,42 @@ def q_relabel(spark, d):
 
 
 # ------------------------------------------------------------------ C4 lookup by folded name
-# Requests: every distinct accented word of the documents; zone dimension: every
-# (doc_id, word) occurrence. Each request gets the first occurrence (by doc_id, then
-# word) whose folded form equals its folded form, and the number of such occurrences.
+# Requests: every distinct word of the benchmark; zone dimension: every (doc_id, word)
+# occurrence in the documents. Each request gets the first occurrence (by doc_id, then word)
+# whose folded form equals its folded form, and the number of such occurrences; names
+# without any come back with no zone and 0 occurrences.
 _WORD_SPLIT = "[^\\p{L}]+"
 
 
-def _tokens(spark, d):
-    docs = ensure_parallelism(V.table(spark, d, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", F.explode(F.split("text", _WORD_SPLIT)).alias("word")).filter(F.col("word") != "")
+def _tokens(spark, d, name, key):
+    texts = V.table(spark, d, name).select(key, "text")
+    return texts.select(key, F.explode(F.split("text", _WORD_SPLIT)).alias("word")).filter(F.col("word") != "")
+
+
+def _tokens_sql(name, key):
+    return f"SELECT {key}, word FROM (SELECT {key}, unnest(regexp_split_to_array(text, '[^\\p{{L}}]+')) AS word FROM {name}) WHERE word <> ''"
 
 
 @register(
     "zone_lookup",
     O.build(
-        "SELECT r.name, z.zone_id, z.zone_name, z.n_matches FROM "
-        "(SELECT DISTINCT word AS name FROM toks WHERE regexp_matches(word, '[^\\x00-\\x7F]')) r JOIN "
+        "SELECT r.name, z.zone_id, z.zone_name, coalesce(z.n_matches, 0) AS n_matches FROM "
+        "(SELECT DISTINCT word AS name FROM asked) r LEFT JOIN "
         "(SELECT k, zone_id, zone_name, n_matches FROM (SELECT strip_accents(word) AS k, doc_id AS zone_id, word AS zone_name, "
         "count(*) OVER (PARTITION BY strip_accents(word)) AS n_matches, "
         "row_number() OVER (PARTITION BY strip_accents(word) ORDER BY doc_id, word) AS rn FROM toks) WHERE rn = 1) z "
         "ON strip_accents(r.name) = z.k",
-        extra=[("toks", "SELECT doc_id, word FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS word FROM documents) WHERE word <> ''")],
+        extra=[("toks", _tokens_sql("documents", "doc_id")), ("asked", _tokens_sql("benchmark", "item_id"))],
     ),
 )
 def q_zone_lookup(spark, d):
-    # one tokenisation, pre-aggregated per distinct word (map-side combine); the
-    # occurrence table is represented by (first doc, word, occurrences)
-    words = _tokens(spark, d).groupBy("word").agg(F.min("doc_id").alias("zone_id"), F.count(F.lit(1)).alias("occurrences"))
-    requests = words.filter(F.col("word").rlike("[^\\x00-\\x7F]")).select(F.col("word").alias("name"))
-    zones = words.select("zone_id", F.col("word").alias("zone_name"), "occurrences")
-    matches, _missing = zone_lookup(requests, zones, weight_col="occurrences")
-    return matches.select("name", "zone_id", "zone_name", "n_matches")
+    # pre-aggregated per distinct word (map-side combine); the occurrence table is
+    # represented by (first doc, word, occurrences)
+    zones = _tokens(spark, d, "documents", "doc_id").groupBy("word").agg(F.min("doc_id").alias("zone_id"), F.count(F.lit(1)).alias("occurrences"))
+    requests = _tokens(spark, d, "benchmark", "item_id").select(F.col("word").alias("name")).distinct()
+    matches, missing = zone_lookup(requests, zones.withColumnRenamed("word", "zone_name"), weight_col="occurrences")
+    absent = missing.select("name", F.lit(None).cast("long").alias("zone_id"), F.lit(None).cast("string").alias("zone_name"), F.lit(0).cast("long").alias("n_matches"))
+    return matches.select("name", "zone_id", "zone_name", "n_matches").unionByName(absent)
 
 
 # ------------------------------------------------------------------ B17 / B18 / C1 / C5

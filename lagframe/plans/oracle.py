@@ -82,7 +82,7 @@ cte(
 FROM (SELECT cust.geocode, cust.region,
              CAST(isoyear(CAST(o.o_orderdate AS DATE)) AS INTEGER) AS year,
              CAST(week(CAST(o.o_orderdate AS DATE)) AS INTEGER) AS week,
-             count(*) AS cases, sum(o.o_totalprice) / 1000.0 AS cases_est
+             count(*) AS cases, CAST(sum(CAST(o.o_totalprice AS DECIMAL(18, 6))) AS DOUBLE) / 1000.0 AS cases_est
       FROM orders o JOIN cust ON o.o_custkey = cust.c_custkey GROUP BY 1, 2, 3, 4) w
 JOIN pop p ON p.region = w.region""",
     "cust",
@@ -91,31 +91,44 @@ JOIN pop p ON p.region = w.region""",
 cte(
     "cases_all",
     """SELECT CAST(isoyear(CAST(o_orderdate AS DATE)) AS INTEGER) AS year, CAST(week(CAST(o_orderdate AS DATE)) AS INTEGER) AS week,
-       count(*) AS cases, sum(o_totalprice) / 1000.0 AS cases_est,
+       count(*) AS cases, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 6))) AS DOUBLE) / 1000.0 AS cases_est,
        CAST(count(*) AS DOUBLE) * 100000.0 / (SELECT count(*) FROM customer) AS incidence
 FROM orders GROUP BY 1, 2""",
 )
 cte("sreg", "SELECT s.s_suppkey, reg.region FROM supplier s JOIN reg ON s.s_nationkey = reg.n_nationkey", "reg")
-DAILY_AGGS = """avg(l.l_quantity) AS qty_mean, max(l.l_quantity) AS qty_max, min(l.l_quantity) AS qty_min,
-       sum(l.l_extendedprice) AS price_sum, avg(l.l_discount) * 100.0 AS disc_pct"""
+DAILY_VARS = ("qty_mean", "qty_max", "qty_min", "price_sum", "disc_pct")
+SAT_VARS = ("ndvi", "lst_night_c")
+# daily values as decimals, so that weekly sums and means are exact in any order
+DAILY_AGGS = """CAST(avg(l.l_quantity) AS DECIMAL(20, 9)) AS qty_mean, CAST(max(l.l_quantity) AS DECIMAL(20, 9)) AS qty_max,
+       CAST(min(l.l_quantity) AS DECIMAL(20, 9)) AS qty_min, sum(CAST(l.l_extendedprice AS DECIMAL(18, 6))) AS price_sum,
+       CAST(CAST(sum(CAST(l.l_discount AS DECIMAL(18, 6))) AS DOUBLE) / count(l.l_discount) * 100.0::DOUBLE AS DECIMAL(20, 9)) AS disc_pct"""
+
+
+def exact_mean(c: str) -> str:
+    return f"CAST(sum({c}) AS DOUBLE) / count({c}) AS {c}"
+
+
 cte(
-    "daily",
+    "daily_exact",
     f"""SELECT sreg.region, CAST(l.l_shipdate AS DATE) AS day, {DAILY_AGGS}
 FROM lineitem l JOIN sreg ON l.l_suppkey = sreg.s_suppkey GROUP BY 1, 2""",
     "sreg",
 )
-cte("daily_all", f"SELECT CAST(l.l_shipdate AS DATE) AS day, {DAILY_AGGS} FROM lineitem l GROUP BY 1")
-WEEKLY_AGGS = """avg(qty_mean) AS qty_mean, avg(qty_max) AS qty_max, avg(qty_min) AS qty_min,
-       coalesce(sum(price_sum), 0.0) AS price_sum, avg(disc_pct) AS disc_pct, CAST(count(day) AS INTEGER) AS valid_days"""
+cte("daily_all_exact", f"SELECT CAST(l.l_shipdate AS DATE) AS day, {DAILY_AGGS} FROM lineitem l GROUP BY 1")
+AS_DOUBLES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DAILY_VARS)
+cte("daily", f"SELECT region, day, {AS_DOUBLES} FROM daily_exact", "daily_exact")
+cte("daily_all", f"SELECT day, {AS_DOUBLES} FROM daily_all_exact", "daily_all_exact")
+WEEKLY_AGGS = f"""{exact_mean('qty_mean')}, {exact_mean('qty_max')}, {exact_mean('qty_min')},
+       coalesce(CAST(sum(price_sum) AS DOUBLE), 0.0) AS price_sum, {exact_mean('disc_pct')}, CAST(count(day) AS INTEGER) AS valid_days"""
 cte(
     "weekly",
-    f"SELECT region, CAST(isoyear(day) AS INTEGER) AS year, CAST(week(day) AS INTEGER) AS week, {WEEKLY_AGGS} FROM daily GROUP BY 1, 2, 3",
-    "daily",
+    f"SELECT region, CAST(isoyear(day) AS INTEGER) AS year, CAST(week(day) AS INTEGER) AS week, {WEEKLY_AGGS} FROM daily_exact GROUP BY 1, 2, 3",
+    "daily_exact",
 )
 cte(
     "weekly_all",
-    f"SELECT CAST(isoyear(day) AS INTEGER) AS year, CAST(week(day) AS INTEGER) AS week, {WEEKLY_AGGS} FROM daily_all GROUP BY 1, 2",
-    "daily_all",
+    f"SELECT CAST(isoyear(day) AS INTEGER) AS year, CAST(week(day) AS INTEGER) AS week, {WEEKLY_AGGS} FROM daily_all_exact GROUP BY 1, 2",
+    "daily_all_exact",
 )
 # satellite path: line items as pixels of their supplier's region
 cte(
@@ -159,9 +172,9 @@ FROM ndvi_daily a FULL OUTER JOIN lst_daily b ON a.region = b.region AND a.day =
 )
 cte(
     "sat_weekly",
-    """SELECT region, CAST(isoyear(day) AS INTEGER) AS year, CAST(week(day) AS INTEGER) AS week,
-       avg(ndvi) AS ndvi, avg(lst_night_c) AS lst_night_c, CAST(count(day) AS INTEGER) AS valid_days
-FROM sat_daily GROUP BY 1, 2, 3""",
+    f"""SELECT region, CAST(isoyear(day) AS INTEGER) AS year, CAST(week(day) AS INTEGER) AS week,
+       {exact_mean('ndvi')}, {exact_mean('lst_night_c')}, CAST(count(day) AS INTEGER) AS valid_days
+FROM (SELECT region, day, CAST(ndvi AS DECIMAL(20, 9)) AS ndvi, CAST(lst_night_c AS DECIMAL(20, 9)) AS lst_night_c FROM sat_daily) GROUP BY 1, 2, 3""",
     "sat_daily",
 )
 cte("cases_idx", f"SELECT *, {idx_sql('year', 'week')} AS idx FROM cases", "cases")
@@ -175,10 +188,6 @@ cte(
        CASE WHEN value <= 90.0 THEN value * 100.0 END AS dn FROM events""",
 )
 
-DAILY_VARS = ("qty_mean", "qty_max", "qty_min", "price_sum", "disc_pct")
-SAT_VARS = ("ndvi", "lst_night_c")
-
-
 def lagged_sql(src_idx: str, lag: int, cols: Sequence[str], keys: Sequence[str]) -> str:
     """Climate rows re-keyed to the case week they explain, columns suffixed _lag{N}."""
     k = "".join(f"{c}, " for c in keys)
@@ -186,17 +195,10 @@ def lagged_sql(src_idx: str, lag: int, cols: Sequence[str], keys: Sequence[str])
     return f"SELECT {k}idx + {lag} AS tidx, {vals} FROM {src_idx}"
 
 
-def tie_sql(x: str) -> str:
-    """12-significant-digit key used to decide rank ties (same rule as the Spark side)."""
-    sc = f"pow(10.0, floor(log10(abs({x}))) - 11)"
-    return f"(CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {sc}) * {sc} END)"
-
-
 def avg_rank_sql(x: str, part: str) -> str:
-    k = tie_sql(x)
     return (
-        f"(CAST(rank() OVER (PARTITION BY {part} ORDER BY {k}) AS DOUBLE) + "
-        f"(count(*) OVER (PARTITION BY {part}, {k}) - 1) / 2.0)"
+        f"(CAST(rank() OVER (PARTITION BY {part} ORDER BY {x}) AS DOUBLE) + "
+        f"(count(*) OVER (PARTITION BY {part}, {x}) - 1) / 2.0)"
     )
 
 

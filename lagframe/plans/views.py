@@ -36,18 +36,31 @@ DAILY_VARS = ("qty_mean", "qty_max", "qty_min", "price_sum", "disc_pct")
 SAT_VARS = ("ndvi", "lst_night_c")
 
 
-_READERS: dict[tuple[str, str], DataFrame] = {}
-_VIEWS: dict[tuple[str, str, str], DataFrame] = {}
+_READERS: dict[tuple[str, str], tuple[object, DataFrame]] = {}
+_VIEWS: dict[tuple[str, str, str], tuple[object, DataFrame]] = {}
+
+
+def listing(spark: SparkSession, path: str) -> object:
+    """Names, sizes and times of what ``path`` holds (or of the file it is). Plans and tables
+    at rest are kept under it, so that a changed source is read anew."""
+    try:
+        sc = spark.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        found = at.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(at)
+        return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+    except Exception:  # noqa: BLE001 - e.g. a Connect session: nothing is kept
+        return object()
 
 
 def memo(fn):
-    """Views are pure, lazy functions of (session, folder): build each plan once."""
+    """Views are pure, lazy functions of (session, folder): build each plan once while the
+    folder's listing stays the same."""
 
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (app_key(spark), sf_dir.rstrip("/"), fn.__name__)
-        if key not in _VIEWS:
-            _VIEWS[key] = fn(spark, sf_dir)
-        return _VIEWS[key]
+        key, state = (app_key(spark), sf_dir.rstrip("/"), fn.__name__), listing(spark, sf_dir)
+        if key not in _VIEWS or _VIEWS[key][0] != state:
+            _VIEWS[key] = state, fn(spark, sf_dir)
+        return _VIEWS[key][1]
 
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
@@ -55,13 +68,13 @@ def memo(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet reader, memoized per application and path (file listing and
-    footer reads happen once; the DataFrame itself holds no data)."""
+    """Lazy parquet reader, kept per application and path while the listing stays the same
+    (the DataFrame itself holds no data)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (app_key(spark), path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+    key, state = (app_key(spark), path), listing(spark, path)
+    if key not in _READERS or _READERS[key][0] != state:
+        _READERS[key] = state, spark.read.parquet(path)
+    return _READERS[key][1]
 
 
 @memo
@@ -100,7 +113,7 @@ def cases(spark, sf_dir) -> DataFrame:
             cal.date_to_year("day").alias("year"),
             cal.date_to_week("day").alias("week"),
         )
-        .agg(F.count(F.lit(1)).alias("cases"), (F.sum("o_totalprice") / 1000.0).alias("cases_est"))
+        .agg(F.count(F.lit(1)).alias("cases"), (F.sum(F.col("o_totalprice").cast(MONEY)).cast("double") / 1000.0).alias("cases_est"))
     )
     return weekly.join(pop, "region").select(
         F.col("geocode").cast("int").alias("geocode"),
@@ -122,7 +135,7 @@ def cases_all(spark, sf_dir) -> DataFrame:
     # population total as a scalar subquery (one aggregated value, no join)
     customers = table(spark, sf_dir, "customer").select(F.count(F.lit(1))).scalar()
     weekly = o.groupBy(cal.date_to_year("day").alias("year"), cal.date_to_week("day").alias("week")).agg(
-        F.count(F.lit(1)).alias("cases"), (F.sum("o_totalprice") / 1000.0).alias("cases_est")
+        F.count(F.lit(1)).alias("cases"), (F.sum(F.col("o_totalprice").cast(MONEY)).cast("double") / 1000.0).alias("cases_est")
     )
     return weekly.select(
         "year",
@@ -133,16 +146,25 @@ def cases_all(spark, sf_dir) -> DataFrame:
     )
 
 
+# Daily values are decimals: sums and means over a week are then exact, whatever the order
+# of its days, and equal weeks rank as equal.
+EXACT, MONEY = "decimal(20,9)", "decimal(18,6)"
+
+
 def _daily_aggs():
     return [
-        F.avg("l_quantity").alias("qty_mean"),
-        F.max("l_quantity").alias("qty_max"),
-        F.min("l_quantity").alias("qty_min"),
-        F.sum("l_extendedprice").alias("price_sum"),
-        (F.avg("l_discount") * 100.0).alias("disc_pct"),
+        F.avg("l_quantity").cast(EXACT).alias("qty_mean"),
+        F.max("l_quantity").cast(EXACT).alias("qty_max"),
+        F.min("l_quantity").cast(EXACT).alias("qty_min"),
+        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("price_sum"),
+        (F.sum(F.col("l_discount").cast(MONEY)).cast("double") / F.count("l_discount") * 100.0).cast(EXACT).alias("disc_pct"),
     ]
 
 
+def _doubles(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 @memo
 def supplier_region(spark, sf_dir) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -153,6 +175,12 @@ def supplier_region(spark, sf_dir) -> DataFrame:
 @memo
 def daily(spark, sf_dir) -> DataFrame:
     """Daily drivers per (supplier) region."""
+    return _doubles(daily_exact(spark, sf_dir), DAILY_VARS)
+
+
+@memo
+def daily_exact(spark, sf_dir) -> DataFrame:
+    """Daily drivers per (supplier) region, as decimals."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", F.to_date("l_shipdate").alias("day")
     )
@@ -162,18 +190,23 @@ def daily(spark, sf_dir) -> DataFrame:
 
 @memo
 def daily_all(spark, sf_dir) -> DataFrame:
+    return _doubles(daily_all_exact(spark, sf_dir), DAILY_VARS)
+
+
+@memo
+def daily_all_exact(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy(F.to_date("l_shipdate").alias("day")).agg(*_daily_aggs())
 
 
 @memo
 def weekly(spark, sf_dir) -> DataFrame:
-    return weekly_rollup(daily(spark, sf_dir), keys=["region"])
+    return weekly_rollup(daily_exact(spark, sf_dir), keys=["region"])
 
 
 @memo
 def weekly_all(spark, sf_dir) -> DataFrame:
-    return weekly_rollup(daily_all(spark, sf_dir))
+    return weekly_rollup(daily_all_exact(spark, sf_dir))
 
 
 @memo
@@ -223,7 +256,8 @@ def sat_daily(spark, sf_dir) -> DataFrame:
 
 @memo
 def sat_weekly(spark, sf_dir) -> DataFrame:
-    return weekly_rollup(sat_daily(spark, sf_dir), keys=["region"])
+    exact = sat_daily(spark, sf_dir).withColumns({c: F.col(c).cast(EXACT) for c in SAT_VARS})
+    return weekly_rollup(exact, keys=["region"])
 
 
 @memo
@@ -240,23 +274,26 @@ def event_pixels(spark, sf_dir) -> DataFrame:
 
 
 # ------------------------------------------------------------------ tables at rest
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], tuple[object, DataFrame]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The weekly table `name` as a table at rest: computed from the whole raw tables
-    on first use in the session, written as parquet below the shared checkpoint
-    folder, then read back by every analysis. This is the original's design (collect
-    once into tables, analyse many times) and at scale it is what keeps each analysis
-    from re-aggregating the raw daily/pixel data; it also cuts the lineage, so a lost
-    executor re-reads the table instead of recomputing the roll-ups.
+    on first use in the session, and again after the source folder changed, written as
+    parquet below the shared checkpoint folder, then read back by every analysis. This is
+    the original's design (collect once into tables, analyse many times) and at scale it is
+    what keeps each analysis from re-aggregating the raw daily/pixel data; it also cuts the
+    lineage, so a lost executor re-reads the table instead of recomputing the roll-ups.
     """
-    key = (app_key(spark), sf_dir.rstrip("/"), name)
-    if key not in _STORED:
+    base, state = (app_key(spark), sf_dir.rstrip("/")), listing(spark, sf_dir)
+
+    def fresh(n):
+        return (*base, n) in _STORED and _STORED[*base, n][0] == state
+
+    if not fresh(name):
         group = next((g for g in COLLECTED_TOGETHER if name in g), (name,))
-        missing = [n for n in group if (app_key(spark), sf_dir.rstrip("/"), n) not in _STORED]
-        _materialize(spark, sf_dir, missing)
-    return _STORED[key]
+        _materialize(spark, sf_dir, [n for n in group if not fresh(n)], state)
+    return _STORED[*base, name][1]
 
 
 # tables the original collects in one run; the first request materializes the whole
@@ -264,7 +301,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 COLLECTED_TOGETHER = (("cases", "weekly", "sat_weekly"), ("cases_all", "weekly_all"))
 
 
-def _materialize(spark: SparkSession, sf_dir: str, names) -> None:
+def _materialize(spark: SparkSession, sf_dir: str, names, state) -> None:
     from multiprocessing.pool import ThreadPool
 
     from pyspark.util import inheritable_thread_target
@@ -280,7 +317,7 @@ def _materialize(spark: SparkSession, sf_dir: str, names) -> None:
     else:
         done = [one(n) for n in names]
     for name, path in done:
-        _STORED[(app_key(spark), sf_dir.rstrip("/"), name)] = spark.read.parquet(path)
+        _STORED[app_key(spark), sf_dir.rstrip("/"), name] = state, spark.read.parquet(path)
 
 
 def cases_t(spark, sf_dir) -> DataFrame:

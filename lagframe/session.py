@@ -7,7 +7,9 @@ when the session has none (local tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,7 +45,8 @@ def app_key(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root; set a private one only when unset."""
+    """Return the shared checkpoint root. Only a local session without one gets a private
+    folder, which goes when the process ends; on a cluster the folder must be named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -52,7 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lagframe-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -4,14 +4,16 @@ and JSON payloads with parallel daily arrays (A3).
 Network collection is out of scope: files are expected to have landed under a
 root folder partitioned as ``geocode=<code>/year=<yyyy>/*.csv``. Partition
 discovery plus the filters on code and year prune whole folders before any file
-is opened. Malformed rows are split into a reject frame instead of failing the job.
+is opened. Columns are found by name; lines that do not fit go to a reject frame
+instead of failing the job, so that rows and rejects together are all lines read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +34,12 @@ CASE_FILE_SCHEMA = T.StructType(
 
 
 def land_case_csv(df: DataFrame, root: str, code_col: str = "geocode", year_col: str = "year") -> None:
-    """Write weekly rows as landed CSV files partitioned by (geocode, year)."""
+    """Write weekly rows as landed CSV files partitioned by (geocode, year); rows of one
+    folder are brought together first, so that a folder gets one file."""
     cols = [f.name for f in CASE_FILE_SCHEMA.fields]
     (
         df.select(F.col(code_col).alias("geocode"), F.col(year_col).alias("year"), *cols)
+        .repartition("geocode", "year")
         .write.mode("overwrite")
         .partitionBy("geocode", "year")
         .option("header", True)
@@ -43,6 +47,40 @@ def land_case_csv(df: DataFrame, root: str, code_col: str = "geocode", year_col:
     )
 
 
+# a comma outside double quotes
+FIELD_END = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _fields(line: Column) -> Column:
+    """Fields of a CSV line, unquoted and trimmed; quoted line breaks are not supported."""
+    return F.transform(F.split(line, FIELD_END, -1), lambda f: F.regexp_replace(F.regexp_replace(F.trim(f), '^"(.*)"$', "$1"), '""', '"'))
+
+
+def parse_case_lines(lines: DataFrame, schema: T.StructType = CASE_FILE_SCHEMA, year_bounds: tuple[int, int] = YEAR_BOUNDS) -> DataFrame:
+    """Lines (value, file, ...) of case files -> their data lines with the columns of
+    ``schema``, ``_y``, ``_w`` and ``_ok``.
+
+    Columns are found by the names in each file's header line, the one that holds all names
+    of ``schema``, in any order and among others. A line is not ok if its file has no such
+    header, it has another number of fields than the header, a value does not convert, or
+    its week code is invalid. Blank lines and headers are no data lines.
+    """
+    names = [f.name for f in schema.fields]
+    split = lines.withColumn("_f", _fields(F.regexp_replace("value", "^\ufeff", ""))).filter(F.trim("value") != "")
+    is_header = F.size(F.array_intersect("_f", F.array(*[F.lit(n) for n in names]))) == len(names)
+    headers = split.filter(is_header).groupBy("file").agg(F.min("_f").alias("_h"))
+    data = split.filter(~is_header).join(headers, "file", "left")
+    whole = F.coalesce(F.size("_f") == F.size("_h"), F.lit(False))
+    values, fits = {}, whole
+    for f in schema.fields:
+        raw = F.when(whole, F.get("_f", (F.array_position("_h", f.name) - 1).cast("int")))
+        raw = F.when(raw != "", raw)
+        values[f.name] = raw.try_cast(f.dataType)
+        fits = fits & (raw.isNull() | values[f.name].isNotNull())
+    y, w, ok = parse_yearweek(values["se"], year_bounds)
+    return data.withColumns({**values, "_y": y, "_w": w, "_ok": fits & ok}).withColumn(CORRUPT, F.when(~F.col("_ok"), F.col("value"))).drop("_f", "_h", "value")
+
+
 def _places_frame(spark: SparkSession, places) -> DataFrame:
     if isinstance(places, DataFrame):
         return places.select(F.col("place").cast("string"), F.col("geocode").cast("int"))
@@ -63,29 +101,23 @@ def ingest_case_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """Read landed weekly case files for the given places and inclusive year range (A1, A2).
 
-    Returns (rows, rejects). rows carry ``place`` and ``geocode`` from the place map
-    plus the parsed (year, week) of ``se``; rejects hold malformed lines and
-    unparseable week codes. Missing years/places simply contribute no files.
+    Returns (rows, rejects), which together hold every data line. rows carry ``place`` and
+    ``geocode`` from the place map plus the parsed (year, week) of ``se``; rejects hold the
+    lines that ``parse_case_lines`` does not accept. Missing years, places or the whole root
+    contribute no files.
     """
     if year_from > year_to:
         raise ValueError(f"year_from ({year_from}) must be <= year_to ({year_to})")
-    read_schema = T.StructType(
-        list(schema.fields)
-        + [T.StructField(CORRUPT, T.StringType()), T.StructField("geocode", T.IntegerType()), T.StructField("year", T.IntegerType())]
-    )
-    raw = (
-        spark.read.schema(read_schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("basePath", root)
-        .csv(root)
-        .filter(F.col("year").between(year_from, year_to))
-    )
+    read_schema = "value string, geocode int, year int"
+    try:
+        raw = spark.read.schema(read_schema).option("basePath", root).text(root).select("*", F.col("_metadata.file_path").alias("file"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame([], read_schema + ", file string")
+    raw = raw.filter(F.col("year").between(year_from, year_to))
     pl = _places_frame(spark, places)
-    raw = raw.join(pl, "geocode")  # dimension of places: planner broadcasts it from its size
-    y, w, ok = parse_yearweek(F.col("se"), year_bounds)
-    parsed = raw.withColumns({"_y": y, "_w": w, "_ok": ok & F.col(CORRUPT).isNull()})
+    parsed = parse_case_lines(raw, schema, year_bounds).join(pl, "geocode")  # the planner sizes the place dimension
     rows = parsed.filter("_ok").select(
         "geocode",
         "place",

@@ -10,6 +10,7 @@ Inserted row counts come from ``observe()`` on the write itself, not a second sc
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,53 +22,59 @@ from ..functions.scalars import normalize_nans
 
 LOADED_AT = "loaded_at"
 
-SCHEMAS: dict[str, T.StructType] = {
-    "cases_raw": T.StructType(
-        [
-            T.StructField("geocode", T.IntegerType(), False),
-            T.StructField("place", T.StringType(), False),
-            T.StructField("se", T.IntegerType(), False),
-            T.StructField("year", T.IntegerType(), False),
-            T.StructField("week", T.IntegerType(), False),
-            T.StructField("cases", T.LongType()),
-            T.StructField("cases_est", T.DoubleType()),
-            T.StructField("level", T.IntegerType()),
-            T.StructField("incidence", T.DoubleType()),
-            T.StructField(LOADED_AT, T.TimestampType()),
-        ]
-    ),
-    "daily_climate": T.StructType(
-        [
-            T.StructField("latitude", T.DoubleType(), False),
-            T.StructField("longitude", T.DoubleType(), False),
-            T.StructField("day", T.DateType(), False),
-            *[T.StructField(v, T.DoubleType()) for v in ("qty_mean", "qty_max", "qty_min", "price_sum", "disc_pct")],
-            T.StructField(LOADED_AT, T.TimestampType()),
-        ]
-    ),
-    "weekly_climate": T.StructType(
-        [
-            T.StructField("latitude", T.DoubleType(), False),
-            T.StructField("longitude", T.DoubleType(), False),
-            T.StructField("year", T.IntegerType(), False),
-            T.StructField("week", T.IntegerType(), False),
-            *[T.StructField(v, T.DoubleType()) for v in ("qty_mean", "qty_max", "qty_min", "price_sum", "disc_pct")],
-            T.StructField("valid_days", T.IntegerType()),
-            T.StructField(LOADED_AT, T.TimestampType()),
-        ]
-    ),
-    "weekly_satellite": T.StructType(
-        [
-            T.StructField("place", T.StringType(), False),
-            T.StructField("year", T.IntegerType(), False),
-            T.StructField("week", T.IntegerType(), False),
-            T.StructField("ndvi", T.DoubleType()),
-            T.StructField("lst_night_c", T.DoubleType()),
-            T.StructField("valid_days", T.IntegerType()),
-            T.StructField(LOADED_AT, T.TimestampType()),
-        ]
-    ),
-}
+CLIMATE_VARS = ("qty_mean", "qty_max", "qty_min", "price_sum", "disc_pct")
+
+
+def table_schemas(climate_vars: Sequence[str] = CLIMATE_VARS) -> dict[str, T.StructType]:
+    """Schemas of the four tables; the climate tables hold the named variables."""
+    return {
+        "cases_raw": T.StructType(
+            [
+                T.StructField("geocode", T.IntegerType(), False),
+                T.StructField("place", T.StringType(), False),
+                T.StructField("se", T.IntegerType(), False),
+                T.StructField("year", T.IntegerType(), False),
+                T.StructField("week", T.IntegerType(), False),
+                T.StructField("cases", T.LongType()),
+                T.StructField("cases_est", T.DoubleType()),
+                T.StructField("level", T.IntegerType()),
+                T.StructField("incidence", T.DoubleType()),
+                T.StructField(LOADED_AT, T.TimestampType()),
+            ]
+        ),
+        "daily_climate": T.StructType(
+            [
+                T.StructField("latitude", T.DoubleType(), False),
+                T.StructField("longitude", T.DoubleType(), False),
+                T.StructField("day", T.DateType(), False),
+                *[T.StructField(v, T.DoubleType()) for v in climate_vars],
+                T.StructField(LOADED_AT, T.TimestampType()),
+            ]
+        ),
+        "weekly_climate": T.StructType(
+            [
+                T.StructField("latitude", T.DoubleType(), False),
+                T.StructField("longitude", T.DoubleType(), False),
+                T.StructField("year", T.IntegerType(), False),
+                T.StructField("week", T.IntegerType(), False),
+                *[T.StructField(v, T.DoubleType()) for v in climate_vars],
+                T.StructField("valid_days", T.IntegerType()),
+                T.StructField(LOADED_AT, T.TimestampType()),
+            ]
+        ),
+        "weekly_satellite": T.StructType(
+            [
+                T.StructField("place", T.StringType(), False),
+                T.StructField("year", T.IntegerType(), False),
+                T.StructField("week", T.IntegerType(), False),
+                T.StructField("ndvi", T.DoubleType()),
+                T.StructField("lst_night_c", T.DoubleType()),
+                T.StructField("valid_days", T.IntegerType()),
+                T.StructField(LOADED_AT, T.TimestampType()),
+            ]
+        ),
+    }
+
 
 CASE_REQUIRED = ("geocode", "place", "se", "cases", "cases_est", "level", "incidence")
 
@@ -78,25 +85,47 @@ def _require(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
+MARK = "[lagframe] "
+
+
+def _fail(message: str, kind: T.DataType):
+    """An expression that fails the write with ``message``."""
+    return F.raise_error(F.lit(f"{MARK}{message}{MARK}")).cast(kind)
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 class Store:
-    """A set of parquet tables under `root`, registered in the session catalog."""
-
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "", year_bounds: tuple[int, int] = YEAR_BOUNDS):
+    """A set of parquet tables under `root`, registered in the session catalog. The climate
+    tables hold the variables named in `climate_vars`."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        prefix: str = "",
+        year_bounds: tuple[int, int] = YEAR_BOUNDS,
+        climate_vars: Sequence[str] = CLIMATE_VARS,
+    ):
+        self.schemas = table_schemas(climate_vars)
         self.year_bounds = year_bounds
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
 
+    def drop(self) -> None:
+        """Take the tables out of the session catalog; their files stay."""
+        for t in self.schemas:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(t)}")
+
     def name(self, table: str) -> str:
         return f"{self.prefix}{table}"
 
     def create_schema(self) -> None:
         """Create every table if it does not exist (idempotent) (A5)."""
-        for t, s in SCHEMAS.items():
+        for t, s in self.schemas.items():
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(t)} ({_ddl(s)}) USING parquet LOCATION '{self.root}/{t}'"
             )
@@ -105,29 +134,34 @@ class Store:
         return self.spark.table(self.name(t))
 
     def _insert(self, t: str, df: DataFrame, mode: str = "append") -> int:
-        schema = SCHEMAS[t]
+        schema = self.schemas[t]
         stamped = df.withColumn(LOADED_AT, F.current_timestamp())
         nonnull = [f.name for f in schema.fields if not f.nullable]
-        # NOT NULL is not enforced by parquet tables: reject explicitly, before writing
-        if nonnull:
-            bad = stamped.filter(" OR ".join(f"`{c}` IS NULL" for c in nonnull)).limit(1).count()
-            if bad:
-                raise ValueError(f"NULL in NOT NULL column(s) {nonnull} of {t}")
-        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        _require(stamped, nonnull)
+        # NOT NULL is not enforced by parquet tables: the write itself fails on a NULL, so the
+        # input is evaluated once; a failed write commits nothing
+        cols = []
+        for f in schema.fields:
+            c = (F.col(f.name) if f.name in stamped.columns else F.lit(None)).cast(f.dataType)
+            if not f.nullable:
+                c = F.when(c.isNull(), _fail(f"NULL in NOT NULL column {f.name} of {t}", f.dataType)).otherwise(c)
+            cols.append(c.alias(f.name))
         obs = Observation(f"insert_{t}")
         out = stamped.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-        out.write.insertInto(self.name(t), overwrite=(mode == "overwrite"))
+        try:
+            out.write.insertInto(self.name(t), overwrite=(mode == "overwrite"))
+        except Exception as e:
+            if found := re.search(f"{re.escape(MARK)}(.*?){re.escape(MARK)}", str(e)):
+                raise ValueError(found[1]) from e
+            raise
         return int(obs.get["rows"])
 
     def append_cases(self, df: DataFrame) -> int:
         """Append weekly case rows; parses se into (year, week); returns rows inserted."""
         _require(df, CASE_REQUIRED)
         y, w, ok = parse_yearweek(F.col("se"), self.year_bounds)
-        d = normalize_nans(df).withColumns({"year": y, "week": w, "_ok": ok})
-        bad = d.filter(~F.col("_ok")).limit(1).count()
-        if bad:
-            raise ValueError("invalid se (YYYYWW) values in case rows")
-        return self._insert("cases_raw", d.withColumn("se", F.col("se").cast("int")))
+        year = F.when(ok, y).otherwise(_fail("invalid se (YYYYWW) values in case rows", T.IntegerType()))
+        return self._insert("cases_raw", normalize_nans(df).withColumns({"year": year, "week": w, "se": F.col("se").cast("int")}))
 
     def append_daily(self, df: DataFrame, latitude: float, longitude: float) -> int:
         """Append daily climate for one point."""
@@ -169,10 +203,11 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_col: str = LOADED_AT,
 
     Implemented as a ``max_by`` aggregate rather than a row_number window: partial
     aggregation collapses copies map-side, so a key holding a third of all rows
-    never lands whole in one task. Ties on `order_col` go to the largest `tiebreak`.
+    never lands whole in one task. Ties on `order_col` go to the largest `tiebreak`, then
+    to the row with the larger hash, so the result does not depend on the order of rows.
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(F.col(order_col), *[F.col(c) for c in tiebreak])
+    ordering = F.struct(F.col(order_col), *[F.col(c) for c in tiebreak], F.xxhash64(*others))
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_latest"))
     return agg.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in others])

@@ -14,10 +14,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.calendar import YEAR_BOUNDS, parse_yearweek
-from ..sources.landed import CASE_FILE_SCHEMA, _places_frame
+from ..functions.calendar import YEAR_BOUNDS
+from ..sources.landed import CASE_FILE_SCHEMA, CORRUPT, _places_frame, parse_case_lines
 from ..sources.tables import Store
 
 
@@ -29,24 +28,30 @@ def stream_case_files(
     checkpoint: str,
     year_bounds: tuple[int, int] = YEAR_BOUNDS,
     max_files_per_trigger: int | None = None,
+    rejects: str | None = None,
 ) -> int:
-    """Load every not-yet-seen landed case file into ``store``; returns rows appended."""
-    schema = T.StructType(
-        list(CASE_FILE_SCHEMA.fields) + [T.StructField("geocode", T.IntegerType()), T.StructField("year", T.IntegerType())]
-    )
-    reader = spark.readStream.schema(schema).option("header", True)
+    """Load every not-yet-seen landed case file into ``store``; returns rows appended.
+
+    Lines that do not fit are appended to the parquet folder ``rejects`` (default: beside
+    the checkpoint), with their file and batch.
+    """
+    reader = spark.readStream.schema("value string, geocode int, year int")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.csv(root)
+    stream = reader.text(root).select("*", F.col("_metadata.file_path").alias("file"))
+    bad = rejects or checkpoint.rstrip("/") + "-rejects"
     pl = _places_frame(spark, places)
     appended = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        y, w, ok = parse_yearweek(F.col("se"), year_bounds)
-        rows = batch.join(pl, "geocode").filter(ok).select(
-            "geocode", "place", F.col("se").cast("int").alias("se"), "cases", "cases_est", "level", "incidence"
-        )
-        appended.append(store.append_cases(rows))
+        parsed = parse_case_lines(batch, CASE_FILE_SCHEMA, year_bounds).join(pl, "geocode").persist()
+        try:
+            rows = parsed.filter("_ok").select("geocode", "place", F.col("se").cast("int").alias("se"), "cases", "cases_est", "level", "incidence")
+            appended.append(store.append_cases(rows))
+            wrong = parsed.filter(~F.col("_ok")).select("geocode", "place", "year", "se", CORRUPT, "file", F.lit(batch_id).alias("batch"))
+            wrong.write.mode("append").parquet(bad)
+        finally:
+            parsed.unpersist()
 
     q = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()

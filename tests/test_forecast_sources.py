@@ -156,13 +156,7 @@ def test_frames_helpers(spark):
     assert (d.p25, d.p50, d.p75) == (1.75, 2.5, 4.75)
 
 
-def test_describe_approx_and_ensure_parallelism(spark):
-    from lagframe.operators.frames import ensure_parallelism
-
+def test_describe_approx(spark):
     df = spark.createDataFrame([(float(v),) for v in range(1, 101)], "x double")
     d = describe(df, ["x"], exact=False).first()
     assert d["count"] == 100 and d.min == 1.0 and d.max == 100.0 and 49.0 <= d.p50 <= 51.0
-    one = df.coalesce(1)
-    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
-    many = df.repartition(6)
-    assert ensure_parallelism(many, 4) is many  # already parallel enough: no shuffle added

@@ -8,30 +8,36 @@ from lagframe.operators.rollup import daily_outer, daily_spine_ffill, weekly_rol
 
 from .conftest import rows
 
-DAILY = "day date, temperature_2m_mean double, temperature_2m_max double, temperature_2m_min double, precipitation_sum double, relative_humidity_2m_mean double"
+DAILY = "day date, wind double, gust_max double, snow_sum double, calm boolean"
 
 
 def test_rollup_one_week(spark):
-    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(7)]
-    mean = [25.0, 26.0, 27.0, 28.0, 29.0, 30.0, 31.0]
-    rain = [10.0, 5.0, 0.0, 15.0, 0.0, 0.0, 20.0]
-    df = spark.createDataFrame([(d, m, 30.0, 20.0, r, 80.0) for d, m, r in zip(days, mean, rain)], DAILY)
-    out = weekly_rollup(df).collect()
-    assert len(out) == 1
-    r = out[0]
-    assert (r.year, r.week) == (2024, 1)
-    assert r.temperature_2m_mean == 28.0
-    assert r.precipitation_sum == 50.0
-    assert r.valid_days == 7
+    monday = dt.date(2023, 3, 6)
+    wind = [3.5, 1.25, 0.75, 6.0, 2.5, 4.0, 8.25]
+    df = spark.createDataFrame([(monday + dt.timedelta(days=i), w, 2 * w, 0.125 * i, i < 2) for i, w in enumerate(wind)], DAILY)
+    (r,) = weekly_rollup(df).collect()
+    assert (r.year, r.week, r.valid_days) == (2023, 10, 7)
+    assert (r.wind, r.gust_max, r.snow_sum) == (3.75, 7.5, 2.625)
+    assert r.calm == pytest.approx(2 / 7)  # booleans are averaged
 
 
 def test_rollup_two_iso_weeks_and_rules(spark):
     days = [dt.date(2020, 12, 30), dt.date(2020, 12, 31), dt.date(2021, 1, 1), dt.date(2021, 1, 4)]
-    df = spark.createDataFrame([(d, 20.0 + i, 25.0, 15.0, None, 70.0) for i, d in enumerate(days)], DAILY).withColumn("label", F.lit("x"))
+    df = spark.createDataFrame([(d, 1.0 + i, None, None, None) for i, d in enumerate(days)], DAILY).withColumn("label", F.lit("x"))
     out = {(r.year, r.week): r for r in weekly_rollup(df).collect()}
     assert set(out) == {(2020, 53), (2021, 1)}
-    assert out[(2020, 53)].precipitation_sum == 0.0  # all-missing week sums to 0, like the original
-    assert "label" not in weekly_rollup(df).columns  # non-numeric columns dropped
+    assert out[(2020, 53)].snow_sum == 0.0  # an all-missing week sums to 0
+    assert out[(2020, 53)].wind == 2.0 and out[(2021, 1)].wind == 4.0
+    assert "label" not in weekly_rollup(df).columns  # text columns are dropped
+
+
+def test_rollup_of_decimals_is_exact_in_any_order(spark):
+    monday = dt.date(2023, 3, 6)
+    values = ["0.100000000", "0.200000000", "0.300000000", "1000000.000000001", "0.700000000"]
+    rows_ = [(p, monday + dt.timedelta(days=i), v) for p, vs in (("a", values), ("b", values[::-1])) for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows_, "place string, day date, v string").withColumn("v", F.col("v").cast("decimal(20,9)"))
+    got = {r.place: r.v for r in weekly_rollup(df, keys="place").collect()}
+    assert got["a"] == got["b"] == 1000001.300000001 / 5
 
 
 def test_rollup_nan_is_missing_and_keys(spark):
@@ -50,15 +56,10 @@ def test_rollup_requires_date(spark):
 
 
 def test_spine_forward_fill(spark):
-    comp = spark.createDataFrame(
-        [(dt.date(2024, 1, 1), 5000), (dt.date(2024, 1, 17), 6000), (dt.date(2024, 2, 2), 7000)], "day date, NDVI int"
-    ).select("day", scale_ndvi("NDVI").alias("ndvi"))
-    out = daily_spine_ffill(comp, "2024-01-01", "2024-01-31").orderBy("day").collect()
-    assert len(out) == 31
-    assert out[0].ndvi == pytest.approx(0.5)
-    assert out[9].ndvi == pytest.approx(0.5)
-    assert out[16].ndvi == pytest.approx(0.6)
-    assert all(r.ndvi != pytest.approx(0.7) for r in out)  # the Feb 2 composite is outside
+    composites = [(dt.date(2022, 6, 3), 1234), (dt.date(2022, 6, 11), 4321), (dt.date(2022, 7, 1), 9999)]
+    comp = spark.createDataFrame(composites, "day date, dn int").select("day", scale_ndvi("dn").alias("ndvi"))
+    out = daily_spine_ffill(comp, "2022-06-01", "2022-06-20").orderBy("day").collect()
+    assert [r.ndvi for r in out] == [None] * 2 + [pytest.approx(0.1234)] * 8 + [pytest.approx(0.4321)] * 10
 
 
 def test_spine_leading_nulls_per_zone(spark):
@@ -69,9 +70,16 @@ def test_spine_leading_nulls_per_zone(spark):
 
 
 def test_kelvin_dn_to_celsius(spark):
-    df = spark.createDataFrame([(14750.0,), (15000.0,)], "LST_Night_1km double")
-    got = [r[0] for r in df.select(scale_lst("LST_Night_1km")).collect()]
-    assert got == [pytest.approx(21.85), pytest.approx(26.85)]
+    df = spark.createDataFrame([(13657.5,), (0.0,), (None,)], "dn double")
+    got = [r[0] for r in df.select(scale_lst("dn")).collect()]
+    assert got == [pytest.approx(0.0), pytest.approx(-273.15), None]
+
+
+def test_zonal_mean_footprint(spark):
+    px = spark.createDataFrame([(x, y, float(10 * x + y)) for x in range(4) for y in range(4)], "x int, y int, dn double")
+    px = px.withColumns({"zone": F.lit("z"), "band": F.lit("B"), "image_date": F.lit("2024-01-01").cast("date")})
+    (r,) = zonal_mean(px, bbox={"x": "x", "y": "y", "xmin": 1, "xmax": 2, "ymin": 0, "ymax": 1}).collect()
+    assert r.mean_dn == pytest.approx((10 + 11 + 20 + 21) / 4)
 
 
 def test_zonal_mean_weights_and_nulls(spark):
@@ -95,6 +103,15 @@ def test_fold_accents(spark):
     assert df.select(fold_accents("t")).first()[0] == "Cordoba Acores Besancon Nandu Okonomie straße Ωα и"
 
 
+def test_fold_accents_of_other_scripts(spark):
+    import unicodedata
+
+    texts = ["שָׁלוֹם", "ваше҃", "क़ज़", "ガギ プ", "e\u20d7x", "a\u0301\u0323", "ǟ ṩ ệ", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = [t and "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn") for t in texts]
+    assert [r[0] for r in df.select(fold_accents("t")).collect()] == want
+
+
 def test_spine_carry_zones_and_outside_rows(spark):
     obs = spark.createDataFrame(
         [("z1", dt.date(2024, 1, 2), 0.3, None), ("z1", dt.date(2024, 1, 3), None, 20.0), ("z1", dt.date(2024, 1, 9), 0.9, 25.0)],

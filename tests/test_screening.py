@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lagframe.operators import screening as S
 
@@ -56,8 +57,8 @@ def test_vif_matches_ols(spark, frame):
 
     got = {r.variable: r.vif for r in S.vif(df, ["x", "z", "w"]).collect()}
     assert got == {"x": ols_vif(0), "z": ols_vif(1), "w": ols_vif(2)}
-    got3 = {r.variable: r.vif for r in S.vif3(df, ["x", "z", "w"]).collect()}
-    assert got3 == got
+    keyed = S.vif(df.withColumn("place", F.lit("p")), ["x", "z", "w"], keys="place").collect()
+    assert {r.variable: r.vif for r in keyed} == got and {r.place for r in keyed} == {"p"}
 
 
 def test_vif_constant_and_single(spark):
@@ -96,3 +97,15 @@ def test_recommend_features(spark, frame):
     df, _ = frame
     t = S.partial_table(df, "y", {"x": "x", "z": "z", "w": "w"}, [("x", "z"), ("w", "x")])
     assert [r.variable for r in S.recommend_features(t).collect()] == ["x"]
+
+
+def test_vif_collinear_and_infinite(spark):
+    rows = [(float(i), 3.0 * i + 1.0, float(i * i % 7), 5.0, float(i % 3) + float(i * i % 7)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, d double")
+    got = {r.variable: (r.vif, r.status) for r in S.vif(df, ["a", "b", "c", "k"]).collect()}
+    assert got["a"] == got["b"] == (float("inf"), "high") and got["k"] == (1.0, "ok") and got["c"][0] < 2
+    three = df.withColumn("e", F.col("c") + F.col("d"))  # one of three determines the others
+    assert {r.vif for r in S.vif(three, ["c", "d", "e"]).collect()} == {float("inf")}
+    bad = df.withColumn("a", F.when(F.col("a") == 3.0, F.lit(float("inf"))).otherwise(F.col("a")))
+    assert {r.variable: r.vif for r in S.vif(bad, ["a", "c", "k"]).collect()}["a"] is None
+    assert [tuple(r) for r in S.partial_corr(bad, "a", "c", "d").select("r_partial", "p_value").collect()] == [(None, None)]
