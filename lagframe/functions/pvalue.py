@@ -15,6 +15,7 @@ Either way it only runs on aggregated rows (one per group), never per input row.
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column
@@ -100,8 +101,9 @@ def jvm_beta_available(spark=None) -> bool:
                     F.java_method(F.lit(BETA_CLASS), F.lit("regularizedBeta"), F.lit(0.5), F.lit(1.0), F.lit(0.5))
                 ).first()
                 ok = row is not None and row[0] is not None
-            except Exception:  # noqa: BLE001 - any failure means: use the fallback
+            except Exception as e:  # noqa: BLE001 - any failure means: use the fallback
                 ok = False
+                logging.getLogger(__name__).warning("p-values use the continued fraction: %s is not usable (%s)", BETA_CLASS, str(e)[:200])
         _AVAILABLE[key] = ok
     return _AVAILABLE[key]
 

@@ -27,6 +27,9 @@ BASELINE_WINDOW = 4
 AR_LAGS = (1, 2, 3, 4)
 # Forest parameters of the original study.
 FOREST = dict(num_trees=200, max_depth=8, min_leaf=5, seed=42)
+# Candidate cuts per feature. MLlib bins continuous features; with as many bins as distinct
+# values every cut between neighbours is a candidate, as in an exact split search.
+MAX_BINS = 512
 # MLlib training knobs (do not change the fitted model): node ids cached between
 # levels instead of re-derived from the trees, and a larger per-pass node budget so
 # a level of all 200 trees is split in fewer passes over the data.
@@ -119,16 +122,23 @@ def model_frame(
     return f.dropna()
 
 
-def _forest(features: Sequence[str], label: str, pred: str, params: Mapping):
-    from pyspark.ml import Pipeline
+LABEL = "_label"
+
+
+def _assembled(df: DataFrame, features: Sequence[str], out: str) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
+
+
+def _forest(vector: str, pred: str, params: Mapping):
     from pyspark.ml.regression import RandomForestRegressor
 
-    va = VectorAssembler(inputCols=list(features), outputCol=f"_vec_{pred}")
-    rf = RandomForestRegressor(
-        featuresCol=f"_vec_{pred}",
-        labelCol=label,
+    return RandomForestRegressor(
+        featuresCol=vector,
+        labelCol=LABEL,
         predictionCol=pred,
+        maxBins=int(params.get("max_bins", MAX_BINS)),
         numTrees=int(params["num_trees"]),
         maxDepth=int(params["max_depth"]),
         minInstancesPerNode=int(params["min_leaf"]),
@@ -137,7 +147,6 @@ def _forest(features: Sequence[str], label: str, pred: str, params: Mapping):
         maxMemoryInMB=int(params.get("max_memory_mb", TRAINING["max_memory_mb"])),
         cacheNodeIds=bool(params.get("cache_node_ids", TRAINING["cache_node_ids"])),
     )
-    return Pipeline(stages=[va, rf])
 
 
 def walk_forward_rf(
@@ -168,6 +177,8 @@ def walk_forward_rf(
     f = baseline_forecast(frame, target, baseline_window, keys)
     f = walk_forward_folds(f, keys, min_train)
     f = f.withColumn("_idx", cal.week_index(F.col(YEAR), F.col(WEEK), system))
+    f = _assembled(_assembled(f, climate_features, "_vec_climate"), full_features, "_vec_full")
+    f = f.withColumn(LABEL, F.col(target).cast("double"))
     f = f.checkpoint(eager=True)  # reliable checkpoint: reused by every fold
     t0 = f.filter("is_test").agg(F.min("_idx")).first()[0]
     schema = T.StructType(
@@ -185,14 +196,13 @@ def walk_forward_rf(
         return frame.sparkSession.createDataFrame([], schema)
     test = f.filter("is_test").withColumn("_fold", F.floor((F.col("_idx") - t0) / refit_every).cast("int"))
     folds = [r[0] for r in test.select("_fold").distinct().orderBy("_fold").collect()]  # bounded by weeks / refit_every
-    label = "_label"
 
     def fit(task):
-        k, features, pred = task
-        train = f.filter(F.col("_idx") < t0 + k * refit_every).withColumn(label, F.col(target).cast("double"))
-        return (k, pred), _forest(features, label, pred, params).fit(train)
+        k, vector, pred = task
+        train = f.filter(F.col("_idx") < t0 + k * refit_every).select(vector, LABEL)
+        return (k, pred), _forest(vector, pred, params).fit(train)
 
-    tasks = [(k, feats, pred) for k in folds for feats, pred in ((climate_features, "pred_rf_climate"), (full_features, "pred_rf_full"))]
+    tasks = [(k, vector, pred) for k in folds for vector, pred in (("_vec_climate", "pred_rf_climate"), ("_vec_full", "pred_rf_full"))]
     models = dict(_run_parallel(fit, tasks, parallelism, f.sparkSession))
     parts = []
     for k in folds:
@@ -238,9 +248,8 @@ def feature_importance(frame: DataFrame, target: str, features: Sequence[str], f
     params = dict(FOREST)
     params.update(forest or {})
     ensure_checkpoint_dir(frame.sparkSession)
-    d = frame.withColumn("_label", F.col(target).cast("double")).checkpoint(eager=True)
-    model = _forest(features, "_label", "_pred", params).fit(d)
-    imp = model.stages[-1].featureImportances.toArray()
+    d = _assembled(frame.withColumn(LABEL, F.col(target).cast("double")), features, "_vec").select("_vec", LABEL).checkpoint(eager=True)
+    imp = _forest("_vec", "_pred", params).fit(d).featureImportances.toArray()
     rows = sorted(((c, float(v)) for c, v in zip(features, imp)), key=lambda t: -t[1])
     schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
     return frame.sparkSession.createDataFrame(rows, schema)

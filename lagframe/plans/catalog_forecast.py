@@ -137,6 +137,42 @@ def q_metrics_by_year(spark, d):
     return rounded(out.select("region", "year", "model", "n", "mae", "rmse", "r2", "mape"))
 
 
+# the previous week as a second forecast: gain and winner have an exact answer for it
+_PREVIOUS = {"baseline": "pred_baseline", "previous": "cases_lag1"}
+_PREV_LONG = """SELECT region, year, incidence AS y, model, CASE model WHEN 'baseline' THEN pred_baseline ELSE cases_lag1 END AS p
+FROM bf, (SELECT unnest(['baseline', 'previous']) AS model) WHERE row_no > 52"""
+
+
+@register(
+    "gain_previous_week",
+    O.build(
+        f"SELECT region, model, {rsql('mae')}, {O.rnd('(1.0 - mae / max(CASE WHEN model = $$baseline$$ THEN mae END) OVER (PARTITION BY region)) * 100.0')} AS gain_pct FROM pm",
+        "bf",
+        extra=[("pl", _PREV_LONG), ("pm", "SELECT region, model, avg(abs(p - y)) AS mae FROM pl GROUP BY ALL")],
+    ),
+)
+def q_gain_previous_week(spark, d):
+    m = FC.forecast_metrics(_baseline_preds(spark, d), _PREVIOUS, real="incidence", keys=REGION)
+    return rounded(FC.gain_vs_baseline(m, keys=REGION))
+
+
+@register(
+    "winner_previous_week",
+    O.build(
+        f"SELECT region, year, {rsql('mae_baseline')}, {rsql('mae_model')}, n, CASE WHEN mae_model < mae_baseline THEN 'previous' ELSE 'baseline' END AS winner FROM pw",
+        "bf",
+        extra=[
+            ("pl", _PREV_LONG),
+            ("pm", "SELECT region, year, model, count(*) AS n, avg(abs(p - y)) AS mae FROM pl GROUP BY ALL HAVING count(*) >= 10"),
+            ("pw", "SELECT region, year, max(mae) FILTER (model = 'baseline') AS mae_baseline, max(mae) FILTER (model = 'previous') AS mae_model, max(n) AS n FROM pm GROUP BY ALL"),
+        ],
+    ),
+)
+def q_winner_previous_week(spark, d):
+    by_year = FC.metrics_by_year(_baseline_preds(spark, d), _PREVIOUS, real="incidence", keys=REGION)
+    return rounded(FC.winner_by_year(by_year, "previous", keys=REGION).drop("r2_model"))
+
+
 # ------------------------------------------------------------------ forest (rows-only checks)
 @V.memo
 def _walk_forward(spark, d):

@@ -11,6 +11,8 @@ from ..operators import lagjoin as LJ
 from ..operators import rollup as R
 from ..operators.correlation import avg_rank
 from ..operators.frames import date_range, describe, outbreak_flag, table_coverage
+from ..session import scratch_path
+from ..sources.tables import Store
 from ..sources.zones import validate_points, zone_lookup
 from . import oracle as O
 from . import views as V
@@ -134,13 +136,20 @@ def q_lag_targets(spark, d):
 
 
 # ------------------------------------------------------------------ B6 / B7 / A4 / D4 / D5
+def _ndvi(spark, d):
+    return V.sat_band(spark, d, "NDVI").select("region", "day", SC.scale_ndvi("mean_dn").alias("ndvi"))
+
+
+def _lst(spark, d):
+    return V.sat_band(spark, d, "LST").select("region", "day", SC.scale_lst("mean_dn").alias("lst_night_c"))
+
+
 @register(
     "scale_ndvi",
     O.build(f"SELECT zone AS region, {dsql('image_date', 'day')}, {rsql('mean_dn / 10000.0', alias='ndvi')} FROM sat_zonal WHERE band = 'NDVI'", "sat_zonal"),
 )
 def q_scale_ndvi(spark, d):
-    zm = R.zonal_mean(V.sat_pixels(spark, d), keys=["zone", "band"]).filter("band = 'NDVI'")
-    return rounded(zm.select(F.col("zone").alias("region"), F.col("image_date").alias("day"), SC.scale_ndvi("mean_dn").alias("ndvi")))
+    return rounded(_ndvi(spark, d))
 
 
 @register(
@@ -148,10 +157,7 @@ def q_scale_ndvi(spark, d):
     O.build(f"SELECT region, {dsql('day')}, {rsql('lst_night_c')} FROM lst_daily", "lst_daily"),
 )
 def q_scale_lst(spark, d):
-    zm = R.zonal_mean(V.sat_pixels(spark, d), keys=["zone", "band"]).filter("band = 'LST'")
-    return rounded(
-        zm.select(F.col("zone").alias("region"), F.col("image_date").alias("day"), SC.scale_lst("mean_dn").alias("lst_night_c"))
-    )
+    return rounded(_lst(spark, d))
 
 
 @register(
@@ -166,16 +172,32 @@ def q_zonal_mean(spark, d):
     return rounded(R.zonal_mean(V.event_pixels(spark, d), keys=["zone", "band"]))
 
 
+_BOX = {"x": "pixel", "y": "dn", "xmin": 20, "xmax": 700, "ymin": 500.0, "ymax": 8000.0}
+
+
+@register(
+    "zonal_mean_box",
+    O.build(
+        f"SELECT zone, band, {dsql('image_date')}, {rsql('sum(dn * (pixel % 3 + 1)) / sum(pixel % 3 + 1)', alias='mean_dn')} FROM event_pixels "
+        "WHERE pixel BETWEEN 20 AND 700 AND dn BETWEEN 500.0 AND 8000.0 GROUP BY zone, band, event_pixels.image_date",
+        "event_pixels",
+    ),
+)
+def q_zonal_mean_box(spark, d):
+    """Weighted means over the pixels within a footprint."""
+    px = V.event_pixels(spark, d).withColumn("w", F.col("pixel") % 3 + 1)
+    return rounded(R.zonal_mean(px, keys=["zone", "band"], weight_col="w", bbox=_BOX))
+
+
 @register("daily_spine_ffill", O.build(f"SELECT region, {dsql('day')}, {rsql('ndvi')} FROM ndvi_daily", "ndvi_daily"))
 def q_daily_spine_ffill(spark, d):
-    zm = R.zonal_mean(V.sat_pixels(spark, d), keys=["zone", "band"]).filter("band = 'NDVI'")
-    ndvi = zm.select(F.col("zone").alias("region"), F.col("image_date").alias("day"), SC.scale_ndvi("mean_dn").alias("ndvi"))
-    return rounded(R.daily_spine_ffill(ndvi, V.SPINE_START, V.SPINE_END, keys=REGION, date_col="day", value_cols=["ndvi"]))
+    return rounded(R.daily_spine_ffill(_ndvi(spark, d), V.SPINE_START, V.SPINE_END, keys=REGION, date_col="day", value_cols=["ndvi"]))
 
 
 @register("daily_outer", O.build(f"SELECT region, {dsql('day')}, {rsql('ndvi')}, {rsql('lst_night_c')} FROM sat_daily", "sat_daily"))
 def q_daily_outer(spark, d):
-    return rounded(V.sat_daily(spark, d).select("region", "day", "ndvi", "lst_night_c"))
+    filled = R.daily_spine_ffill(_ndvi(spark, d), V.SPINE_START, V.SPINE_END, keys=REGION, date_col="day", value_cols=["ndvi"])
+    return rounded(R.daily_outer(filled, _lst(spark, d), REGION).select("region", "day", "ndvi", "lst_night_c"))
 
 
 @register(
@@ -396,7 +418,9 @@ _ADHOC = (
 @register("adhoc_sql", O.build(_ADHOC.replace("FROM v_cases", "FROM cases"), "cases"))
 def q_adhoc_sql(spark, d):
     V.cases_t(spark, d).createOrReplaceTempView("v_cases")
-    return spark.sql(_ADHOC)
+    found = Store(spark, scratch_path(spark, "store-adhoc")).load(_ADHOC)
+    spark.catalog.dropTempView("v_cases")
+    return found
 
 
 # ------------------------------------------------------------------ F5 / G3 / H1

@@ -229,6 +229,19 @@ def sat_pixels(spark, sf_dir) -> DataFrame:
     return px.select(F.col("region").alias("zone"), "image_date", F.inline(bands))
 
 
+def sat_band(spark, sf_dir, band: str) -> DataFrame:
+    """Zone means of one band; days without it are left out before the join and the sums."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_discount", "l_tax", F.to_date("l_shipdate").alias("image_date"))
+    if band == "NDVI":
+        li = li.filter((F.datediff("image_date", F.lit(SPINE_START).cast("date")) % COMPOSITE_EVERY_DAYS) == 0)
+        dn = F.round(F.col("l_tax") * 100000.0)
+    else:
+        dn = F.when(F.col("l_discount") != 0.0, 14000.0 + F.col("l_quantity") * 40.0)
+    sr = supplier_region(spark, sf_dir)
+    px = li.join(sr, li.l_suppkey == sr.s_suppkey).select(F.col("region"), F.col("image_date").alias("day"), dn.alias("dn"))
+    return zonal_mean(px, keys=["region"], date_col="day")
+
+
 @memo
 def sat_daily(spark, sf_dir) -> DataFrame:
     """Zone means -> one row per (zone, day) with a column per band -> vegetation
