@@ -4,10 +4,15 @@
 DataFrame, which is written as Parquet and read again as the next stage's ``docs``. All but
 the last stage return the columns of ``documents``. Each stage works on all that its
 predecessor kept. Rows that share a ``doc_id`` count as one document.
+
+A stage's own tables below ``spark.checkpoint.dir`` go when the next stage begins, whose
+``docs`` are read from the written Parquet.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,24 +21,40 @@ from lagframe.llm.neardup import near_duplicates
 from lagframe.llm.pieces import encode_documents
 from lagframe.llm.quality import quality_filter
 from lagframe.llm.queries import piece_model
-from lagframe.llm.shared import cut
+from lagframe.llm.shared import cut, recording, release
 from lagframe.llm.suffixes import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_LEFT: list[str] = []  # tables of the stage that ran last
+
+
+def stage(fn):
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _LEFT)
+        with recording(_LEFT):
+            return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model scores below one half go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_filter(docs.select(*COLUMNS), labels)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest id stays."""
     gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(cut(gone, "pipeline-gone"), "doc_id", "left_anti").select(*COLUMNS)
 
 
+@stage
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 200-byte strings that start in more than one place; a character that
     a cut splits goes as a whole. Texts may become empty; their documents stay."""
@@ -41,6 +62,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumnRenamed("kept", "text").withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
+@stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it, from never to three times."""
     copies = pareto_mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
@@ -48,6 +70,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
+@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded texts."""
     return encode_documents(docs, piece_model())
@@ -68,6 +91,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline: every stage on all that its predecessor kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    for name, step in STAGES:
+        docs = cut(step(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    release(spark, _LEFT)
     return docs

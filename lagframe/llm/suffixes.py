@@ -34,7 +34,7 @@ from .words import mix
 WIDTH = 200
 GRAM = 24
 SHARD = 1 << 20  # bytes
-TASK = 1 << 23  # bytes of contexts that a task gets, about
+TASK = 1 << 21  # bytes of contexts that a task gets, about
 WIDE = 256  # contexts of one anchor above which its windows are dealt by place
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -286,13 +286,13 @@ def _shards(width: int, shard: int):
 
 
 def _pieces(width: int, gram: int, wide: int, tasks: int):
-    """Arrow batches (id, fp, text, wanted) -> the bytes of the wanted contexts, dealt."""
+    """Arrow batches (id, fp, text, wanted, ...) -> the bytes of the wanted contexts, dealt."""
     span = width - gram + 1
 
     def pieces(batches):
         for batch in batches:
             out: list[tuple] = []
-            for id_, fp, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+            for id_, fp, text, wanted in zip(batch.column("id").to_pylist(), batch.column("fp").to_pylist(), utf8(batch.column("text")), batch.column("wanted").to_pylist(), strict=True):
                 for w in wanted:
                     first, count, place = w["spot"] >> 24, w["spot"] >> 12 & 4095, w["spot"] & 4095
                     parts = min(span, -(-w["variants"] // wide))
@@ -309,13 +309,13 @@ def _pieces(width: int, gram: int, wide: int, tasks: int):
     return pieces
 
 
-def _remove(width: int):
-    """Arrow batches (id, fp, text, spans) -> what the removal leaves."""
+def _remove(width: int, through: list[str], keep_text: bool):
+    """Arrow batches (text, spans, ...) -> the columns ``through`` and what the removal leaves."""
 
     def remove(batches):
         for batch in batches:
             n, gone, cuts, kept = [], [], [], []
-            for text, spans in zip(utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+            for text, spans in zip(utf8(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
                 out, at, removed, number, end = [], 0, 0, 0, -1
                 for s in sorted((s["first"], s["last"] + width) for s in spans or ()):
                     if s[0] > end:
@@ -331,10 +331,11 @@ def _remove(width: int):
                 gone.append(removed)
                 cuts.append(number)
                 kept.append(b"".join(out))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode("utf-8", "ignore") for k in kept])],
-                ["key", "fp", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
+            cols = [*(batch.column(c) for c in through), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
+            names = [*through, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if keep_text:
+                cols, names = [*cols, pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())], [*names, "kept"]
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     return remove
 
@@ -360,8 +361,8 @@ def remove_repeats(
     shared = contexts.groupBy("h").agg(F.sum("weight").alias("met")).filter("met > 1").select("h")
     live = cut(contexts.join(shared, "h"), "suffix-live")
     same = live.groupBy("h", "content").agg(F.sum("weight").alias("met"), F.min(F.struct("id", "fp", "spot")).alias("one"))
-    kinds = same.groupBy("h").agg(F.count("*").alias("variants"), F.sum(F.when(F.col("met") == 1, 1).otherwise(0)).alias("single"))
-    judged = cut(live.join(same, ["h", "content"]).join(kinds, "h"), "suffix-judged")
+    variety = same.groupBy("h").agg(F.count("*").alias("variants"), F.sum(F.when(F.col("met") == 1, 1).otherwise(0)).alias("single"))
+    judged = cut(live.join(same, ["h", "content"]).join(variety, "h"), "suffix-judged")
 
     classes = lines.groupBy("fp").agg(F.min("id").alias("id"))
     reps = cut(classes, "suffix-classes")
@@ -370,13 +371,13 @@ def remove_repeats(
     wanted = judged.filter("variants > 1 and single > 0").filter((F.col("met") == 1) | (F.col("one") == F.struct("id", "fp", "spot")))
     tasks = 1 + wanted.count() * 2 * width // task
     asked = wanted.groupBy("id", "fp").agg(F.collect_list(F.struct("h", "spot", "variants", (F.col("met") > 1).alias("known"))).alias("wanted"))
-    dealt = texts.join(asked, ["id", "fp"]).select("id", "fp", "text", "wanted").mapInArrow(_pieces(width, gram, wide, tasks), "task int, h long, part int, data binary, id long, fp long, start long, known boolean")
+    # both joins take the same columns of the texts, so that these are shuffled once
+    dealt = lines.join(asked, ["id", "fp"]).mapInArrow(_pieces(width, gram, wide, tasks), "task int, h long, part int, data binary, id long, fp long, start long, known boolean")
     edges = dealt.groupBy("task").applyInArrow(_shards(width, shard), "id long, fp long, first long, last long")
     spans = repeats.unionByName(edges).join(reps, ["id", "fp"], "left_semi").groupBy("id", "fp").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    told = reps.join(spans, ["id", "fp"], "left")
-    result = texts.join(told, ["id", "fp"]).select("id", "fp", "text", "spans").mapInArrow(_remove(width), "key long, fp long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
-    if not keep_text:
-        result = result.drop("kept")
-    result = cut(result.dropDuplicates(["key", "fp"]), "suffix-result").drop("key")
-    told = lines.drop("id", "text").join(result, "fp").drop("fp").withColumnRenamed("doc", id_col)
-    return told.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})
+    told = texts.select("id", "fp").distinct().join(spans.select("fp", "spans"), "fp", "left")
+    through = [f"carry_{i}" for i in range(len(carry))] + ["doc"]
+    kinds = ", ".join(f"{c} {lines.schema[c].dataType.simpleString()}" for c in through)
+    kinds += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else "")
+    result = lines.join(told, ["id", "fp"]).mapInArrow(_remove(width, through, keep_text), kinds)
+    return result.withColumnsRenamed({"doc": id_col} | {f"carry_{i}": c for i, c in enumerate(carry)})
