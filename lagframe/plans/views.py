@@ -252,12 +252,12 @@ def sat_daily(spark, sf_dir) -> DataFrame:
     """
     zm = zonal_mean(sat_pixels(spark, sf_dir), keys=["zone", "band"])
     wide = zm.groupBy("zone", "image_date").pivot("band", ["NDVI", "LST"]).agg(F.first("mean_dn"))
-    obs = wide.select(
-        F.col("zone").alias("region"),
-        F.col("image_date").alias("day"),
-        scale_ndvi("NDVI").alias("ndvi"),
-        scale_lst("LST").alias("lst_night_c"),
-    )
+    return _filled_days(spark, sf_dir, wide.select(F.col("zone").alias("region"), F.col("image_date").alias("day"), "NDVI", "LST"))
+
+
+def _filled_days(spark, sf_dir, means: DataFrame) -> DataFrame:
+    """Band means per (region, day), columns NDVI and LST -> daily satellite values."""
+    obs = means.select("region", "day", scale_ndvi("NDVI").alias("ndvi"), scale_lst("LST").alias("lst_night_c"))
     zones = nation_region(spark, sf_dir).select("region").distinct()
     # the spine's full outer join is the daily outer join of the two bands (D4); rows
     # outside the calendar survive only when they carry a temperature
@@ -269,8 +269,24 @@ def sat_daily(spark, sf_dir) -> DataFrame:
 
 @memo
 def sat_weekly(spark, sf_dir) -> DataFrame:
-    exact = sat_daily(spark, sf_dir).withColumns({c: F.col(c).cast(EXACT) for c in SAT_VARS})
-    return weekly_rollup(exact, keys=["region"])
+    return _sat_weeks(sat_daily(spark, sf_dir))
+
+
+def _sat_weeks(days: DataFrame) -> DataFrame:
+    return weekly_rollup(days.withColumns({c: F.col(c).cast(EXACT) for c in SAT_VARS}), keys=["region"])
+
+
+def region_days(spark, sf_dir) -> DataFrame:
+    """Daily drivers and both bands' means per (region, day), in one pass over the line
+    items: what the weekly tables at rest are rolled up from."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.to_date("l_shipdate").alias("day")
+    )
+    sr = supplier_region(spark, sf_dir)
+    composite = (F.datediff("day", F.lit(SPINE_START).cast("date")) % COMPOSITE_EVERY_DAYS) == 0
+    ndvi = F.avg(F.when(composite, F.round(F.col("l_tax") * 100000.0)))
+    lst = F.avg(F.when(F.col("l_discount") != 0.0, 14000.0 + F.col("l_quantity") * 40.0))
+    return li.join(sr, li.l_suppkey == sr.s_suppkey).groupBy("region", "day").agg(*_daily_aggs(), ndvi.alias("NDVI"), lst.alias("LST"))
 
 
 @memo
@@ -319,17 +335,31 @@ def _materialize(spark: SparkSession, sf_dir: str, names, state) -> None:
 
     from pyspark.util import inheritable_thread_target
 
-    def one(name: str) -> tuple[str, str]:
+    def keep(name: str, df: DataFrame) -> str:
         path = scratch_path(spark, f"table-{name}")
-        globals()[name](spark, sf_dir).write.mode("overwrite").parquet(path)
-        return name, path
-
-    if len(names) > 1:
-        with ThreadPool(len(names)) as pool:
-            done = pool.map(inheritable_thread_target(spark)(one), names)
+        df.write.mode("overwrite").parquet(path)
+        return path
+
+    def of_days(made: list[str]) -> list[tuple[str, str]]:
+        days = spark.read.parquet(keep("region_days", region_days(spark, sf_dir)))
+        weeks = {
+            "weekly": lambda: weekly_rollup(days.select("region", "day", *DAILY_VARS), keys=["region"]),
+            "sat_weekly": lambda: _sat_weeks(_filled_days(spark, sf_dir, days.filter(F.col("NDVI").isNotNull() | F.col("LST").isNotNull()))),
+        }
+        return [(n, keep(n, weeks[n]())) for n in made]
+
+    def one(task) -> list[tuple[str, str]]:
+        return of_days(task) if isinstance(task, list) else [(task, keep(task, globals()[task](spark, sf_dir)))]
+
+    rolled = [n for n in names if n in ("weekly", "sat_weekly")]
+    tasks = [n for n in names if n not in rolled] + [rolled] * bool(rolled)
+
+    if len(tasks) > 1:
+        with ThreadPool(len(tasks)) as pool:
+            done = pool.map(inheritable_thread_target(spark)(one), tasks)
     else:
-        done = [one(n) for n in names]
-    for name, path in done:
+        done = [one(t) for t in tasks]
+    for name, path in (made for part in done for made in part):
         _STORED[app_key(spark), sf_dir.rstrip("/"), name] = state, spark.read.parquet(path)
 
 
