@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, runs, utf8
+from .shared import cut, text_slices
 from .words import WordHashes, mix, shingle_set
 
 COORDINATES = 64
@@ -46,9 +46,8 @@ def _sketches(width: int, k: int):
     def sketch(batches):
         hashes = WordHashes()
         for batch in batches:
-            texts = utf8(batch.column(1))
-            for lo, hi in runs([len(t) for t in texts], 1 << 20):
-                sets = [shingle_set(t, hashes, width) for t in texts[lo:hi]]
+            for lo, hi, texts in text_slices(batch.column(1), 1 << 20):
+                sets = [shingle_set(t, hashes, width) for t in texts]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 sig: list = [None] * len(sets)
                 if full:
@@ -78,13 +77,12 @@ def _sets(width: int):
     def members(batches):
         hashes = WordHashes()
         for batch in batches:
-            texts = utf8(batch.column(2))
-            for lo, hi in runs([len(t) for t in texts], 1 << 20):
+            for lo, hi, texts in text_slices(batch.column(2), 1 << 20):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
                         batch.column(1).slice(lo, hi - lo),
-                        pa.array([shingle_set(t, hashes, width).view(np.int64) for t in texts[lo:hi]], pa.list_(pa.int64())),
+                        pa.array([shingle_set(t, hashes, width).view(np.int64) for t in texts], pa.list_(pa.int64())),
                     ],
                     ["rep", "n", "members"],
                 )
@@ -213,14 +211,16 @@ def near_duplicates(
 
     Null or wordless texts have an empty set and link with nothing. A text below ``width``
     words is one shingle. Equal sets always link. Rows with a null id link with nothing and
-    come back with a null component, kept. Rows repeating an id share one node. Extra
-    columns are ignored. An empty table gives an empty result.
+    come back with a null component, kept. Rows repeating an id count as one document: if
+    their texts differ, the set with the smallest fingerprint is compared, the others link
+    with equal sets. Extra columns are ignored. An empty table gives an empty result.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     kinds = "id long, n_shingles long, fp binary, sig array<long>"
     sketch = cut(given.mapInArrow(_sketches(width, k), kinds), "near-sketch")
-    classes = sketch.filter("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("rep"))
-    reps = sketch.join(classes, "fp").filter("id = rep").dropDuplicates(["rep"]).selectExpr("rep", "n_shingles as n", "sig")
+    classes = cut(sketch.filter("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "near-classes")
+    own = classes.groupBy("rep").agg(F.min("fp").alias("fp")).select("fp", F.col("rep").alias("id"))
+    reps = sketch.join(own, ["fp", "id"]).dropDuplicates(["id"]).selectExpr("id as rep", "n_shingles as n", "sig")
     reps = cut(reps, "near-reps")
 
     posted = reps.select("rep", F.posexplode("sig").alias("j", "value")).select("rep", F.xxhash64("j", "value").alias("token"))
@@ -265,8 +265,8 @@ def near_duplicates(
             links = cut(_confirmed(pairs, nodes, sets, similar, threshold), "near-found")
             comps = _contract(comps, links)
             turn += 1
-    group = classes.join(comps, "rep", "left").select(F.col("fp").alias("class_fp"), F.coalesce("comp", "rep").alias("component_id"))
-    linked = sketch.join(group, (F.col("fp") == F.col("class_fp")) & F.col("id").isNotNull(), "left")
+    group = cut(classes.join(comps, "rep", "left").select(F.col("fp").alias("class_fp"), F.coalesce("comp", "rep").alias("component_id")), "near-groups")
+    linked = sketch.select("id", "n_shingles", "fp").join(group, (F.col("fp") == F.col("class_fp")) & F.col("id").isNotNull(), "left")
     return linked.select(
         F.col("id").alias(id_col),
         "n_shingles",

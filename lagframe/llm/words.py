@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-MEMO_LIMIT = 1 << 19
+MEMO_LIMIT = 1 << 18
 
 
 class WordHashes(dict):
