@@ -360,8 +360,9 @@ def remove_repeats(
     contexts = found.filter("h is not null")
     shared = contexts.groupBy("h").agg(F.sum("weight").alias("met")).filter("met > 1").select("h")
     live = cut(contexts.join(shared, "h"), "suffix-live")
-    same = live.groupBy("h", "content").agg(F.sum("weight").alias("met"), F.min(F.struct("id", "fp", "spot")).alias("one"))
+    same = cut(live.groupBy("h", "content").agg(F.sum("weight").alias("met"), F.min(F.struct("id", "fp", "spot")).alias("one")), "suffix-same")
     variety = same.groupBy("h").agg(F.count("*").alias("variants"), F.sum(F.when(F.col("met") == 1, 1).otherwise(0)).alias("single"))
+    variety = cut(variety, "suffix-variety")  # a table, so that the join splits an anchor with many contexts
     judged = cut(live.join(same, ["h", "content"]).join(variety, "h"), "suffix-judged")
 
     classes = lines.groupBy("fp").agg(F.min("id").alias("id"))
