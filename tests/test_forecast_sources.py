@@ -87,6 +87,54 @@ def test_walk_forward_forest_invariants(spark):
     assert sum(r.importance for r in imp) == pytest.approx(1.0) and imp[0].importance >= imp[1].importance
 
 
+def _cart(x, y, row, depth, leaf):
+    """Mean of the leaf that `row` falls into, by exhaustive search."""
+    n, best, chosen = len(y), y.sum() ** 2 / len(y) + 1e-9 * (1 + y.sum() ** 2 / len(y)), None
+    for f in range(x.shape[1]) if depth else ():
+        o = np.argsort(x[:, f], kind="stable")
+        v, c = x[o, f], np.cumsum(y[o])
+        for i in range(leaf - 1, n - leaf):
+            score = c[i] ** 2 / (i + 1) + (c[-1] - c[i]) ** 2 / (n - i - 1)
+            if v[i] < v[i + 1] and score > best:
+                best, chosen = score, (f, (v[i] + v[i + 1]) / 2)
+    if chosen is None:
+        return y.mean()
+    side = x[:, chosen[0]] > chosen[1]
+    side = side if row[chosen[0]] > chosen[1] else ~side
+    return _cart(x[side], y[side], row, depth - 1, leaf)
+
+
+def test_grown_trees_match_exhaustive_search():
+    from lagframe.operators.weekly_forest import forest_grower
+
+    predict, rng = forest_grower(), np.random.default_rng(2)
+    for _ in range(25):
+        n = int(rng.integers(10, 90))
+        x = np.column_stack([np.round(rng.normal(size=n), 1), rng.normal(size=n)])  # repeated values, but no tied cuts
+        y, row = rng.normal(size=n) + 2 * x[:, 0], rng.normal(size=2)
+        assert predict(x, y, row, 2, 5, 6, 1, bootstrap=False) == pytest.approx(_cart(x, y, row, 5, 6), abs=1e-9)
+
+
+def test_weekly_walk_forward(spark):
+    from lagframe.operators.weekly_forest import walk_forward_weekly
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for place in ("a", "b", "short"):
+        for w in range(1, 6 if place == "short" else 31):
+            x = float(rng.normal())
+            rows.append((place, 2024, w, x, None if w == 3 else float(max(0.0, 3 + 2 * x + rng.normal(scale=0.1)))))
+    df = spark.createDataFrame(rows, "place string, year int, week int, x double, y double")
+    df = FC.autoreg_features(df, "y", [1], ["place"], prefix="y_lag")
+    run = {"num_trees": 30, "max_depth": 4, "min_leaf": 2}
+    got = walk_forward_weekly(df, "y", ["x"], ["x", "y_lag1"], ["place"], min_train=15, forest=run, chunks=4).toPandas()
+    again = walk_forward_weekly(df, "y", ["x"], ["x", "y_lag1"], ["place"], min_train=15, forest=run, chunks=3).toPandas()
+    order = ["place", "week"]
+    assert got.sort_values(order, ignore_index=True).equals(again.sort_values(order, ignore_index=True))  # whatever the chunks
+    assert set(got.place) == {"a", "b"} and (got.groupby("place").size() == 27 - 15).all()
+    assert (got.pred_rf_full >= 0).all() and np.abs(got.pred_rf_climate - got.real).mean() < np.abs(got.pred_baseline - got.real).mean()
+
+
 def test_store_appends_and_nullfill(spark):
     s = Store(spark, scratch_path(spark, "t-store"), prefix="t_", year_bounds=(2000, 2100))
     s.create_schema()
