@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import utf8
+from .shared import text_slices
 
 MARK = "▁"  # stands for a space
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
@@ -190,7 +190,7 @@ def _code(model_path: str, check: bool, keep_ids: bool):
         surface = Surfaces(coder.surface).__getitem__
         for batch in batches:
             n, ids_sha, text_sha, lists = [], [], [], []
-            for raw in utf8(batch.column(1)):
+            for raw in (raw for _, _, texts in text_slices(batch.column(1), 1 << 22) for raw in texts):
                 codes = coder.encode_joined(raw.decode())
                 ids = ",".join(codes)
                 data = b"".join(map(surface, codes))
