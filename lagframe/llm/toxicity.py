@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out, labelled_texts
-from .shared import runs, utf8
+from .shared import text_slices
 from .words import MEMO_LIMIT, mix
 
 BITS = 22
@@ -60,9 +60,8 @@ def _presence(bits: int):
     def presence(batches):
         words = PlainWords()
         for batch in batches:
-            texts = utf8(batch.column(0))
-            for lo, hi in runs([len(t) for t in texts], 1 << 20):
-                place, owner = features(texts[lo:hi], words, bits)
+            for lo, hi, texts in text_slices(batch.column(0), 1 << 20):
+                place, owner = features(texts, words, bits)
                 rows = np.unique(owner << bits | place)
                 cuts = np.searchsorted(rows >> bits, np.arange(1, hi - lo))
                 lists = [x.astype(np.int32) for x in np.split(rows & ((1 << bits) - 1), cuts)]
@@ -112,10 +111,9 @@ def _score(bits: int, bias: float, places: np.ndarray, weights: np.ndarray):
         table = np.zeros(1 << bits, dtype=np.float32)
         table[places] = weights
         for batch in batches:
-            texts = utf8(batch.column(1))
-            total = np.full(len(texts), bias)
-            for lo, hi in runs([len(t) for t in texts], 1 << 20):
-                place, owner = features(texts[lo:hi], words, bits)
+            total = np.full(batch.num_rows, bias)
+            for lo, hi, texts in text_slices(batch.column(1), 1 << 20):
+                place, owner = features(texts, words, bits)
                 used = np.flatnonzero(table[place])
                 rows = np.unique(owner[used] << bits | place[used])
                 total[lo:hi] += np.bincount(rows >> bits, weights=table[rows & ((1 << bits) - 1)], minlength=hi - lo)
