@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out, labelled_texts
-from .shared import runs, utf8
+from .shared import text_slices, utf8
 from .words import WordHashes, sequence_hash
 
 SAMPLE = 20_000  # labelled rows to fit on, at most
@@ -180,17 +180,17 @@ def _measure(batches):
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
 
-def _scores_of(model: AdditiveModel, texts: list[bytes], hashes: WordHashes) -> np.ndarray:
+def _scores_of(model: AdditiveModel, column: pa.Array, hashes: WordHashes) -> np.ndarray:
     if not model.edges:
-        return np.full(len(texts), 0.5)
-    return np.concatenate([np.empty(0), *(model.scores(text_features(texts[lo:hi], hashes)) for lo, hi in runs([len(t) for t in texts], 1 << 22))])
+        return np.full(len(column), 0.5)
+    return np.concatenate([np.empty(0), *(model.scores(text_features(texts, hashes)) for _, _, texts in text_slices(column, 1 << 22))])
 
 
 def _score(model: AdditiveModel):
     def score(batches):
         hashes = WordHashes()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores_of(model, utf8(batch.column(1)), hashes))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores_of(model, batch.column(1), hashes))], ["id", "score"])
 
     return score
 
@@ -199,7 +199,7 @@ def _keep(model: AdditiveModel, column: str, least: float):
     def keep(batches):
         hashes = WordHashes()
         for batch in batches:
-            yield batch.filter(pa.array(_scores_of(model, utf8(batch.column(column)), hashes) >= least))
+            yield batch.filter(pa.array(_scores_of(model, batch.column(column), hashes) >= least))
 
     return keep
 
