@@ -105,11 +105,13 @@ def walk_forward_weekly(
     baseline_window: int = BASELINE_WINDOW,
     forest: Mapping | None = None,
     chunks: int = 16,
+    partitions: int = 64,
 ) -> DataFrame:
     """One-step-ahead walk-forward per series: baseline, forest on climate, forest on climate
     and past values, both refit before every test week.
 
-    Rows with a missing target or feature are left out. Series of ``min_train`` rows or fewer
+    The groups go to at least ``partitions`` tasks. Rows with a missing target or feature are
+    left out. Series of ``min_train`` rows or fewer
     have no test rows. Output: keys, year, week, real, pred_baseline, pred_rf_climate,
     pred_rf_full.
     """
@@ -121,6 +123,9 @@ def walk_forward_weekly(
     f = walk_forward_folds(baseline_forecast(f, target, baseline_window, keys), keys, min_train)
     f = f.select(*keys, YEAR, WEEK, F.col(target).cast("double").alias("real"), "pred_baseline", *[F.col(c).cast("double").alias(c) for c in used], "row_no", "is_test")
     spread = f.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    # few rows, much work: a fixed number of partitions keeps the adaptive planner from merging them
+    parts = max(partitions, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = spread.repartition(parts, *keys, "_chunk")
     names = [*keys, YEAR, WEEK, "real", "pred_baseline"]
     grow = forest_grower()
 
