@@ -6,7 +6,8 @@ and its new neighbours join the agenda. Symbols outside the vocabulary become th
 bytes' pieces (byte fallback), else the unknown id.
 
 No piece holds a space mark after another character, a line end outside the vocabulary's
-alphabet, or a full stop or comma after a letter (as read off the vocabulary), so merges never
+alphabet, or a full stop or comma after a letter (as read off the vocabulary; characters such
+as a superscript two, which a piece joins with a full stop, are no letters here), so merges never
 cross such places: a text is cut there into units, and the units' codes are remembered within a bound. Of the words that an Arrow batch codes anew
 every ``CHECK_EVERY``-th is compared with the sentencepiece library at its end; a difference
 stops the job.
@@ -30,6 +31,7 @@ MEMO_LIMIT = 1 << 19
 SHORT = 32  # up to so many symbols the agenda is a plain list, beyond it a heap
 NEVER = float("inf")
 CHECK_EVERY = 8
+LETTER = re.compile(r"[^\W\d_]")
 
 
 class Surfaces(dict):
@@ -83,9 +85,13 @@ class PieceCoder(dict):
             raise ValueError("a piece holds a space mark after another character")
         alphabet = {c for p in self.ids for c in p}
         alone = "".join(re.escape(c) for c in "\n\t\r\f\v" if c not in alphabet)
-        joined = {p[i + 1] for p in self.ids for i in range(len(p) - 1) if p[i].isalpha()}
-        heads = "".join(re.escape(c) for c in ".,;:!?" if c not in joined)
-        word = [f"{MARK}*[^\\W\\d_]+(?=[{heads}])"] * bool(heads)
+        # characters that the class of letters takes (also the likes of a superscript two) and
+        # that some piece joins with a head behind them: the letters proper among them rule the
+        # head out, the others leave the class
+        joined = {(a, c) for p in self.ids for a, c in zip(p, p[1:], strict=False) if c in ".,;:!?" and LETTER.match(a)}
+        heads = "".join(c for c in ".,;:!?" if not any(a.isalpha() for a, h in joined if h == c))
+        barred = "".join(sorted({re.escape(a) for a, h in joined if h in heads}))
+        word = [f"{MARK}*[^\\W\\d_{barred}]+(?=[{re.escape(heads)}])"] * bool(heads)
         self.units = re.compile("|".join([*word, f"{MARK}*[^{MARK}{alone}]+", f"{MARK}+", *[f"[{alone}]"] * bool(alone)])).findall
 
     def _merge_short(self, symbols: list[str]) -> list[str]:

@@ -89,3 +89,22 @@ def test_a_wrong_code_stops(tmp_path):
     coder.fresh.append(("word", [1, 2, 3]))
     with pytest.raises(ValueError, match="differ"):
         coder.verify()
+
+
+def test_pieces_after_other_letters():
+    """Characters that are alphanumeric, but neither letters nor decimal digits."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    coder = PieceCoder(piece_model(), check=False)
+    odd = "²³¹¼½¾₁₂₃⅓❶①Ⅷ௰"
+    texts = ["m².", "100 km².", "E = mc².", *(f"{a}{x}{h}{b}" for a in ("", "m", " 7", "é.") for x in odd for h in ".,;:!?" for b in ("", "a", " b."))]
+    rng = random.Random(9)
+    letters = list(odd + "²²..,;:!? mk▁\n1")
+    texts += ["".join(rng.choice(letters) for _ in range(rng.choice([3, 8, 60]))) for _ in range(4000)]
+    for text in texts:
+        assert coder.encode(text) == library.encode(text), text
+    # no piece crosses a cut
+    for piece in coder.ids:
+        assert len(coder.units("▁" + piece)) == 1, piece
+        assert coder.encode(piece.replace("▁", " ")) == library.encode(piece.replace("▁", " ")), piece
