@@ -8,9 +8,12 @@ bytes' pieces (byte fallback), else the unknown id.
 No piece holds a space mark after another character, a line end outside the vocabulary's
 alphabet, or a full stop or comma after a letter (as read off the vocabulary; characters such
 as a superscript two, which a piece joins with a full stop, are no letters here), so merges never
-cross such places: a text is cut there into units, and the units' codes are remembered within a bound. Of the words that an Arrow batch codes anew
-every ``CHECK_EVERY``-th is compared with the sentencepiece library at its end; a difference
-stops the job.
+cross such places: a text is cut there into units, and the units' codes are remembered within a bound.
+
+Every unit that is coded anew is compared with the sentencepiece library in the place where it
+was met: the whole stretch from one space to the next, with all its units and the cuts between
+them, and the characters next to it. A difference stops the job. Remembered units of a task
+have been compared; one that is forgotten and coded again is compared again.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
 MEMO_LIMIT = 1 << 19
 SHORT = 32  # up to so many symbols the agenda is a plain list, beyond it a heap
 NEVER = float("inf")
-CHECK_EVERY = 8
+CHECK_TEXT = 1 << 16  # characters of stretches that wait for the comparison
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -68,7 +71,9 @@ class PieceCoder(dict):
             raise ValueError("user-defined and unused pieces are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_path) if check else None
         self.fresh: list[tuple[str, list[int]]] = []
-        self.coded = 0
+        self.waiting = 0
+        self.new: set[str] = set()
+        self.beside: dict[str, list[int]] = {}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.score = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
@@ -93,6 +98,8 @@ class PieceCoder(dict):
         barred = "".join(sorted({re.escape(a) for a, h in joined if h in heads}))
         word = [f"{MARK}*[^\\W\\d_{barred}]+(?=[{re.escape(heads)}])"] * bool(heads)
         self.units = re.compile("|".join([*word, f"{MARK}*[^{MARK}{alone}]+", f"{MARK}+", *[f"[{alone}]"] * bool(alone)])).findall
+        if any(len(self.units(MARK + p)) != 1 for p in self.ids):
+            raise ValueError("a cut between units splits a piece")
 
     def _merge_short(self, symbols: list[str]) -> list[str]:
         """The agenda as a list: entry i is the score of symbols i and i + 1."""
@@ -159,9 +166,8 @@ class PieceCoder(dict):
 
     def __missing__(self, unit: str) -> str:
         ids = self.encode_unit(unit)
-        self.coded += 1
-        if self.library is not None and self.coded % CHECK_EVERY == 0 and unit[0] == MARK and len(unit) > 1:
-            self.fresh.append((unit[1:].replace(MARK, " "), ids))
+        if self.library is not None:
+            self.new.add(unit)
         code = ",".join(map(str, ids))
         if len(self) >= MEMO_LIMIT:
             self.clear()
@@ -169,15 +175,55 @@ class PieceCoder(dict):
             self[unit] = code
         return code
 
+    def _around(self, part: str) -> list[int]:
+        """Ids of the few characters next to a stretch."""
+        found = self.beside.get(part)
+        if found is None:
+            if len(self.beside) >= 1 << 14:
+                self.beside.clear()
+            found = self.beside[part] = [i for u in self.units(part) for i in self.encode_unit(u)]
+        return found
+
+    def _note(self, units: list[str], codes: list[str]) -> None:
+        """Put the stretches between spaces where the new units of a text were first met down
+        for the comparison, each with the character before it and the one after its space."""
+        new, n, hi = self.new, len(units), 0
+        for i, unit in enumerate(units):
+            if i < hi or unit not in new:
+                continue
+            lo, hi = i, i + 1
+            while units[lo][0] != MARK:
+                lo -= 1
+            while hi < n and units[hi][0] != MARK:
+                hi += 1
+            before = MARK + units[lo - 1][-1] if lo else ""
+            after = units[hi][: len(units[hi]) - len(units[hi].lstrip(MARK)) + 1] if hi < n else ""
+            ids = [int(x) for code in codes[lo:hi] for x in code.split(",")]
+            given = before + "".join(units[lo:hi]) + after
+            self.fresh.append((given[1:].replace(MARK, " "), [*(self._around(before) if lo else ()), *ids, *(self._around(after) if after else ())]))
+            self.waiting += len(given)
+            new.difference_update(units[lo:hi])
+            if not new:
+                break
+        new.clear()
+        if self.waiting >= CHECK_TEXT:
+            self.verify()
+
     def verify(self) -> None:
-        """Compare the words coded since the last call with the library's codes."""
-        fresh, self.fresh = self.fresh, []
+        """Compare what was coded anew since the last call with the library's codes."""
+        fresh, self.fresh, self.waiting = self.fresh, [], 0
         if fresh and self.library.encode([w for w, _ in fresh], num_threads=1) != [ids for _, ids in fresh]:
             raise ValueError("the agenda and the sentencepiece library differ")
 
     def encode_joined(self, text: str) -> list[str]:
         """Comma-joined ids of the text's units, in order."""
-        return list(map(self.__getitem__, self.units(MARK + text.replace(" ", MARK)))) if text else []
+        if not text:
+            return []
+        units = self.units(MARK + text.replace(" ", MARK))
+        codes = list(map(self.__getitem__, units))
+        if self.new:
+            self._note(units, codes)
+        return codes
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for code in self.encode_joined(text) for i in code.split(",")]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -108,3 +109,27 @@ def test_pieces_after_other_letters():
     for piece in coder.ids:
         assert len(coder.units("▁" + piece)) == 1, piece
         assert coder.encode(piece.replace("▁", " ")) == library.encode(piece.replace("▁", " ")), piece
+
+
+def test_every_unit_is_checked_in_its_place(monkeypatch):
+    plain = PieceCoder.encode_unit
+    for wrong in ("▁seventh", ".", "after", "\n", ".'s", "▁▁▁", "▁" + "z" * 90):
+        monkeypatch.setattr(PieceCoder, "encode_unit", lambda self, unit, wrong=wrong: plain(self, unit) + [5] * (unit == wrong))
+        coder = PieceCoder(piece_model())
+        with pytest.raises(ValueError, match="differ"):
+            coder.encode("one two three. four five six seventh 's\nafter " + "z" * 90 + " words   ")
+            coder.encode("word.'s   \nafter")
+            coder.verify()
+    monkeypatch.undo()
+    coder = PieceCoder(piece_model())
+    coder.units = re.compile("▁*[^\\W\\d_]+(?=\\.)|▁*[^▁]+|▁+").findall  # splits a piece
+    coder.encode("m².")
+    with pytest.raises(ValueError, match="differ"):
+        coder.verify()
+    coder = PieceCoder(piece_model())
+    rng = random.Random(10)
+    letters = list("ab e▁▁  \n\t\rthe<s>0x41é日本\U0001f600\x00́.,'!m²½")
+    for _ in range(4000):
+        coder.encode("".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 20, 80]))))
+    coder.verify()
+    assert not coder.fresh and not coder.new and len(coder) > 4000
