@@ -3,7 +3,8 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next stage's ``docs``. All but
 the last stage return the columns of ``documents``. Each stage works on all that its
-predecessor kept. Rows that share a ``doc_id`` count as one document.
+predecessor kept. Near-dedup decides row by row; mixing takes rows that share a ``doc_id`` as
+one document.
 
 A stage's own tables below ``spark.checkpoint.dir`` go when the next stage begins, whose
 ``docs`` are read from the written Parquet.
@@ -49,9 +50,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id stays."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(cut(gone, "pipeline-gone"), "doc_id", "left_anti").select(*COLUMNS)
+    """Of each component of near-duplicates the row with the smallest id stays, one without an
+    id only if there is no other. Each row is a document of its own, also if ids are missing
+    or repeated; of equal rows one stays. Wordless texts link with nothing and stay."""
+    rows = cut(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    near = cut(near_duplicates(rows, id_col="row").select("row", "component_id"), "pipeline-near")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    best = near.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(first.alias("best"))
+    gone = near.select("row").join(best.select("best.row"), "row", "left_anti")
+    return rows.join(cut(gone, "pipeline-gone"), "row", "left_anti").select(*COLUMNS)
 
 
 @stage

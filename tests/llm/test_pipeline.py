@@ -54,3 +54,22 @@ def test_empty_and_odd_documents(spark, tmp_path):
         for name, stage in P.STAGES:
             docs = P.cut(stage(spark, docs, str(tmp_path)), "test-odd")
             assert docs.count() <= 3 * max(1, len(rows)), name
+
+
+def test_near_dedup_by_row(spark):
+    """Copies with repeated or null ids leave one row; an id's other text stays."""
+    text = {c: " ".join(f"{c}{i}" for i in range(90)) for c in "abcdef"}
+    rows = [
+        (1, text["a"]), (1, text["a"]), (1, text["a"]),  # stored three times under its id
+        (None, text["b"]), (None, text["b"]),
+        (None, text["c"]), (7, text["c"]), (6, text["c"] + " end"),
+        (2, text["d"]), (3, text["d"]), (3, text["e"]),  # id 3: a copy, and a text of its own
+        (4, None), (None, ""), (5, text["f"]),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    near = P.cut(P.near_dedup(spark, docs, SF), "test-near")
+    want = sorted([(1, text["a"]), (None, text["b"]), (6, text["c"] + " end"), (2, text["d"]), (3, text["e"]), (4, None), (None, ""), (5, text["f"])], key=str)
+    assert near.columns == list(P.COLUMNS)
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=str) == want
+    left = P.repeats(spark, near, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(((i, t or "") for i, t in want), key=str)
