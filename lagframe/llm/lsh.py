@@ -3,12 +3,14 @@
 For the largest inner product vectors are lifted onto the unit sphere (a norm component makes
 every lifted vector as long as the longest one), where the nearest vector has the largest
 product. Each table cuts ``functions`` Gaussian projections into slots of ``width``; a bucket
-is one slot of each. A neighbour of cosine c to a query whose projection is f projects
-normally around c * f with variance 1 - c * c, so each bucket near the query's own, all of
-them perturbations of it, has an estimated success: the product of its slots' normal
-probabilities. A query visits buckets in the order of this estimate until their sum reaches
-``success``. The expected cosine is what the k-th neighbour reaches for nine queries in ten,
-fitted on a bounded sample.
+is one slot of each. A neighbour of norm r times the longest has a norm component s, with
+r * r + s * s = 1. If its lifted cosine to a query is c, the query's projection f and the
+component's own weight a, it projects normally around c * f + s * a with variance r * r - c * c,
+so each bucket near the query's own, all of them perturbations of it, has an estimated
+success: the product of its slots' normal probabilities. A query visits buckets in the order
+of this estimate, summed over the bands of norms that occur, until each band's success
+reaches ``success``. The expected cosine is what the k-th neighbour reaches for nine queries
+in ten among the lifted vectors, fitted on a bounded sample.
 
 Every row is indexed in every table. A table's buckets are dealt into groups of about
 ``group`` rows, larger buckets split among several; a query goes once to each group that holds
@@ -34,6 +36,8 @@ WIDTH = 1.5
 SUCCESS = 0.78  # of one table; both together find 95 of 100 expected neighbours
 GROUP = 8192
 SAMPLE = 4096  # vectors on which the expected cosine is fitted
+BAND = 0.75  # norms of one band lie within this ratio
+BANDS = 24  # all shorter norms, a thousandth of the longest, share the last band
 EDGE = 4  # slots beyond this projection join the outermost one
 
 
@@ -44,12 +48,17 @@ def _normal_cdf(x: np.ndarray) -> np.ndarray:
 class Tables:
     """Projections and slot edges of all tables, drawn from ``seed``."""
 
-    def __init__(self, dim: int, cosine: float, tables: int, functions: int, width: float, seed: int):
+    def __init__(self, dim: int, cosine: float, norms: list[float], tables: int, functions: int, width: float, seed: int):
+        """``norms``: of each band, as shares of the longest norm."""
         rng = np.random.default_rng(seed)
         self.planes = rng.standard_normal((tables, dim + 1, functions))
         inner = int(2 * EDGE / width)
         self.edges = np.sort(rng.uniform(0, width, (tables, functions)))[:, :, None] - EDGE + width * np.arange(inner)[None, None, :]
-        self.slots, self.cosine = inner + 1, min(max(cosine, 0.05), 0.95)
+        self.slots, self.cosine = inner + 1, min(max(cosine, 0.0), 0.95)
+        # a vector shorter than the expected cosine can't reach it
+        long = [r for r in norms if r * 0.95 >= self.cosine] or [max(norms)]
+        self.cosine = min(self.cosine, 0.95 * min(long))
+        self.norms = np.minimum(np.array(long), 1.0)
         self.functions, self.count = functions, tables
 
     def buckets(self, lifted: np.ndarray, table: int) -> np.ndarray:
@@ -60,16 +69,20 @@ class Tables:
         return out
 
     def visits(self, lifted: np.ndarray, table: int, success: float) -> list[np.ndarray]:
-        """Buckets each query visits, in order of estimated success."""
+        """Buckets each query visits, in order of estimated success in all bands of norms."""
         f = lifted @ self.planes[table]
-        spread = math.sqrt(1 - self.cosine**2)
-        estimate = np.ones((len(f), 1))
-        for i in range(self.functions):
-            below = _normal_cdf((self.edges[table, i][None, :] - self.cosine * f[:, i, None]) / spread)
-            slot = np.diff(np.hstack([np.zeros((len(f), 1)), below, np.ones((len(f), 1))]), axis=1)
-            estimate = (estimate[:, :, None] * slot[:, None, :]).reshape(len(f), -1)
-        order = np.argsort(-estimate, axis=1, kind="stable")
-        reached = np.cumsum(np.take_along_axis(estimate, order, 1), axis=1)
+        bands = []
+        for norm in self.norms:
+            spread, lift = math.sqrt(norm**2 - self.cosine**2), math.sqrt(1 - norm**2)
+            estimate = np.ones((len(f), 1))
+            for i in range(self.functions):
+                centre = self.cosine * f[:, i, None] + lift * self.planes[table, -1, i]
+                below = _normal_cdf((self.edges[table, i][None, :] - centre) / spread)
+                slot = np.diff(np.hstack([np.zeros((len(f), 1)), below, np.ones((len(f), 1))]), axis=1)
+                estimate = (estimate[:, :, None] * slot[:, None, :]).reshape(len(f), -1)
+            bands.append(estimate)
+        order = np.argsort(-sum(bands), axis=1, kind="stable")
+        reached = np.min([np.cumsum(np.take_along_axis(b, order, 1), axis=1) for b in bands], axis=0)
         return [o[: 1 + int(np.searchsorted(r, success))] for o, r in zip(order, reached, strict=True)]
 
 
@@ -144,22 +157,24 @@ def _best(k: int):
     return best
 
 
-def _expected_cosine(sample: np.ndarray, total: int, k: int) -> float:
+def _expected_cosine(sample: np.ndarray, total: int, k: int, longest: float) -> float:
     """Cosine that the k-th of ``total`` neighbours reaches for nine queries in ten, from a
-    sample: each sampled query's own quantile of cosines, by a normal tail where the sample
-    is too small for it. A large group of like vectors raises it for its members only."""
-    unit = sample / np.sqrt((sample * sample).sum(axis=1))[:, None]
-    if len(unit) < 3:
+    sample lifted like the vectors: each sampled query's own quantile of cosines, by a normal
+    tail where the sample is too small for it. A large group of like vectors raises it for its
+    members only, a few long vectors don't widen the tail."""
+    if len(sample) < 3:
         return 0.0
-    cos = unit[:256] @ unit.T
+    asked = sample[:256]
+    cos = (asked / np.sqrt((asked * asked).sum(axis=1))[:, None]) @ (sample / longest).T
     np.fill_diagonal(cos, np.nan)
     share = min(0.5, k / max(total, 1))
-    if share * len(unit) >= 2:
+    if share * len(sample) >= 2:
         reached = np.nanquantile(cos, 1 - share, axis=1)
     else:
         tail = math.log(1 / share)
         z = math.sqrt(max(0.0, 2 * tail - math.log(4 * math.pi * tail)))
-        reached = np.nanmean(cos, axis=1) + z * np.nanstd(cos, axis=1)
+        low, middle, high = np.nanquantile(cos, [0.1587, 0.5, 0.8413], axis=1)
+        reached = np.minimum(np.nanmean(cos, axis=1) + z * np.nanstd(cos, axis=1), middle + z * (high - low) / 2)
     return float(np.quantile(reached, 0.1))
 
 
@@ -194,7 +209,10 @@ def multiprobe_neighbours(
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     picked = vectors.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).select("vec").toArrow()["vec"].combine_chunks()
-    model = Tables(dim, _expected_cosine(matrix(picked), total, k), tables, functions, width, seed)
+    lengths = vectors.select((F.expr(f"sqrt({squares})") / F.lit(longest)).alias("norm"))
+    bands = F.least(F.floor(F.log("norm") / math.log(BAND) + 1e-6), F.lit(BANDS))
+    norms = [r.norm for r in lengths.groupBy(bands.alias("band")).agg(F.avg("norm").alias("norm")).collect()]
+    model = Tables(dim, _expected_cosine(matrix(picked), total, k, longest), norms, tables, functions, width, seed)
 
     indexed = cut(vectors.mapInArrow(_index(model, dim, longest), "vec_id long, vec array<double>, tab int, bucket long"), "lsh-index")
     # buckets in order fill groups of about `group` rows; a larger bucket splits among several

@@ -77,3 +77,21 @@ def test_lsh_returns_all_of_few(vectors):
     assert multiprobe_neighbours(vectors([]), F.col("vec_id") % 20 == 0).count() == 0
     assert multiprobe_neighbours(vectors([(0, [1.0, 2.0])]), F.col("vec_id") % 20 == 0).count() == 0
     assert multiprobe_neighbours(vectors([(0, [1.0, 2.0]), (1, [1.0])]), F.col("vec_id") % 20 == 0).count() == 1
+
+
+@pytest.mark.parametrize("norms", ["one long", "log-normal"])
+def test_lsh_recall_with_uneven_norms(vectors, norms):
+    x = sample(20000, 64, 5).astype(float)
+    if norms == "one long":
+        x[7] *= 10
+    else:
+        x *= np.random.default_rng(6).lognormal(0, 1, (len(x), 1))
+    x = x.astype(np.float32)
+    got = multiprobe_neighbours(vectors([(i, v.tolist()) for i, v in enumerate(x)]), F.col("vec_id") % 100 == 0, k=20).toPandas()
+    x = x.astype(float)
+    hit = 0
+    for i, mine in got.groupby("query_id"):
+        s = x @ x[i]
+        s[i] = -np.inf
+        hit += len(set(np.argsort(-s)[:20].tolist()) & set(mine.vec_id))
+    assert len(got) == 20 * 200 and hit >= 0.9 * 20 * 200, hit / 4000
