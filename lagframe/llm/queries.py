@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .bytepairs import encode_byte_pairs
 from .lsh import multiprobe_neighbours
 from .mixing import pareto_mix
 from .neardup import near_duplicates
@@ -93,6 +94,13 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_byte_pair_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return encode_byte_pairs(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 ORACLES |= {
     "op1_path_templates": oracles.url_filter(RULES),
     "op3_pareto_mix": oracles.MIX,
