@@ -94,3 +94,84 @@ r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
 """
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, a nibble at a time."""
+    table = []
+    for i in range(16):
+        for _ in range(4):
+            i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+        table.append(i)
+    nibbles = f"list_reduce([ascii(x) FOR x IN string_split({text}, '')], lambda c, b: {{step}}, 4294967295::BIGINT)"
+    one = lambda c: f"xor(({table}::BIGINT[])[(({c}) & 15) + 1], ({c}) >> 4)"
+    return f"xor({nibbles.format(step=one(one('xor(c, b::BIGINT)')))}, 4294967295::BIGINT)"
+
+
+def _repair() -> str:
+    def edit(state, letter, cost, line=None):
+        written = f"|| chr(10) || {line}" if line else ""
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {state}.o {written}}}"
+
+    def given(when, *edits):
+        return f"CASE WHEN {when} THEN [{', '.join(edits)}] ELSE [] END"
+
+    def best(*lists):
+        return f"list_sort(list_concat({', '.join(lists)}))[1]"
+
+    due, row = "CASE WHEN fault = 1 THEN 3 ELSE 0 END", "(role || ':' || text)"
+    user, assistant = "('user:' || text)", "('assistant:' || text)"
+    insert = lambda s, line: edit(s, "I", 3, f"'{line}:'")
+    live = "fault < 2"
+    into2 = [given(f"{live} AND kind = 1", *(edit(s, "K", due, row) for s in ("k0", "k1", "k3"))), given(live, *(edit(s, "R", f"3 + {due}", user) for s in ("k0", "k1", "k3")))]
+    into3 = [given(f"{live} AND kind = 2", edit("k2", "K", due, row)), given(live, edit("k2", "R", f"3 + {due}", assistant))]
+    closed = f"""SELECT * EXCLUDE (s0, s1, s2, s3), s0 AS k0, s1 AS k1, p2 AS k2, {best("[s3]", f"[{insert('p2', 'assistant')}]")} AS k3
+    FROM (SELECT *, {best("[s2]", f"[{', '.join(insert(s, 'user') for s in ('s0', 's1', 's3'))}]")} AS p2 FROM v)"""
+    never = "{'c': 1000000::BIGINT, 'a': '', 'o': ''}"
+    return f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (SELECT *, {crc32("key")} % 20 AS how FROM k),
+x AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+    CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE how <> 0),
+n AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM x),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM n),
+r AS (SELECT *, CASE substr(role, 1, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END AS kind,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 2 WHEN seen > 1 THEN 3 WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 0 ELSE 1 END AS fault FROM o),
+p AS (SELECT *, lag(kind) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM r),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum((fault = 2)::INT) AS blank, sum((fault = 3)::INT) AS duplicate,
+    sum((fault = 1)::INT) AS truncated, sum((before IS NOT NULL AND (before, kind) NOT IN ((0, 1), (1, 2), (2, 1)))::INT) AS illegal, count(*) AS n FROM p GROUP BY conv_id),
+v AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'o': ''}} AS s0, {never} AS s1, {never} AS s2, {never} AS s3 FROM stats
+    UNION ALL
+    SELECT conv_id, i, {edit("k0", "D", 4)}, {best(f"[{edit('k1', 'D', 4)}]", given(f"{live} AND kind = 0", edit("k0", "K", due, row)))},
+        {best(f"[{edit('k2', 'D', 4)}]", *into2)}, {best(f"[{edit('k3', 'D', 4)}]", *into3)}
+    FROM (SELECT v.* EXCLUDE (i), r.i, role, text, kind, fault FROM ({closed}) v JOIN r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.i = v.i + 1)),
+e AS (SELECT conv_id, list_sort([k0, k3])[1] AS best FROM ({closed}) v JOIN stats USING (conv_id) WHERE i = n)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+    coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(substr(coalesce(best.o, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats s USING (conv_id) LEFT JOIN e USING (conv_id)
+"""
+
+
+REPAIR = _repair()
+
+TRIE = f"""
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL),
+plan AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {crc32("conv_id::VARCHAR")} % 4 AS h FROM ids),
+parts AS (SELECT p.conv_id, 0 AS half, pos, turn, words FROM plan p JOIN t ON t.conv_id = p.base AND pos < h
+    UNION ALL SELECT p.conv_id, 1, pos, turn, words FROM plan p JOIN t ON t.conv_id = p.conv_id AND pos >= h),
+r AS (SELECT conv_id, words, string_agg(turn, '') OVER w AS key, count(*) OVER w AS depth, count(*) OVER (PARTITION BY conv_id) AS n
+    FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY half, pos ROWS UNBOUNDED PRECEDING)),
+m AS (SELECT conv_id, key, depth, words, depth = n AS ended FROM r
+    UNION ALL SELECT conv_id, '', 0, 0, conv_id NOT IN (SELECT conv_id FROM r) FROM ids),
+nodes AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256 FROM m GROUP BY key, depth),
+kids AS (SELECT left(key, length(key) - 32) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (key)),
+trees AS (SELECT a.key, sum((b.n_children = 0)::INT) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens FROM below a JOIN below b ON starts_with(b.key, a.key) GROUP BY a.key)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM below n JOIN trees t ON t.key = n.key LEFT JOIN nodes p ON n.depth > 0 AND p.key = left(n.key, length(n.key) - 32)
+"""

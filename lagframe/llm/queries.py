@@ -14,10 +14,12 @@ from .mixing import pareto_mix
 from .neardup import near_duplicates
 from .pieces import encode_documents
 from .quality import quality_scores
+from .repair import damage, repair_report
 from .ring import bounded_ring
 from .topk import histogram_top_k
 from .suffixes import remove_repeats
 from .toxicity import toxicity_scores
+from .trie import prefix_trie, rebuilt
 from .urls import template_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +96,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = _table(spark, sf_dir, "conversations")
+    return repair_report(damage(convs), ids=convs)
+
+
 @query
 def op12_byte_pair_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -101,10 +109,17 @@ def op12_byte_pair_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_byte_pairs(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 ORACLES |= {
     "op1_path_templates": oracles.url_filter(RULES),
     "op3_pareto_mix": oracles.MIX,
     "op4_histogram_top_k": oracles.TOP_K,
     "op6_suffix_array_dedup": oracles.REPEATS,
     "op10_minhash_near_dedup": oracles.NEAR,
+    "op11_viterbi_repair": oracles.REPAIR,
+    "op13_prefix_trie": oracles.TRIE,
 }
