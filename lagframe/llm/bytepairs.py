@@ -18,9 +18,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from array import array
+import re
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import text_slices
 
 MEMO_LIMIT = 1 << 19  # words whose codes a worker remembers
-STATE_LIMIT = 1 << 17  # states of the transducer that a worker keeps
+STATE_LIMIT = 1 << 18  # states of the transducer that a worker keeps
 PAIR_LIMIT = 1 << 19  # pairs of tokens whose fit a worker remembers
 PIECES = 1 << 16  # words of one long text that are coded at a time
 LONG = 1 << 20  # characters of a long text
@@ -45,41 +46,55 @@ class Ranks:
         self.rank = tokens
         self.surface = {i: t for t, i in tokens.items()}
         self.begins = {t[:n] for t in tokens for n in range(1, len(t))}  # proper prefixes
-        self.sound: dict[int, bool] = {}
+        self.made: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
 
-    def merged(self, data: bytes) -> list[int]:
+    def merged(self, data: bytes, most: float = float("inf")) -> list[int]:
         """Tokens of ``data``: the adjacent pair of the lowest rank merges first, the leftmost
-        of equal ones. Quadratic, for the few bytes of one or two tokens."""
+        of equal ones; pairs of rank ``most`` or more do not. Quadratic, for one token's bytes."""
         parts, rank = [data[i : i + 1] for i in range(len(data))], self.rank
         while len(parts) > 1:
-            found = [(r, i) for i in range(len(parts) - 1) if (r := rank.get(parts[i] + parts[i + 1])) is not None]
+            found = [(r, i) for i in range(len(parts) - 1) if (r := rank.get(parts[i] + parts[i + 1], most)) < most]
             if not found:
                 break
             i = min(found)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [rank[p] for p in parts]
 
-    def bytes_of(self, coded: bytes) -> bytes:
-        return b"".join(map(self.surface.__getitem__, array("I", coded)))
-
-    def reachable(self, token: int) -> bool:
-        """Whether merging the token's own bytes yields the token."""
-        known = self.sound.get(token)
-        if known is None:
-            known = self.sound[token] = self.merged(self.surface[token]) == [token]
-        return known
+    def parts(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes ``token``, itself twice for a byte, None for a token
+        that merging its own bytes does not make."""
+        if token not in self.made:
+            data = self.surface[token]
+            found = [token, token] if len(data) == 1 else self.merged(data, token)
+            self.made[token] = tuple(found) if len(found) == 2 else None
+        return self.made[token]
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether ``right`` may follow ``left``."""
+        """Whether ``right`` may follow ``left``: no merge across their border comes before the
+        merges that made them. These are undone from the last on; of equal ones the right is
+        the later, and a merge across the border would come between."""
         both = left << 32 | right
         known = self.pairs.get(both)
         if known is None:
             if len(self.pairs) >= PAIR_LIMIT:
                 self.pairs.clear()
-            known = self.pairs[both] = self.merged(self.surface[left] + self.surface[right]) == [left, right]
+            known = self.pairs[both] = self._fits(left, right)
         return known
 
+    def _fits(self, left: int, right: int) -> bool:
+        surface, rank, before = self.surface, self.rank, float("inf")
+        while True:
+            a, b = surface[left], surface[right]
+            if rank.get(a + b, before) < before:
+                return False
+            if len(b) > 1 and (left <= right or len(a) == 1):
+                before, right = right + 1, self.parts(right)[0]
+            elif len(a) > 1:
+                before, left = left, self.parts(left)[1]
+            else:
+                return True
+
 
 class Transducer:
     """Word bytes -> codes (little-endian unsigned 32-bit ids).
@@ -112,7 +127,7 @@ class Transducer:
         ranks, text = self.ranks, tail + bytes([byte])
         for place, chain in enumerate(chains):  # the one token that ends here
             token = ranks.rank.get(text[place:])
-            if token is None or not ranks.reachable(token):
+            if token is None or ranks.parts(token) is None:
                 continue
             left = chain[-1] if chain else last
             if left < 0 or ranks.fits(left, token):
@@ -183,17 +198,36 @@ def utf8_rows() -> list[list[int]]:
 
 
 class Utf8Stream:
-    """Incremental decoder: bytes in any pieces -> well-formed UTF-8 of the whole characters."""
+    """Incremental decoder: bytes in any pieces -> well-formed UTF-8 of the whole characters.
+
+    ASCII keeps the machine between characters, so only the runs of other bytes step through it;
+    runs that lead from there back to there unchanged are remembered."""
 
     ROWS = utf8_rows()
+    RUNS = re.compile(rb"[\x80-\xff]+").findall
+    whole: set[bytes] = set()
 
     def __init__(self):
         self.state, self.held = 0, b""
 
     def feed(self, data: bytes) -> bytes:
-        if not self.held and data.isascii():
+        if not self.held and self._whole(data):
             return data
-        rows, state, held, out = self.ROWS, self.state, bytearray(self.held), bytearray()
+        out, self.state, self.held = self._steps(self.state, self.held, data)
+        return out
+
+    def _whole(self, data: bytes) -> bool:
+        for run in set(self.RUNS(data)) - self.whole:
+            if self._steps(0, b"", run) != (run, 0, b""):
+                return False
+            if len(run) <= 64:
+                if len(self.whole) >= MEMO_LIMIT:
+                    self.whole.clear()
+                self.whole.add(run)
+        return True
+
+    def _steps(self, state: int, held: bytes, data: bytes) -> tuple[bytes, int, bytes]:
+        rows, held, out = self.ROWS, bytearray(held), bytearray()
         for byte in data:
             then = rows[state][byte]
             if then < 0 and state:  # the character breaks off; the byte may begin another
@@ -209,8 +243,7 @@ class Utf8Stream:
             if not state:
                 out += held
                 held.clear()
-        self.state, self.held = state, bytes(held)
-        return bytes(out)
+        return bytes(out), state, bytes(held)
 
     def close(self) -> bytes:
         out = REPLACED if self.held else b""
@@ -218,24 +251,25 @@ class Utf8Stream:
         return out
 
 
-class Texts(dict):
-    """Code -> the UTF-8 text of its ids, remembered within a bound; None for a code that does
-    not begin and end between characters or is ill-formed."""
+class Surfaces:
+    """Bytes of ids, gathered in numpy."""
 
     def __init__(self, ranks: Ranks):
-        super().__init__()
-        self.ranks = ranks
-
-    def __missing__(self, coded: bytes) -> bytes | None:
-        stream = Utf8Stream()
-        data = self.ranks.bytes_of(coded)
-        text = stream.feed(data)
-        found = text if text == data and not stream.held else None
-        if len(coded) <= 64:
-            if len(self) >= MEMO_LIMIT:
-                self.clear()
-            self[coded] = found
-        return found
+        count = max(ranks.surface) + 1
+        held = [ranks.surface.get(i, b"") for i in range(count)]
+        self.size = np.array([len(t) for t in held], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(held), dtype=np.uint8)
+
+    def of(self, coded: bytes) -> bytes:
+        ids = np.frombuffer(coded, dtype="<u4")
+        size = self.size[ids]
+        if not size.all():
+            raise ValueError("an id is not in the vocabulary")
+        behind = np.cumsum(size)
+        place = np.repeat(self.start[ids] - behind + size, size)
+        place += np.arange(len(place))
+        return self.flat[place].tobytes()
 
 
 class Codec(dict):
@@ -248,7 +282,7 @@ class Codec(dict):
         self.ranks = Ranks(tokens)
         self.transducer = Transducer(self.ranks)
         self.words = regex.compile(pattern)
-        self.texts = Texts(self.ranks)
+        self.surfaces = Surfaces(self.ranks)
 
     def __missing__(self, word: str) -> bytes:
         data = word.encode()
@@ -261,21 +295,17 @@ class Codec(dict):
         return found
 
     def encode(self, text: str):
-        """Lists of the words' codes; of a long text ``PIECES`` words at a time."""
+        """Codes of the text's words; of a long text ``PIECES`` words at a time."""
         if len(text) <= LONG:
-            yield list(map(self.__getitem__, self.words.findall(text)))
+            yield b"".join(map(self.__getitem__, self.words.findall(text)))
             return
         found = self.words.finditer(text)
         while batch := [self[m.group()] for m in islice(found, PIECES)]:
-            yield batch
+            yield b"".join(batch)
 
-    def decode(self, codes: list[bytes], stream: Utf8Stream) -> bytes:
+    def decode(self, coded: bytes, stream: Utf8Stream) -> bytes:
         """UTF-8 text of the codes; ``stream`` carries an incomplete character along."""
-        if not stream.held:
-            found = list(map(self.texts.__getitem__, codes))
-            if None not in found:
-                return b"".join(found)
-        return b"".join([stream.feed(self.ranks.bytes_of(c)) for c in codes])
+        return stream.feed(self.surfaces.of(coded))
 
 
 @functools.lru_cache(maxsize=2)
@@ -294,13 +324,12 @@ def _encode(path: str, pattern: str, keep_ids: bool):
             n, ids_sha, text_sha, lists = [], [], [], []
             for raw in (raw for _, _, texts in text_slices(batch.column(1), SLICE) for raw in texts):
                 count, ids, decoded, stream, kept = 0, hashlib.sha256(), hashlib.sha256(), Utf8Stream(), []
-                for codes in own.encode(raw.decode("utf-8", "replace")):
-                    joined = b"".join(codes)
-                    count += len(joined) // 4
-                    ids.update(joined)
-                    decoded.update(own.decode(codes, stream))
+                for coded in own.encode(raw.decode("utf-8", "replace")):
+                    count += len(coded) // 4
+                    ids.update(coded)
+                    decoded.update(own.decode(coded, stream))
                     if keep_ids:
-                        kept.extend(array("I", joined))
+                        kept.extend(np.frombuffer(coded, dtype="<u4").tolist())
                 decoded.update(stream.close())
                 n.append(count)
                 ids_sha.append(ids.hexdigest())
@@ -338,7 +367,7 @@ def _decode(path: str, pattern: str):
             texts = []
             for ids in batch.column(1).to_pylist():
                 stream = Utf8Stream()
-                found = own.decode([code((i,)) for i in ids or ()], stream) + stream.close()
+                found = own.decode(np.array(ids or [], dtype="<u4").tobytes(), stream) + stream.close()
                 texts.append(None if ids is None else found.decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 

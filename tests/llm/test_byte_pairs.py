@@ -3,8 +3,8 @@
 import base64
 import hashlib
 import random
-from array import array
 
+import numpy as np
 import pytest
 
 from lagframe.llm import bytepairs
@@ -24,7 +24,7 @@ def library():
 
 
 def ids(own, text):
-    return list(array("I", b"".join(b"".join(c) for c in own.encode(text))))
+    return np.frombuffer(b"".join(own.encode(text)), dtype="<u4").tolist()
 
 
 def texts(seed, n):
@@ -53,6 +53,16 @@ def test_small_bounds_change_nothing(library, monkeypatch):
         assert ids(own, text) == library.encode_ordinary(text)
 
 
+def test_pairs_fit_as_merging_both_says():
+    ranks = codec(PATH, PATTERN).ranks
+    r, tokens = random.Random(6), list(ranks.rank)
+    pairs = [(r.choice(tokens), r.choice(tokens)) for _ in range(20000)] + [(a * i, a * j) for a in (b" ", b"a", b"-", b"=") for i in range(1, 9) for j in range(1, 9)]
+    pairs += [(t[:i], t[i:]) for t in r.sample(tokens, 3000) for i in range(1, len(t))]
+    for a, b in pairs:
+        if a in ranks.rank and b in ranks.rank:
+            assert ranks.fits(ranks.rank[a], ranks.rank[b]) == (ranks.merged(a + b) == [ranks.rank[a], ranks.rank[b]]), (a, b)
+
+
 def test_lookahead_is_bounded():
     """What a state holds back does not grow with the word."""
     own = codec(PATH, PATTERN)
