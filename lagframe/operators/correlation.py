@@ -7,14 +7,13 @@ Design (one job for any number of variables x lags x methods):
 2. one LEFT equi-join per source with the wide weekly climate on (keys, week index)
    -- every case row survives, as in the original left merge;
 3. unpivot the variables, flag the pairs where both values are present;
-4. Spearman: average ranks from rank windows partitioned by the group
-   (keys, [source], variable, lag) -- pairs sort first, so non-pairs never shift a rank;
-5. one groupBy on the same group key (the window exchange is reused): pair count,
-   min/max guards and population co-moments for both value and rank pairs;
-6. r and p-value as native expressions, methods emitted with ``inline``.
-
-Groups hold one row per case week of one entity, so their size is bounded by the
-calendar, not by data volume.
+4. Pearson alone: co-moments that merge (``_moments_merged``), no window;
+5. Spearman in a sweep: a group (keys, [source], variable, lag) holds one row per case week
+   of one entity, so the calendar bounds it, and windows over its distinct pairs give the
+   average ranks (``_moments_collapsed``);
+6. Spearman over any frame (``correlate``): ranks by range and prefix sums
+   (``_moments_ranged``), for groups of any size;
+7. r and p-value as native expressions, methods emitted with ``inline``.
 """
 
 from __future__ import annotations
@@ -28,6 +27,9 @@ from pyspark.sql import types as T
 from ..functions import calendar as cal
 from ..functions.pvalue import with_pvalue
 from ..functions.scalars import nan_to_null
+from ..session import scratch_table
+from .groups import beside, united
+from .ranks import counted_values, mean_place
 from .rollup import WEEK, YEAR, _keys
 
 METHODS = ("pearson", "spearman")
@@ -71,10 +73,58 @@ def avg_rank(value: str, group: Sequence[str], valid: Column | None = None) -> C
     return F.when(flag, r)
 
 
-RANK_STRATEGIES = ("collapsed", "window")
-
-
-def _moments_collapsed(d: DataFrame, group: list[str], spearman: bool) -> DataFrame:
+RANK_STRATEGIES = ("collapsed", "ranged", "window")
+GUARDS = ("_minx", "_maxx", "_miny", "_maxy")
+
+
+def _guards() -> list[Column]:
+    return [F.min("_x").alias("_minx"), F.max("_x").alias("_maxx"), F.min("_y").alias("_miny"), F.max("_y").alias("_maxy")]
+
+
+def _moments_merged(d: DataFrame, group: list[str]) -> DataFrame:
+    """Per-group pair count, guards and co-moments without a window: partial aggregates of
+    (n, means, co-moments) merge, so a group of any size is spread over all tasks.
+
+    Two passes over the rows: counts, extremes and means, then co-moments of the distances
+    from those means, which keep their digits however far from zero the values lie."""
+    pairs = d.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    a = d.groupBy(*group).agg(F.count("_x").alias("n"), *_guards(), F.avg("_x").alias("_px"), F.avg("_y").alias("_py"))
+    far = beside(pairs, a, group, ["_px", "_py"]).withColumns({"_dx": F.col("_x") - F.col("_px"), "_dy": F.col("_y") - F.col("_py")})
+    m = far.groupBy(*group).agg(F.covar_pop("_dx", "_dy").alias("_cxy"), F.stddev_pop("_dx").alias("_sx"), F.stddev_pop("_dy").alias("_sy"))
+    return united(a.select(*group, "n", *GUARDS), m, group)
+
+
+def _moments_ranged(d: DataFrame, group: list[str]) -> DataFrame:
+    """As ``_moments_merged`` with co-moments of the average ranks, for groups of any size: equal
+    pairs are counted map-side, each side's values are ranked by range (``ranks.counted_values``)
+    and joined back, and the rank moments merge around the mean rank (n + 1) / 2."""
+    pairs = d.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull()).groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
+    pairs = scratch_table(pairs, "pairs")
+    a = scratch_table(d.groupBy(*group).agg(F.count("_x").alias("n"), *_guards(), F.avg("_x").alias("_px"), F.avg("_y").alias("_py")), "pair-counts")
+    q = pairs
+    for v, name in (("_x", "_rx"), ("_y", "_ry")):
+        of = [f"_of_{c}" for c in (*group, v)]
+        ranks = counted_values(pairs, v, group, "_c").select(*[F.col(c).alias(o) for c, o in zip((*group, v), of, strict=True)], mean_place().alias(name))
+        on = F.col(v) == F.col(of[-1])
+        for c, o in zip(group, of, strict=False):
+            on = on & F.col(c).eqNullSafe(F.col(o))
+        q = q.join(scratch_table(ranks, "pair-ranks"), on).drop(*of)
+    q = beside(q, a, group, ["_px", "_py", F.col("n").alias("_n")])
+    dx, dy, w = F.col("_x") - F.col("_px"), F.col("_y") - F.col("_py"), F.col("_c").cast("double")
+    rx, ry = (F.col(r) - (F.col("_n") + 1) / F.lit(2.0) for r in ("_rx", "_ry"))
+    n = F.sum(w)
+    m = q.groupBy(*group).agg(
+        (F.sum(w * dx * dy) / n - F.sum(w * dx) / n * (F.sum(w * dy) / n)).alias("_cxy"),
+        F.sqrt(F.sum(w * dx * dx) / n - F.pow(F.sum(w * dx) / n, 2)).alias("_sx"),
+        F.sqrt(F.sum(w * dy * dy) / n - F.pow(F.sum(w * dy) / n, 2)).alias("_sy"),
+        (F.sum(w * rx * ry) / n).alias("_crr"),
+        F.sqrt(F.sum(w * rx * rx) / n).alias("_srx"),
+        F.sqrt(F.sum(w * ry * ry) / n).alias("_sry"),
+    )
+    return united(a.select(*group, "n", *GUARDS), m, group)
+
+
+def _moments_collapsed(d: DataFrame, group: list[str]) -> DataFrame:
     """Per-group pair count, guards and co-moments from *collapsed* pairs.
 
     1. identical (x, y) rows are counted per group -- copies collapse in the map-side
@@ -98,13 +148,12 @@ def _moments_collapsed(d: DataFrame, group: list[str], spearman: bool) -> DataFr
         "_mx": F.sum(w * F.col("_x")).over(part) / n_all,
         "_my": F.sum(w * F.col("_y")).over(part) / n_all,
     }
-    if spearman:
-        cols["_half"] = (n_all + 1.0) / 2.0  # mean of the average ranks
-        for v, name in (("_x", "_rx"), ("_y", "_ry")):
-            k = F.when(pair, F.col(v))
-            upto = part.orderBy(k).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            ties = Window.partitionBy(*whole, k)
-            cols[name] = F.when(pair, F.sum(w).over(upto) - (F.sum(w).over(ties) - 1.0) / 2.0)
+    cols["_half"] = (n_all + 1.0) / 2.0  # mean of the average ranks
+    for v, name in (("_x", "_rx"), ("_y", "_ry")):
+        k = F.when(pair, F.col(v))
+        upto = part.orderBy(k).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        ties = Window.partitionBy(*whole, k)
+        cols[name] = F.when(pair, F.sum(w).over(upto) - (F.sum(w).over(ties) - 1.0) / 2.0)
     q = p.withColumns(cols)
     dx, dy = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
     wt = F.col("_w")
@@ -119,13 +168,12 @@ def _moments_collapsed(d: DataFrame, group: list[str], spearman: bool) -> DataFr
         F.sqrt(F.sum(wt * dx * dx) / n).alias("_sx"),
         F.sqrt(F.sum(wt * dy * dy) / n).alias("_sy"),
     ]
-    if spearman:
-        rx, ry = F.col("_rx") - F.col("_half"), F.col("_ry") - F.col("_half")
-        aggs += [
-            (F.sum(wt * rx * ry) / n).alias("_crr"),
-            F.sqrt(F.sum(wt * rx * rx) / n).alias("_srx"),
-            F.sqrt(F.sum(wt * ry * ry) / n).alias("_sry"),
-        ]
+    rx, ry = F.col("_rx") - F.col("_half"), F.col("_ry") - F.col("_half")
+    aggs += [
+        (F.sum(wt * rx * ry) / n).alias("_crr"),
+        F.sqrt(F.sum(wt * rx * rx) / n).alias("_srx"),
+        F.sqrt(F.sum(wt * ry * ry) / n).alias("_sry"),
+    ]
     return q.groupBy(*group).agg(*aggs)
 
 
@@ -142,10 +190,13 @@ def pair_stats(
 
     Output: group columns, method, r, p_value, n. r/p are NULL when fewer than
     `min_n` pairs survive or either side is constant; n is always reported.
+    Pearson alone needs no ranks: its co-moments merge, whatever the strategy but ``window``.
     ``collapsed`` (default): identical pairs are counted map-side first and every
-    moment is computed over the distinct pairs, so duplicated rows never pile up
-    in one task. ``window``: ranks every row with rank windows partitioned by the
-    group and uses Spark's covar_pop/stddev_pop (for groups known to be small).
+    moment is computed over the distinct pairs of a group in windows, so duplicated rows never
+    pile up in one task; for groups whose distinct pairs are bounded, as by the calendar.
+    ``ranged``: ranks by range and prefix sums, no window over a group, for groups of any size;
+    writes its counts below the checkpoint root at once. ``window``: ranks every row with rank
+    windows partitioned by the group (for groups known to be small).
     """
     methods = check_methods(methods)
     if rank_strategy not in RANK_STRATEGIES:
@@ -154,8 +205,12 @@ def pair_stats(
     pair = nan_to_null(F.col(x)).isNotNull() & nan_to_null(F.col(y)).isNotNull()
     d = df.select(*group, F.when(pair, F.col(x).cast("double")).alias("_x"), F.when(pair, F.col(y).cast("double")).alias("_y"))
     spearman = "spearman" in methods
-    if rank_strategy == "collapsed":
-        a = _moments_collapsed(d, group, spearman)
+    if rank_strategy != "window" and not spearman:
+        a = _moments_merged(d, group)
+    elif rank_strategy == "ranged":
+        a = _moments_ranged(d, group)
+    elif rank_strategy == "collapsed":
+        a = _moments_collapsed(d, group)
     else:
         d = d.withColumn("_pair", F.col("_x").isNotNull())
         if spearman:
@@ -265,6 +320,7 @@ def corr_matrix_sources(cases, sources: Mapping[str, tuple[DataFrame, Sequence[s
     return corr_sweep(cases, dict(sources), lags, target, methods, keys, system)
 
 
-def correlate(df: DataFrame, x: str, y: str, keys=None, methods=METHODS) -> DataFrame:
-    """Correlation of two columns of one frame, per entity (E2/E3 on a frame)."""
-    return pair_stats(df, x, y, _keys(keys), methods)
+def correlate(df: DataFrame, x: str, y: str, keys=None, methods=METHODS, rank_strategy: str = "ranged") -> DataFrame:
+    """Correlation of two columns of one frame, per entity (E2/E3 on a frame), for entities of
+    any size."""
+    return pair_stats(df, x, y, _keys(keys), methods, rank_strategy=rank_strategy)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import nan_to_null
+from .groups import united
+from .quantiles import exact_quantiles
 from .rollup import YEAR, _keys
 
 
@@ -43,29 +45,21 @@ def outbreak_flag(df: DataFrame, col: str = "incidence", threshold: float = 100.
 def describe(df: DataFrame, cols: Sequence[str], keys=None, exact: bool = True) -> DataFrame:
     """count/mean/std/min/quartiles/max per (keys, variable).
 
-    ``exact=True`` uses ``percentile`` (linear interpolation, as pandas); each group
-    is one entity's series. ``exact=False`` switches to ``percentile_approx``, whose
-    memory does not grow with the group.
+    ``exact=True`` finds the quartiles (linear interpolation, as pandas) by histogram
+    refinement, for groups of any size, and runs its searches as jobs. ``exact=False``
+    uses ``percentile_approx``, one pass whose memory does not grow with the group.
     """
-    keys = _keys(keys)
+    group = [*_keys(keys), "variable"]
     long = df.select(
-        *keys,
+        *_keys(keys),
         F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), nan_to_null(F.col(c).cast("double")).alias("x")) for c in cols])).alias("_kv"),
-    ).select(*keys, "_kv.variable", "_kv.x")
+    ).select(*_keys(keys), "_kv.variable", "_kv.x")
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    rough = [] if exact else [F.percentile_approx("x", p, 10000).cast("double").alias(name) for name, p in quartiles.items()]
+    out = long.groupBy(*group).agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), *rough)
     if exact:
-        q = [F.percentile("x", p) for p in (0.25, 0.5, 0.75)]
-    else:
-        q = [F.percentile_approx("x", p, 10000).cast("double") for p in (0.25, 0.5, 0.75)]
-    return long.groupBy(*keys, "variable").agg(
-        F.count("x").alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        q[0].alias("p25"),
-        q[1].alias("p50"),
-        q[2].alias("p75"),
-        F.max("x").alias("max"),
-    )
+        out = united(out, exact_quantiles(long, "x", group, list(quartiles.values()), list(quartiles)), group)
+    return out.select(*group, "count", "mean", "std", "min", *quartiles, "max")
 
 
 def table_coverage(df: DataFrame, name: str, means: Mapping[str, str] | None = None) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.pvalue import with_pvalue
 from ..functions.scalars import nan_to_null
 from .correlation import clamped_r, METHODS, guarded_r, pair_stats
+from .groups import beside
 from .rollup import YEAR, _keys
 
 PARTIAL_MIN_N = 5
@@ -63,15 +63,20 @@ def corr_pivot_multi(
 def zscore(df: DataFrame, cols: Sequence[str], keys=None, suffix: str = "z_") -> DataFrame:
     """Add z-scores (sample std, as pandas) per entity; NULL when the column is constant.
 
-    The window is partitioned by the entity: one weekly series, bounded by the calendar.
+    With keys a window per entity: one weekly series, bounded by the calendar. Without keys the
+    moments are one aggregate (partial sums on every task) set beside the rows.
     """
-    w = Window.partitionBy(*_keys(keys))
-    out = {}
-    for c in cols:
-        v = nan_to_null(F.col(c).cast("double"))
-        const = F.min(v).over(w) == F.max(v).over(w)
-        out[f"{suffix}{c}"] = F.when(~const, F.try_divide(v - F.avg(v).over(w), F.stddev_samp(v).over(w)))
-    return df.withColumns(out)
+    keys = _keys(keys)
+    value = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
+    parts = {"low": F.min, "high": F.max, "mean": F.avg, "sd": F.stddev_samp}
+    found = {f"_{p}_{c}": fn(v) for c, v in value.items() for p, fn in parts.items()}
+    if keys:
+        w = Window.partitionBy(*keys)
+        d = df.withColumns({n: agg.over(w) for n, agg in found.items()})
+    else:
+        d = beside(df, df.agg(*[agg.alias(n) for n, agg in found.items()]), [], list(found))
+    out = {f"{suffix}{c}": F.when(F.col(f"_low_{c}") < F.col(f"_high_{c}"), F.try_divide(v - F.col(f"_mean_{c}"), F.col(f"_sd_{c}"))) for c, v in value.items()}
+    return d.withColumns(out).drop(*found)
 
 
 def interaction(df: DataFrame, a: str, b: str, keys=None, name: str | None = None) -> DataFrame:
@@ -163,6 +168,9 @@ def recommend_features(partials: DataFrame, keys=None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ E13 VIF
+PIVOT = 1e-10  # a standardized column with less left of it is determined by earlier ones
+
+
 def vif_status(v: Column) -> Column:
     return F.when(v > 10, "high").when(v < 5, "ok").otherwise("moderate")
 
@@ -173,47 +181,39 @@ def vif(df: DataFrame, cols: Sequence[str], keys=None, digits: int = 2, tol: flo
     VIF = 1 / (1 - R^2) of each column regressed on all the others. A constant column
     gets 1 and explains nothing; a column that the others determine gets +inf, the
     columns it does not involve keep their own value. One aggregate gathers the k x k
-    co-moments of each entity; the regressions run on those rows (k columns, never the
-    data), in the order of `cols`.
+    co-moments of each entity; on those rows each column's regression eliminates the
+    others from the correlation matrix one by one, in the order of `cols`, leaving out those
+    that earlier ones determine; what is left on the column's diagonal is 1 - R^2.
     """
     keys, cols = _keys(keys), list(cols)
     k = len(cols)
     d = df.select(*keys, *[nan_to_null(F.col(c).cast("double")).alias(f"_c{i}") for i, c in enumerate(cols)])
     d = d.dropna(subset=[f"_c{i}" for i in range(k)])
-    varies = [(F.min(f"_c{i}") < F.max(f"_c{i}")).alias(f"_live{i}") for i in range(k)]
-    upper = [(i, j) for i in range(k) for j in range(i, k)]
-    moments = F.array(*[F.covar_pop(f"_c{i}", f"_c{j}") for i, j in upper]).alias("_moments")
-    a = d.groupBy(*keys).agg(*varies, moments)
-    a = a.select(*keys, F.array(*[F.coalesce(f"_live{i}", F.lit(False)) for i in range(k)]).alias("_live"), "_moments")
-
-    def solve(frames):
-        for pdf in frames:
-            found = []
-            for flags, moments_ in zip(pdf["_live"], pdf["_moments"]):
-                cov = np.zeros((k, k))
-                for (i, j), v in zip(upper, moments_):
-                    cov[i, j] = cov[j, i] = np.nan if v is None else v
-                live = [i for i in range(k) if flags[i]]
-                row = [1.0] * k
-                if live and not np.isfinite(cov[np.ix_(live, live)]).all():
-                    row = [None if i in live else 1.0 for i in range(k)]
-                else:
-                    sd = np.sqrt(np.diag(cov))
-                    for i in live:
-                        rest = [j for j in live if j != i]
-                        if rest:
-                            r = cov[i, rest] / (sd[i] * sd[rest])
-                            among = cov[np.ix_(rest, rest)] / np.outer(sd[rest], sd[rest])
-                            left = 1.0 - float(r @ np.linalg.pinv(among, rcond=1e-10, hermitian=True) @ r)
-                            row[i] = round(1.0 / left, digits) if left > tol else float("inf")
-                found.append(row)
-            out = pdf.drop(columns=["_live", "_moments"])
-            out["_vifs"] = found
-            yield out
-
-    fields = ", ".join([*(f"`{q}` {a.schema[q].dataType.simpleString()}" for q in keys), "_vifs array<double>"])
-    rows = F.arrays_zip(F.array(*[F.lit(c) for c in cols]).alias("variable"), F.col("_vifs").alias("vif"))
-    out = a.mapInPandas(solve, fields).select(*keys, F.inline(rows))
+    live = [(F.min(f"_c{i}") < F.max(f"_c{i}")).alias(f"_live{i}") for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    a = d.groupBy(*keys).agg(*live, *[F.covar_pop(f"_c{i}", f"_c{j}").alias(f"_m{i}_{j}") for i, j in pairs])
+    both = {(i, j): F.coalesce(F.col(f"_live{i}") & F.col(f"_live{j}"), F.lit(False)) for i, j in pairs}
+    r = {(i, j): F.when(both[i, j], F.try_divide(F.col(f"_m{i}_{j}"), F.sqrt(F.col(f"_m{i}_{i}")) * F.sqrt(F.col(f"_m{j}_{j}")))).otherwise(F.lit(0.0)) for i, j in pairs}
+    finite = F.lit(True)
+    for c in r.values():
+        finite = finite & F.coalesce(F.abs(c) < F.lit(float("inf")), F.lit(False))
+    flat = F.array(*[F.when(both[i, i], F.lit(1.0)).otherwise(F.lit(0.0)) if i == j else r[min(i, j), max(i, j)] for i in range(k) for j in range(k)])
+    a = a.select(*keys, *[both[i, i].alias(f"_live{i}") for i in range(k)], F.when(finite, flat).alias("_r"))
+
+    def eliminated(m: Column, p: Column) -> Column:
+        """The matrix (row by row) without what column ``p`` explains."""
+        at = lambda row, col: F.get(m, row * k + col)
+        less = F.transform(m, lambda v, q: v - at(F.floor(q / k).cast("int"), p) * at(p, q % k) / at(p, p))
+        return F.when(at(p, p) > PIVOT, less).otherwise(m)
+
+    rows = []
+    for i, c in enumerate(cols):
+        others = F.array(*[F.lit(j) for j in range(k) if j != i]) if k > 1 else F.array().cast("array<int>")
+        left = F.get(F.aggregate(others, F.col("_r"), eliminated), F.lit(i * k + i))
+        inflation = F.when(left > tol, F.round(1.0 / left, digits)).otherwise(F.lit(float("inf")))
+        value = F.when(~F.col(f"_live{i}"), F.lit(1.0)).when(F.col("_r").isNotNull(), inflation)
+        rows.append(F.struct(F.lit(c).alias("variable"), value.alias("vif")))
+    out = a.select(*keys, F.inline(F.array(*rows)))
     return out.withColumn("status", vif_status(F.col("vif")))
 
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from ..operators import forecast as FC
 from ..operators import lagjoin as LJ
-from ..operators.weekly_forest import walk_forward_weekly
+from ..operators.weekly_forest import forest_importance, walk_forward_weekly
 from ..session import scratch_path
 from . import oracle as O
+from . import oracle_trees as OT
 from . import views as V
 from .catalog import REGION, register, rounded, rsql
 
@@ -206,8 +207,48 @@ def q_gain_vs_baseline(spark, d):
     return rounded(FC.gain_vs_baseline(m, keys=REGION))
 
 
+# one tree of two levels on every week once, with exact sums: SQL can grow the same one
+TREE = {"num_trees": 1, "max_depth": 2, "min_leaf": OT.MIN_LEAF, "bootstrap": False, "digits": 6}
+
+
+@register(
+    "walk_forward_tree",
+    O.build(
+        f"SELECT b.region, b.year, b.week, {rsql('b.incidence', alias='real')}, {rsql('b.pred_baseline')}, {O.rnd('c.pred', 9)} AS pred_tree_climate, {O.rnd('a.pred', 9)} AS pred_tree_full "
+        "FROM bf b JOIN tc c ON c.region = b.region AND c.row_no = b.row_no JOIN ta a ON a.region = b.region AND a.row_no = b.row_no",
+        "bf",
+        extra=[*OT.walk_forward_ctes("tc", CLIMATE_FEATURES, 2), *OT.walk_forward_ctes("ta", FULL_FEATURES, 2)],
+    ),
+)
+def q_walk_forward_tree(spark, d):
+    """Walk-forward per place, refit every week, with a single tree: exactly checkable."""
+    found = walk_forward_weekly(model_frame(spark, d), "incidence", CLIMATE_FEATURES, FULL_FEATURES, REGION, forest=TREE)
+    found = found.withColumnsRenamed({"pred_rf_climate": "pred_tree_climate", "pred_rf_full": "pred_tree_full"})
+    return rounded(found, {"pred_tree_climate": 9, "pred_tree_full": 9})
+
+
 @register("feature_importance")
 def q_feature_importance(spark, d):
+    """Importances of the final forest of each place."""
+    return rounded(forest_importance(model_frame(spark, d), "incidence", FULL_FEATURES, REGION))
+
+
+@register(
+    "importance_tree",
+    O.build(
+        f"SELECT region, [{', '.join(repr(c) for c in FULL_FEATURES)}][f] AS feature, {rsql('importance')} FROM imp",
+        "model",
+        extra=OT.importance_ctes("imp", FULL_FEATURES, 2),
+    ),
+)
+def q_importance_tree(spark, d):
+    """Importances of one tree per place: exactly checkable."""
+    return rounded(forest_importance(model_frame(spark, d), "incidence", FULL_FEATURES, REGION, forest=TREE))
+
+
+@register("importance_pooled")
+def q_importance_pooled(spark, d):
+    """Importances of one MLlib forest on all places."""
     return rounded(FC.feature_importance(model_frame(spark, d), "incidence", FULL_FEATURES))
 
 

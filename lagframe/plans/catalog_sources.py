@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import correlation as C
+from ..operators.lagjoin import lag_join
 from ..sources import landed as L
-from ..sources.tables import LOADED_AT, Store, dedup_latest
+from ..sources.tables import LOADED_AT, Store, co_located, dedup_latest
 from ..session import scratch_path
 from . import oracle as O
 from . import views as V
@@ -28,8 +29,8 @@ _CASE_SQL = f"SELECT geocode, region AS place, se, year, week, cases, {rsql('cas
 YEAR_BOUNDS = (1990, 2100)
 
 
-def _store(spark, tag: str) -> Store:
-    s = Store(spark, scratch_path(spark, tag), prefix=f"lf_{uuid.uuid4().hex[:12]}_", year_bounds=YEAR_BOUNDS)
+def _store(spark, tag: str, **layout) -> Store:
+    s = Store(spark, scratch_path(spark, tag), prefix=f"lf_{uuid.uuid4().hex[:12]}_", year_bounds=YEAR_BOUNDS, **layout)
     s.create_schema()
     return s
 
@@ -49,11 +50,16 @@ def _landed_cases(spark, d):
     root = scratch_path(spark, "landed-cases")
     c = V.cases_t(spark, d).withColumn("se", F.col("se").cast("string"))
     L.land_case_csv(c, root)
-    return L.ingest_case_csv(spark, root, _places(spark, d), 1995, 2001, year_bounds=YEAR_BOUNDS)
+    return L.ingest_case_csv(spark, root, _places(spark, d), *_years(c), year_bounds=YEAR_BOUNDS)
+
+
+def _years(cases) -> tuple[int, int]:
+    """First and last year of the cases."""
+    return tuple(cases.agg(F.min("year"), F.max("year")).first())
 
 
 # ------------------------------------------------------------------ A1 / A2
-@register("ingest_case_csv", O.build(_CASE_SQL + " WHERE year BETWEEN 1995 AND 2001", "cases"))
+@register("ingest_case_csv", O.build(_CASE_SQL, "cases"))
 def q_ingest_case_csv(spark, d):
     rows, _rejects = _landed_cases(spark, d)
     return rounded(rows.select(*_CASE_OUT))
@@ -61,14 +67,15 @@ def q_ingest_case_csv(spark, d):
 
 @register(
     "ingest_many",
-    O.build("SELECT count(*) AS rows, count(DISTINCT region) AS places FROM cases WHERE year BETWEEN 1995 AND 2001", "cases"),
+    O.build("SELECT count(*) AS rows, count(DISTINCT region) AS places FROM cases", "cases"),
 )
 def q_ingest_many(spark, d):
     rows, _rejects = _landed_cases(spark, d)
     return L.ingest_summary(rows)
 
 
-# weeks land in three kinds of file: as usual, with columns in another order and one more, and
+# weeks land in three kinds of file: as usual, with columns in another order and one more that
+# holds commas, quotes and line breaks, and
 # with values that do not convert or a week code that is none
 _KIND = "CASE WHEN week % 3 = 0 THEN 0 WHEN week % 3 = 1 THEN 1 ELSE 2 END"
 
@@ -77,21 +84,21 @@ _KIND = "CASE WHEN week % 3 = 0 THEN 0 WHEN week % 3 = 1 THEN 1 ELSE 2 END"
     "ingest_odd_files",
     O.build(
         f"SELECT geocode, count(*) FILTER (kind < 2) AS rows, sum(cases) FILTER (kind < 2)::BIGINT AS cases, {O.rnd('sum(CAST(incidence AS DECIMAL(20, 9))) FILTER (kind < 2)')} AS incidence, "
-        f"count(*) FILTER (kind = 2) AS rejects FROM (SELECT *, {_KIND} AS kind FROM cases WHERE year BETWEEN 1995 AND 2001) GROUP BY geocode",
+        f"count(*) FILTER (kind = 2) AS rejects FROM (SELECT *, {_KIND} AS kind FROM cases) GROUP BY geocode",
         "cases",
     ),
 )
 def q_ingest_odd_files(spark, d):
-    """Lines by column name; rows and rejects together are all lines."""
+    """Records by column name; rows and rejects together are all records."""
     root = scratch_path(spark, "landed-odd")
     cols = [f.name for f in L.CASE_FILE_SCHEMA.fields]
     cases = V.cases_t(spark, d).withColumn("kind", F.expr(_KIND)).select("kind", "geocode", "year", *[F.col(c).cast("string").alias(c) for c in cols])
     odd = cases.filter("kind = 2")
     wrong = odd.withColumns({"se": F.when(F.col("year") % 2 == 0, F.lit("2024x1")).otherwise(F.col("se")), "cases": F.when(F.col("year") % 2 == 1, F.lit("many")).otherwise(F.col("cases"))})
-    files = [cases.filter("kind = 0"), cases.filter("kind = 1").select("geocode", "year", F.lit('a, "b"').alias("note"), *cols[::-1]), wrong]
+    files = [cases.filter("kind = 0"), cases.filter("kind = 1").select("geocode", "year", F.lit('a,\n"b"').alias("note"), *cols[::-1]), wrong]
     for part in files:
         part.drop("kind").repartition("geocode", "year").write.mode("append").partitionBy("geocode", "year").option("header", True).option("escape", '"').csv(root)
-    rows, rejects = L.ingest_case_csv(spark, root, _places(spark, d), 1995, 2001, year_bounds=YEAR_BOUNDS)
+    rows, rejects = L.ingest_case_csv(spark, root, _places(spark, d), *_years(cases), year_bounds=YEAR_BOUNDS)
     both = rows.select("geocode", "cases", F.col("incidence").cast("decimal(20,9)").alias("incidence"), F.lit(1).alias("ok")).unionByName(
         rejects.select("geocode", F.lit(None).cast("long").alias("cases"), F.lit(None).cast("decimal(20,9)").alias("incidence"), F.lit(0).alias("ok"))
     )
@@ -207,6 +214,44 @@ def q_refresh_table(spark, d):
     return rounded(_kept(s, "cases_raw").select(*_CASE_OUT))
 
 
+@register("refresh_years", O.build(_CASE_SQL.replace("week, cases,", "week, cases + CASE WHEN year % 3 = 0 THEN 1 ELSE 0 END AS cases,"), "cases"))
+def q_refresh_years(spark, d):
+    """Every third year is delivered again; the other years' files stay as they are."""
+    s = _store(spark, "store-years", partition_by_year=True)
+    cases = V.cases_t(spark, d).withColumnRenamed("region", "place")
+    s.append_cases(cases)
+    s.refresh_years("cases_raw", cases.filter("year % 3 = 0").withColumn("cases", F.col("cases") + 1))
+    s.drop()  # a partitioned table is listed by the catalog, its folder by the reader
+    return rounded(spark.read.parquet(f"{s.root}/cases_raw").select(*_CASE_OUT))
+
+
+# ------------------------------------------------------------------ A5 / D1 tables bucketed by entity
+BUCKETS = 8
+_SAT4 = ("ndvi", "lst_night_c")
+
+
+@register(
+    "lag_join_bucketed",
+    O.build(
+        f"SELECT c.region AS place, c.se, c.cases, {', '.join(rsql(f'k.{v}_lag4') for v in _SAT4)}, k.valid_days_lag4 FROM cases_idx c "
+        f"LEFT JOIN ({O.lagged_sql('sat_weekly_idx', 4, [*_SAT4, 'valid_days'], REGION)}) k ON k.region = c.region AND k.tidx = c.idx",
+        "cases_idx",
+        "sat_weekly_idx",
+    ),
+)
+def q_lag_join_bucketed(spark, d):
+    """The lag join of two tables at rest, bucketed by place: no exchange of either."""
+    s = _store(spark, "store-buckets", buckets=BUCKETS)
+    s.append_cases(V.cases_t(spark, d).withColumnRenamed("region", "place"))
+    s.append_satellite(V.sat_weekly_t(spark, d).withColumnRenamed("region", "place"))
+    path = scratch_path(spark, "lag-join-bucketed")
+    with co_located(spark):
+        joined = lag_join(s.table("cases_raw").drop(LOADED_AT), s.table("weekly_satellite").drop(LOADED_AT), 4, "place")
+        joined.select("place", "se", "cases", *[f"{v}_lag4" for v in _SAT4], "valid_days_lag4").write.parquet(path)
+    s.drop()
+    return rounded(spark.read.parquet(path))
+
+
 # ------------------------------------------------------------------ A14 / A15 CSV sink + read-back
 _MATRIX_SCHEMA = T.StructType(
     [

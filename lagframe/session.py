@@ -13,7 +13,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lagframe") -> SparkSession:
@@ -70,3 +70,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/lagframe/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint root and read back: computed once, and a lost
+    executor costs a read of the table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

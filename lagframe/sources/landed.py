@@ -10,10 +10,15 @@ instead of failing the job, so that rows and rejects together are all lines read
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.csv as pcsv
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,38 +52,89 @@ def land_case_csv(df: DataFrame, root: str, code_col: str = "geocode", year_col:
     )
 
 
-# a comma outside double quotes
-FIELD_END = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _fields(line: Column) -> Column:
-    """Fields of a CSV line, unquoted and trimmed; quoted line breaks are not supported."""
-    return F.transform(F.split(line, FIELD_END, -1), lambda f: F.regexp_replace(F.regexp_replace(F.trim(f), '^"(.*)"$', "$1"), '""', '"'))
-
-
-def parse_case_lines(lines: DataFrame, schema: T.StructType = CASE_FILE_SCHEMA, year_bounds: tuple[int, int] = YEAR_BOUNDS) -> DataFrame:
-    """Lines (value, file, ...) of case files -> their data lines with the columns of
+BLOCK = 1 << 24  # bytes of a file that are parsed at a time, so the longest record
+
+
+def _records(content: bytes, names: list[str]):
+    """Arrow tables (whether whole, raw text, the named fields) of one file's records.
+
+    The first record that is not blank is the header. Quoted fields may hold commas, doubled
+    quotes and line breaks. Records of another length than the header, and all lines of a file
+    whose header lacks a name, are not whole and have no fields."""
+    columns = ["whole", "raw", *names]
+    rest = io.TextIOWrapper(io.BytesIO(content), "utf-8-sig", "replace", newline="")
+    header = [f.strip() for f in next((r for r in csv.reader(rest) if any(f.strip() for f in r)), [])]
+
+    def broken(texts):
+        texts = [t for t in (t.strip("\r\n") for t in texts) if t.strip()]
+        return pa.table([pa.array([False] * len(texts)), pa.array(texts, pa.string()), *[pa.nulls(len(texts), pa.string())] * len(names)], columns)
+
+    if not set(names) <= set(header):
+        yield broken(content.decode("utf-8-sig", "replace").splitlines())
+        return
+    odd: list[str] = []
+    parse = pcsv.ParseOptions(newlines_in_values=True, invalid_row_handler=lambda row: odd.append(row.text) or "skip")
+    read = pcsv.ReadOptions(column_names=[str(i) for i in range(len(header))], block_size=BLOCK, use_threads=False)
+    strings = pcsv.ConvertOptions(column_types={str(i): pa.string() for i in range(len(header))}, strings_can_be_null=False, check_utf8=False)
+    skip = 1  # the header comes as the first row
+    for batch in pcsv.open_csv(pa.BufferReader(content), read, parse, strings):
+        batch, skip = batch.slice(skip), max(0, skip - batch.num_rows)
+        if batch.num_rows:
+            yield pa.table([pa.array([True] * batch.num_rows), _joined(batch.columns), *[batch.column(header.index(n)) for n in names]], columns)
+    yield broken(odd)
+
+
+def _joined(fields: list[pa.Array]) -> pa.Array:
+    """Fields as a CSV line, quoted where they must be."""
+    out = []
+    for f in fields:
+        special = pc.match_substring_regex(f, '[",\r\n]')
+        if special.true_count:
+            quoted = pc.binary_join_element_wise('"', pc.replace_substring(f, '"', '""'), '"', "")
+            f = pc.if_else(special, quoted, f)
+        out.append(f)
+    return pc.binary_join_element_wise(*out, ",")
+
+
+def _parse(names: list[str], carried: list[str]):
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                beside = [batch.column(c)[i] for c in carried]
+                for table in _records(batch.column("content")[i].as_py() or b"", names):
+                    if table.num_rows:
+                        given = [pa.repeat(v, table.num_rows) for v in beside]
+                        yield from pa.table([*given, *table.columns], [*carried, *table.column_names]).to_batches()
+
+    return run
+
+
+def parse_case_files(files: DataFrame, schema: T.StructType = CASE_FILE_SCHEMA, year_bounds: tuple[int, int] = YEAR_BOUNDS) -> DataFrame:
+    """Case files (``content`` and columns to carry along) -> their records with the columns of
     ``schema``, ``_y``, ``_w`` and ``_ok``.
 
-    Columns are found by the names in each file's header line, the one that holds all names
-    of ``schema``, in any order and among others. A line is not ok if its file has no such
-    header, it has another number of fields than the header, a value does not convert, or
-    its week code is invalid. Blank lines and headers are no data lines.
+    A file is read once, by one task, from its header on, so that quoted line breaks are never
+    cut and no line is shuffled to find its header; the files of a partition are parsed one
+    after the other, ``BLOCK`` bytes at a time. Columns are found by the names in the header,
+    in any order and among others. A record is not ok if its file's header lacks a name of
+    ``schema``, it has another number of fields than the header, a value does not convert, or
+    its week code is invalid; it then keeps its text. Blank lines and headers are no records.
     """
     names = [f.name for f in schema.fields]
-    split = lines.withColumn("_f", _fields(F.regexp_replace("value", "^\ufeff", ""))).filter(F.trim("value") != "")
-    is_header = F.size(F.array_intersect("_f", F.array(*[F.lit(n) for n in names]))) == len(names)
-    headers = split.filter(is_header).groupBy("file").agg(F.min("_f").alias("_h"))
-    data = split.filter(~is_header).join(headers, "file", "left")
-    whole = F.coalesce(F.size("_f") == F.size("_h"), F.lit(False))
-    values, fits = {}, whole
+    carried = [c for c in files.columns if c != "content"]
+    kinds = ", ".join([*(f"`{c}` {files.schema[c].dataType.simpleString()}" for c in carried), "whole boolean, raw string", *(f"`{n}` string" for n in names)])
+    data = files.mapInArrow(_parse(names, carried), kinds)
+    values, fits = {}, F.col("whole")
     for f in schema.fields:
-        raw = F.when(whole, F.get("_f", (F.array_position("_h", f.name) - 1).cast("int")))
-        raw = F.when(raw != "", raw)
-        values[f.name] = raw.try_cast(f.dataType)
-        fits = fits & (raw.isNull() | values[f.name].isNotNull())
+        text = F.trim(f.name)
+        text = F.when(text != "", text)
+        values[f.name] = text.try_cast(f.dataType)
+        fits = fits & (text.isNull() | values[f.name].isNotNull())
     y, w, ok = parse_yearweek(values["se"], year_bounds)
-    return data.withColumns({**values, "_y": y, "_w": w, "_ok": fits & ok}).withColumn(CORRUPT, F.when(~F.col("_ok"), F.col("value"))).drop("_f", "_h", "value")
+    return data.withColumns({**values, "_y": y, "_w": w, "_ok": fits & ok}).withColumn(CORRUPT, F.when(~F.col("_ok"), F.col("raw"))).drop("whole", "raw")
+
+
+PRUNED = 1000  # so many codes at most go into the folder filter
 
 
 def _places_frame(spark: SparkSession, places) -> DataFrame:
@@ -103,21 +159,24 @@ def ingest_case_csv(
 
     Returns (rows, rejects), which together hold every data line. rows carry ``place`` and
     ``geocode`` from the place map plus the parsed (year, week) of ``se``; rejects hold the
-    lines that ``parse_case_lines`` does not accept. Missing years, places or the whole root
+    records that ``parse_case_files`` does not accept. Missing years, places or the whole root
     contribute no files.
     """
     if year_from > year_to:
         raise ValueError(f"year_from ({year_from}) must be <= year_to ({year_to})")
-    read_schema = "value string, geocode int, year int"
+    none = spark.createDataFrame([], "content binary, geocode int, year int")
     try:
-        raw = spark.read.schema(read_schema).option("basePath", root).text(root).select("*", F.col("_metadata.file_path").alias("file"))
+        files = spark.read.format("binaryFile").option("basePath", root).load(root)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        raw = spark.createDataFrame([], read_schema + ", file string")
-    raw = raw.filter(F.col("year").between(year_from, year_to))
+        files = none
+    files = files if {"geocode", "year"} <= set(files.columns) else none  # a root without folders
+    files = files.select("content", F.col("geocode").cast("int"), F.col("year").cast("int")).filter(F.col("year").between(year_from, year_to))
+    if isinstance(places, Mapping) and len(places) <= PRUNED:
+        files = files.filter(F.col("geocode").isin([int(v) for v in places.values()]))
     pl = _places_frame(spark, places)
-    parsed = parse_case_lines(raw, schema, year_bounds).join(pl, "geocode")  # the planner sizes the place dimension
+    parsed = parse_case_files(files, schema, year_bounds).join(pl, "geocode")  # the planner sizes the place dimension
     rows = parsed.filter("_ok").select(
         "geocode",
         "place",

@@ -6,12 +6,18 @@ Tables live under a root folder (on a cluster: a shared path, e.g. below
 ``spark.checkpoint.dir`` for scratch use) and are registered in the session
 catalog with ``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION``.
 Inserted row counts come from ``observe()`` on the write itself, not a second scan.
+
+Tables may be partitioned by year (``partition_by_year``): a range of years reads only its
+folders, and ``refresh_years`` replaces only the years it is given. They may be bucketed by
+their entity (``buckets``): joins and windows whose keys hold the entity, on tables with as many
+buckets, then run without an exchange (see ``co_located``).
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +82,9 @@ def table_schemas(climate_vars: Sequence[str] = CLIMATE_VARS) -> dict[str, T.Str
     }
 
 
+#: what a table's rows are bucketed by: the outcome and satellite series by place, climate by point
+ENTITY = {"cases_raw": ("place",), "daily_climate": ("latitude", "longitude"), "weekly_climate": ("latitude", "longitude"), "weekly_satellite": ("place",)}
+
 CASE_REQUIRED = ("geocode", "place", "se", "cases", "cases_est", "level", "incidence")
 
 
@@ -97,9 +106,28 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def co_located(spark: SparkSession):
+    """Within it, plans join bucketed tables on their entity and more (the week) in place: rows
+    of one entity already lie together, which is enough for any keys that hold the entity.
+    Plans are fixed when they run, so the action belongs inside."""
+    return _setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 class Store:
     """A set of parquet tables under `root`, registered in the session catalog. The climate
-    tables hold the variables named in `climate_vars`."""
+    tables hold the variables named in `climate_vars`. Tables with a year column are
+    partitioned by it if `partition_by_year`, and all are bucketed by their entity into
+    `buckets` files per write (and year), if given."""
 
     def __init__(
         self,
@@ -108,8 +136,12 @@ class Store:
         prefix: str = "",
         year_bounds: tuple[int, int] = YEAR_BOUNDS,
         climate_vars: Sequence[str] = CLIMATE_VARS,
+        partition_by_year: bool = False,
+        buckets: int = 0,
     ):
         self.schemas = table_schemas(climate_vars)
+        self.by_year = partition_by_year
+        self.buckets = buckets
         self.year_bounds = year_bounds
         self.spark = spark
         self.root = root.rstrip("/")
@@ -126,9 +158,13 @@ class Store:
     def create_schema(self) -> None:
         """Create every table if it does not exist (idempotent) (A5)."""
         for t, s in self.schemas.items():
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(t)} ({_ddl(s)}) USING parquet LOCATION '{self.root}/{t}'"
-            )
+            layout = " PARTITIONED BY (year)" if self._by_year(t) else ""
+            if self.buckets:
+                layout += f" CLUSTERED BY ({', '.join(ENTITY[t])}) INTO {self.buckets} BUCKETS"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(t)} ({_ddl(s)}) USING parquet{layout} LOCATION '{self.root}/{t}'")
+
+    def _by_year(self, t: str) -> bool:
+        return self.by_year and "year" in self.schemas[t].fieldNames()
 
     def table(self, t: str) -> DataFrame:
         return self.spark.table(self.name(t))
@@ -148,8 +184,13 @@ class Store:
             cols.append(c.alias(f.name))
         obs = Observation(f"insert_{t}")
         out = stamped.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-        try:
-            out.write.insertInto(self.name(t), overwrite=(mode == "overwrite"))
+        if self._by_year(t):  # the catalog puts the partition column last
+            out = out.select(*[f.name for f in schema.fields if f.name != "year"], "year")
+        if self.buckets:  # one file per bucket (and year) and write
+            out = out.repartition(self.buckets, *ENTITY[t])
+        try:  # a table's insert takes this from the session alone
+            with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if mode == "years" else "static"):
+                out.write.insertInto(self.name(t), overwrite=(mode != "append"))
         except Exception as e:
             if found := re.search(f"{re.escape(MARK)}(.*?){re.escape(MARK)}", str(e)):
                 raise ValueError(found[1]) from e
@@ -158,10 +199,13 @@ class Store:
 
     def append_cases(self, df: DataFrame) -> int:
         """Append weekly case rows; parses se into (year, week); returns rows inserted."""
+        return self._insert("cases_raw", self._cases(df))
+
+    def _cases(self, df: DataFrame) -> DataFrame:
         _require(df, CASE_REQUIRED)
         y, w, ok = parse_yearweek(F.col("se"), self.year_bounds)
         year = F.when(ok, y).otherwise(_fail("invalid se (YYYYWW) values in case rows", T.IntegerType()))
-        return self._insert("cases_raw", normalize_nans(df).withColumns({"year": year, "week": w, "se": F.col("se").cast("int")}))
+        return normalize_nans(df).withColumns({"year": year, "week": w, "se": F.col("se").cast("int")})
 
     def append_daily(self, df: DataFrame, latitude: float, longitude: float) -> int:
         """Append daily climate for one point."""
@@ -193,6 +237,16 @@ class Store:
         """Full refresh: replace the table's rows (A13). Parquet tables have no DELETE."""
         return self._insert(t, df, mode="overwrite")
 
+    def refresh_years(self, t: str, df: DataFrame) -> int:
+        """Replace the rows of the years that ``df`` holds, all of each such year, and leave the
+        files of the other years alone (A13). Needs a table partitioned by year; returns the
+        rows inserted. Case rows take their year from ``se``, as in ``append_cases``."""
+        if not self._by_year(t):
+            raise ValueError(f"{t} is not partitioned by year; use refresh")
+        if t == "cases_raw":
+            df = self._cases(df)
+        return self._insert(t, df, mode="years")
+
     def load(self, sql: str) -> DataFrame:
         """Ad-hoc SQL over the registered tables and views."""
         return self.spark.sql(sql)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import YEAR_BOUNDS
-from ..sources.landed import CASE_FILE_SCHEMA, CORRUPT, _places_frame, parse_case_lines
+from ..sources.landed import CASE_FILE_SCHEMA, CORRUPT, _places_frame, parse_case_files
 from ..sources.tables import Store
 
 
@@ -35,16 +35,16 @@ def stream_case_files(
     Lines that do not fit are appended to the parquet folder ``rejects`` (default: beside
     the checkpoint), with their file and batch.
     """
-    reader = spark.readStream.schema("value string, geocode int, year int")
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, geocode int, year int")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.text(root).select("*", F.col("_metadata.file_path").alias("file"))
+    stream = reader.load(root).select("content", "geocode", "year", F.col("path").alias("file"))
     bad = rejects or checkpoint.rstrip("/") + "-rejects"
     pl = _places_frame(spark, places)
     appended = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_case_lines(batch, CASE_FILE_SCHEMA, year_bounds).join(pl, "geocode").persist()
+        parsed = parse_case_files(batch, CASE_FILE_SCHEMA, year_bounds).join(pl, "geocode").persist()
         try:
             rows = parsed.filter("_ok").select("geocode", "place", F.col("se").cast("int").alias("se"), "cases", "cases_est", "level", "incidence")
             appended.append(store.append_cases(rows))

@@ -107,12 +107,66 @@ def _cart(x, y, row, depth, leaf):
 def test_grown_trees_match_exhaustive_search():
     from lagframe.operators.weekly_forest import forest_grower
 
-    predict, rng = forest_grower(), np.random.default_rng(2)
+    (predict, _), rng = forest_grower(), np.random.default_rng(2)
     for _ in range(25):
         n = int(rng.integers(10, 90))
         x = np.column_stack([np.round(rng.normal(size=n), 1), rng.normal(size=n)])  # repeated values, but no tied cuts
         y, row = rng.normal(size=n) + 2 * x[:, 0], rng.normal(size=2)
-        assert predict(x, y, row, 2, 5, 6, 1, bootstrap=False) == pytest.approx(_cart(x, y, row, 5, 6), abs=1e-9)
+        orders = [np.argsort(x[:, f], kind="stable") for f in range(2)]
+        assert predict(x, y, orders, row, np.stack([np.arange(n)] * 2), 5, 6) == pytest.approx(_cart(x, y, row, 5, 6), abs=1e-9)
+        draw = rng.integers(0, n, (7, n))
+        one_by_one = [predict(x, y, orders, row, d[None, :], 5, 6) for d in draw]
+        assert predict(x, y, orders, row, draw, 5, 6) == pytest.approx(np.mean(one_by_one), abs=1e-9)
+
+
+def _drops(x, y, w, rows, depth, leaf, out):
+    """Add the drops of squared error of a weighted tree, by exhaustive search, to ``out``."""
+    if not depth:
+        return
+    whole = (w[rows] * y[rows]).sum() ** 2 / w[rows].sum()
+    best, chosen = whole + 1e-9 * (1 + abs(whole)), None
+    for f in range(x.shape[1]):
+        for v, nv in zip(u := np.unique(x[rows, f]), u[1:]):
+            left, right = rows[x[rows, f] <= v], rows[x[rows, f] > v]
+            if min(len(left), len(right)) >= leaf:
+                score = sum((w[r] * y[r]).sum() ** 2 / w[r].sum() for r in (left, right))
+                if score > best:
+                    best, chosen = score, (f, (v + nv) / 2)
+    if chosen:
+        out[chosen[0]] += best - whole
+        side = x[rows, chosen[0]] > chosen[1]
+        _drops(x, y, w, rows[~side], depth - 1, leaf, out)
+        _drops(x, y, w, rows[side], depth - 1, leaf, out)
+
+
+def test_importances_equal_exhaustive_search(spark):
+    """200 trees over two series, whatever the dealing, against trees grown one by one."""
+    from lagframe.operators.weekly_forest import forest_importance
+
+    rng = np.random.default_rng(7)
+    data, rows = {}, []
+    for place in ("a", "b"):
+        x = np.column_stack([rng.normal(size=40), rng.normal(size=40), rng.normal(size=40)])
+        y = 2 * x[:, 0] - x[:, 1] + rng.normal(scale=0.3, size=40)
+        data[place] = (x, np.round(y * 1e6))  # sums are exact in units of the sixth decimal
+        rows += [(place, 2024, w + 1, *map(float, x[w]), float(y[w])) for w in range(40)]
+    rows += [("c", 2024, w, 1.0, 1.0, 1.0, float(w)) for w in range(1, 9)]
+    df = spark.createDataFrame(rows, "place string, year int, week int, u double, v double, z double, y double")
+    run = {"num_trees": 200, "max_depth": 3, "min_leaf": 3}
+    got = forest_importance(df, "y", ["u", "v", "z"], ["place"], forest=run).collect()
+    again = forest_importance(df, "y", ["u", "v", "z"], ["place"], forest=run, chunks=3).collect()
+    assert {(r.place, r.feature): r.importance for r in again} == pytest.approx({(r.place, r.feature): r.importance for r in got}, abs=1e-12)
+    for place, (x, y) in data.items():
+        shares = []
+        for t in range(200):
+            w = np.bincount(np.random.default_rng([42, t]).integers(0, 40, 40), minlength=40).astype(float)
+            out = np.zeros(3)
+            _drops(x, y, w, np.flatnonzero(w), 3, 3, out)
+            shares.append(out / out.sum())
+        want = dict(zip(("u", "v", "z"), np.mean(shares, axis=0)))
+        mine = [(r.feature, r.importance) for r in got if r.place == place]
+        assert dict(mine) == pytest.approx(want, abs=1e-9) and mine == sorted(mine, key=lambda r: -r[1])
+    assert {r.importance for r in got if r.place == "c"} == {None}
 
 
 def test_weekly_walk_forward(spark):
