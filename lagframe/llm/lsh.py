@@ -126,8 +126,18 @@ def _probe(tables: Tables, dim: int, success: float):
     return probe
 
 
+def _exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products summed component by component, so that a row's score does not depend on
+    its place among others and equal vectors tie."""
+    out = np.zeros(len(rows))
+    for column, x in zip(rows.T, query, strict=True):
+        out += column * x
+    return out
+
+
 def _best(k: int):
-    """Exact scores of a group's rows in the buckets its queries visit; ``k`` a query."""
+    """Exact scores of a group's rows in the buckets its queries visit (null: all); ``k`` a
+    query."""
 
     def best(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -141,13 +151,17 @@ def _best(k: int):
             ids, owner = c["vec_id"].to_numpy(), c["bucket"].to_numpy()
             names, place = np.unique(owner, return_inverse=True)
             asks = q["visits"].combine_chunks()
+            longest = np.sqrt((cm * cm).sum(axis=1).max())
             for i, own in enumerate(q["vec_id"].to_numpy()):
-                seen = np.isin(names, asks[i].values.to_numpy())[place] & (ids != own)
+                seen = ids != own
+                if asks[i].is_valid:
+                    seen &= np.isin(names, asks[i].values.to_numpy())[place]
                 rows = np.flatnonzero(seen)
-                scores = cm[rows] @ qm[i]
-                if len(rows) > 4 * k:  # the k best and all ties with the last of them
-                    near = scores >= np.partition(scores, len(rows) - k)[len(rows) - k]
-                    rows, scores = rows[near], scores[near]
+                if len(rows) > 4 * k:  # all that may be among the k best, however the product rounds
+                    rough = cm[rows] @ qm[i]
+                    slack = 4 * width * np.finfo(float).eps * longest * np.sqrt(qm[i] @ qm[i])
+                    rows = rows[rough >= np.partition(rough, len(rows) - k)[len(rows) - k] - slack]
+                scores = _exact(cm[rows], qm[i])
                 top = np.lexsort((ids[rows], -scores))[:k]
                 found_q.append(np.full(len(top), own, np.int64))
                 found_c.append(ids[rows][top])
@@ -196,13 +210,13 @@ def multiprobe_neighbours(
 
     ``is_query`` is a condition on ``vec_id``; candidates are all rows but the query's own id.
     Vectors that are null, zero or hold null or non-finite components, and rows without an id,
-    take no part; rows repeating an id count as one. Vectors of different length compare as
+    take no part; rows repeating an id count as one, the smallest vector that takes part. Vectors of different length compare as
     if padded with zeros. Queries that find fewer than ``k`` rows visit every bucket, so all
     candidates return if there are fewer. Ties go to the smaller id. Extra columns are
     ignored; an empty table gives an empty result.
     """
     squares = "aggregate(vec, 0D, (s, x) -> s + x * x)"
-    vectors = cut(usable_vectors(rows, id_col, vector_col).filter(f"{squares} > 0"), "lsh-vectors")
+    vectors = cut(usable_vectors(rows, id_col, vector_col, nonzero=True), "lsh-vectors")
     total, longest, dim = vectors.agg(F.count("*"), F.max(F.expr(f"sqrt({squares})")), F.max(F.size("vec"))).first()
     kind = "query_id long, vec_id long, score double"
     spark = rows.sparkSession
@@ -241,8 +255,8 @@ def multiprobe_neighbours(
     if total == 1 or short.isEmpty():
         return top
     every = indexed.filter("tab = 0").join(sizes, ["tab", "bucket"]).select(F.expr("first + pmod(xxhash64(vec_id), parts)").alias("grp"), "vec_id", "vec", "bucket", F.lit(None).cast("array<long>").alias("visits"), F.lit(False).alias("ask"))
-    all_buckets = sizes.filter("tab = 0").select(F.explode(F.expr("sequence(first, first + parts - 1)")).alias("grp"), "bucket").groupBy("grp").agg(F.collect_list("bucket").alias("visits"))
-    spread = short.withColumn("one", F.lit(1)).join(all_buckets.withColumn("one", F.lit(1)), "one").select("grp", "vec_id", "vec", F.lit(None).cast("long").alias("bucket"), "visits", F.lit(True).alias("ask"))
+    last = sizes.filter("tab = 0").agg(F.max(F.expr("first + parts - 1"))).first()[0]
+    spread = short.select(F.explode(F.sequence(F.lit(0), F.lit(last))).cast("long").alias("grp"), "vec_id", "vec", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("array<long>").alias("visits"), F.lit(True).alias("ask"))
     rest = every.unionByName(spread).groupBy("grp").applyInArrow(_best(k), kind)
     rest = rest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     return top.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest)

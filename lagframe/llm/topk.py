@@ -24,14 +24,23 @@ QUERY_GROUP = 1024
 CANDIDATE_GROUP = 8192
 
 
-def usable_vectors(rows: DataFrame, id_col: str, vector_col: str, floor_scale: float | None = None) -> DataFrame:
-    """(vec_id, vec) of the rows whose vector is not null and has finite components only;
-    with ``floor_scale`` the components become floor(floor_scale * x). Rows without an id
-    take no part; of rows repeating an id, the smallest vector counts."""
+LONGEST = float(1 << 31)  # vectors of this norm or more, scaled, could have scores beyond 64 bits
+
+
+def usable_vectors(rows: DataFrame, id_col: str, vector_col: str, floor_scale: float | None = None, nonzero: bool = False) -> DataFrame:
+    """(vec_id, vec) of the rows whose vector is not null and has finite components only, and,
+    with ``nonzero``, some component that is not 0; with ``floor_scale`` the components become
+    floor(floor_scale * x), and vectors whose norm then reaches ``LONGEST`` are left out. Rows
+    without an id take no part; of rows repeating an id, the smallest vector that is left
+    counts."""
     kept = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
     kept = kept.filter("vec_id is not null and vec is not null").filter("forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('inf'))")
+    if nonzero:
+        kept = kept.filter("exists(vec, x -> x <> 0)")
     if floor_scale is not None:
+        kept = kept.filter(f"forall(vec, x -> abs({floor_scale}D * x) < {LONGEST}D)")
         kept = kept.withColumn("vec", F.expr(f"transform(vec, x -> cast(floor({floor_scale}D * x) as double))"))
+        kept = kept.filter(f"aggregate(vec, 0D, (s, x) -> s + x * x) < {LONGEST * LONGEST}D")
     return kept.groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
@@ -134,7 +143,8 @@ def histogram_top_k(
     ``is_query`` is a condition on ``vec_id``. Candidates are all rows but the query's own
     id. Null vectors, vectors with null or non-finite components and rows without an id take
     no part; rows repeating an id count as one. Vectors of different length compare as if
-    padded with zeros. With fewer than ``k`` candidates all return. Extra columns are ignored;
+    padded with zeros. Vectors whose scaled norm is ``LONGEST`` or more take no part: their
+    scores might not fit into 64 bits. With fewer than ``k`` candidates all return. Extra columns are ignored;
     an empty table gives an empty result.
     """
     vectors = cut(usable_vectors(rows, id_col, vector_col, scale), "topk-vectors")

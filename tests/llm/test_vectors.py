@@ -95,3 +95,43 @@ def test_lsh_recall_with_uneven_norms(vectors, norms):
         s[i] = -np.inf
         hit += len(set(np.argsort(-s)[:20].tolist()) & set(mine.vec_id))
     assert len(got) == 20 * 200 and hit >= 0.9 * 20 * 200, hit / 4000
+
+
+@pytest.mark.parametrize("copies,dim", [(25, 24), (101, 64), (190, 100), (400, 100)])
+def test_lsh_ties_go_to_the_smaller_id(vectors, copies, dim):
+    """Equal vectors have one score wherever they lie, so their ids decide; rerun in another
+    dealing the answer is the same."""
+    x = sample(600, dim, 7)
+    rng = np.random.default_rng(8)
+    same = np.sort(rng.choice(600, copies, replace=False))
+    x[same] = x[same[0]]
+    rows = [(int(i), x[i].tolist()) for i in rng.permutation(600)]
+    got = multiprobe_neighbours(vectors(rows).repartition(5), F.col("vec_id") % 20 == 0, k=20, group=150).toPandas()
+    again = multiprobe_neighbours(vectors(rows[::-1]).repartition(3), F.col("vec_id") % 20 == 0, k=20, group=150).toPandas()
+    order = ["query_id", "rank"]
+    assert got.sort_values(order, ignore_index=True).equals(again.sort_values(order, ignore_index=True))
+    z = x.astype(float)
+    for i, mine in got.groupby("query_id"):
+        mine = mine.sort_values("rank")
+        s = np.zeros(600)
+        for j in range(dim):
+            s += z[:, j] * z[i, j]
+        assert (mine.score.to_numpy() == s[mine.vec_id]).all()
+        assert mine.vec_id.tolist() == sorted(mine.vec_id, key=lambda j: (-s[j], j))
+        if i in same:  # its copies come first, those with the smallest ids
+            want = [int(j) for j in same if j != i][:20]
+            assert mine.vec_id.tolist()[: len(want)] == want
+
+
+def test_repeated_ids_and_zero_vectors(vectors):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (20, [0.0, 0.0]), (20, [1.0, 1.0])]
+    got = multiprobe_neighbours(vectors(rows), F.col("vec_id") % 20 == 0)
+    assert {(r.query_id, r.vec_id): r.score for r in got.collect()} == {(0, 1): 2.0, (0, 2): 0.0, (0, 20): 1.0, (20, 0): 1.0, (20, 1): 2.0, (20, 2): 1.0}
+
+
+def test_top_k_leaves_out_scores_beyond_64_bits(vectors):
+    rows = [(0, [1.0, 2.0]), (1, [3e9, 0.0]), (2, [1e300, 1.0]), (3, [5.0, 0.0]), (4, [8e6, 8e6])]
+    got = histogram_top_k(vectors(rows), F.col("vec_id") % 50 == 0).collect()
+    assert [tuple(r) for r in sorted(got)] == [(0, 1, 3, 256 * 5 * 256)]
+    wide = [(i, [float(i)] * 3000) for i in range(4)]
+    assert [r.vec_id for r in sorted(histogram_top_k(vectors(wide), F.col("vec_id") == 1).collect(), key=lambda r: r["rank"])] == [3, 2, 0]
