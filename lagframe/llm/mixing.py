@@ -3,7 +3,8 @@
 Each source gets a share of all words by its weight, capped at ``max_repeats`` times its own
 words; what exceeds a cap is shared again among the others by weight. A source whose target
 is r times its words takes every document floor(r) times for certain. The rest is a
-fixed-size sample: each document draws a random number u by its id, and documents are ranked
+fixed-size sample: each document draws a random number u by its id (without an id, by its
+text; rows that are equal in all, each by its number), and documents are ranked
 by the random odds u / (1 - u) divided by their inclusion odds p / (1 - p), p = r - floor(r).
 The sample is the head of that ranking, cut where its words come nearest to what is missing;
 then one more document, the one nearest to what is still missing, may close the gap.
@@ -54,22 +55,28 @@ def pareto_mix(
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """One row per document: ``id_col``, ``source``, ``size``, ``source_size``, ``target``,
-    ``copies`` (0 to ``max_repeats``) and ``taken`` (``copies * size``).
+    ``copies`` (0 to ``max_repeats``), ``taken`` (``copies * size``), ``tie`` and ``number``.
 
     A size is the number of words; a null or wordless text has size 0 and is taken whole
-    copies only. A null source is a source of its own, the last one. Rows with a null or a
-    repeated id share one random number; ties rank by size, then by the text's hash. Extra
-    columns are ignored; an empty table gives an empty result. Reruns agree.
+    copies only. A null source is a source of its own, the last one. Rows without an id, with a
+    repeated id or equal in all are documents of their own; ``tie`` (a hash of the text) and
+    ``number`` (from 1) tell them apart. Ties rank by id, size, tie and number. Very long
+    texts count whole. Extra columns are ignored; an empty table gives an empty result.
+    Reruns agree.
     """
-    draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}"))), 1, 13), 16, 10).cast("double")
     sized = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ((draw + 0.5) / float(1 << 52)).alias("u"),
         F.xxhash64(text_col).alias("tie"),
     )
-    sized = cut(sized, "mix-sizes")
+    # rows that are equal in all are counted, then numbered
+    sized = sized.groupBy("id", "source", "size", "tie").agg(F.count(F.lit(1)).alias("held"))
+    sized = sized.withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("held")))).drop("held")
+    own = F.when(F.col("id").isNull(), F.concat(F.lit("null:"), F.col("tie").cast("string"), F.lit(":"), F.col("number").cast("string")))
+    own = own.when(F.col("number") > 1, F.concat(F.col("id").cast("string"), F.lit(":"), F.col("number").cast("string"))).otherwise(F.col("id").cast("string"))
+    draw = F.conv(F.substring(F.md5(F.concat(own, F.lit(f":{seed}"))), 1, 13), 16, 10).cast("double")
+    sized = cut(sized.withColumn("u", (draw + 0.5) / float(1 << 52)), "mix-sizes")
     targets = source_targets(sized, weights, max_repeats)
     targets = targets.withColumn("repeats", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     targets = targets.withColumn("whole", F.floor("repeats")).withColumn("p", F.col("repeats") - F.col("whole"))
@@ -87,20 +94,21 @@ def pareto_mix(
     ranked = ranked.join(edge, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
 
     head = ranked.withColumn("drawn", F.when(F.col("slice") < F.col("edge"), 1).otherwise(0)).filter("slice is null or edge is null or slice <> edge")
-    order = Window.partitionBy("source").orderBy("odds", "id", "size", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("source").orderBy("odds", "id", "size", "tie", "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at_edge = ranked.filter("slice = edge").withColumn("upto", F.col("before") + F.sum("size").over(order))
     at_edge = at_edge.withColumn("drawn", F.when(F.col("upto") - F.col("size") / 2 <= F.col("missing"), 1).otherwise(0)).drop("upto")
-    drawn = cut(head.unionByName(at_edge).select("id", "source", "size", "tie", "odds", "source_size", "target", "whole", "missing", "drawn"), "mix-drawn")
+    drawn = cut(head.unionByName(at_edge).select("id", "source", "size", "tie", "number", "odds", "source_size", "target", "whole", "missing", "drawn"), "mix-drawn")
 
     gap = drawn.groupBy("source", "missing").agg((F.col("missing") - F.sum(F.col("drawn") * F.col("size"))).alias("gap")).select(F.col("source").alias("of"), "gap")
     off = F.abs(F.col("size") - F.abs("gap"))
     turn = F.when(F.col("gap") > 0, F.col("drawn") == 0).otherwise(F.col("drawn") == 1)
     near = drawn.join(gap, F.col("source").eqNullSafe(F.col("of"))).filter(turn & (off < F.abs("gap")) & F.col("odds").isNotNull())
-    last = near.groupBy("source").agg(F.min(F.struct(off.alias("off"), F.col("odds"), F.col("id"), F.col("tie"))).alias("c")).select(F.col("source").alias("of"), F.col("c.id").alias("c_id"), F.col("c.tie").alias("c_tie"), F.col("c.odds").alias("c_odds"))
-    closing = F.col("c_odds").isNotNull() & F.col("id").eqNullSafe(F.col("c_id")) & F.col("tie").eqNullSafe(F.col("c_tie")) & (F.col("odds") == F.col("c_odds"))
+    one = F.struct("odds", "id", "size", "tie", "number")
+    last = near.groupBy("source").agg(F.min(F.struct(off.alias("off"), one.alias("one"))).alias("c")).select(F.col("source").alias("of"), F.col("c.one").alias("closing"))
+    closing = F.coalesce(F.col("closing").eqNullSafe(one) & F.col("closing").isNotNull(), F.lit(False))
     copies = F.col("whole") + F.when(closing, 1 - F.col("drawn")).otherwise(F.col("drawn"))
     return (
         drawn.join(last, F.col("source").eqNullSafe(F.col("of")), "left")
         .withColumn("copies", copies.cast("long"))
-        .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "tie", "number")
     )

@@ -55,6 +55,37 @@ def test_mix_odd_rows(frame):
     assert {r.taken for r in pareto_mix(frame([(1, None), (2, "")])).collect()} == {0}
 
 
+def taken_by(got):
+    out = {}
+    for r in got:
+        out[r.source] = out.get(r.source, 0) + r.taken
+    return out
+
+
+def test_mix_of_equal_rows_and_rows_without_id(frame):
+    """Every row draws for itself: equal rows, rows without an id, an id with two texts."""
+    docs = [(7, "w " * 7, "a")] * 31 + [(100 + i, "w " * (1 + i % 58), "a") for i in range(80)]
+    docs += [(None, "x " * (1 + i % 57) + f"t{i}", "b") for i in range(400)] + [(None, "y " * 9, "b")] * 20
+    docs += [(9000 + i, "z " * (3 + i % 40), "c") for i in range(600)] + [(9000, "another text " * 5, "c"), (9000, "another text " * 5, "c")]
+    got = pareto_mix(frame(docs)).collect()
+    assert len(got) == len(docs)
+    target, taken = {r.source: r.target for r in got}, taken_by(got)
+    assert {s: abs(taken[s] - target[s]) <= 58 for s in target} == dict.fromkeys("abc", True)
+    assert abs(taken["a"] - target["a"]) <= 7  # not all equal rows flip together
+    loose = [r for r in got if r.doc_id is None]
+    low, high = min(r.copies for r in loose), max(r.copies for r in loose)
+    if low < high:  # sampled, not ranked by size
+        mean = [sum(r.size for r in loose if r.copies == c) / max(1, sum(r.copies == c for r in loose)) for c in (low, high)]
+        assert 0.6 < mean[0] / mean[1] < 1.6
+    again = pareto_mix(frame(docs[::-1]).repartition(5)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_mix_counts_long_texts_whole(frame):
+    got = pareto_mix(frame([(1, "w " * 700_000, "a"), (2, "w", "b")])).collect()
+    assert {r.doc_id: r.size for r in got} == {1: 700_000, 2: 1}
+
+
 def test_ring_law_of_rows(frame):
     docs = [(i * 7, f"text {i % 50} é") for i in range(1003)] + [(None, "n"), (None, None), (7, "x"), (7, "x")]
     got = bounded_ring(frame(docs), shards=8).collect()
@@ -68,6 +99,15 @@ def test_ring_law_of_rows(frame):
     assert bounded_ring(frame([]), shards=8).count() == 0
 
 
+def test_ring_moves_at_the_registered_load(frame):
+    """Shards as equal as can be: adding one moves its share and little else."""
+    docs = frame([(i * 13, None) for i in range(20000)])
+    old = {r.doc_id: r.shard for r in bounded_ring(docs, 8).collect()}
+    new = {r.doc_id: r.shard for r in bounded_ring(docs, 9).collect()}
+    moved = [i for i in old if old[i] != new[i]]
+    assert 20000 // 9 <= len(moved) <= 0.2 * 20000 and sum(new[i] != 8 for i in moved) <= 0.08 * 20000
+
+
 def test_ring_moves_little(frame):
     docs = frame([(i, None) for i in range(4000)])
     for load, most in ((1.25, 0.3), (100.0, 0.2)):
