@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from lagframe.llm.labelled import labelled_texts
 from lagframe.llm.pieces import PieceCoder, encode_documents
 from lagframe.llm.quality import quality_filter, quality_scores
 from lagframe.llm.queries import piece_model
@@ -37,6 +38,17 @@ def test_quality_held_out(labelled):
     assert right >= 0.98 and spared <= 0.05
 
 
+def test_sample_is_bounded_by_rows(frame, spark):
+    """An id with many texts counts once in the sample."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
+    docs = frame([(1, f"text {i}") for i in range(500)] + [(i, "one") for i in (2, 3, 4)])
+    for limit in (1, 2, 9):
+        rows = labelled_texts(docs, labels, "doc_id", "text", "quality", 5, 0, limit).collect()
+        assert len(rows) <= limit
+    again = labelled_texts(docs.repartition(3), labels, "doc_id", "text", "quality", 5, 0, 9).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
 def test_models_odd_rows(frame, spark):
     labels = spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0, "x") for i in range(100)] + [(None, 1, 1, "x"), (3, None, None, "x"), (4, 7, 9, "x")], "doc_id long, quality int, toxic int, text string")
     texts = [("bad " if i % 3 == 0 else "fine ") * 3 + ("good words here." if i % 2 else "&&& $$$ ###") for i in range(100)]
