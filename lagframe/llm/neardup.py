@@ -1,7 +1,8 @@
 """MinHash near-duplicates by a signature-coordinate inverted join.
 
-Every distinct shingle set posts its document under each (coordinate, value) pair of its
-MinHash signature. A pair of documents is a candidate when at least ``threshold`` of the
+Every distinct shingle set is a node and posts itself under each (coordinate, value) pair of
+its MinHash signature; the documents that have the set follow it, and a document with several
+texts joins its sets. A pair of sets is a candidate when at least ``threshold`` of the
 ``k`` coordinates collide. Values that only one set holds cannot collide, so a document
 with fewer than ``threshold`` shared values drops out at once; of the others only the
 ``shared - threshold + 1`` rarest values need merging (prefix rule), which leaves the long
@@ -72,20 +73,18 @@ def _sketches(width: int, k: int):
 
 
 def _sets(width: int):
-    """Arrow batches (rep, n, text) -> (rep, n, members)."""
+    """Arrow batches (rep, fp, text) -> (rep, members) of the texts whose set has that
+    fingerprint."""
 
     def members(batches):
         hashes = WordHashes()
         for batch in batches:
             for lo, hi, texts in text_slices(batch.column(2), 1 << 20):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, hi - lo),
-                        batch.column(1).slice(lo, hi - lo),
-                        pa.array([shingle_set(t, hashes, width).view(np.int64) for t in texts], pa.list_(pa.int64())),
-                    ],
-                    ["rep", "n", "members"],
-                )
+                sets = [shingle_set(t, hashes, width) for t in texts]
+                own = batch.column(1).slice(lo, hi - lo).to_pylist()
+                mine = pa.array([i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == own[i]], pa.int64())
+                found = pa.array([sets[i].view(np.int64) for i in mine.to_pylist()], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(mine), found], ["rep", "members"])
 
     return members
 
@@ -211,16 +210,18 @@ def near_duplicates(
 
     Null or wordless texts have an empty set and link with nothing. A text below ``width``
     words is one shingle. Equal sets always link. Rows with a null id link with nothing and
-    come back with a null component, kept. Rows repeating an id count as one document: if
-    their texts differ, the set with the smallest fingerprint is compared, the others link
-    with equal sets. Extra columns are ignored. An empty table gives an empty result.
+    come back with a null component, kept. Rows repeating an id are one document, which links
+    by each of its texts; every row has its own text's ``n_shingles``. Very long texts count
+    whole. Extra columns are ignored. An empty table gives an empty result.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     kinds = "id long, n_shingles long, fp binary, sig array<long>"
     sketch = cut(given.mapInArrow(_sketches(width, k), kinds), "near-sketch")
-    classes = cut(sketch.filter("fp is not null and id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "near-classes")
-    own = classes.groupBy("rep").agg(F.min("fp").alias("fp")).select("fp", F.col("rep").alias("id"))
-    reps = sketch.join(own, ["fp", "id"]).dropDuplicates(["id"]).selectExpr("id as rep", "n_shingles as n", "sig")
+    held = sketch.filter("fp is not null and id is not null")
+    # a node for every distinct set: its number, and the smallest id that has it
+    classes = cut(held.groupBy("fp").agg(F.min("id").alias("low")), "near-classes").withColumn("rep", F.monotonically_increasing_id())
+    classes = cut(classes, "near-numbered")
+    reps = sketch.join(classes.withColumnRenamed("low", "id"), ["fp", "id"]).dropDuplicates(["rep"]).selectExpr("rep", "id as low", "fp", "n_shingles as n", "sig")
     reps = cut(reps, "near-reps")
 
     posted = reps.select("rep", F.posexplode("sig").alias("j", "value")).select("rep", F.xxhash64("j", "value").alias("token"))
@@ -235,9 +236,9 @@ def near_duplicates(
     )
     posts = cut(lists, "near-posts")
     nodes = reps.join(posts.select("rep").distinct(), "rep", "left_semi")
-    texts = given.join(nodes.select("rep", "n"), F.col("id") == F.col("rep"))
-    sets = cut(texts.select("rep", "n", "text").mapInArrow(_sets(width), "rep long, n long, members array<long>").dropDuplicates(["rep"]), "near-sets").select("rep", "members")
-    nodes = cut(nodes, "near-nodes")
+    texts = given.join(nodes.select("rep", "fp", F.col("low").alias("id")), "id")
+    sets = cut(texts.select("rep", "fp", "text").mapInArrow(_sets(width), "rep long, members array<long>").dropDuplicates(["rep"]), "near-sets")
+    nodes = cut(nodes.select("rep", "n", "sig"), "near-nodes")
 
     comps = nodes.select("rep", F.col("rep").alias("comp"))
     tested: list[DataFrame] = []
@@ -265,7 +266,17 @@ def near_duplicates(
             links = cut(_confirmed(pairs, nodes, sets, similar, threshold), "near-found")
             comps = _contract(comps, links)
             turn += 1
-    group = cut(classes.join(comps, "rep", "left").select(F.col("fp").alias("class_fp"), F.coalesce("comp", "rep").alias("component_id")), "near-groups")
+    # the sets of one document are joined, then each component has its smallest id
+    named = cut(classes.join(comps, "rep", "left").select("fp", "low", F.coalesce("comp", "rep").alias("comp")), "near-named")
+    several = held.groupBy("id").agg(F.min("fp").alias("fp0"), F.max("fp").alias("fp1")).filter("fp0 <> fp1").select("id")
+    several = cut(held.join(several, "id").select("id", "fp").distinct(), "near-several")
+    if not several.isEmpty():
+        own = several.join(named.select("fp", "comp"), "fp")
+        hub = own.groupBy("id").agg(F.min("comp").alias("hub"))
+        roots = components(own.join(hub, "id").select(F.col("comp").alias("u"), F.col("hub").alias("v")), "near-joined")
+        named = cut(named.join(roots, named.comp == roots.node, "left").select("fp", "low", F.coalesce("root", "comp").alias("comp")), "near-named")
+    lows = named.groupBy("comp").agg(F.min("low").alias("component_id"))
+    group = cut(named.join(lows, "comp").select(F.col("fp").alias("class_fp"), "component_id"), "near-groups")
     linked = sketch.select("id", "n_shingles", "fp").join(group, (F.col("fp") == F.col("class_fp")) & F.col("id").isNotNull(), "left")
     return linked.select(
         F.col("id").alias(id_col),

@@ -71,6 +71,19 @@ def test_near_odd_rows(frame, spark):
     assert empty.columns == ["doc_id", "n_shingles", "component_id", "kept"] and empty.count() == 0
 
 
+def test_near_ids_with_several_texts(frame):
+    """An id's texts each link, whatever the order of rows; its sets are one document."""
+    rng = random.Random(9)
+    a, b, c, d = (words(rng, 100) for _ in range(4))
+    text = lambda w: " ".join(w)
+    items = [(1, text(a)), (1, text(b)), (2, text(a[2:] + ["x"])), (3, text(b[2:] + ["y"])), (4, text(c)), (5, text(c)), (5, text(d)), (6, text(d[1:])), (7, text(words(rng, 90))), (8, text(b))]
+    n = {t: len({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}) for _, t in items}
+    root = {1: 1, 2: 1, 3: 1, 8: 1, 4: 4, 5: 4, 6: 4, 7: 7}
+    want = sorted((i, n[t], root[i], root[i] == i) for i, t in items)
+    for order in (items, items[::-1]):
+        assert sorted(map(tuple, near_duplicates(frame(order)).collect())) == want
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (2, 5), (8, 9)], "u long, v long")
     assert {(r.node, r.root) for r in components(edges).collect()} == {(2, 2), (3, 2), (4, 2), (5, 2), (8, 8), (9, 8)}
