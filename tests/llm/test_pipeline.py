@@ -4,6 +4,7 @@ import hashlib
 
 import corpus_pipeline as P
 import sentencepiece
+from lagframe.llm.mixing import pareto_mix
 from lagframe.llm.queries import QUERIES, piece_model
 from lagframe.llm.quality import quality_scores
 
@@ -14,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stages(spark):
-    assert len(P.STAGES) == 5 and sum(name.startswith("op") for name in QUERIES) == 10
+    assert len(P.STAGES) == 5 and sum(name.startswith("op") for name in QUERIES) == 13
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     steps = []
     for _, stage in P.STAGES:
@@ -73,3 +74,17 @@ def test_near_dedup_by_row(spark):
     assert sorted(((r.doc_id, r.text) for r in near.collect()), key=str) == want
     left = P.repeats(spark, near, SF).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(((i, t or "") for i, t in want), key=str)
+
+
+def test_mix_by_row(spark):
+    """Rows without an id or with a repeated one are mixed one by one, as the operator does."""
+    rows = [(None, "w " * (5 + i % 40), "en", "a" if i % 3 else "b", i) for i in range(300)]
+    rows += [(i, "v " * (3 + i % 30), "en", "c", i) for i in range(400)] + [(3, "u " * 11, "en", "c", 0)] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = P.mix(spark, docs, SF).collect()
+    want = pareto_mix(docs).collect()
+    taken = {}
+    for r in mixed:
+        taken[r.source] = taken.get(r.source, 0) + len(r.text.split())
+    assert taken == {s: sum(r.taken for r in want if r.source == s) for s in "abc"}
+    assert len(mixed) == sum(r.copies for r in want)
