@@ -3,8 +3,8 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next stage's ``docs``. All but
 the last stage return the columns of ``documents``. Each stage works on all that its
-predecessor kept. Near-dedup decides row by row; mixing takes rows that share a ``doc_id`` as
-one document.
+predecessor kept. Near-dedup and mixing decide row by row, also if ids are missing or
+repeated.
 
 A stage's own tables below ``spark.checkpoint.dir`` go when the next stage begins, whose
 ``docs`` are read from the written Parquet.
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lagframe.llm.mixing import pareto_mix
@@ -72,8 +72,12 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it, from never to three times."""
-    copies = pareto_mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
-    taken = docs.select(*COLUMNS).join(copies.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
+    tie = F.xxhash64("text").alias("tie")
+    alike = Window.partitionBy("doc_id", "source", "tie").orderBy("lang", "n_chars")
+    rows = docs.select(*COLUMNS, tie).withColumn("number", F.row_number().over(alike))
+    copies = pareto_mix(docs).filter("copies > 0").select(*[F.col(c).alias(f"of_{c}") for c in ("doc_id", "source", "tie", "number")], "copies")
+    same = (F.col("tie") == F.col("of_tie")) & (F.col("number") == F.col("of_number"))
+    taken = rows.join(copies, same & F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & F.col("source").eqNullSafe(F.col("of_source")))
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
