@@ -97,7 +97,7 @@ def test_lsh_recall_with_uneven_norms(vectors, norms):
     assert len(got) == 20 * 200 and hit >= 0.9 * 20 * 200, hit / 4000
 
 
-@pytest.mark.parametrize("copies,dim", [(25, 24), (101, 64), (190, 100), (400, 100)])
+@pytest.mark.parametrize("copies,dim", [(101, 64), (400, 100)])
 def test_lsh_ties_go_to_the_smaller_id(vectors, copies, dim):
     """Equal vectors have one score wherever they lie, so their ids decide; rerun in another
     dealing the answer is the same."""
