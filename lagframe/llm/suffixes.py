@@ -8,27 +8,31 @@ with the smallest hash. Equal windows have equal anchors at equal places, so
    about one for every 80 bytes of text. Contexts are counted by (anchor, content hash). An
    anchor met once has no repeated window; a context met twice is repeated throughout;
 2. only contexts that share an anchor with a different context are looked into. They are
-   dealt by anchor, an anchor with many contexts by the window's place in the context too, to
-   tasks that cut them into shards of bounded size. Each shard gets a suffix array by
+   dealt by anchor, an anchor with many contexts by the window's place in the context too, and
+   one with still more by the window's own bytes, to tasks that cut them into shards of bounded
+   size. Each shard gets a suffix array by
    Larsson-Sadakane refinement (groups of equal prefixes, doubled) and common prefixes by
    Kasai's pass; neighbours with ``width`` common bytes are repeated. The
-   shards of one task are merged by binary search of each one's windows in the others;
+   shards of one group are merged by binary search of each one's windows in the others;
 3. repeated intervals are united per document and cut out.
 
 Copies of a text are met once a batch, with their number, and share the intervals of the one
-with the smallest id.
+with the smallest id. Long texts are looked at in overlapping stretches, which may cut a context
+but no window.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, runs, utf8
+from .shared import cut, runs, text_slices
 from .words import mix
 
 WIDTH = 200
@@ -36,6 +40,8 @@ GRAM = 24
 SHARD = 1 << 20  # bytes
 TASK = 1 << 21  # bytes of contexts that a task gets, about
 WIDE = 256  # contexts of one anchor above which its windows are dealt by place
+STRETCH = 1 << 19  # windows of a long text that are looked at at a time
+SLICE = 1 << 23  # bytes of texts that are held at a time
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -58,6 +64,15 @@ class Anchors:
 
     def of(self, text: bytes) -> tuple[np.ndarray, ...]:
         """(gram hash, content hash, first window, last window, anchor) of the contexts, in order."""
+        if len(text) < STRETCH + self.width:
+            return self._of(text)
+        parts = []
+        for s in range(0, len(text) - self.width + 1, STRETCH):
+            h, content, first, last, place = self._of(text[s : s + STRETCH + self.width - 1])
+            parts.append((h, content, first + s, last + s, place + s))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _of(self, text: bytes) -> tuple[np.ndarray, ...]:
         n, w, k = len(text), self.width, self.gram
         if n >= len(self.up):
             self.up, self.down = _powers(2 * n)
@@ -78,13 +93,16 @@ class Anchors:
         starts, anchors = [], []
         ends = np.append(change[1:], m)
         for s, e, value in zip(change.tolist(), ends.tolist(), least[change].tolist(), strict=True):
-            at = s
-            while at < e:
-                # most runs have one place of their value; repeated text has several
-                place = at + int(np.argmax(grams[at : min(at + span, len(grams))] == value))
-                starts.append(at)
-                anchors.append(place)
-                at = min(e, place + 1)
+            # most runs have one place of their value; repeated text has several
+            held = grams[s : min(e - 1 + span, len(grams))] == value
+            at = s + int(np.argmax(held))
+            starts.append(s)
+            anchors.append(at)
+            if at + 1 < e:
+                more = s + np.flatnonzero(held)
+                begins = more[:-1] + 1
+                starts += begins[begins < e].tolist()
+                anchors += more[1:][begins < e].tolist()
         first, place = np.array(starts, dtype=np.int64), np.array(anchors, dtype=np.int64)
         last = np.append(first[1:], m) - 1
         content = mix((sums[last + w] - sums[first]) * self.down[first]) ^ mix((place - first).astype(np.uint64) * BASE + (last - first).astype(np.uint64))
@@ -107,6 +125,14 @@ def _merged(rows: np.ndarray) -> np.ndarray:
     return np.stack([rows[at, 0], rows[at, 1], np.maximum.reduceat(rows[:, 2], at)], axis=1)
 
 
+def _slices(batches):
+    """(ids, fps, texts as bytes) of Arrow batches (id, fp, text), ``SLICE`` bytes at a time."""
+    for batch in batches:
+        ids, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for lo, hi, texts in text_slices(batch.column(2), SLICE):
+            yield ids[lo:hi], fps[lo:hi], texts
+
+
 def _contexts(width: int, gram: int):
     """Arrow batches (id, fp, text) -> contexts (with ``weight``) and known repeats (without).
 
@@ -117,8 +143,7 @@ def _contexts(width: int, gram: int):
 
     def contexts(batches):
         anchors = Anchors(width, gram)
-        for batch in batches:
-            ids, fps, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), utf8(batch.column(2))
+        for ids, fps, texts in _slices(batches):
             long = np.array([i for i, t in enumerate(texts) if len(t) >= width], dtype=np.int64)
             order = long[np.lexsort((ids[long], fps[long]))]
             if not len(order):
@@ -236,23 +261,38 @@ def _strings(pieces: list[bytes], width: int) -> np.ndarray:
 
 
 def _merge(shards: list[list[bytes]], flags: list[list[np.ndarray]], width: int) -> None:
-    """Mark the windows of each shard that a binary search finds in another one."""
-    for b, pieces in enumerate(shards):
+    """Mark the windows of each shard that a binary search finds in another one: sorted windows
+    of one shard, ``1 << 15`` at a time, are searched for all windows of the others at once."""
+
+    def windows(pieces):
         for lo, hi in runs([len(p) - width + 1 for p in pieces], 1 << 15):
-            sorted_b = np.sort(_strings(pieces[lo:hi], width))
+            yield lo, hi, _strings(pieces[lo:hi], width)
+
+    for b, pieces in enumerate(shards):
+        for _, _, held in windows(pieces):
+            held = np.sort(held)
             for a, others in enumerate(shards):
                 if a == b:
                     continue
-                for i, p in enumerate(others):
-                    mine = _strings([p], width)
-                    at = np.minimum(np.searchsorted(sorted_b, mine), len(sorted_b) - 1)
-                    flags[a][i] = flags[a][i] | (sorted_b[at] == mine)
+                for lo, hi, mine in windows(others):
+                    at = np.minimum(np.searchsorted(held, mine), len(held) - 1)
+                    met = held[at] == mine
+                    if met.any():
+                        ends = np.cumsum([len(p) - width + 1 for p in others[lo:hi]])
+                        for i, part in zip(range(lo, hi), np.split(met, ends[:-1]), strict=True):
+                            flags[a][i] = flags[a][i] | part
 
 
 def _shards(width: int, shard: int):
-    """One task's pieces (h, part, data, id, fp, start, known) -> repeats (id, fp, first, last)."""
+    """One task's pieces (h, part, data, id, fp, start, known) -> repeats (id, fp, first, last);
+    a piece without bytes is one window that is repeated for certain."""
 
     def find(table: pa.Table) -> pa.Table:
+        sure = table.filter(pc.is_null(table["data"])).select(["id", "fp", "start"])
+        sure = pa.table({"id": sure["id"], "fp": sure["fp"], "first": sure["start"], "last": sure["start"]})
+        table = table.filter(pc.is_valid(table["data"]))
+        if not table.num_rows:
+            return sure
         table = table.combine_chunks().sort_by([("h", "ascending"), ("part", "ascending"), ("id", "ascending"), ("fp", "ascending"), ("start", "ascending")])
         h, part = table["h"].to_numpy(), table["part"].to_numpy()
         data, known = table["data"].to_pylist(), table["known"].to_pylist()
@@ -280,31 +320,49 @@ def _shards(width: int, shard: int):
                 edge = np.flatnonzero(np.diff(np.concatenate(([False], f, [False])).astype(np.int8)))
                 out += [(row, int(start[row] + a), int(start[row] + b - 1)) for a, b in zip(edge[::2], edge[1::2], strict=True)]
         rows = pa.array([r for r, _, _ in out], pa.int64())
-        return pa.table({"id": table["id"].take(rows), "fp": table["fp"].take(rows), "first": pa.array([a for _, a, _ in out], pa.int64()), "last": pa.array([b for _, _, b in out], pa.int64())})
+        found = pa.table({"id": table["id"].take(rows), "fp": table["fp"].take(rows), "first": pa.array([a for _, a, _ in out], pa.int64()), "last": pa.array([b for _, _, b in out], pa.int64())})
+        return pa.concat_tables([found, sure])
 
     return find
 
 
 def _pieces(width: int, gram: int, wide: int, tasks: int):
-    """Arrow batches (id, fp, text, wanted, ...) -> the bytes of the wanted contexts, dealt."""
+    """Arrow batches (id, fp, text, wanted, ...) -> the bytes of the wanted contexts, dealt.
+
+    An anchor with more contexts than places hold has its windows dealt one by one, by their
+    bytes too; of equal ones in a slice two go with their bytes, the others without."""
     span = width - gram + 1
 
+    def dealt(id_, fp, text, wanted, met):
+        for w in wanted:
+            first, count, place = w["spot"] >> 24, w["spot"] >> 12 & 4095, w["spot"] & 4095
+            parts = min(span, -(-w["variants"] // wide))
+            salts = -(-w["variants"] // (span * wide))
+            # a window's distance to its anchor decides its part
+            for part in range(parts):
+                near, far = part * span // parts, (part + 1) * span // parts  # distances in [near, far)
+                lo, hi = max(0, place - far + 1), min(count, place - near + 1)
+                if lo >= hi:
+                    continue
+                data, key = text[first + lo : first + hi - 1 + width], part
+                if salts > 1:
+                    key = part + span * (zlib.crc32(data) % salts)
+                    number = met[w["h"], key, data] = met.get((w["h"], key, data), 0) + 1
+                    if number > 2:
+                        if not w["known"]:
+                            yield hash((id_, fp, first + lo)) % tasks, w["h"], key, None, id_, fp, first + lo, False
+                        continue
+                yield hash((w["h"], key)) % tasks, w["h"], key, data, id_, fp, first + lo, w["known"]
+
     def pieces(batches):
         for batch in batches:
-            out: list[tuple] = []
-            for id_, fp, text, wanted in zip(batch.column("id").to_pylist(), batch.column("fp").to_pylist(), utf8(batch.column("text")), batch.column("wanted").to_pylist(), strict=True):
-                for w in wanted:
-                    first, count, place = w["spot"] >> 24, w["spot"] >> 12 & 4095, w["spot"] & 4095
-                    parts = min(span, -(-w["variants"] // wide))
-                    # a window's distance to its anchor decides its part
-                    for part in range(parts):
-                        near, far = part * span // parts, (part + 1) * span // parts  # distances in [near, far)
-                        lo, hi = max(0, place - far + 1), min(count, place - near + 1)
-                        if lo < hi:
-                            out.append((hash((w["h"], part)) % tasks, w["h"], part, text[first + lo : first + hi - 1 + width], id_, fp, first + lo, w["known"]))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 8
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["task", "h", "part", "data", "id", "fp", "start", "known"])
+            ids, fps, asked = (batch.column(c).to_pylist() for c in ("id", "fp", "wanted"))
+            for lo, hi, texts in text_slices(batch.column("text"), SLICE):
+                met: dict = {}
+                out = [row for i, text in zip(range(lo, hi), texts, strict=True) for row in dealt(ids[i], fps[i], text, asked[i], met)]
+                cols = list(zip(*out, strict=True)) if out else [[]] * 8
+                kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["task", "h", "part", "data", "id", "fp", "start", "known"])
 
     return pieces
 
@@ -314,28 +372,31 @@ def _remove(width: int, through: list[str], keep_text: bool):
 
     def remove(batches):
         for batch in batches:
-            n, gone, cuts, kept = [], [], [], []
-            for text, spans in zip(utf8(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
-                out, at, removed, number, end = [], 0, 0, 0, -1
-                for s in sorted((s["first"], s["last"] + width) for s in spans or ()):
-                    if s[0] > end:
-                        number += 1
-                        out.append(text[at : s[0]])
-                        removed += s[1] - s[0]
-                    elif s[1] > end:
-                        removed += s[1] - end
-                    end = max(end, s[1])
-                    at = end
-                out.append(text[at:])
-                n.append(len(text))
-                gone.append(removed)
-                cuts.append(number)
-                kept.append(b"".join(out))
-            cols = [*(batch.column(c) for c in through), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
-            names = [*through, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if keep_text:
-                cols, names = [*cols, pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())], [*names, "kept"]
-            yield pa.RecordBatch.from_arrays(cols, names)
+            every = batch.column("spans").to_pylist()
+            for lo, hi, texts in text_slices(batch.column("text"), SLICE):
+                n, gone, cuts, kept = [], [], [], []
+                for text, spans in zip(texts, every[lo:hi], strict=True):
+                    out, at, removed, number, end = [], 0, 0, 0, -1
+                    for s in sorted((s["first"], s["last"] + width) for s in spans or ()):
+                        if s[0] > end:
+                            number += 1
+                            out.append(text[at : s[0]])
+                            removed += s[1] - s[0]
+                        elif s[1] > end:
+                            removed += s[1] - end
+                        end = max(end, s[1])
+                        at = end
+                    out.append(text[at:])
+                    n.append(len(text))
+                    gone.append(removed)
+                    cuts.append(number)
+                    kept.append(b"".join(out))
+                part = batch.slice(lo, hi - lo)
+                cols = [*(part.column(c) for c in through), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
+                names = [*through, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                if keep_text:
+                    cols, names = [*cols, pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())], [*names, "kept"]
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     return remove
 
@@ -348,7 +409,8 @@ def remove_repeats(
 
     Each byte covered by a ``width``-byte string that also starts elsewhere, in any document,
     is removed; strings are judged on the input and never cross documents. A null text is
-    empty; texts shorter than ``width`` have no such string. Rows with a null or repeated id
+    empty; texts shorter than ``width`` have no such string; very long ones are looked at in
+    stretches of ``STRETCH`` windows, so that memory is a small multiple of the longest text. Rows with a null or repeated id
     are rows of their own. Extra columns are ignored; an empty table gives an empty result.
     Cuts fall between bytes: the digest is of the remaining bytes, ``kept`` leaves out
     characters of which only a part remains.
@@ -370,7 +432,8 @@ def remove_repeats(
     repeats = judged.filter("met > 1").selectExpr("id", "fp", "shiftright(spot, 24) as first", "shiftright(spot, 24) + (shiftright(spot, 12) & 4095) - 1 as last")
     repeats = repeats.unionByName(found.filter("h is null").selectExpr("id", "fp", "spot as first", "content as last"))
     wanted = judged.filter("variants > 1 and single > 0").filter((F.col("met") == 1) | (F.col("one") == F.struct("id", "fp", "spot")))
-    tasks = 1 + wanted.count() * 2 * width // task
+    places = F.least(F.lit(width - gram + 1), F.ceil(F.col("variants") / F.lit(wide)))
+    tasks = 1 + (wanted.agg(F.sum(places)).first()[0] or 0) * 2 * width // task  # by the bytes that a context is dealt in
     asked = wanted.groupBy("id", "fp").agg(F.collect_list(F.struct("h", "spot", "variants", (F.col("met") > 1).alias("known"))).alias("wanted"))
     # both joins take the same columns of the texts, so that these are shuffled once
     dealt = lines.join(asked, ["id", "fp"]).mapInArrow(_pieces(width, gram, wide, tasks), "task int, h long, part int, data binary, id long, fp long, start long, known boolean")

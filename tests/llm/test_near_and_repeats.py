@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
 
 from lagframe.llm.components import components
 from lagframe.llm.neardup import near_duplicates
-from lagframe.llm.suffixes import repeated_windows, remove_repeats, suffix_array
+from lagframe.llm import suffixes
+from lagframe.llm.suffixes import Anchors, _merge, repeated_windows, remove_repeats, suffix_array
 
 
 def brute_near(docs):
@@ -119,6 +121,50 @@ def test_repeats_match_brute_force(frame, settings):
     assert sorted((tuple(r) for r in got), key=str) == brute_repeats(items, 200)
 
 
+def test_repeats_of_a_hot_anchor(frame, monkeypatch):
+    """A line in most documents, with other surroundings each time: its windows are dealt by
+    place and by bytes; long texts in stretches."""
+    monkeypatch.setattr(suffixes, "STRETCH", 300)
+    monkeypatch.setattr(suffixes, "SLICE", 4000)
+    rng = random.Random(11)
+    line = "the line that nearly all of the documents hold in common."
+    shared = " ".join(words(rng, 30))
+    docs = [" ".join(words(rng, 40)) + line + " ".join(words(rng, 40)) for _ in range(80)]
+    docs += [" ".join(words(rng, 9)) + line + shared + " ".join(words(rng, 20)) for _ in range(60)]
+    docs += [" ".join(words(rng, 9)) + shared + line + " ".join(words(rng, 20)) for _ in range(20)]
+    docs += [" ".join(words(rng, 400)), "a" * 1500, None]
+    items = list(enumerate(docs))
+    got = remove_repeats(frame(items), width=60, gram=20, wide=1, shard=3000, task=20000).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_repeats(items, 60)
+
+
+def test_many_pieces_of_one_group_merge_in_time():
+    rng = np.random.default_rng(12)
+    pieces = [rng.integers(97, 123, 200, dtype=np.uint8).tobytes() for _ in range(40_000)]
+    pieces[39_000], pieces[20_000] = pieces[3], pieces[4]
+    shards = [pieces[i : i + 5000] for i in range(0, 40_000, 5000)]
+    flags = [[np.zeros(1, dtype=bool) for _ in s] for s in shards]
+    began = time.time()
+    _merge(shards, flags, 200)
+    found = [i for i, f in enumerate(f for s in flags for f in s) if f.any()]
+    assert found == [3, 4, 20_000, 39_000] and time.time() - began < 20
+
+
+def test_long_texts_are_looked_at_in_stretches():
+    """Contexts cover every window once, with the anchor that the window alone decides."""
+    text = (b"abcdefghij" * 30 + np.random.default_rng(13).integers(97, 123, 900, dtype=np.uint8).tobytes()) * 2 + b"z" * 700
+    whole = Anchors(200, 24).of(text)
+    anchor = {w: int(p) for _, _, f, g, p in zip(*whole, strict=True) for w in range(int(f), int(g) + 1)}
+    assert sorted(anchor) == list(range(len(text) - 199))
+    before, suffixes.STRETCH = suffixes.STRETCH, 111
+    try:
+        cut = Anchors(200, 24).of(text)
+    finally:
+        suffixes.STRETCH = before
+    again = {w: int(p) for _, _, f, g, p in zip(*cut, strict=True) for w in range(int(f), int(g) + 1)}
+    assert again == anchor
+
+
 def test_repeats_small_width_and_text(frame):
     got = remove_repeats(frame([(1, "abcdefgh-XYZ"), (2, "XYZ-abcdefgh"), (3, "zz")]), width=8, gram=3, keep_text=True, carry=("source", "id")).collect()
     assert {(r.doc_id, r.kept, r.source, r.id) for r in got} == {(1, "-XYZ", "s", "x"), (2, "XYZ-", "s", "x"), (3, "zz", "s", "x")}
