@@ -29,9 +29,15 @@ t0 AS (SELECT host, path, ruled, count(*) AS n, [s FOR s IN string_split(path, '
 tree AS (SELECT host, path, ruled, n, template || CASE WHEN len(parts) > {U.DEPTH} THEN '/**' ELSE '' END AS template FROM t{U.DEPTH}),
 labels AS (SELECT host, template, sum(CASE WHEN ruled IS NOT NULL THEN n ELSE 0 END) AS known, sum(CASE WHEN ruled = 'block' THEN n ELSE 0 END) AS blocked FROM tree GROUP BY ALL),
 every AS (SELECT (sum(blocked) + {U.STRENGTH}::DOUBLE * 0.5::DOUBLE) / (sum(known) + {U.STRENGTH}::DOUBLE) AS share FROM labels),
-pooled AS (SELECT template, (sum(blocked) + {U.STRENGTH}::DOUBLE * any_value(share)) / (sum(known) + {U.STRENGTH}::DOUBLE) AS pooled FROM labels, every GROUP BY template),
-judged AS (SELECT host, template, CASE WHEN known > 0 AND abs(blocked - known * pooled) >= {U.Z}::DOUBLE * sqrt(known * pooled * (1 - pooled))
-    THEN (blocked + {U.STRENGTH}::DOUBLE * pooled) / (known + {U.STRENGTH}::DOUBLE) ELSE pooled END AS purity FROM labels JOIN pooled USING (template)),
+pooled AS (SELECT template, sum(known) AS met, (sum(blocked) + {U.STRENGTH}::DOUBLE * any_value(share)) / (sum(known) + {U.STRENGTH}::DOUBLE) AS pooled FROM labels, every GROUP BY template),
+branches AS (SELECT *, sum(known) OVER n AS every_known, sum(blocked) OVER n AS every_blocked FROM (SELECT *, regexp_replace(template, '/[^/]*$', '') AS node FROM labels)
+  WINDOW n AS (PARTITION BY host, node)),
+sorted AS (SELECT *, known > 0 AND NOT (every_blocked > 0 AND every_blocked < every_known AND abs(blocked - known * (every_blocked / greatest(every_known, 1)))
+  >= {U.Z}::DOUBLE * sqrt(known * (every_blocked / greatest(every_known, 1)) * (1 - every_blocked / greatest(every_known, 1)))) AS alike FROM branches),
+common AS (SELECT host, template, CASE WHEN alike THEN sum(known) FILTER (alike) OVER n ELSE known END AS known, CASE WHEN alike THEN sum(blocked) FILTER (alike) OVER n ELSE blocked END AS blocked
+  FROM sorted WINDOW n AS (PARTITION BY host, node)),
+judged AS (SELECT host, template, coalesce(CASE WHEN known > 0 AND abs(blocked - known * pooled) >= {U.Z}::DOUBLE * sqrt(known * pooled * (1 - pooled))
+    THEN (blocked + {U.STRENGTH}::DOUBLE * pooled) / (known + {U.STRENGTH}::DOUBLE) WHEN known > 0 OR (met > 0 AND regexp_matches(template, '[^/*]')) THEN pooled END, 0) AS purity FROM common JOIN pooled USING (template)),
 found AS (SELECT DISTINCT host, path, template, CASE WHEN purity >= {U.REJECT_AT}::DOUBLE THEN 'block' ELSE 'allow' END AS method FROM tree JOIN judged USING (host, template))
 SELECT page_id, host, path, rule, coalesce(ruled, method) AS verdict, template FROM ruled JOIN found USING (host, path)
 """

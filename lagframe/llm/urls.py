@@ -3,11 +3,13 @@
 Rules of (verdict, host, path) judge the urls they fit; these urls are the labels from which
 the others are judged. Level by level the path segments below a node of a host's tree stay
 as they are if they are frequent there, and become the wildcard ``*`` if not; what lies below
-``depth`` levels becomes ``**``. A template's labels are compared with those of the same
-template over all hosts: branches that do not differ by a z-test, or have no labels, merge
-with the pooled branch, the others keep their own counts. A template is rejected if its share
-of blocked labels, smoothed towards the pooled share (and that towards the share of all), is
-at least ``reject_at``.
+``depth`` levels becomes ``**``. Branches below one node whose labels do not differ from the
+node's by a z-test merge: they are judged by their common counts. These are compared with the
+same template over all hosts: branches that do not differ from it, or have no labels of their
+own, go by the pooled branch. A template is rejected if its share of blocked labels, smoothed
+towards the pooled share (and that towards the share of all), is at least ``reject_at``. One
+without a label on any host is allowed, and so is one of wildcards alone without a label on its
+own host: it says nothing about the path.
 
 Everything is DataFrame expressions. Counting collapses in partial aggregates, and rows meet
 the frequent segments of their node, at most ``1 / min_share`` of them, in an equi-join.
@@ -60,9 +62,10 @@ def template_filter(
     """One row per page: ``id_col``, ``host``, ``path``, ``rule``, ``verdict``, ``template``.
 
     A null url, or one without ``://``, has an empty host and path and is judged by them.
-    ``rule`` is null where none fits. Without any labels the share of all is one half, so
-    nothing is rejected. Null and repeated ids and repeated urls are rows of their own. Extra
-    columns are ignored; an empty table gives an empty result.
+    ``rule`` is null where none fits; of rules of one length that fit, the last given counts.
+    Without any labels nothing is rejected. Very long urls are matched whole, with segments
+    beyond ``depth`` as one wildcard. Null and repeated ids and repeated urls are rows of
+    their own. Extra columns are ignored; an empty table gives an empty result.
     """
     url = F.col(url_col).cast("string")
     seen = pages.select(F.col(id_col).cast("long").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -86,11 +89,29 @@ def template_filter(
     )
     total = labels.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("k"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b")).first()
     share = (total["b"] + strength * 0.5) / (total["k"] + strength)
-    pooled = labels.groupBy("template").agg(((F.sum("blocked") + F.lit(strength * share)) / (F.sum("known") + F.lit(strength))).alias("pooled"))
-    judged = labels.join(pooled, "template")
-    apart = F.abs(F.col("blocked") - F.col("known") * F.col("pooled")) >= z * F.sqrt(F.col("known") * F.col("pooled") * (1 - F.col("pooled")))
+    pooled = labels.groupBy("template").agg(
+        F.sum("known").alias("met"), ((F.sum("blocked") + F.lit(strength * share)) / (F.sum("known") + F.lit(strength))).alias("pooled")
+    )
+
+    def differs(blocked: Column, known: Column, share_: Column) -> Column:
+        return F.abs(blocked - known * share_) >= z * F.sqrt(known * share_ * (1 - share_))
+
+    # branches below one node that are alike are judged by their common counts
+    branches = labels.withColumn("node", F.regexp_replace("template", "/[^/]*$", ""))
+    nodes = branches.groupBy("host", "node").agg(F.sum("known").alias("all"), F.sum("blocked").alias("bad"))
+    branches = branches.join(nodes, ["host", "node"])
+    mixed = (F.col("bad") > 0) & (F.col("bad") < F.col("all"))  # else all labels below the node agree
+    alone = (F.col("known") == 0) | (mixed & differs(F.col("blocked"), F.col("known"), F.col("bad") / F.greatest("all", F.lit(1))))
+    branches = branches.withColumn("alike", ~alone)
+    common = branches.filter("alike").groupBy("host", "node").agg(F.sum("known").alias("k"), F.sum("blocked").alias("b"))
+    branches = branches.join(common, ["host", "node"], "left")
+    branches = branches.select("host", "template", F.when(F.col("alike"), F.col("k")).otherwise(F.col("known")).alias("known"), F.when(F.col("alike"), F.col("b")).otherwise(F.col("blocked")).alias("blocked"))
+
+    judged = branches.join(pooled, "template")
     own = (F.col("blocked") + strength * F.col("pooled")) / (F.col("known") + strength)
-    judged = judged.withColumn("purity", F.when((F.col("known") > 0) & apart, own).otherwise(F.col("pooled")))
+    told = (F.col("known") > 0) | ((F.col("met") > 0) & F.col("template").rlike("[^/*]"))
+    purity = F.when((F.col("known") > 0) & differs(F.col("blocked"), F.col("known"), F.col("pooled")), own).when(told, F.col("pooled"))
+    judged = judged.withColumn("purity", F.coalesce(purity, F.lit(0.0)))
     found = tree.select("host", "path", "template").distinct().join(judged.select("host", "template", "purity"), ["host", "template"])
     found = found.select("host", "path", "template", F.when(F.col("purity") >= reject_at, "block").otherwise("allow").alias("method"))
     return seen.join(found, ["host", "path"]).select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("ruled", "method").alias("verdict"), "template")

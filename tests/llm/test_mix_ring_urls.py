@@ -160,3 +160,15 @@ def test_url_templates(pages):
     judged = {(r.host, r.template): r.verdict for r in got}
     assert judged["free.org", "/en/*"] == "block" and judged["free.org", "/de/*"] == "allow" and judged["deep.org", "/*/*/*/**"] == "allow"
     assert judged["h1.example.com", "/en/*"] == "block" and judged["h1.example.com", "/de/*"] == "allow"
+
+
+def test_url_branches_merge_and_need_evidence(pages):
+    """Sibling branches with like labels are judged together; no label, no rejection."""
+    rows = [f"http://a.example.com/en/x{i % 3}/{i}" for i in range(60)]  # blocked by rule, in three branches
+    rows += [f"http://a.example.com/de/{i}" for i in range(60)]  # allowed by rule
+    rows += ["http://other.org/de/q", "http://other.org/pl/q/r", "http://far.org/x" + "/y" * 5000 + "?z"]
+    got = template_filter(pages(enumerate(rows)), RULES).collect()
+    judged = {r.host: r.verdict for r in got if r.host.endswith("org")}
+    assert judged == {"other.org": "allow", "far.org": "allow"}
+    blocked = [f"http://h{i}.example.com/en/1" for i in range(40)] + [f"http://x.org/de/{i}" for i in range(3)]
+    assert {r.verdict for r in template_filter(pages(enumerate(blocked)), RULES).collect() if r.host == "x.org"} == {"allow"}
