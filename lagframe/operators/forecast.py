@@ -167,7 +167,9 @@ def walk_forward_rf(
     refit_every=1 refits every week like the original; larger values refit every N
     weeks (each fold predicts N weeks with the model trained before it). Folds are
     independent, so up to `parallelism` fits run as concurrent Spark jobs (as
-    CrossValidator's ``parallelism`` does); each fit is itself distributed.
+    CrossValidator's ``parallelism`` does); each fit is itself distributed. The result is a
+    union with a branch per fold: for refits every few weeks use
+    ``weekly_forest.walk_forward_weekly``, which deals the fits of each series to tasks.
     Output: keys, year, week, real, pred_baseline, pred_rf_climate, pred_rf_full.
     """
     keys = _keys(keys)

@@ -73,18 +73,22 @@ def lag_join(
     keys=None,
     value_cols: Sequence[str] | None = None,
     system: str = "iso",
+    empty_without_driver: bool = False,
 ) -> DataFrame:
     """Left join: every case row, with the climate of `lag` weeks earlier.
 
     Non-key climate columns get the suffix ``_lag{lag}``. Duplicate climate weeks fan
     out (as in the original); de-duplicate first with ``dedup_latest`` if needed.
-    Entity keys join as keys and are never renamed.
+    Entity keys join as keys and are never renamed. A climate frame without any row leaves
+    the case rows with nulls; ``empty_without_driver`` looks (a job that stops at the first
+    row) and then gives an empty frame, as the original does.
     """
     keys = _keys(keys)
     _require(cases, [*keys, YEAR, WEEK], "case frame")
     right = lagged_values(climate, lag, keys, value_cols, system)
     left = with_week_index(cases, system)
-    return left.join(right, [*keys, IDX], "left").drop(IDX)
+    joined = left.join(right, [*keys, IDX], "left").drop(IDX)
+    return joined.limit(0) if empty_without_driver and climate.isEmpty() else joined
 
 
 def feature_frame(frames: Sequence[DataFrame], keys=None, how: str = "inner") -> DataFrame:

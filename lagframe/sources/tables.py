@@ -103,7 +103,9 @@ def _fail(message: str, kind: T.DataType):
 
 
 def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """Columns of a table; rows that SQL inserts without a load time get the current one (A10)."""
+    stamp = {LOADED_AT: " DEFAULT current_timestamp()"}
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}{stamp.get(f.name, '')}" for f in schema.fields)
 
 
 @contextmanager

@@ -47,6 +47,25 @@ def test_refresh_years_leaves_other_years_alone(spark):
         plain.refresh_years("cases_raw", cases(spark, [2020]))
 
 
+def test_rows_inserted_by_sql_are_stamped(spark):
+    s = Store(spark, scratch_path(spark, "t-default"), prefix="td_")
+    s.create_schema()
+    spark.sql("INSERT INTO td_weekly_satellite (place, year, week, ndvi) VALUES ('p', 2024, 1, 0.5)")
+    s.append_satellite(spark.createDataFrame([("q", 2024, 2, 0.25)], "place string, year int, week int, ndvi double"))
+    rows = s.table("weekly_satellite").collect()
+    assert {(r.place, r.week, r.ndvi, r.valid_days) for r in rows} == {("p", 1, 0.5, None), ("q", 2, 0.25, None)}
+    assert all(r[LOADED_AT] is not None for r in rows)
+    s.drop()
+
+
+def test_lag_join_without_driver_rows(spark):
+    c = spark.createDataFrame([(2024, 5, 1.0)], "year int, week int, incidence double")
+    k = spark.createDataFrame([], "year int, week int, rain double")
+    assert lag_join(c, k, 4).collect() == [(2024, 5, 1.0, None)]
+    none = lag_join(c, k, 4, empty_without_driver=True)
+    assert none.count() == 0 and none.columns == ["year", "week", "incidence", "rain_lag4"]
+
+
 @pytest.mark.parametrize("by_year", [False, True])
 def test_lag_join_of_bucketed_tables_has_no_exchange(spark, by_year):
     s = Store(spark, scratch_path(spark, "t-buckets"), prefix=f"tb{int(by_year)}_", buckets=4, partition_by_year=by_year)
