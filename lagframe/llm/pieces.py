@@ -10,9 +10,12 @@ alphabet, or a full stop or comma after a letter (as read off the vocabulary; ch
 as a superscript two, which a piece joins with a full stop, are no letters here), so merges never
 cross such places: a text is cut there into units, and the units' codes are remembered within a bound.
 
+Units that are coded anew go through the agenda many at a time: each round merges the best live
+pair of every unit, in arrays that hold a unit a row. Long units have a heap each.
+
 Every unit that is coded anew is compared with the sentencepiece library in the place where it
 was met: the whole stretch from one space to the next, with all its units and the cuts between
-them, and the characters next to it. A difference stops the job. Remembered units of a task
+them, and the characters next to it. A difference stops the job. Remembered units of a worker
 have been compared; one that is forgotten and coded again is compared again.
 """
 
@@ -22,6 +25,7 @@ import hashlib
 import heapq
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,31 +34,89 @@ from .shared import text_slices
 
 MARK = "▁"  # stands for a space
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
-MEMO_LIMIT = 1 << 19
-SHORT = 32  # up to so many symbols the agenda is a plain list, beyond it a heap
-NEVER = float("inf")
+MEMO_LIMIT = 1 << 17  # codes of stretches and units that a worker remembers, twice: recent and older ones
+SHORT = 32  # up to so many symbols a unit shares arrays with others, beyond it has a heap
+ROWS = 1 << 12  # units that share arrays
+NEVER = np.int32(2**31 - 1)  # behind the order of any piece
+GONE = -1  # a place whose symbol an earlier one took in
+SLICE = 1 << 20  # bytes of texts that are held at a time
 CHECK_TEXT = 1 << 16  # characters of stretches that wait for the comparison
 LETTER = re.compile(r"[^\W\d_]")
-
-
-class Surfaces(dict):
-    """Comma-joined ids -> the bytes they stand for, remembered within a bound."""
-
-    def __init__(self, pieces: list[bytes]):
-        super().__init__()
-        self.pieces = pieces
-
-    def __missing__(self, code: str) -> bytes:
-        found = b"".join(map(self.pieces.__getitem__, map(int, code.split(","))))
-        if len(self) >= MEMO_LIMIT:
-            self.clear()
-        if len(code) <= 256:
-            self[code] = found
-        return found
+STRETCHES = re.compile(" *[^ ]+| +").findall
+
+
+class Pairs:
+    """The pairs of symbols whose concatenation is in the vocabulary. Symbols are numbers: the
+    piece's id, for other characters of the vocabulary's alphabet and for all else ones behind."""
+
+    def __init__(self, ids: dict[str, int], score: dict[str, float], n_pieces: int):
+        number = dict(ids)
+        for c in sorted({c for p in ids for c in p}.difference(ids)):
+            number[c] = n_pieces + len(number) - len(ids)
+        self.n_pieces, self.other = n_pieces, n_pieces + len(number) - len(ids)
+        letters = [c for c in number if len(c) == 1]
+        self.of_char = np.full(max(map(ord, letters), default=0) + 2, self.other, np.int32)
+        for c in letters:
+            self.of_char[ord(c)] = number[c]
+        rank = {x: i for i, x in enumerate(sorted(set(score.values())))}
+        found = [(number[p[:i]] * (self.other + 1) + number[p[i:]], rank[score[p]], number[p]) for p in ids for i in range(1, len(p)) if p[:i] in number and p[i:] in number]
+        found.sort()
+        self.key = np.array([k for k, _, _ in found] + [(self.other + 1) ** 2], np.int64)
+        self.order = np.array([r for _, r, _ in found] + [NEVER], np.int32)
+        self.made = np.array([m for _, _, m in found] + [self.other], np.int32)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of pairs, the last one for pairs that don't merge."""
+        key = left * np.int64(self.other + 1) + right
+        at = self.key.searchsorted(key)
+        return np.where(self.key[at] == key, at, len(self.key) - 1)
+
+    def merge(self, units: list[str]) -> np.ndarray:
+        """The agenda of each unit, a row each: what is left of its symbols, each where it begins,
+        ``GONE`` elsewhere."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        wide = int(size.max()) + 1
+        column = np.arange(wide)
+        inside = column < size[:, None]
+        symbol = np.full(inside.shape, self.other, np.int32)
+        chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        symbol[inside] = self.of_char[np.minimum(chars, len(self.of_char) - 1)]
+        at = np.full(inside.shape, len(self.key) - 1)
+        at[:, :-1] = self.find(symbol[:, :-1], symbol[:, 1:])
+        order = self.order[at]
+        after = np.broadcast_to(column + 1, inside.shape).copy().ravel()
+        before = np.broadcast_to(column - 1, inside.shape).copy().ravel()
+        symbol, at, flat = symbol.ravel(), at.ravel(), order.ravel()
+        live = np.arange(len(units))
+        while True:
+            agenda = order[live]
+            best = agenda.argmin(1)  # the leftmost of equal scores
+            some = agenda[np.arange(len(live)), best] != NEVER
+            live, best = live[some], best[some]
+            if not len(live):
+                break
+            start = live * wide
+            i = start + best
+            j = start + after[i]
+            both = self.made[at[i]]
+            symbol[i], symbol[j], flat[j] = both, GONE, NEVER
+            after[i] = after[j]
+            k = start + after[i]
+            before[k] = best
+            at[i] = self.find(both, symbol[k])
+            flat[i] = self.order[at[i]]
+            led = before[i] >= 0
+            h, both = (start + before[i])[led], both[led]
+            at[h] = self.find(symbol[h], both)
+            flat[h] = self.order[at[h]]
+        symbol = symbol.reshape(inside.shape)
+        symbol[~inside] = GONE
+        return symbol
 
 
 class PieceCoder(dict):
-    """Vocabulary of one model file; as a mapping: unit -> its ids, comma-joined."""
+    """Vocabulary of one model file; as a mapping: a stretch without the space before it, or
+    behind a space mark a unit that follows another one -> its ids, comma-joined."""
 
     def __init__(self, model_path: str, check: bool = True):
         super().__init__()
@@ -72,7 +134,9 @@ class PieceCoder(dict):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_path) if check else None
         self.fresh: list[tuple[str, list[int]]] = []
         self.waiting = 0
-        self.new: set[str] = set()
+        self.new: dict[str, list[int]] = {}
+        self.older: dict[str, str] = {}
+        self.ready: dict[str, list[int]] = {}
         self.beside: dict[str, list[int]] = {}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.score = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
@@ -86,6 +150,11 @@ class PieceCoder(dict):
                 self.surface.append(model.trainer_spec.unk_surface.encode())
             else:
                 self.surface.append(b"" if p.type == CONTROL else p.piece.replace(MARK, " ").encode())
+        self.surfaces = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.length = np.array([len(b) for b in self.surface], np.int64)
+        self.begin = self.length.cumsum() - self.length
+        self.pairs = Pairs(self.ids, self.score, len(model.pieces))
+        self.name = [str(i) for i in range(len(model.pieces))]
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a space mark after another character")
         alphabet = {c for p in self.ids for c in p}
@@ -101,20 +170,6 @@ class PieceCoder(dict):
         if any(len(self.units(MARK + p)) != 1 for p in self.ids):
             raise ValueError("a cut between units splits a piece")
 
-    def _merge_short(self, symbols: list[str]) -> list[str]:
-        """The agenda as a list: entry i is the score of symbols i and i + 1."""
-        score = self.score.get
-        agenda = [score(a + b, NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda and (best := min(agenda)) != NEVER:
-            i = agenda.index(best)  # the leftmost of equal scores
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = score(symbols[i] + symbols[i + 1], NEVER)
-            if i:
-                agenda[i - 1] = score(symbols[i - 1] + symbols[i], NEVER)
-        return symbols
-
     def _merge_long(self, symbols: list[str | None]) -> list[str | None]:
         """The agenda as a heap; merged symbols leave ``None`` behind."""
         n = len(symbols)
@@ -145,35 +200,87 @@ class PieceCoder(dict):
                     heapq.heappush(agenda, (score[pair], h, i, pair))
         return symbols
 
+    def _ids(self, symbol: str) -> list[int]:
+        """Ids of a symbol that nothing merges with."""
+        i = self.ids.get(symbol)
+        if i is not None:
+            return [i]
+        return [self.byte_id[b] for b in symbol.encode()] if self.byte_id else [self.unknown]
+
+    def _prepare(self, units: list[str]) -> None:
+        """Run the agendas of all units that are short."""
+        units = sorted((u for u in units if len(u) <= SHORT), key=len)
+        for lo in range(0, len(units), ROWS):
+            some = units[lo : lo + ROWS]
+            symbols = self.pairs.merge(some)
+            rest = symbols >= self.pairs.n_pieces
+            kept = symbols != GONE
+            ids, ends = symbols[kept].tolist(), kept.sum(1).cumsum().tolist()
+            self.ready.update((u, ids[a:b]) for u, a, b in zip(some, [0, *ends], ends, strict=False))
+            for row in np.flatnonzero(rest.any(1)).tolist():
+                unit, line = some[row], symbols[row].tolist()
+                self.ready[unit] = [x for c, s in zip(unit, line, strict=False) if s != GONE for x in ([s] if s < self.pairs.n_pieces else self._ids(c))]
+
     def encode_unit(self, unit: str) -> list[int]:
         """Ids of one unit, by the agenda."""
-        merged = self._merge_short(list(unit)) if len(unit) <= SHORT else self._merge_long(list(unit))
-        try:
-            return [self.ids[s] for s in merged]
-        except KeyError:
-            pass  # a symbol outside the vocabulary, or an empty place of the heap
-        out: list[int] = []
-        for s in merged:
-            if s is not None:
-                i = self.ids.get(s)
-                if i is not None:
-                    out.append(i)
-                elif self.byte_id:
-                    out.extend(self.byte_id[b] for b in s.encode())
-                else:
-                    out.append(self.unknown)
-        return out
-
-    def __missing__(self, unit: str) -> str:
-        ids = self.encode_unit(unit)
-        if self.library is not None:
-            self.new.add(unit)
-        code = ",".join(map(str, ids))
-        if len(self) >= MEMO_LIMIT:
-            self.clear()
-        if len(unit) <= 64:
-            self[unit] = code
-        return code
+        found = self.ready.pop(unit, None)
+        if found is not None:
+            return found
+        return [i for s in self._merge_long(list(unit)) if s is not None for i in self._ids(s)]
+
+    def _remember(self, found: dict[str, str]) -> None:
+        for key, code in found.items():
+            if len(key) <= 64:
+                if len(self) >= MEMO_LIMIT:
+                    self.older = dict(self)
+                    self.clear()
+                self[key] = code
+
+    @staticmethod
+    def _key(unit: str) -> str:
+        return unit[1:].replace(MARK, " ") if unit[0] == MARK else MARK + unit
+
+    def _code(self, keys: set[str]) -> dict[str, str]:
+        """Codes of stretches; the units that none of them remembers are coded anew."""
+        recent, older, found, kept, todo = self.get, self.older.get, {}, {}, []
+        for key in keys:
+            code = recent(key)
+            if code is None:
+                code = older(key)
+                if code is None:
+                    todo.append(key)
+                    continue
+                kept[key] = code
+            found[key] = code
+        cut, codes, fresh = {}, {}, []
+        for key in todo:
+            if key.isalpha():  # letters alone are one unit, not remembered yet
+                if MARK + key not in codes:
+                    codes[MARK + key] = None
+                    fresh.append(MARK + key)
+                continue
+            cut[key] = units = self.units(MARK + key.replace(" ", MARK))
+            for unit in units:
+                if unit not in codes:
+                    k = self._key(unit)
+                    codes[unit] = recent(k) or older(k)
+                    if codes[unit] is None:
+                        fresh.append(unit)
+        self._prepare(fresh)
+        name, lists = self.name, {}
+        for unit in fresh:
+            lists[unit] = ids = self.encode_unit(unit)
+            codes[unit] = kept[self._key(unit)] = ",".join([name[i] for i in ids])
+        for key in todo:
+            units = cut.get(key)
+            if units is None:
+                found[key], self.new[key] = codes[MARK + key], lists[MARK + key]
+                continue
+            found[key] = kept[key] = ",".join([codes[unit] for unit in units])
+            if any(unit in lists for unit in units):
+                self.new[key] = [int(x) for x in found[key].split(",")]
+        self._remember(kept)
+        return found
 
     def _around(self, part: str) -> list[int]:
         """Ids of the few characters next to a stretch."""
@@ -184,28 +291,37 @@ class PieceCoder(dict):
             found = self.beside[part] = [i for u in self.units(part) for i in self.encode_unit(u)]
         return found
 
-    def _note(self, units: list[str], codes: list[str]) -> None:
-        """Put the stretches between spaces where the new units of a text were first met down
-        for the comparison, each with the character before it and the one after its space."""
-        new, n, hi = self.new, len(units), 0
-        for i, unit in enumerate(units):
-            if i < hi or unit not in new:
+    def _note(self, keys: list[str]) -> None:
+        """Put the stretches of a text that hold new units and are met for the first time down
+        for the comparison, each with the character before it and the one after its space, with
+        spaces in between."""
+        new, around, last = self.new, self._around, len(keys) - 1
+        given, ids = [], []
+        for i, key in enumerate(keys):
+            if key not in new:
                 continue
-            lo, hi = i, i + 1
-            while units[lo][0] != MARK:
-                lo -= 1
-            while hi < n and units[hi][0] != MARK:
-                hi += 1
-            before = MARK + units[lo - 1][-1] if lo else ""
-            after = units[hi][: len(units[hi]) - len(units[hi].lstrip(MARK)) + 1] if hi < n else ""
-            ids = [int(x) for code in codes[lo:hi] for x in code.split(",")]
-            given = before + "".join(units[lo:hi]) + after
-            self.fresh.append((given[1:].replace(MARK, " "), [*(self._around(before) if lo else ()), *ids, *(self._around(after) if after else ())]))
-            self.waiting += len(given)
-            new.difference_update(units[lo:hi])
-            if not new:
-                break
-        new.clear()
+            if i:
+                before = keys[i - 1][-1]
+                given.append(before)
+                ids += around(MARK + before)
+            given.append(key)
+            ids += new.pop(key)
+            if i < last:
+                after = keys[i + 1][:1]
+                if after == " ":
+                    after = keys[i + 1][: len(keys[i + 1]) - len(keys[i + 1].lstrip(" ")) + 1]
+                given.append(after)
+                ids += around(MARK + after.replace(" ", MARK))
+            if given[-1][-1:] in ("", " "):  # would join the next space
+                self._wait(given, ids)
+                given, ids = [], []
+        if given:
+            self._wait(given, ids)
+
+    def _wait(self, given: list[str], ids: list[int]) -> None:
+        text = " ".join(given)
+        self.fresh.append((text, ids))
+        self.waiting += len(text)
         if self.waiting >= CHECK_TEXT:
             self.verify()
 
@@ -215,18 +331,38 @@ class PieceCoder(dict):
         if fresh and self.library.encode([w for w, _ in fresh], num_threads=1) != [ids for _, ids in fresh]:
             raise ValueError("the agenda and the sentencepiece library differ")
 
-    def encode_joined(self, text: str) -> list[str]:
-        """Comma-joined ids of the text's units, in order."""
-        if not text:
-            return []
-        units = self.units(MARK + text.replace(" ", MARK))
-        codes = list(map(self.__getitem__, units))
-        if self.new:
-            self._note(units, codes)
-        return codes
+    def encode_joined(self, texts: list[str]) -> list[list[str]]:
+        """Of each text the comma-joined ids of its stretches, in order."""
+        cut = []
+        for text in texts:
+            text = text.replace(MARK, " ")
+            keys = text.split(" ") if text else []
+            if "" in keys:  # several spaces in a row, or at an end
+                keys = [x[1:] for x in STRETCHES(" " + text)]
+            cut.append(keys)
+        found = self._code(set().union(*cut))
+        if self.library is not None:
+            for keys in cut:
+                if not self.new:
+                    break
+                self._note(keys)
+        self.new.clear()
+        return [[found[k] for k in keys] for keys in cut]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for code in self.encode_joined(text) for i in code.split(",")]
+        return [int(i) for code in self.encode_joined([text])[0] for i in code.split(",")]
+
+    def surface_of(self, codes: list[str]) -> bytes:
+        """The bytes that comma-joined ids stand for."""
+        out = []
+        for lo in range(0, len(codes), 1 << 14):
+            ids = np.fromstring(",".join(codes[lo : lo + (1 << 14)]), np.int64, sep=",")
+            size = self.length[ids]
+            ends = size.cumsum()
+            place = np.repeat(self.begin[ids] - ends + size, size)
+            place += np.arange(len(place))
+            out.append(self.surfaces[place].tobytes())
+        return b"".join(out)
 
     def decode(self, ids) -> str:
         """Text of the ids: surfaces joined, one leading space (the dummy prefix) dropped."""
@@ -236,16 +372,17 @@ class PieceCoder(dict):
         return data.decode("utf-8", "replace")
 
 
+_CODERS: dict[tuple[str, bool], PieceCoder] = {}  # of a worker, from task to task
+
+
 def _code(model_path: str, check: bool, keep_ids: bool):
     def code(batches):
-        coder = PieceCoder(model_path, check)
-        surface = Surfaces(coder.surface).__getitem__
+        coder = _CODERS.pop((model_path, check), None) or PieceCoder(model_path, check)
         for batch in batches:
             n, ids_sha, text_sha, lists = [], [], [], []
-            for raw in (raw for _, _, texts in text_slices(batch.column(1), 1 << 22) for raw in texts):
-                codes = coder.encode_joined(raw.decode())
+            for codes in (codes for _, _, texts in text_slices(batch.column(1), SLICE) for codes in coder.encode_joined([raw.decode() for raw in texts])):
                 ids = ",".join(codes)
-                data = b"".join(map(surface, codes))
+                data = coder.surface_of(codes)
                 data = data[1:] if data[:1] == b" " else data
                 n.append(ids.count(",") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
@@ -262,6 +399,7 @@ def _code(model_path: str, check: bool, keep_ids: bool):
             if keep_ids:
                 cols, names = [*cols, pa.array(lists, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names)
+        _CODERS[model_path, check] = coder  # one that was stopped is not kept
 
     return code
 

@@ -145,3 +145,54 @@ def test_every_unit_is_checked_in_its_place(monkeypatch):
         coder.encode("".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 20, 80]))))
     coder.verify()
     assert not coder.fresh and not coder.new and len(coder) > 4000
+
+
+def test_agendas_in_arrays_are_the_heaps():
+    """Units that share arrays get what each one's heap gives, in batches of odd sizes."""
+    coder = PieceCoder(piece_model(), check=False)
+    rng = random.Random(11)
+    letters = list("aaabenrst▁ißéЖ日\U0001f600²\x00.,1")
+    units = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 32))) for _ in range(3000)})
+    for lo, hi in ((0, 1), (1, 8), (8, 3000)):
+        coder._prepare(units[lo:hi])
+        got = dict(coder.ready)
+        coder.ready.clear()
+        assert got == {u: coder.encode_unit(u) for u in units[lo:hi]}
+
+
+def test_remembered_codes_are_bounded(monkeypatch):
+    """Recent and older codes up to the limit each; forgotten ones are coded and compared again."""
+    import sentencepiece
+
+    from lagframe.llm import pieces
+
+    monkeypatch.setattr(pieces, "MEMO_LIMIT", 50)
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    coder = PieceCoder(piece_model())
+    rng = random.Random(12)
+    texts = ["  ".join("".join(rng.choice("abcé²") for _ in range(3)) + rng.choice(["", ",", ".\n", " "]) for _ in range(60)) for _ in range(40)]
+    for lo in range(0, 40, 4):
+        found = coder.encode_joined(texts[lo : lo + 4])
+        assert [",".join(c) for c in found] == [",".join(map(str, library.encode(t))) for t in texts[lo : lo + 4]]
+        assert [coder.surface_of(c).decode()[1:] for c in found] == texts[lo : lo + 4]
+        assert len(coder) <= 50 and len(coder.older) <= 50
+    coder.verify()
+
+
+def test_a_coder_is_kept_from_task_to_task(monkeypatch):
+    import pyarrow as pa
+
+    from lagframe.llm import pieces
+
+    made = []
+    monkeypatch.setattr(pieces, "_CODERS", {})
+    monkeypatch.setattr(pieces, "PieceCoder", lambda *a: made.append(PieceCoder(*a)) or made[-1])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two", None])], ["id", "text"])
+    task = pieces._code(piece_model(), True, False)
+    assert [b.to_pylist() for b in task(iter([batch]))] == [b.to_pylist() for b in task(iter([batch]))]
+    assert len(made) == 1
+    # one that a difference stopped is not
+    monkeypatch.setattr(pieces._CODERS[piece_model(), True], "encode_unit", lambda unit: [5])
+    with pytest.raises(ValueError, match="differ"):
+        list(task(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["three"])], ["id", "text"])])))
+    assert not pieces._CODERS
