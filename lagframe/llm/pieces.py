@@ -34,13 +34,14 @@ from .shared import text_slices
 
 MARK = "▁"  # stands for a space
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
-MEMO_LIMIT = 1 << 17  # codes of stretches and units that a worker remembers, twice: recent and older ones
+MEMO_LIMIT = 1 << 18  # codes of stretches and units that a worker remembers, twice: recent and older ones
 SHORT = 32  # up to so many symbols a unit shares arrays with others, beyond it has a heap
 ROWS = 1 << 12  # units that share arrays
 NEVER = np.int32(2**31 - 1)  # behind the order of any piece
 GONE = -1  # a place whose symbol an earlier one took in
 SLICE = 1 << 20  # bytes of texts that are held at a time
 CHECK_TEXT = 1 << 16  # characters of stretches that wait for the comparison
+CHECK_RUN = 128  # stretches and neighbours that are compared as one text, which is slower if long
 LETTER = re.compile(r"[^\W\d_]")
 STRETCHES = re.compile(" *[^ ]+| +").findall
 
@@ -59,17 +60,54 @@ class Pairs:
         for c in letters:
             self.of_char[ord(c)] = number[c]
         rank = {x: i for i, x in enumerate(sorted(set(score.values())))}
-        found = [(number[p[:i]] * (self.other + 1) + number[p[i:]], rank[score[p]], number[p]) for p in ids for i in range(1, len(p)) if p[:i] in number and p[i:] in number]
-        found.sort()
-        self.key = np.array([k for k, _, _ in found] + [(self.other + 1) ** 2], np.int64)
-        self.order = np.array([r for _, r, _ in found] + [NEVER], np.int32)
-        self.made = np.array([m for _, _, m in found] + [self.other], np.int32)
+        rights: dict[int, list[tuple[int, int, int]]] = {}
+        for p in ids:
+            for i in range(1, len(p)):
+                if p[:i] in number and p[i:] in number:
+                    rights.setdefault(number[p[:i]], []).append((number[p[i:]], rank[score[p]], number[p]))
+        self._place(rights)
+
+    def _place(self, rights: dict[int, list[tuple[int, int, int]]]) -> None:
+        """One array for the pairs of all left symbols: a pair's place is its right symbol's
+        number, shifted by the left symbol, by so much that no two pairs share a place."""
+        base, step = self.other + 1, 1 << 14  # below base: the unshifted places of symbols that lead no pair
+        taken = np.zeros(base + 2 * sum(map(len, rights.values())) + 4 * base, bool)
+        self.shift = np.zeros(base, np.int64)
+        for left, pairs in sorted(rights.items(), key=lambda x: (-len(x[1]), x[0])):
+            if len(pairs) == 1:
+                break
+            places = np.array([r for r, _, _ in pairs])
+            lowest, lo = places.min(), base
+            places -= lowest
+            while True:
+                if lo + step + base > len(taken):
+                    taken = np.concatenate([taken, np.zeros(len(taken), bool)])
+                busy = np.zeros(step, bool)
+                for d in places.tolist():
+                    busy |= taken[lo + d : lo + d + step]
+                at = int(busy.argmin())
+                if not busy[at]:
+                    break
+                lo += step
+            taken[places + lo + at] = True
+            self.shift[left] = lo + at - lowest
+        single = [left for left, pairs in rights.items() if len(pairs) == 1]
+        taken = np.concatenate([taken, np.zeros(len(single), bool)])
+        free = base + np.flatnonzero(~taken[base:])[: len(single)]
+        self.shift[single] = free - np.array([rights[left][0][0] for left in single], np.int64)
+        n = int(self.shift.max()) + base + 1
+        self.left = np.full(n, -1, np.int32)
+        self.order = np.full(n, NEVER, np.int32)
+        self.made = np.full(n, self.other, np.int32)
+        for left, pairs in rights.items():
+            for right, order, made in pairs:
+                at = self.shift[left] + right
+                self.left[at], self.order[at], self.made[at] = left, order, made
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Places of pairs, the last one for pairs that don't merge."""
-        key = left * np.int64(self.other + 1) + right
-        at = self.key.searchsorted(key)
-        return np.where(self.key[at] == key, at, len(self.key) - 1)
+        at = self.shift[left] + right
+        return np.where(self.left[at] == left, at, len(self.left) - 1)
 
     def merge(self, units: list[str]) -> np.ndarray:
         """The agenda of each unit, a row each: what is left of its symbols, each where it begins,
@@ -81,7 +119,7 @@ class Pairs:
         symbol = np.full(inside.shape, self.other, np.int32)
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
         symbol[inside] = self.of_char[np.minimum(chars, len(self.of_char) - 1)]
-        at = np.full(inside.shape, len(self.key) - 1)
+        at = np.full(inside.shape, len(self.left) - 1)
         at[:, :-1] = self.find(symbol[:, :-1], symbol[:, 1:])
         order = self.order[at]
         after = np.broadcast_to(column + 1, inside.shape).copy().ravel()
@@ -134,10 +172,10 @@ class PieceCoder(dict):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_path) if check else None
         self.fresh: list[tuple[str, list[int]]] = []
         self.waiting = 0
-        self.new: dict[str, list[int]] = {}
+        self.new: dict[str, str] = {}
         self.older: dict[str, str] = {}
         self.ready: dict[str, list[int]] = {}
-        self.beside: dict[str, list[int]] = {}
+        self.beside: dict[str, str] = {}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.score = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
@@ -208,15 +246,14 @@ class PieceCoder(dict):
         return [self.byte_id[b] for b in symbol.encode()] if self.byte_id else [self.unknown]
 
     def _prepare(self, units: list[str]) -> None:
-        """Run the agendas of all units that are short."""
-        units = sorted((u for u in units if len(u) <= SHORT), key=len)
+        """Run the agendas of units that are short, shorter ones first."""
         for lo in range(0, len(units), ROWS):
             some = units[lo : lo + ROWS]
             symbols = self.pairs.merge(some)
             rest = symbols >= self.pairs.n_pieces
             kept = symbols != GONE
             ids, ends = symbols[kept].tolist(), kept.sum(1).cumsum().tolist()
-            self.ready.update((u, ids[a:b]) for u, a, b in zip(some, [0, *ends], ends, strict=False))
+            self.ready.update(zip(some, map(ids.__getitem__, map(slice, [0, *ends], ends)), strict=True))
             for row in np.flatnonzero(rest.any(1)).tolist():
                 unit, line = some[row], symbols[row].tolist()
                 self.ready[unit] = [x for c, s in zip(unit, line, strict=False) if s != GONE for x in ([s] if s < self.pairs.n_pieces else self._ids(c))]
@@ -229,98 +266,115 @@ class PieceCoder(dict):
         return [i for s in self._merge_long(list(unit)) if s is not None for i in self._ids(s)]
 
     def _remember(self, found: dict[str, str]) -> None:
+        if max(map(len, found), default=0) > 64:
+            found = {key: code for key, code in found.items() if len(key) <= 64}
+        if len(self) + len(found) <= MEMO_LIMIT:
+            self.update(found)
+            return
         for key, code in found.items():
-            if len(key) <= 64:
-                if len(self) >= MEMO_LIMIT:
-                    self.older = dict(self)
-                    self.clear()
-                self[key] = code
-
-    @staticmethod
-    def _key(unit: str) -> str:
-        return unit[1:].replace(MARK, " ") if unit[0] == MARK else MARK + unit
+            if len(self) >= MEMO_LIMIT:
+                self.older = dict(self)
+                self.clear()
+            self[key] = code
+
+    def _code_anew(self, units: list[str]) -> list[str]:
+        """Codes of units that none remembers, a few at a time: lists of ids that live on by the
+        ten thousand keep Python's garbage collector busy."""
+        name, encode_unit, found = self.name, self.encode_unit, [""] * len(units)
+        order = sorted(range(len(units)), key=[len(u) for u in units].__getitem__)
+        for lo in range(0, len(units), ROWS):
+            places = order[lo : lo + ROWS]
+            some = [units[i] for i in places]
+            self._prepare(some if len(some[-1]) <= SHORT else [u for u in some if len(u) <= SHORT])
+            for i, unit in zip(places, some, strict=True):
+                found[i] = ",".join([name[x] for x in encode_unit(unit)])
+        return found
 
     def _code(self, keys: set[str]) -> dict[str, str]:
-        """Codes of stretches; the units that none of them remembers are coded anew."""
-        recent, older, found, kept, todo = self.get, self.older.get, {}, {}, []
+        """Codes of stretches that are not among the recent ones; the units that none of them
+        remembers are coded anew."""
+        recent, older, found, alone, parts = self.get, self.older.get, {}, [], []
         for key in keys:
-            code = recent(key)
-            if code is None:
-                code = older(key)
-                if code is None:
-                    todo.append(key)
-                    continue
-                kept[key] = code
-            found[key] = code
-        cut, codes, fresh = {}, {}, []
-        for key in todo:
-            if key.isalpha():  # letters alone are one unit, not remembered yet
-                if MARK + key not in codes:
-                    codes[MARK + key] = None
-                    fresh.append(MARK + key)
-                continue
-            cut[key] = units = self.units(MARK + key.replace(" ", MARK))
-            for unit in units:
-                if unit not in codes:
-                    k = self._key(unit)
-                    codes[unit] = recent(k) or older(k)
-                    if codes[unit] is None:
+            code = older(key)
+            if code is not None:
+                found[key] = code
+            elif key.isalpha():  # letters alone are one unit, not remembered yet
+                alone.append(key)
+            else:
+                parts.append(key)
+        codes, fresh, names = dict.fromkeys(alone), [MARK + key for key in alone], list(alone)
+        cut, ends, units = [], [], self.units
+        for key in parts:
+            for unit in units(MARK + key.replace(" ", MARK)):
+                k = unit[1:].replace(MARK, " ") if unit[0] == MARK else MARK + unit
+                cut.append(k)
+                if k not in codes:
+                    code = codes[k] = recent(k) or older(k)
+                    if code is None:
                         fresh.append(unit)
-        self._prepare(fresh)
-        name, lists = self.name, {}
-        for unit in fresh:
-            lists[unit] = ids = self.encode_unit(unit)
-            codes[unit] = kept[self._key(unit)] = ",".join([name[i] for i in ids])
-        for key in todo:
-            units = cut.get(key)
-            if units is None:
-                found[key], self.new[key] = codes[MARK + key], lists[MARK + key]
-                continue
-            found[key] = kept[key] = ",".join([codes[unit] for unit in units])
-            if any(unit in lists for unit in units):
-                self.new[key] = [int(x) for x in found[key].split(",")]
-        self._remember(kept)
+                        names.append(k)
+            ends.append(len(cut))
+        coded = dict(zip(names, self._code_anew(fresh), strict=True))
+        codes.update(coded)
+        found.update(coded)
+        new = self.new
+        new.update([(key, coded[key]) for key in alone])
+        begin = 0
+        for key, end in zip(parts, ends, strict=True):
+            ks = cut[begin:end]
+            begin = end
+            found[key] = code = ",".join([codes[k] for k in ks])
+            if not coded.keys().isdisjoint(ks):
+                new[key] = code
+        self._remember(found)
         return found
 
-    def _around(self, part: str) -> list[int]:
-        """Ids of the few characters next to a stretch."""
-        found = self.beside.get(part)
-        if found is None:
-            if len(self.beside) >= 1 << 14:
-                self.beside.clear()
-            found = self.beside[part] = [i for u in self.units(part) for i in self.encode_unit(u)]
-        return found
-
-    def _note(self, keys: list[str]) -> None:
-        """Put the stretches of a text that hold new units and are met for the first time down
-        for the comparison, each with the character before it and the one after its space, with
-        spaces in between."""
-        new, around, last = self.new, self._around, len(keys) - 1
-        given, ids = [], []
-        for i, key in enumerate(keys):
-            if key not in new:
+    def _around(self, part: str) -> str:
+        """Code of the few characters next to a stretch."""
+        if len(self.beside) >= 1 << 14:
+            self.beside.clear()
+        ids = [i for u in self.units(MARK + part.replace(" ", MARK)) for i in self.encode_unit(u)]
+        code = self.beside[part] = ",".join([self.name[i] for i in ids])
+        return code
+
+    def _note(self, keys: list[str], places: list[int]) -> None:
+        """Put the stretches of a text that hold new units and are met for the first time, all at
+        some of ``places``, down for the comparison: each with the character before it and the
+        one after its space, with spaces in between, or right behind the one put down before it."""
+        take, beside, around = self.new.pop, self.beside.get, self._around
+        given, codes, at = [], [], 0  # the place behind the stretch put down last
+
+        def behind():
+            after = keys[at]
+            after = after[:1] if after[:1] != " " else after[: len(after) - len(after.lstrip(" ")) + 1]
+            given.append(after)
+            codes.append(beside(after) or around(after))
+
+        for i in places:
+            key = keys[i]
+            code = take(key, None)
+            if code is None:  # nothing new, or met before
                 continue
-            if i:
+            if i != at or len(given) >= CHECK_RUN:
+                if given:
+                    behind()
+                    if len(given) >= CHECK_RUN:
+                        self._wait(given, codes)
+                        given, codes = [], []
                 before = keys[i - 1][-1]
                 given.append(before)
-                ids += around(MARK + before)
+                codes.append(beside(before) or around(before))
             given.append(key)
-            ids += new.pop(key)
-            if i < last:
-                after = keys[i + 1][:1]
-                if after == " ":
-                    after = keys[i + 1][: len(keys[i + 1]) - len(keys[i + 1].lstrip(" ")) + 1]
-                given.append(after)
-                ids += around(MARK + after.replace(" ", MARK))
-            if given[-1][-1:] in ("", " "):  # would join the next space
-                self._wait(given, ids)
-                given, ids = [], []
+            codes.append(code)
+            at = i + 1
         if given:
-            self._wait(given, ids)
+            if at < len(keys):
+                behind()
+            self._wait(given, codes)
 
-    def _wait(self, given: list[str], ids: list[int]) -> None:
+    def _wait(self, given: list[str], codes: list[str]) -> None:
         text = " ".join(given)
-        self.fresh.append((text, ids))
+        self.fresh.append((text, np.fromstring(",".join(codes), np.int64, sep=",").tolist()))
         self.waiting += len(text)
         if self.waiting >= CHECK_TEXT:
             self.verify()
@@ -333,21 +387,24 @@ class PieceCoder(dict):
 
     def encode_joined(self, texts: list[str]) -> list[list[str]]:
         """Of each text the comma-joined ids of its stretches, in order."""
-        cut = []
+        cut, missing, recent = [], set(), self.get
         for text in texts:
             text = text.replace(MARK, " ")
             keys = text.split(" ") if text else []
             if "" in keys:  # several spaces in a row, or at an end
                 keys = [x[1:] for x in STRETCHES(" " + text)]
-            cut.append(keys)
-        found = self._code(set().union(*cut))
-        if self.library is not None:
-            for keys in cut:
-                if not self.new:
-                    break
-                self._note(keys)
+            codes = list(map(recent, keys))
+            places = [i for i, code in enumerate(codes) if code is None]
+            missing.update([keys[i] for i in places])
+            cut.append((keys, codes, places))
+        found = self._code(missing)
+        for keys, codes, places in cut:
+            for i in places:
+                codes[i] = found[keys[i]]
+            if self.library is not None and self.new:
+                self._note(keys, places)
         self.new.clear()
-        return [[found[k] for k in keys] for keys in cut]
+        return [codes for _, codes, _ in cut]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for code in self.encode_joined([text])[0] for i in code.split(",")]

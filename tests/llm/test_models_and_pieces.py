@@ -196,3 +196,58 @@ def test_a_coder_is_kept_from_task_to_task(monkeypatch):
     with pytest.raises(ValueError, match="differ"):
         list(task(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["three"])], ["id", "text"])])))
     assert not pieces._CODERS
+
+
+def test_pairs_are_found():
+    """Every two symbols whose concatenation is a piece, and no others."""
+    import numpy as np
+
+    pairs = PieceCoder(piece_model(), check=False).pairs
+    known = np.flatnonzero(pairs.left >= 0)
+    left = pairs.left[known]
+    right = known - pairs.shift[left]
+    want = dict(zip(zip(left.tolist(), right.tolist(), strict=True), known.tolist(), strict=True))
+    coder = PieceCoder(piece_model(), check=False)
+    assert len(want) > 50_000
+    single = {c: i for c, i in coder.ids.items() if len(c) == 1}
+    for p, i in coder.ids.items():
+        if len(p) == 2 and p[0] in single and p[1] in single:
+            assert pairs.made[want[single[p[0]], single[p[1]]]] == i
+    rng = np.random.default_rng(13)
+    a, b = (np.concatenate([x, rng.integers(0, pairs.other + 1, 200_000)]) for x in (left, right))
+    nothing = len(pairs.left) - 1
+    assert pairs.find(a, b).tolist() == [want.get(ab, nothing) for ab in zip(a.tolist(), b.tolist(), strict=True)]
+    assert pairs.order[nothing] == 2**31 - 1
+
+
+def test_new_units_are_held_a_few_at_a_time(monkeypatch):
+    """Lists of ids don't pile up for a whole slice of texts (the garbage collector goes through
+    them), nor does the library get a long text as one, on which it is slow."""
+    from lagframe.llm import pieces
+
+    held, given = [], []
+    plain = PieceCoder.encode_unit
+    monkeypatch.setattr(PieceCoder, "encode_unit", lambda self, unit: held.append(len(self.ready)) or plain(self, unit))
+    coder = PieceCoder(piece_model())
+    library = coder.library
+
+    class Spy:
+        def encode(self, texts, **how):
+            given.extend(texts)
+            return library.encode(texts, **how)
+
+    coder.library = Spy()
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abcdefgh.é") for _ in range(8)) for _ in range(10_000)]
+    text = " ".join(words) + "  "
+    assert coder.encode(text) == library.encode(text)
+    coder.verify()
+    assert max(held) <= pieces.ROWS
+    assert max(t.count(" ") for t in given) <= 200
+    assert {k for t in given for k in t.split(" ")} >= set(words)
+    # also if known stretches lie between new ones
+    given.clear()
+    mixed = [w for pair in zip(words[:3000], (w + "x" for w in words[:3000]), strict=True) for w in pair]
+    assert coder.encode(" ".join(mixed)) == library.encode(" ".join(mixed))
+    coder.verify()
+    assert max(t.count(" ") for t in given) <= 200 and {k for t in given for k in t.split(" ")} >= set(mixed[1::2])
