@@ -2,15 +2,18 @@
 
 A string of ``width`` bytes is repeated if it also starts elsewhere, in the same or another
 document. Every window of ``width`` bytes has an anchor: its leftmost gram of ``GRAM`` bytes
-with the smallest hash. Equal windows have equal anchors at equal places, so
-
-1. windows are gathered by anchor: a run of adjacent windows with one anchor is a context,
-   about one for every 80 bytes of text. Contexts are counted by (anchor, content hash). An
-   anchor met once has no repeated window; a context met twice is repeated throughout;
-2. only contexts that share an anchor with a different context are looked into. They are
-   dealt by anchor, an anchor with many contexts by the window's place in the context too, and
-   one with still more by the window's own bytes, to tasks that cut them into shards of bounded
-   size. Each shard gets a suffix array by
+with the smallest hash, and a core: the anchor and the bytes before it, if at least half of the
+window's other bytes are there, or else the anchor and those after it, in all half the width or
+more. Equal windows have equal cores at equal places, so
+
+1. windows are gathered by core: a run of adjacent windows with one core is a context,
+   about one for every 60 bytes of text. Contexts are counted by (core hash, content hash). A
+   core met once has no repeated window; a context met twice is repeated throughout;
+2. only contexts that share a core with a different context are looked into. They are
+   dealt by core. One with many contexts has them cut by the window's place into a few parts,
+   more by the logarithm of their number, each with a longer core to be dealt by; one
+   with still more is dealt window by window. Tasks leave out windows whose hash no other one of
+   theirs has, and cut the rest into shards of bounded size. Each shard gets a suffix array by
    Larsson-Sadakane refinement (groups of equal prefixes, doubled) and common prefixes by
    Kasai's pass; neighbours with ``width`` common bytes are repeated. The
    shards of one group are merged by binary search of each one's windows in the others;
@@ -23,6 +26,7 @@ but no window.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 
@@ -39,12 +43,15 @@ WIDTH = 200
 GRAM = 24
 SHARD = 1 << 20  # bytes
 TASK = 1 << 21  # bytes of contexts that a task gets, about
-WIDE = 256  # contexts of one anchor above which its windows are dealt by place
+WIDE = 256  # contexts of one core above which its windows are dealt by place
 STRETCH = 1 << 19  # windows of a long text that are looked at at a time
 SLICE = 1 << 23  # bytes of texts that are held at a time
+LOT = 1 << 17  # bytes that are hashed or sorted at once, so that arrays stay in the cache
+PLACES = np.uint64((1 << 20) - 1)  # of a lot or a stretch
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+@functools.lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     up, down = np.full(n, BASE), np.full(n, inverse)
@@ -55,58 +62,87 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-class Anchors:
-    """Anchored contexts of texts, with reusable power tables."""
+class Rolling:
+    """Hashes of the stretches of a text, with reusable power tables."""
+
+    def __init__(self):
+        self.up, self.down = _powers(2 * LOT)
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        n = len(data)
+        if n >= len(self.up):
+            self.up, self.down = _powers(1 << n.bit_length())
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_BYTES[data] * self.up[:n], out=sums[1:])
+        return sums
+
+
+class Anchors(Rolling):
+    """Anchored contexts of texts."""
 
     def __init__(self, width: int, gram: int):
+        super().__init__()
         self.width, self.gram = width, gram
-        self.up, self.down = _powers(1 << 16)
 
     def of(self, text: bytes) -> tuple[np.ndarray, ...]:
-        """(gram hash, content hash, first window, last window, anchor) of the contexts, in order."""
-        if len(text) < STRETCH + self.width:
-            return self._of(text)
-        parts = []
-        for s in range(0, len(text) - self.width + 1, STRETCH):
-            h, content, first, last, place = self._of(text[s : s + STRETCH + self.width - 1])
-            parts.append((h, content, first + s, last + s, place + s))
+        """(core hash, content hash, first window, last window, anchor) of the contexts, in order."""
+        return self.of_all([text])[1:]
+
+    def of_all(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """The same of many texts, with the number of the text before."""
+        w, parts = self.width, []
+        cuts = [(i, s, text[s : s + STRETCH + w - 1]) for i, text in enumerate(texts) for s in range(0, len(text) - w + 1, STRETCH)]
+        for lo, hi in runs([len(text) for _, _, text in cuts], LOT):
+            own, shift, pieces = zip(*cuts[lo:hi], strict=True)
+            at, core, content, first, last, place = self._of(pieces)
+            shift = np.array(shift)[at]
+            parts.append((np.array(own)[at], core, content, first + shift, last + shift, place + shift))
+        if not parts:
+            return tuple(np.empty(0, dtype=t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
-    def _of(self, text: bytes) -> tuple[np.ndarray, ...]:
-        n, w, k = len(text), self.width, self.gram
-        if n >= len(self.up):
-            self.up, self.down = _powers(2 * n)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[np.frombuffer(text, dtype=np.uint8)] * self.up[:n], out=sums[1:])
+    def _of(self, texts: tuple[bytes, ...]) -> tuple[np.ndarray, ...]:
+        w, k = self.width, self.gram
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        sums = self.sums(data)
+        n = len(data)
         grams = mix((sums[k:] - sums[:-k]) * self.down[: n - k + 1])
-        # leftmost least gram of each window: least values from both ends of blocks of span
+        # leftmost least gram of each window: least (hash, place) from both ends of blocks of span
         span, m = w - k + 1, n - w + 1
         size = -(-len(grams) // span) * span
         padded = np.full(size, np.uint64(0xFFFFFFFFFFFFFFFF))
-        padded[: len(grams)] = grams
+        padded[: len(grams)] = grams & ~PLACES | np.arange(len(grams), dtype=np.uint64)
         blocks = padded.reshape(-1, span)
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         least = np.minimum(behind[:m], ahead[span - 1 : span - 1 + m])
-        # a window's anchor is the first gram at or after its start that equals its least
-        change = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-        starts, anchors = [], []
-        ends = np.append(change[1:], m)
-        for s, e, value in zip(change.tolist(), ends.tolist(), least[change].tolist(), strict=True):
-            # most runs have one place of their value; repeated text has several
-            held = grams[s : min(e - 1 + span, len(grams))] == value
-            at = s + int(np.argmax(held))
-            starts.append(s)
-            anchors.append(at)
-            if at + 1 < e:
-                more = s + np.flatnonzero(held)
-                begins = more[:-1] + 1
-                starts += begins[begins < e].tolist()
-                anchors += more[1:][begins < e].tolist()
-        first, place = np.array(starts, dtype=np.int64), np.array(anchors, dtype=np.int64)
+        # runs of windows of one text with one anchor
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        begins = np.cumsum(sizes) - sizes
+        ends = begins + sizes - w + 1  # behind the last window; those further on lie in two texts
+        new = np.empty(m + 1, dtype=bool)
+        new[1:m] = least[1:] != least[:-1]
+        new[begins] = new[ends] = True
+        first = np.flatnonzero(new[:m])
         last = np.append(first[1:], m) - 1
+        owner = np.searchsorted(begins, first, side="right") - 1
+        inside = first < ends[owner]
+        first, last, owner = first[inside], last[inside], owner[inside]
+        place = (least[first] & PLACES).astype(np.int64)
+        # those that begin ``half`` or more before the anchor go apart from the others: the
+        # core, which all of the one or the other kind hold, is the half before the gram and the
+        # gram, or the gram and what is left of the width if half of it lies before
+        half = (w - k + 1) // 2
+        early = place - first >= half
+        both = np.flatnonzero(early & (place - last < half))
+        turn = place[both] - half
+        first, last = np.insert(first, both + 1, turn + 1), np.insert(last, both, turn)
+        early, place, owner = np.insert(early, both + 1, False), np.insert(place, both + 1, place[both]), np.insert(owner, both + 1, owner[both])
+        low, high = np.where(early, place - half, place), np.where(early, place + k, place + w - half + 1)
+        core = mix((sums[high] - sums[low]) * self.down[low] + early)
         content = mix((sums[last + w] - sums[first]) * self.down[first]) ^ mix((place - first).astype(np.uint64) * BASE + (last - first).astype(np.uint64))
-        return grams[place], content, first, last, place
+        begins = begins[owner]
+        return owner, core, content, first - begins, last - begins, place - begins
 
 
 def _pack(first, count, place):
@@ -152,10 +188,8 @@ def _contexts(width: int, gram: int):
             copies = np.diff(np.append(np.flatnonzero(own), len(order)))
             for lo, hi in runs([len(texts[i]) for i in order[own]], 1 << 23):
                 chosen = order[own][lo:hi]
-                found = [anchors.of(texts[i]) for i in chosen]
-                owner = np.repeat(np.arange(len(chosen)), [len(f[0]) for f in found])
-                h, content, first, last = (np.concatenate(x) for x in zip(*((a, b, c, d) for a, b, c, d, _ in found), strict=True))
-                place = np.concatenate([f[4] for f in found]) - first
+                owner, h, content, first, last, place = anchors.of_all([texts[i] for i in chosen])
+                place -= first
                 _, at, group = np.unique(h * BASE + content, return_index=True, return_inverse=True)
                 weight = np.bincount(group, weights=copies[lo:hi][owner]).astype(np.int64)
                 again = np.ones(len(h), dtype=bool)
@@ -283,6 +317,30 @@ def _merge(shards: list[list[bytes]], flags: list[list[np.ndarray]], width: int)
                             flags[a][i] = flags[a][i] | part
 
 
+def _chances(rolling: Rolling, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """Which bytes of the pieces, that lie in ``data`` one after the other, begin a window whose
+    hash another one has too. The others do not repeat; these the suffix arrays look into."""
+    found = []
+    spots = np.repeat(begins, sizes - width + 1)
+    counts = sizes - width + 1
+    spots += np.arange(len(spots)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = 0
+    for lo, hi in runs(sizes.tolist(), LOT):
+        low, n = int(begins[lo]), int(counts[lo:hi].sum())
+        sums = rolling.sums(data[low : int(begins[hi - 1] + sizes[hi - 1])])
+        mine = spots[at : at + n] - low
+        found.append((sums[mine + width] - sums[mine]) * rolling.down[mine])
+        at += n
+    hashes = np.concatenate(found)
+    order = np.argsort(hashes)
+    line = hashes[order]
+    same = np.concatenate((line[1:] == line[:-1], [False]))
+    same[1:] |= same[:-1]
+    chance = np.zeros(len(data), dtype=bool)
+    chance[spots[order[same]]] = True
+    return chance
+
+
 def _shards(width: int, shard: int):
     """One task's pieces (h, part, data, id, fp, start, known) -> repeats (id, fp, first, last);
     a piece without bytes is one window that is repeated for certain."""
@@ -294,31 +352,45 @@ def _shards(width: int, shard: int):
         if not table.num_rows:
             return sure
         table = table.combine_chunks().sort_by([("h", "ascending"), ("part", "ascending"), ("id", "ascending"), ("fp", "ascending"), ("start", "ascending")])
-        h, part = table["h"].to_numpy(), table["part"].to_numpy()
-        data, known = table["data"].to_pylist(), table["known"].to_pylist()
+        whole = pa.concat_arrays(table["data"].chunks)
+        sizes = pc.binary_length(whole).to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        joined = np.frombuffer(b"".join(whole.to_pylist()), dtype=np.uint8)
+        chance = _chances(Rolling(), joined, begins, sizes, width)
+        # stretches of windows that may repeat, each within a piece
+        edge = np.zeros(len(joined) + 1, dtype=bool)
+        edge[begins] = True
+        lows = np.flatnonzero(chance & (edge[:-1] | ~np.concatenate(([False], chance[:-1]))))
+        highs = np.flatnonzero(chance & (edge[1:] | ~np.concatenate((chance[1:], [False]))))
+        if not len(lows):
+            return sure
+        row = np.searchsorted(begins, lows, side="right") - 1
+        data = [joined[a : b + width].tobytes() for a, b in zip(lows.tolist(), highs.tolist(), strict=True)]
+        start = table["start"].to_numpy()[row] + lows - begins[row]
+        h, part, known = table["h"].to_numpy()[row], table["part"].to_numpy()[row], table["known"].to_numpy()[row]
         new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]))))
         ends = np.append(new[1:], len(h))
         sums = np.add.reduceat(np.array([len(d) for d in data]), new)
         flags: list = [None] * len(data)
-        for lo, hi in runs(sums, shard):  # whole groups, as many as fit
+        for lo, hi in runs(sums, min(shard, LOT)):  # whole groups, a lot at a time
             rows = list(range(int(new[lo]), int(ends[hi - 1])))
             if sums[lo] <= shard:
-                for row, f in zip(rows, repeated_windows([data[r] for r in rows], width), strict=True):
-                    flags[row] = f
+                for r, f in zip(rows, repeated_windows([data[r] for r in rows], width), strict=True):
+                    flags[r] = f
             else:  # one large group: several shards, merged
                 cuts = list(runs([len(data[r]) for r in rows], shard))
                 shards = [[data[r] for r in rows[a:b]] for a, b in cuts]
                 found = [repeated_windows(pieces, width) for pieces in shards]
                 _merge(shards, found, width)
                 for (a, b), group in zip(cuts, found, strict=True):
-                    for row, f in zip(rows[a:b], group, strict=True):
-                        flags[row] = f
+                    for r, f in zip(rows[a:b], group, strict=True):
+                        flags[r] = f
         out = []
-        start = table["start"].to_numpy()
-        for row, f in enumerate(flags):
-            if not known[row] and f.any():
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], f, [False])).astype(np.int8)))
-                out += [(row, int(start[row] + a), int(start[row] + b - 1)) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+        for r in np.flatnonzero(~known).tolist():
+            f = flags[r]
+            if f.any():
+                turn = np.flatnonzero(np.diff(np.concatenate(([False], f, [False])).astype(np.int8)))
+                out += [(row[r], int(start[r] + a), int(start[r] + b - 1)) for a, b in zip(turn[::2], turn[1::2], strict=True)]
         rows = pa.array([r for r, _, _ in out], pa.int64())
         found = pa.table({"id": table["id"].take(rows), "fp": table["fp"].take(rows), "first": pa.array([a for _, a, _ in out], pa.int64()), "last": pa.array([b for _, _, b in out], pa.int64())})
         return pa.concat_tables([found, sure])
@@ -329,24 +401,29 @@ def _shards(width: int, shard: int):
 def _pieces(width: int, gram: int, wide: int, tasks: int):
     """Arrow batches (id, fp, text, wanted, ...) -> the bytes of the wanted contexts, dealt.
 
-    An anchor with more contexts than places hold has its windows dealt one by one, by their
-    bytes too; of equal ones in a slice two go with their bytes, the others without."""
+    A core with more than ``wide`` contexts has them cut by the window's place, into a part
+    more each time their number doubles; equal windows have the part and all of its core's
+    bytes in common, by which parts are dealt. Above ``wide`` contexts for each place windows are
+    dealt one by one, by their own bytes; of equal ones in a slice two go with them, the others without."""
     span = width - gram + 1
+    half = span // 2
 
     def dealt(id_, fp, text, wanted, met):
         for w in wanted:
             first, count, place = w["spot"] >> 24, w["spot"] >> 12 & 4095, w["spot"] & 4095
-            parts = min(span, -(-w["variants"] // wide))
-            salts = -(-w["variants"] // (span * wide))
+            low, high = (half, span) if place >= half else (0, half)  # distances to the anchor
+            alone = w["variants"] > wide * (span - half)
+            parts = high - low if alone else min(high - low, 1 + ((w["variants"] - 1) // wide).bit_length())
             # a window's distance to its anchor decides its part
             for part in range(parts):
-                near, far = part * span // parts, (part + 1) * span // parts  # distances in [near, far)
+                near, far = low + part * (high - low) // parts, low + (part + 1) * (high - low) // parts  # distances in [near, far)
                 lo, hi = max(0, place - far + 1), min(count, place - near + 1)
                 if lo >= hi:
                     continue
-                data, key = text[first + lo : first + hi - 1 + width], part
-                if salts > 1:
-                    key = part + span * (zlib.crc32(data) % salts)
+                data, key = text[first + lo : first + hi - 1 + width], 0
+                if w["variants"] > wide:  # a window alone is all core
+                    key = part << 32 | zlib.crc32(text[first + place - near : first + place - far + 1 + width])
+                if alone:
                     number = met[w["h"], key, data] = met.get((w["h"], key, data), 0) + 1
                     if number > 2:
                         if not w["known"]:
@@ -361,7 +438,7 @@ def _pieces(width: int, gram: int, wide: int, tasks: int):
                 met: dict = {}
                 out = [row for i, text in zip(range(lo, hi), texts, strict=True) for row in dealt(ids[i], fps[i], text, asked[i], met)]
                 cols = list(zip(*out, strict=True)) if out else [[]] * 8
-                kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["task", "h", "part", "data", "id", "fp", "start", "known"])
 
     return pieces
@@ -432,11 +509,12 @@ def remove_repeats(
     repeats = judged.filter("met > 1").selectExpr("id", "fp", "shiftright(spot, 24) as first", "shiftright(spot, 24) + (shiftright(spot, 12) & 4095) - 1 as last")
     repeats = repeats.unionByName(found.filter("h is null").selectExpr("id", "fp", "spot as first", "content as last"))
     wanted = judged.filter("variants > 1 and single > 0").filter((F.col("met") == 1) | (F.col("one") == F.struct("id", "fp", "spot")))
-    places = F.least(F.lit(width - gram + 1), F.ceil(F.col("variants") / F.lit(wide)))
+    most = (width - gram + 2) // 2
+    places = F.when(F.col("variants") > wide * most, most).otherwise(F.least(F.lit(most), 1 + F.ceil(F.log2(F.ceil(F.col("variants") / wide)))))
     tasks = 1 + (wanted.agg(F.sum(places)).first()[0] or 0) * 2 * width // task  # by the bytes that a context is dealt in
     asked = wanted.groupBy("id", "fp").agg(F.collect_list(F.struct("h", "spot", "variants", (F.col("met") > 1).alias("known"))).alias("wanted"))
     # both joins take the same columns of the texts, so that these are shuffled once
-    dealt = lines.join(asked, ["id", "fp"]).mapInArrow(_pieces(width, gram, wide, tasks), "task int, h long, part int, data binary, id long, fp long, start long, known boolean")
+    dealt = lines.join(asked, ["id", "fp"]).mapInArrow(_pieces(width, gram, wide, tasks), "task int, h long, part long, data binary, id long, fp long, start long, known boolean")
     edges = dealt.groupBy("task").applyInArrow(_shards(width, shard), "id long, fp long, first long, last long")
     spans = repeats.unionByName(edges).join(reps, ["id", "fp"], "left_semi").groupBy("id", "fp").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     told = texts.select("id", "fp").distinct().join(spans.select("fp", "spans"), "fp", "left")

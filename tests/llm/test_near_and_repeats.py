@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lagframe.llm.components import components
@@ -150,6 +151,56 @@ def test_many_pieces_of_one_group_merge_in_time():
     assert found == [3, 4, 20_000, 39_000] and time.time() - began < 20
 
 
+def hot_line(n, seed, near=0):
+    """Texts of random letters around one line of 130 bytes; the last ``near`` ones differ in their first bytes only."""
+    rng = np.random.default_rng(seed)
+    letters = lambda k: rng.integers(97, 123, k, dtype=np.uint8).tobytes()
+    line, texts = letters(130), []
+    for _ in range(n - near):
+        texts.append(letters(200) + line + letters(200))
+    return texts + [letters(100) + texts[0][100:] for _ in range(near)]
+
+
+def test_contexts_of_a_common_line_are_told_apart():
+    """A line in all texts that is shorter than a core, with other bytes around it, has nothing to be looked into."""
+    line = b"a line of nearly all texts, which is not as long as half a window."
+    cores = [h for t in hot_line(60, 14) for h in Anchors(200, 24).of(t[:200] + line + t[330:])[0].tolist()]
+    assert len(set(cores)) == len(cores)
+
+
+def dealt(texts, wide):
+    """(core hash, part, bytes) of the pieces of the most frequent core."""
+    found = [list(zip(*Anchors(200, 24).of(t), strict=True)) for t in texts]
+    cores = [h for contexts in found for h in {c[0] for c in contexts}]
+    top = max(set(cores), key=cores.count)
+    wanted = [[{"h": 1, "spot": int(a << 24 | (b - a + 1) << 12 | (p - a)), "variants": len(texts), "known": False} for h, _, a, b, p in contexts if h == top] for contexts in found]
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("spot", pa.int64()), ("variants", pa.int64()), ("known", pa.bool_())]))
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array([t.decode() for t in texts]), pa.array(wanted, kind)], ["id", "fp", "text", "wanted"])
+    return [row for b in suffixes._pieces(200, 24, wide, 1)([batch]) for row in zip(*(b.column(c).to_pylist() for c in ("h", "part", "data")), strict=True)]
+
+
+def test_bytes_dealt_for_a_hot_core_grow_with_its_contexts():
+    few, many = dealt(hot_line(64, 15, near=9), 16), dealt(hot_line(1024, 15, near=9), 16)
+    assert sum(len(d) for _, _, d in many) < 16 * 3 * sum(len(d) for _, _, d in few)
+    groups = {}  # equal windows meet
+    for h, part, data in many:
+        for i in range(len(data) - 199):
+            groups.setdefault(data[i : i + 200], []).append((h, part))
+    assert max(map(len, groups.values())) > 1 and all(len(set(g)) == 1 for g in groups.values())
+
+
+def test_suffix_arrays_see_only_windows_that_may_repeat(monkeypatch):
+    texts = hot_line(300, 16, near=4)
+    seen, whole = [], suffixes.repeated_windows
+    monkeypatch.setattr(suffixes, "repeated_windows", lambda pieces, width: (seen.extend(pieces), whole(pieces, width))[1])
+    n = len(texts)
+    table = pa.table({"h": pa.array([1] * n, pa.int64()), "part": pa.array([0] * n, pa.int64()), "data": pa.array(texts, pa.binary()), "id": pa.array(range(n), pa.int64()), "fp": pa.array(range(n), pa.int64()), "start": pa.array([7] * n, pa.int64()), "known": pa.array([False] * n)})
+    got = suffixes._shards(200, 1 << 20)(table).to_pylist()
+    assert sorted((r["id"], r["first"], r["last"]) for r in got) == [(i, 107, 337) for i in [0, 296, 297, 298, 299]]
+    assert sorted(map(len, seen)) == [430] * 5
+
+
 def test_long_texts_are_looked_at_in_stretches():
     """Contexts cover every window once, with the anchor that the window alone decides."""
     text = (b"abcdefghij" * 30 + np.random.default_rng(13).integers(97, 123, 900, dtype=np.uint8).tobytes()) * 2 + b"z" * 700
